@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sievemark.llm import repeats, textscan
-from sievemark.llm.stage import checkpointed
+from sievemark.llm.stage import checkpointed, without
 
 _STRIP = b" \t\n\x0b\x0c\r"
 _NEWLINE = textscan._table(True, (0x0A, 0x0A))
@@ -99,6 +99,7 @@ def drop_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, max_filt
     Keys of at least min_chars code points (stripped, A-Z folded) in at least
     min_docs documents lose their lines except in the largest doc_id.
     """
+    docs = without(docs, ["n_lines", "n_dropped"])
     gone = checkpointed(repeated_lines(docs, min_chars, min_docs, max_filter_bits))
     names, out = docs.columns, docs.withColumn("n_lines", F.lit(0).cast("long")).withColumn("n_dropped", F.lit(0).cast("long")).schema
     if gone.count() <= broadcast_keys:

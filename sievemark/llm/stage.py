@@ -24,6 +24,7 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def columns(df: DataFrame, needed: dict[str, str]) -> DataFrame:
-    """The needed columns alone, cast, so that further columns and their names cannot clash."""
-    return df.select(*(df[name].cast(kind).alias(name) for name, kind in needed.items()))
+def without(df: DataFrame, added: list[str]) -> DataFrame:
+    """df without columns named as those an operator adds: what it adds replaces them."""
+    taken = {x.lower() for x in added}
+    return df.select(*(df[f"`{c}`"] for c in df.columns if c.lower() not in taken))
