@@ -31,8 +31,8 @@ _BITMAP = 20
 
 def _scan(column: pa.Array) -> Iterator[tuple[textscan.Texts, textscan.Runs, np.ndarray, np.ndarray]]:
     for t in textscan.chunks(column):
-        w = textscan.words(t, textscan.ALNUM)
         folded = textscan.FOLD[t.data]
+        w = textscan.words(textscan.Texts(folded, t.offsets, t.first), textscan.ALNUM)
         yield t, w, folded, textscan.span_hash(folded, w.starts, w.ends) if len(w) else np.zeros(0, np.uint64)
 
 
