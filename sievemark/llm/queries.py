@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sievemark.llm import decontaminate, line_dedup, ngram_join
+from sievemark.llm import decontaminate, line_dedup, ngram_join, suffix_dedup
 from sievemark.session import ship
 
 
@@ -19,6 +19,10 @@ def op2_prefix_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), window=10, shingle=5)
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.report(_table(spark, sf_dir, "documents"), length=200)
+
+
 def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.report(_table(spark, sf_dir, "documents"), k=3, num=90, den=100)
 
@@ -29,6 +33,7 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_prefix_decontamination": op2_prefix_decontamination,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op5_ngram_jaccard": op5_ngram_jaccard,
     "op6_line_dedup": op6_line_dedup,
 }
