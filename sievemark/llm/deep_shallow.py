@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import numpy as np
 
+from sievemark.llm import textscan
+
 DIGIT = 8
 
 
@@ -76,12 +78,14 @@ class _Blind:
 def sort(strings: list[bytes], group: np.ndarray, shallow: int = 64) -> tuple[np.ndarray, np.ndarray]:
     """Order of the strings within each group, and the common prefix with the one before it (-1 at a group's start)."""
     n = len(strings)
+    if not n:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     depth = shallow // DIGIT
     padded = b"".join(s[:shallow].ljust(shallow, b"\0") for s in strings)
     digits = np.frombuffer(padded, ">u8").reshape(n, depth).astype(np.uint64)
     size = np.minimum(np.fromiter(map(len, strings), np.int64, n), shallow)
     order = np.argsort(group, kind="stable")
-    cls = np.cumsum(np.diff(group[order], prepend=group[order[:1]]) != 0) if n else np.zeros(0, np.int64)
+    cls = np.cumsum(np.diff(group[order], prepend=group[order[:1]]) != 0)
     prefix = np.where(np.diff(cls, prepend=-1) != 0, -1, shallow)
     for d in range(depth + 1):
         first = np.flatnonzero(np.diff(cls, prepend=-1))
@@ -108,8 +112,7 @@ def sort(strings: list[bytes], group: np.ndarray, shallow: int = 64) -> tuple[np
         new = np.zeros(n, np.int64)
         new[where] = 1
         cls = np.cumsum((np.diff(cls, prepend=cls[:1]) != 0) + new)
-    first = np.flatnonzero(np.diff(cls, prepend=-1))
-    for lo, hi in zip(first, [*first[1:], n], strict=True):
+    for lo, hi in textscan.groups(cls):
         if hi - lo > 1:
             trie = _Blind(strings)
             for i in order[lo:hi].tolist():

@@ -63,46 +63,50 @@ def _needed(n: int, num: int, den: int) -> int:
     return n - -(-num * n // den) + 1
 
 
-def _sketch_rows(at: list[np.ndarray]) -> Iterator[tuple[int, bytes, bytes]]:
-    where, n = np.unique(np.concatenate(at), return_counts=True)
-    n = np.minimum(n, 65535).astype(np.uint16)
-    cell = (where >> np.uint32(_CELL)).astype(np.int32)
-    cuts = np.flatnonzero(np.diff(cell, prepend=-1))
-    for lo, hi in zip(cuts, [*cuts[1:], len(where)], strict=True):
-        yield int(cell[lo]), (where[lo:hi] & np.uint32((1 << _CELL) - 1)).tobytes(), n[lo:hi].tobytes()
-
-
-_FIRST = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("digest", pa.binary()), ("cell", pa.int32()), ("at", pa.binary()), ("count", pa.binary())])
-
-
 def _survey(docs: DataFrame, k: int) -> DataFrame:
-    """One row a document (n, digest of its set), and the task's part of the counting sketch."""
+    """doc_id, the size n of its set and a digest of it."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at: list[np.ndarray] = []
-        size = 0
-
-        def sketched() -> pa.RecordBatch:
-            rows = list(_sketch_rows(at))
-            none = pa.nulls(len(rows), pa.int64())
-            return pa.RecordBatch.from_arrays([none, none, pa.nulls(len(rows), pa.binary()), *(pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), list(_FIRST)[3:], strict=True))], schema=_FIRST)
-
         for batch in batches:
             n = np.zeros(batch.num_rows, np.int64)
             digest: list[bytes | None] = [None] * batch.num_rows
             for row, u in shingle_sets(batch.column("text"), k):
                 n[row], digest[row] = len(u), xxhash.xxh3_128_digest(u.tobytes())
-                at.append((u & np.uint64((1 << SKETCH_BITS) - 1)).astype(np.uint32))
-                size += len(u)
-                if size >= 1 << 22:
-                    yield sketched()
-                    at, size = [], 0
-            rest = pa.nulls(batch.num_rows, pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n), pa.array(digest, pa.binary()), pa.nulls(batch.num_rows, pa.int32()), rest, rest], schema=_FIRST)
-        if at:
-            yield sketched()
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n), pa.array(digest, pa.binary())], names=["doc_id", "n", "digest"])
+
+    return docs.mapInArrow(scan, "doc_id long, n long, digest binary")
+
 
-    return docs.mapInArrow(scan, "doc_id long, n long, digest binary, cell int, at binary, count binary")
+_SKETCH = pa.schema([("cell", pa.int32()), ("at", pa.binary()), ("count", pa.binary())])
+
+
+def _sketch(docs: DataFrame, k: int) -> DataFrame:
+    """Each task's part of the counting sketch, in cells; a thin cell as places and counts, a full one as counts."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = np.zeros(1 << SKETCH_BITS, np.uint32)
+        wait: list[np.ndarray] = []
+        size = 0
+        for batch in batches:
+            for _, u in shingle_sets(batch.column("text"), k):
+                wait.append((u & np.uint64((1 << SKETCH_BITS) - 1)).astype(np.int64))
+                size += len(u)
+                if size >= 1 << 21:
+                    table += np.bincount(np.concatenate(wait), minlength=len(table)).astype(np.uint32)
+                    wait, size = [], 0
+        if wait:
+            table += np.bincount(np.concatenate(wait), minlength=len(table)).astype(np.uint32)
+        for cell in range(_CELLS):
+            own = np.minimum(table[cell << _CELL : (cell + 1) << _CELL], 65535).astype(np.uint16)
+            at = np.flatnonzero(own)
+            if len(at) * 3 < len(own):
+                where, count = at.astype(np.uint32).tobytes(), own[at].tobytes()
+            else:
+                where, count = None, own.tobytes()
+            if len(at):
+                yield pa.RecordBatch.from_arrays([pa.array([cell], pa.int32()), pa.array([where], pa.binary()), pa.array([count], pa.binary())], schema=_SKETCH)
+
+    return docs.mapInArrow(scan, "cell int, at binary, count binary")
 
 
 def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -110,7 +114,7 @@ def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for cell, at, count in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             own = total.setdefault(cell, np.zeros(1 << _CELL, np.uint32))
-            own[np.frombuffer(at, np.uint32)] += np.frombuffer(count, np.uint16)
+            own[slice(None) if at is None else np.frombuffer(at, np.uint32)] += np.frombuffer(count, np.uint16)
     for cell, own in total.items():
         yield pa.RecordBatch.from_arrays([pa.array([cell], pa.int32()), pa.array([np.minimum(own, 65535).astype(np.uint16).tobytes()], pa.binary())], names=["cell", "count"])
 
@@ -132,9 +136,10 @@ class _Order:
         return np.searchsorted(place, np.array(self.cuts, np.uint64))
 
 
-def _order(spark, survey: DataFrame) -> _Order:
+def _order(docs: DataFrame, k: int) -> _Order:
+    spark = docs.sparkSession
     n = min(_CELLS, shuffle_partitions(spark))
-    merged = survey.where("cell is not null").select("cell", "at", "count").repartition(n, F.col("cell")).mapInArrow(_summed, "cell int, count binary")
+    merged = _sketch(docs.select("text"), k).repartition(n, F.col("cell")).mapInArrow(_summed, "cell int, count binary")
     table = np.zeros(1 << SKETCH_BITS, np.uint16)
     for row in merged.collect():
         table[row.cell << _CELL : (row.cell + 1) << _CELL] = np.frombuffer(row["count"], np.uint16)
@@ -162,14 +167,13 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100,
 
     Documents link when den * |intersection| >= num * |union| of their sets of k-word shingles.
     """
-    spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     survey = checkpointed(_survey(docs, k))
-    sets = survey.where("cell is null").select("doc_id", "n", "digest")
-    order = _order(spark, survey)
+    sets = survey
+    order = _order(docs, k)
     single = _one_text_an_id(docs, sets)
     if single is not docs:
-        sets = checkpointed(_survey(single, k).where("cell is null").select("doc_id", "n", "digest"))
+        sets = checkpointed(_survey(single, k))
     classes = sets.where("doc_id is not null and n > 0").groupBy("digest").agg(F.min("doc_id").alias("class_id"))
     members = checkpointed(sets.where("doc_id is not null and n > 0").join(classes, "digest").select("doc_id", "class_id", "n"))
     total, n_docs = members.agg(F.sum("n"), F.count("*")).first()
@@ -204,7 +208,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100,
     degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
     out = members.join(roots, members.class_id == roots.node, "left").drop("node").join(degree, F.col("class_id") == degree.node, "left")
     out = out.select("doc_id", F.coalesce("root", "class_id").alias("component_id"), F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"))
-    rows = survey.where("cell is null").select("doc_id", F.col("n").alias("n_shingles"))
+    rows = survey.select("doc_id", F.col("n").alias("n_shingles"))
     return rows.join(out.distinct(), "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"))
 
 

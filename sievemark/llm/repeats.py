@@ -18,6 +18,8 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sievemark.llm import textscan
+
 BLOCK = 20
 MAX_BITS = 1 << 29
 FLUSH = 1 << 22
@@ -39,8 +41,7 @@ def _report(found: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         return
     at, n = np.unique(np.concatenate(found), return_counts=True)
     block = (at >> np.uint32(BLOCK)).astype(np.int32)
-    cuts = np.flatnonzero(np.diff(block, prepend=-1))
-    for lo, hi in zip(cuts, [*cuts[1:], len(at)], strict=True):
+    for lo, hi in textscan.groups(block):
         own = at[lo:hi] & np.uint32((1 << BLOCK) - 1)
         yield pa.RecordBatch.from_arrays([pa.array([block[lo]], pa.int32()), pa.array([own.tobytes()], pa.binary()), pa.array([own[n[lo:hi] > 1].tobytes()], pa.binary())], schema=_PARTS)
 

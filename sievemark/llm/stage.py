@@ -3,21 +3,29 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """df written to the shared folder of spark.checkpoint.dir and read from there.
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The shared folder of spark.checkpoint.dir, read from the session.
 
-    The setting is read from the session. Only where it is unset, as in tests on
-    one machine, a temporary folder takes its place.
+    Only where it is unset, as in tests on one machine, a temporary folder takes its place.
     """
-    spark = df.sparkSession
     sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="checkpoints-"))
-    return df.checkpoint(eager=True)
+    folder = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir")
+    if folder is None:
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="checkpoints-"))
+        folder = sc.getCheckpointDir()
+    return folder
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """df written as a table in the shared folder and read from there: cuts lineage, survives lost executors."""
+    path = f"{checkpoint_folder(df.sparkSession)}/stage-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

@@ -149,5 +149,12 @@ def sequence_hash(h: np.ndarray) -> np.uint64:
     return shingles(h, np.zeros(len(h), np.int8), len(h))[0][0]
 
 
+def groups(labels: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Begin and end of each stretch of equal labels."""
+    if len(labels):
+        cuts = np.append(np.flatnonzero(labels[1:] != labels[:-1]) + 1, len(labels)).tolist()
+        yield from zip([0, *cuts[:-1]], cuts, strict=True)
+
+
 def signed(h: np.ndarray) -> np.ndarray:
     return h.view(np.int64)
