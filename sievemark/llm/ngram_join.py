@@ -8,10 +8,13 @@ n-grams that no second document has out of the shuffle. For each candidate pair
 the overlap is counted in every fragment on its own, and the counts are summed.
 
 Equal sets are one class from the start. In a group of documents with a common
-n-gram no pairs are listed: all members are compared with one leader, members
-found connected need no further comparison, and the group loses its leader; this
-repeats while the open pairs are many. What is open then is compared pair by pair.
-No link that decides a component is lost, and hot groups cost a pair per member.
+n-gram not all pairs are listed. Bounds on size and position and a bitmap of each
+set, which bounds the difference of two sets from below, say which pairs can link;
+of these the first round lists a spanning forest, found by breadth-first search
+among what is not reached yet, so a group of near copies costs a pair per member.
+When these are verified, the second round lists every pair that can link and is
+not connected yet. After that nothing is open: no link that decides a component is
+lost. A group too large for a task is dealt in blocks that meet each other.
 
 Defined results. Null, empty or wordless text: an empty set, linked with nothing.
 A null doc_id takes part in nothing and has a null component. Rows that repeat a
@@ -37,8 +40,10 @@ SKETCH_BITS = 22
 _CELL = 18
 _CELLS = 1 << (SKETCH_BITS - _CELL)
 FRAGMENTS = 4
-#: Open pairs a document up to which they are compared one by one.
-OPEN_PAIRS = 2
+#: Words of 64 bits of a set's bitmap.
+BITMAP = 8
+#: Members of a group that one task takes together.
+GROUP_LIMIT = 100_000
 
 
 def shingle_sets(column: pa.Array, k: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -64,17 +69,20 @@ def _needed(n: int, num: int, den: int) -> int:
 
 
 def _survey(docs: DataFrame, k: int) -> DataFrame:
-    """doc_id, the size n of its set and a digest of it."""
+    """doc_id, the size n of its set, a digest of it, and a bitmap in which every n-gram flips a bit."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n = np.zeros(batch.num_rows, np.int64)
             digest: list[bytes | None] = [None] * batch.num_rows
+            bits: list[bytes | None] = [None] * batch.num_rows
             for row, u in shingle_sets(batch.column("text"), k):
                 n[row], digest[row] = len(u), xxhash.xxh3_128_digest(u.tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n), pa.array(digest, pa.binary())], names=["doc_id", "n", "digest"])
+                flips = np.bincount((u >> np.uint64(23)).astype(np.int64) & (64 * BITMAP - 1), minlength=64 * BITMAP) & 1
+                bits[row] = np.packbits(flips.astype(np.uint8)).tobytes()
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n), pa.array(digest, pa.binary()), pa.array(bits, pa.binary())], names=["doc_id", "n", "digest", "bits"])
 
-    return docs.mapInArrow(scan, "doc_id long, n long, digest binary")
+    return docs.mapInArrow(scan, "doc_id long, n long, digest binary, bits binary")
 
 
 _SKETCH = pa.schema([("cell", pa.int32()), ("at", pa.binary()), ("count", pa.binary())])
@@ -162,8 +170,8 @@ def _one_text_an_id(docs: DataFrame, sets: DataFrame) -> DataFrame:
     return docs
 
 
-def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, max_filter_bits: int = repeats.MAX_BITS, open_pairs: int = OPEN_PAIRS) -> DataFrame:
-    """doc_id, n_shingles, component_id, n_links (verified links of the document's class) for each row of docs.
+def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, max_filter_bits: int = repeats.MAX_BITS, group_limit: int = GROUP_LIMIT) -> DataFrame:
+    """doc_id, n_shingles, component_id, n_links (of the document's class, among those compared) for each row of docs.
 
     Documents link when den * |intersection| >= num * |union| of their sets of k-word shingles.
     """
@@ -175,7 +183,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100,
     if single is not docs:
         sets = checkpointed(_survey(single, k))
     classes = sets.where("doc_id is not null and n > 0").groupBy("digest").agg(F.min("doc_id").alias("class_id"))
-    members = checkpointed(sets.where("doc_id is not null and n > 0").join(classes, "digest").select("doc_id", "class_id", "n"))
+    members = checkpointed(sets.where("doc_id is not null and n > 0").join(classes, "digest").select("doc_id", "class_id", "n", "bits"))
     total, n_docs = members.agg(F.sum("n"), F.count("*")).first()
     real = single.where("doc_id is not null")
 
@@ -192,18 +200,20 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100,
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column("doc_id").to_numpy()
-            found, owner = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+            found, owner, place = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
             for row, u in shingle_sets(batch.column("text"), k):
                 p = prefix(u)
-                p = p[twice.suspects(p)]
-                found.append(p)
-                owner.append(np.full(len(p), ids[row]))
-            yield pa.RecordBatch.from_arrays([pa.array(textscan.signed(np.concatenate(found))), pa.array(np.concatenate(owner))], names=["key", "doc_id"])
+                at = np.flatnonzero(twice.suspects(p))
+                found.append(p[at])
+                owner.append(np.full(len(at), ids[row]))
+                place.append(at)
+            yield pa.RecordBatch.from_arrays([pa.array(textscan.signed(np.concatenate(found))), pa.array(np.concatenate(owner)), pa.array(np.concatenate(place))], names=["key", "doc_id", "at"])
 
-    keys = real.mapInArrow(emit, "key long, doc_id long").join(members, "doc_id").select("key", F.col("class_id").alias("node"), "n").distinct()
+    keys = real.mapInArrow(emit, "key long, doc_id long, at long").join(members, "doc_id").where("doc_id = class_id").select("key", F.col("class_id").alias("node"), "n", "at").distinct()
     keys = checkpointed(keys)
-    keys = checkpointed(keys.join(keys.groupBy("key").count().where("count > 1"), "key", "left_semi"))
-    links = checkpointed(_links(keys, real, order, k, num, den, open_pairs * (n_docs or 0)))
+    keys = checkpointed(keys.join(keys.groupBy("key").agg(F.count("*").alias("m")).where("m > 1"), "key"))
+    bits = members.where("doc_id = class_id").select(F.col("class_id").alias("node"), "bits").distinct()
+    links = _links(keys, bits, real, order, k, num, den, group_limit)
     roots = components(links)
     degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
     out = members.join(roots, members.class_id == roots.node, "left").drop("node").join(degree, F.col("class_id") == degree.node, "left")
@@ -212,14 +222,9 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100,
     return rows.join(out.distinct(), "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"))
 
 
-def _fits(num: int, den: int):
-    return f"least(n_a, n_b) * {den} >= greatest(n_a, n_b) * {num}"
-
-
-def _links(keys: DataFrame, docs: DataFrame, order: _Order, k: int, num: int, den: int, few: int) -> DataFrame:
-    spark = keys.sparkSession
-    sizes = keys.select("node", "n").distinct()
-    wanted = repeats.build(sizes.select("node"), _twofold, repeats.bits_for(sizes.count(), 16))
+def _pieces(nodes: DataFrame, docs: DataFrame, order: _Order, k: int) -> DataFrame:
+    """(node, fragment, part): the sets of the nodes, cut at the global order's fragments."""
+    wanted = repeats.build(nodes, _twofold, repeats.bits_for(nodes.count(), 16))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -227,57 +232,120 @@ def _links(keys: DataFrame, docs: DataFrame, order: _Order, k: int, num: int, de
             some = np.flatnonzero(wanted.suspects(textscan.mix(ids.view(np.uint64))))
             if not len(some):
                 continue
-            batch = batch.take(pa.array(some))
-            ids = ids[some]
+            batch, ids = batch.take(pa.array(some)), ids[some]
             for row, u in shingle_sets(batch.column("text"), k):
                 u, place = order.sort(u)
-                at = [0, *order.fragments(place).tolist(), len(u)]
-                parts = [textscan.signed(u[lo:hi]) for lo, hi in zip(at, at[1:], strict=False)]
-                offsets = np.array(at, np.int32)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(parts), ids[row])), pa.array(np.arange(len(parts), dtype=np.int32)), pa.ListArray.from_arrays(offsets, pa.array(textscan.signed(u)))], names=["node", "fragment", "part"])
-
-    pieces = checkpointed(docs.mapInArrow(cut, "node long, fragment int, part array<long>").join(sizes, "node", "left_semi"))
-
-    def verified(pairs: DataFrame) -> DataFrame:
-        """pairs (a, b, n_a, n_b): the overlap summed over the fragments, and whether it suffices."""
-        left = pieces.select(F.col("node").alias("a"), "fragment", F.col("part").alias("part_a"))
-        right = pieces.select(F.col("node").alias("b"), "fragment", F.col("part").alias("part_b"))
-        partial = pairs.join(left, "a").join(right, ["b", "fragment"]).select("a", "b", "n_a", "n_b", F.size(F.array_intersect("part_a", "part_b")).alias("o"))
-        both = partial.groupBy("a", "b", "n_a", "n_b").agg(F.sum("o").alias("o"))
-        return both.select("a", "b", (F.col("o") * den >= (F.col("n_a") + F.col("n_b") - F.col("o")) * num).alias("linked"))
-
-    links = None
-    seen = None
-    while True:
+                at = np.array([0, *order.fragments(place).tolist(), len(u)], np.int32)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(FRAGMENTS, ids[row])), pa.array(np.arange(FRAGMENTS, dtype=np.int32)), pa.ListArray.from_arrays(at, pa.array(textscan.signed(u)))], names=["node", "fragment", "part"])
+
+    return checkpointed(docs.mapInArrow(cut, "node long, fragment int, part array<long>"))
+
+
+def _verified(pairs: DataFrame, docs: DataFrame, order: _Order, k: int, num: int, den: int) -> DataFrame:
+    """pairs (a, b, n_a, n_b): the overlap summed over the fragments, and whether it suffices."""
+    pieces = _pieces(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), docs, order, k)
+    left = pieces.select(F.col("node").alias("a"), "fragment", F.col("part").alias("part_a"))
+    right = pieces.select(F.col("node").alias("b"), "fragment", F.col("part").alias("part_b"))
+    partial = pairs.join(left, "a").join(right, ["b", "fragment"]).select("a", "b", "n_a", "n_b", F.size(F.array_intersect("part_a", "part_b")).alias("o"))
+    both = partial.groupBy("a", "b", "n_a", "n_b").agg(F.sum("o").alias("o"))
+    return checkpointed(both.select("a", "b", (F.col("o") * den >= (F.col("n_a") + F.col("n_b") - F.col("o")) * num).alias("linked")))
+
+
+class _Group:
+    """The members of one group, and which of them can link."""
+
+    def __init__(self, rows: dict[str, np.ndarray], num: int, den: int):
+        self.node, self.n, self.at, self.root, self.bits = (rows[c] for c in ("node", "n", "at", "root", "bits"))
+        self.num, self.den = num, den
+
+    def near(self, i: int, others: np.ndarray) -> np.ndarray:
+        n, m, num, den = int(self.n[i]), self.n[others], self.num, self.den
+        fits = np.minimum(m, n) * den >= np.maximum(m, n) * num
+        # The overlap that the threshold asks for, and what can still follow this n-gram.
+        fits &= np.minimum(m - self.at[others], n - int(self.at[i])) * (den + num) >= num * (n + m)
+        some = np.flatnonzero(fits)
+        apart = np.bitwise_count(self.bits[others[some]] ^ self.bits[i]).sum(axis=1)
+        fits[some] = apart * (den + num) <= (den - num) * (n + m[some])
+        return fits
+
+    def forest(self) -> list[tuple[int, int]]:
+        out: list[tuple[int, int]] = []
+        rest = np.arange(len(self.node))
+        while len(rest) > 1:
+            queue, rest = [int(rest[0])], rest[1:]
+            while queue and len(rest):
+                i = queue.pop()
+                same = self.root[rest] == self.root[i]
+                near = self.near(i, rest) & ~same
+                out += [(i, j) for j in rest[near].tolist()]
+                queue += rest[near | same].tolist()
+                rest = rest[~(near | same)]
+        return out
+
+    def open(self) -> list[tuple[int, int]]:
+        out: list[tuple[int, int]] = []
+        for i in range(len(self.node) - 1):
+            rest = np.flatnonzero(self.root[i + 1 :] != self.root[i]) + i + 1
+            out += [(i, j) for j in rest[self.near(i, rest)].tolist()] if len(rest) else []
+        return out
+
+
+def _candidates(held: DataFrame, num: int, den: int, every: bool) -> DataFrame:
+    """Pairs (a, b, n_a, n_b) of members of a group that can link; held is sorted by group inside each partition."""
+
+    def listed(rows: dict[str, np.ndarray]) -> pa.RecordBatch:
+        g = _Group(rows, num, den)
+        pairs = g.open() if every else g.forest()
+        i, j = (np.array(x, np.int64) for x in zip(*pairs, strict=True)) if pairs else (np.zeros(0, np.int64),) * 2
+        swap = g.node[i] > g.node[j]
+        a, b = np.where(swap, j, i), np.where(swap, i, j)
+        return pa.RecordBatch.from_arrays([pa.array(g.node[a]), pa.array(g.node[b]), pa.array(g.n[a]), pa.array(g.n[b])], names=["a", "b", "n_a", "n_b"])
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: list[dict[str, np.ndarray]] = []
+        last = None
+        for batch in batches:
+            label = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in ("key", "one", "two")])
+            cols = {c: batch.column(c).to_numpy() for c in ("node", "n", "at", "root")}
+            cols["bits"] = np.frombuffer(b"".join(batch.column("bits").to_pylist()), np.uint64).reshape(-1, BITMAP)
+            number = np.concatenate([[0], np.cumsum((label[:, 1:] != label[:, :-1]).any(axis=0))])
+            for lo, hi in textscan.groups(number):
+                own = {c: x[lo:hi] for c, x in cols.items()}
+                now = tuple(label[:, lo].tolist())
+                if now != last and kept:
+                    yield listed({c: np.concatenate([x[c] for x in kept]) for c in cols})
+                    kept = []
+                kept.append(own)
+                last = now
+        if kept:
+            yield listed({c: np.concatenate([x[c] for x in kept]) for c in kept[0]})
+
+    return held.mapInArrow(scan, "a long, b long, n_a long, n_b long").distinct()
+
+
+def _links(keys: DataFrame, bits: DataFrame, docs: DataFrame, order: _Order, k: int, num: int, den: int, group_limit: int) -> DataFrame:
+    """Verified links (a, b) that connect what any links connect."""
+    blocks = F.ceil(F.col("m") / group_limit).cast("int")
+    block = F.pmod(F.xxhash64("node"), blocks).cast("int")
+    n = shuffle_partitions(keys.sparkSession)
+    links = seen = None
+    for every in (False, True):
         if links is None:
             held = keys.withColumn("root", F.col("node"))
         else:
-            roots = components(links)
-            held = keys.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        open_keys = held.groupBy("key", "root").count().groupBy("key").agg(F.sum("count").alias("m"), F.sum(F.col("count") * F.col("count")).alias("same")).where("m * m > same")
-        held = checkpointed(held.join(open_keys, "key"))
-        left = held.select("key", "m", "same").distinct().agg(F.sum((F.col("m") * F.col("m") - F.col("same")) / 2)).first()[0] or 0
-        if not left:
-            break
-        if left <= few:
-            a, b = (held.select("key", F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("root").alias(f"root_{x}")) for x in "ab")
-            pairs = a.join(b, "key").where("a < b and root_a != root_b").where(_fits(num, den)).select("a", "b", "n_a", "n_b").distinct()
-        else:
-            degree = held.groupBy("node").agg(F.count("*").alias("degree"))
-            leader = held.join(degree, "node").groupBy("key").agg(F.max(F.struct("degree", (-F.col("node")).alias("neg"), "n", "root")).alias("l")).select("key", (-F.col("l.neg")).alias("head"), F.col("l.n").alias("n_head"), F.col("l.root").alias("root_head"))
-            lead = held.select("key", "node", "n", "root").join(leader, "key")
-            pairs = lead.where("root != root_head").select(F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b"), F.expr("if(node < head, n, n_head)").alias("n_a"), F.expr("if(node < head, n_head, n)").alias("n_b")).where(_fits(num, den)).distinct()
-            # The leader has met everyone: its group goes on without it.
-            keys = checkpointed(lead.where("node != head").select("key", "node", "n"))
+            held = keys.join(components(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
+            held = held.join(held.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi").select("key"), "key")
+        dealt = held.withColumn("own", block).select("key", "node", "n", "at", "root", "own", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
+        dealt = dealt.select("key", F.least("own", "other").alias("one"), F.greatest("own", "other").alias("two"), "node", "n", "at", "root").join(bits, "node")
+        dealt = dealt.repartition(n, "key", "one", "two").sortWithinPartitions("key", "one", "two", "n", "node")
+        pairs = _candidates(dealt, num, den, every)
         if seen is not None:
             pairs = pairs.join(seen, ["a", "b"], "left_anti")
-        new = checkpointed(verified(pairs))
+        new = _verified(checkpointed(pairs), docs, order, k, num, den)
         found = new.where("linked").select("a", "b")
         links = found if links is None else checkpointed(links.union(found))
-        if left <= few:
-            break
-        seen = new.select("a", "b") if seen is None else checkpointed(seen.union(new.select("a", "b")))
-    return links if links is not None else spark.createDataFrame([], "a long, b long")
+        seen = new.select("a", "b")
+    return links
 
 
 def _twofold(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
