@@ -260,5 +260,5 @@ def report(docs: DataFrame, **how) -> DataFrame:
     """doc_id, the whole rewritten text, and the number of entities by kind."""
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     out = pseudonymised(slim, **how)
-    kinds = [F.size(F.filter("entities", lambda e, k=k: e.kind == k)).cast("long").alias(f"n_{k}") for k in TYPES]
+    kinds = [F.expr(f"bigint(size(filter(entities, e -> e.kind = '{k}')))").alias(f"n_{k}") for k in TYPES]
     return out.select("doc_id", "text", F.size("entities").cast("long").alias("n_entities"), *kinds)
