@@ -1,4 +1,7 @@
-"""Column builders for headers, labels, sequences and numbers. All are built-in expressions."""
+"""Column builders for headers, labels, sequences and numbers. All are built-in expressions.
+
+Names of columns given as text must not be those of the lambda variables: _i, _o, _p, _s, _x.
+"""
 
 from __future__ import annotations
 
@@ -66,12 +69,12 @@ def standard_only(x: Column) -> Column:
 
 
 def _matches(query: str, target: str, at: str) -> str:
-    return f"aggregate(transform(sequence(1, length({query})), i -> if(substr({query}, i, 1) = substr({target}, {at} + i, 1), 1, 0)), 0, (s, x) -> s + x)"
+    return f"aggregate(transform(sequence(1, length({query})), _i -> if(substr({query}, _i, 1) = substr({target}, {at} + _i, 1), 1, 0)), 0, (_s, _x) -> _s + _x)"
 
 
 def _placed(query: str, target: str) -> str:
     """Most matches over the placements of query inside target (at least as long)."""
-    return f"array_max(transform(sequence(0, length({target}) - length({query})), o -> {_matches(query, target, 'o')}))"
+    return f"array_max(transform(sequence(0, length({target}) - length({query})), _o -> {_matches(query, target, '_o')}))"
 
 
 def percent_identity(a: str, b: str) -> Column:
@@ -86,15 +89,15 @@ def max_identity_matches(query: str, target: str) -> Column:
 
 def window_identity(query: str, target: str) -> Column:
     """Best fraction of matches; a shorter target is compared from its start."""
-    over = f"aggregate(transform(sequence(1, length({target})), i -> if(substr({query}, i, 1) = substr({target}, i, 1), 1, 0)), 0, (s, x) -> s + x)"
+    over = f"aggregate(transform(sequence(1, length({target})), _i -> if(substr({query}, _i, 1) = substr({target}, _i, 1), 1, 0)), 0, (_s, _x) -> _s + _x)"
     return F.expr(f"case when length({query}) = 0 or length({target}) = 0 then 0D when contains({target}, {query}) then 1D when length({target}) < length({query}) then {over} * 1D / length({query}) else {_placed(query, target)} * 1D / length({query}) end")
 
 
 def best_offset(peptide: str, anchor: str) -> Column:
     """Offset of peptide against anchor with most matches, then most overlap, then nearest, then negative."""
-    lo, hi = "greatest(0, o)", f"least(length({anchor}), o + length({peptide}))"
-    score = f"if({hi} <= {lo}, 0, aggregate(transform(sequence({lo}, greatest({lo}, {hi} - 1)), p -> if(substr({anchor}, p + 1, 1) = substr({peptide}, p - o + 1, 1), 1, 0)), 0, (s, x) -> s + x))"
-    return F.expr(f"-(array_max(transform(sequence(1 - length({peptide}), length({anchor}) - 1), o -> struct({score} as a, {hi} - {lo} as b, -abs(o) as c, -o as d))).d)")
+    lo, hi = "greatest(0, _o)", f"least(length({anchor}), _o + length({peptide}))"
+    score = f"if({hi} <= {lo}, 0, aggregate(transform(sequence({lo}, greatest({lo}, {hi} - 1)), _p -> if(substr({anchor}, _p + 1, 1) = substr({peptide}, _p - _o + 1, 1), 1, 0)), 0, (_s, _x) -> _s + _x))"
+    return F.expr(f"-(array_max(transform(sequence(1 - length({peptide}), length({anchor}) - 1), _o -> struct({score} as a, {hi} - {lo} as b, -abs(_o) as c, -_o as d))).d)")
 
 
 def propensity(residue: Column) -> Column:
