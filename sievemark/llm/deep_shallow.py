@@ -106,12 +106,12 @@ def sort(strings: list[bytes], group: np.ndarray, shallow: int = 64) -> tuple[np
             same = np.zeros(len(x), np.int64)
             for b in range(1, DIGIT):
                 same += x < np.uint64(1) << np.uint64(8 * b)
-            prefix[where] = np.minimum(d * DIGIT + same, np.minimum(size[order[where]], size[order[where - 1]]))
-        else:
-            prefix[where] = np.minimum(size[order[where]], size[order[where - 1]])
+            prefix[where] = d * DIGIT + same
         new = np.zeros(n, np.int64)
         new[where] = 1
         cls = np.cumsum((np.diff(cls, prepend=cls[:1]) != 0) + new)
+    # A string that ends early shares no more than it has, whatever its padding says.
+    prefix[1:] = np.minimum(prefix[1:], np.minimum(size[order[1:]], size[order[:-1]]))
     for lo, hi in textscan.groups(cls):
         if hi - lo > 1:
             trie = _Blind(strings)
