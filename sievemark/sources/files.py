@@ -96,9 +96,9 @@ def scan_delimited(spark: SparkSession, path: str, header_contains: str = "") ->
             return spark.createDataFrame([], T.StructType())
     sep = sniff(first.line)
     names = [x.strip().strip('"') for x in first.line.split(sep)]
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    schema = ", ".join(f"`{n}` string" for n in names)
     body = lines.where(F.col("n") > first.n)
-    parsed = F.from_csv("line", F.lit(schema.simpleString()[7:-1].replace(":string", " string") if all(re.fullmatch(r"\w+", n) for n in names) else ", ".join(f"`{n}` string" for n in names)), {"sep": sep})
+    parsed = F.from_csv("line", F.lit(schema), {"sep": sep})
     return body.select("n", parsed.alias("r")).select(F.col("n").alias("row"), "r.*")
 
 
