@@ -128,7 +128,7 @@ def identify(pages: DataFrame, labelled: DataFrame, url: str = "url", html: str
             host, domain, hint = zip(*places, strict=True) if places else ((), (), ())
             yield pa.RecordBatch.from_arrays([*(batch.column(x) for x in names), *(pa.array(x, pa.string()) for x in (host, domain, said, hint, best)), pa.array(list(likelihood), pa.list_(pa.float64()))], names=[*names, "host", "domain", "declared", "hint", "text_lang", "likelihood"])
 
-    schema = pages.select("*", *(F.lit("").alias(x) for x in ("host", "domain", "declared", "hint", "text_lang")), F.array().cast("array<double>").alias("likelihood")).schema
+    schema = pages.select("*", *(F.lit(None).cast("string").alias(x) for x in ("host", "domain", "declared", "hint", "text_lang")), F.array().cast("array<double>").alias("likelihood")).schema
     # The page's body is not carried through the shuffles below.
     evidence = pages.mapInArrow(read, schema).select(*(c for c in names if c != html), "host", "domain", "declared", "hint", "text_lang", "likelihood")
     evidence = checkpointed(evidence)
@@ -148,7 +148,7 @@ def identify(pages: DataFrame, labelled: DataFrame, url: str = "url", html: str
     domains = evidence.groupBy(F.col("domain").alias("__domain")).agg(vector("domain_counts"))
     joined = evidence.join(hosts, F.col("host") == F.col("__host"), "left").join(domains, F.col("domain") == F.col("__domain"), "left").drop("__host", "__domain")
     rest = [c for c in names if c != html]
-    schema = pages.select(*rest, *(F.lit("").alias(x) for x in ("host", "declared", "hint", "text_lang", "lang")), F.lit(0.0).alias("confidence")).schema
+    schema = pages.select(*rest, *(F.lit(None).cast("string").alias(x) for x in ("host", "declared", "hint", "text_lang", "lang")), F.lit(0.0).alias("confidence")).schema
     share = overall / overall.sum() if size else overall
 
     def fuse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
