@@ -9,11 +9,11 @@ the overlap is counted in every fragment on its own, and the counts are summed.
 
 Equal sets are one class from the start. In a group of documents with a common
 n-gram not all pairs are listed. Bounds on size and position and a bitmap of each
-set, which bounds the difference of two sets from below, say which pairs can link;
-of these the first round lists a spanning forest, found by breadth-first search
-among what is not reached yet, so a group of near copies costs a pair per member.
-When these are verified, the second round lists every pair that can link and is
-not connected yet. After that nothing is open: no link that decides a component is
+set, which bounds the difference of two sets from below, say which pairs can link.
+A group of a few members lists all of these; a larger one, in the first round, a
+spanning forest, found by breadth-first search among what is not reached yet, so
+that near copies cost a pair per member. When these are verified, the second round
+lists every pair of the larger groups that can link and is not connected yet. After that nothing is open: no link that decides a component is
 lost. A group too large for a task is dealt in blocks that meet each other.
 
 Defined results. Null, empty or wordless text: an empty set, linked with nothing.
@@ -44,6 +44,8 @@ FRAGMENTS = 4
 BITMAP = 8
 #: Members of a group that one task takes together.
 GROUP_LIMIT = 100_000
+#: Groups of up to so many members list all pairs that can link at once.
+SMALL = 12
 
 
 def shingle_sets(column: pa.Array, k: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -105,7 +107,8 @@ def _sketch(docs: DataFrame, k: int) -> DataFrame:
         if wait:
             table += np.bincount(np.concatenate(wait), minlength=len(table)).astype(np.uint32)
         for cell in range(_CELLS):
-            own = np.minimum(table[cell << _CELL : (cell + 1) << _CELL], 65535).astype(np.uint16)
+            own = np.minimum(table[cell << _CELL : (cell + 1) << _CELL], 65535)
+            own = own.astype(np.uint8 if own.max() < 256 else np.uint16)
             at = np.flatnonzero(own)
             if len(at) * 3 < len(own):
                 where, count = at.astype(np.uint32).tobytes(), own[at].tobytes()
@@ -122,7 +125,8 @@ def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for cell, at, count in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             own = total.setdefault(cell, np.zeros(1 << _CELL, np.uint32))
-            own[slice(None) if at is None else np.frombuffer(at, np.uint32)] += np.frombuffer(count, np.uint16)
+            n = len(own) if at is None else len(at) // 4
+            own[slice(None) if at is None else np.frombuffer(at, np.uint32)] += np.frombuffer(count, np.uint8 if len(count) == n else np.uint16)
     for cell, own in total.items():
         yield pa.RecordBatch.from_arrays([pa.array([cell], pa.int32()), pa.array([np.minimum(own, 65535).astype(np.uint16).tobytes()], pa.binary())], names=["cell", "count"])
 
@@ -190,15 +194,22 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100,
     def prefix(u: np.ndarray) -> np.ndarray:
         return order.sort(u)[0][: _needed(len(u), num, den)]
 
+    # Of equal sets one goes on; a filter of their ids lets others pass seldom, which costs time only.
+    firsts = members.where("doc_id = class_id").select("class_id").distinct()
+    first = repeats.build(firsts, _twofold, repeats.bits_for(firsts.count(), 16))
+
+    def picked(batch: pa.RecordBatch) -> pa.RecordBatch:
+        return batch.filter(pa.array(first.suspects(textscan.mix(batch.column("doc_id").to_numpy().view(np.uint64)))))
+
     def hashes(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
-        for _, u in shingle_sets(batch.column("text"), k):
+        for _, u in shingle_sets(picked(batch).column("text"), k):
             yield prefix(u)
 
     looked_up = (total or 0) * (den - num) // den + (n_docs or 0)
-    twice = repeats.build(real.select("text"), hashes, repeats.bits_for(looked_up, 16, max_filter_bits))
+    twice = repeats.build(real, hashes, repeats.bits_for(looked_up, 16, max_filter_bits))
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in map(picked, batches):
             ids = batch.column("doc_id").to_numpy()
             found, owner, place = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
             for row, u in shingle_sets(batch.column("text"), k):
@@ -209,9 +220,8 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100,
                 place.append(at)
             yield pa.RecordBatch.from_arrays([pa.array(textscan.signed(np.concatenate(found))), pa.array(np.concatenate(owner)), pa.array(np.concatenate(place))], names=["key", "doc_id", "at"])
 
-    keys = real.mapInArrow(emit, "key long, doc_id long, at long").join(members, "doc_id").where("doc_id = class_id").select("key", F.col("class_id").alias("node"), "n", "at").distinct()
+    keys = real.mapInArrow(emit, "key long, doc_id long, at long").join(members, "doc_id").where("doc_id = class_id").select("key", F.col("class_id").alias("node"), "n", "at")
     keys = checkpointed(keys)
-    keys = checkpointed(keys.join(keys.groupBy("key").agg(F.count("*").alias("m")).where("m > 1"), "key"))
     bits = members.where("doc_id = class_id").select(F.col("class_id").alias("node"), "bits").distinct()
     links = _links(keys, bits, real, order, k, num, den, group_limit)
     roots = components(links)
@@ -258,14 +268,16 @@ class _Group:
         self.node, self.n, self.at, self.root, self.bits = (rows[c] for c in ("node", "n", "at", "root", "bits"))
         self.num, self.den = num, den
 
-    def near(self, i: int, others: np.ndarray) -> np.ndarray:
-        n, m, num, den = int(self.n[i]), self.n[others], self.num, self.den
+    def near(self, i: np.ndarray | int, j: np.ndarray) -> np.ndarray:
+        """Of members i (one, or one for each of j) and j, whether they can link."""
+        n, m, num, den = self.n[i], self.n[j], self.num, self.den
         fits = np.minimum(m, n) * den >= np.maximum(m, n) * num
         # The overlap that the threshold asks for, and what can still follow this n-gram.
-        fits &= np.minimum(m - self.at[others], n - int(self.at[i])) * (den + num) >= num * (n + m)
+        fits &= np.minimum(m - self.at[j], n - self.at[i]) * (den + num) >= num * (n + m)
         some = np.flatnonzero(fits)
-        apart = np.bitwise_count(self.bits[others[some]] ^ self.bits[i]).sum(axis=1)
-        fits[some] = apart * (den + num) <= (den - num) * (n + m[some])
+        one = np.broadcast_to(i, fits.shape)[some]
+        apart = np.bitwise_count(self.bits[j[some]] ^ self.bits[one]).sum(axis=1, dtype=np.int64)
+        fits[some] = apart * (den + num) <= (den - num) * (self.n[one] + m[some])
         return fits
 
     def forest(self) -> list[tuple[int, int]]:
@@ -293,49 +305,65 @@ class _Group:
 def _candidates(held: DataFrame, num: int, den: int, every: bool) -> DataFrame:
     """Pairs (a, b, n_a, n_b) of members of a group that can link; held is sorted by group inside each partition."""
 
-    def listed(rows: dict[str, np.ndarray]) -> pa.RecordBatch:
-        g = _Group(rows, num, den)
-        pairs = g.open() if every else g.forest()
-        i, j = (np.array(x, np.int64) for x in zip(*pairs, strict=True)) if pairs else (np.zeros(0, np.int64),) * 2
+    def pairs(g: _Group, i: np.ndarray, j: np.ndarray) -> pa.RecordBatch:
         swap = g.node[i] > g.node[j]
         a, b = np.where(swap, j, i), np.where(swap, i, j)
         return pa.RecordBatch.from_arrays([pa.array(g.node[a]), pa.array(g.node[b]), pa.array(g.n[a]), pa.array(g.n[b])], names=["a", "b", "n_a", "n_b"])
 
+    def listed(cols: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
+        """cols: whole groups, one after the other."""
+        change = np.flatnonzero((cols["label"][1:] != cols["label"][:-1]).any(axis=1)) + 1
+        bounds = np.array([0, *change.tolist(), len(cols["node"])])
+        size = np.repeat(np.diff(bounds), np.diff(bounds))
+        number = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+        g = _Group(cols, num, den)
+        for lag in range(1, SMALL):
+            i = np.flatnonzero((number[lag:] == number[:-lag]) & (size[lag:] <= SMALL) & (g.root[lag:] != g.root[:-lag])) if len(number) > lag else np.zeros(0, np.int64)
+            i = i[g.near(i, i + lag)] if len(i) else i
+            if len(i):
+                yield pairs(g, i, i + lag)
+        for at in np.flatnonzero(np.diff(bounds) > SMALL):
+            own = _Group({c: x[bounds[at] : bounds[at + 1]] for c, x in cols.items()}, num, den)
+            met = own.open() if every else own.forest()
+            if met:
+                yield pairs(own, *(np.array(x, np.int64) for x in zip(*met, strict=True)))
+
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept: list[dict[str, np.ndarray]] = []
-        last = None
+        rest: dict[str, np.ndarray] | None = None
         for batch in batches:
-            label = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in ("key", "one", "two")])
+            if not batch.num_rows:
+                continue
             cols = {c: batch.column(c).to_numpy() for c in ("node", "n", "at", "root")}
+            cols["label"] = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in ("key", "one", "two")], axis=1)
             cols["bits"] = np.frombuffer(b"".join(batch.column("bits").to_pylist()), np.uint64).reshape(-1, BITMAP)
-            number = np.concatenate([[0], np.cumsum((label[:, 1:] != label[:, :-1]).any(axis=0))])
-            for lo, hi in textscan.groups(number):
-                own = {c: x[lo:hi] for c, x in cols.items()}
-                now = tuple(label[:, lo].tolist())
-                if now != last and kept:
-                    yield listed({c: np.concatenate([x[c] for x in kept]) for c in cols})
-                    kept = []
-                kept.append(own)
-                last = now
-        if kept:
-            yield listed({c: np.concatenate([x[c] for x in kept]) for c in kept[0]})
+            if rest is not None:
+                cols = {c: np.concatenate([rest[c], x]) for c, x in cols.items()}
+            # The last group may go on in the next batch.
+            differs = np.flatnonzero((cols["label"] != cols["label"][-1]).any(axis=1))
+            cut = int(differs[-1]) + 1 if len(differs) else 0
+            if cut:
+                yield from listed({c: x[:cut] for c, x in cols.items()})
+            rest = {c: x[cut:] for c, x in cols.items()}
+        if rest is not None:
+            yield from listed(rest)
 
     return held.mapInArrow(scan, "a long, b long, n_a long, n_b long").distinct()
 
 
 def _links(keys: DataFrame, bits: DataFrame, docs: DataFrame, order: _Order, k: int, num: int, den: int, group_limit: int) -> DataFrame:
     """Verified links (a, b) that connect what any links connect."""
-    blocks = F.ceil(F.col("m") / group_limit).cast("int")
-    block = F.pmod(F.xxhash64("node"), blocks).cast("int")
     n = shuffle_partitions(keys.sparkSession)
+    large = checkpointed(keys.groupBy("key").agg(F.count("*").alias("m")).where(F.col("m") > SMALL))
     links = seen = None
     for every in (False, True):
+        held = keys.join(large, "key", "left" if links is None else "inner")
         if links is None:
-            held = keys.withColumn("root", F.col("node"))
+            held = held.withColumn("root", F.col("node"))
         else:
-            held = keys.join(components(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
-            held = held.join(held.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi").select("key"), "key")
-        dealt = held.withColumn("own", block).select("key", "node", "n", "at", "root", "own", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
+            held = held.join(components(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
+            held = held.join(held.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi").select("key"), "key", "left_semi")
+        blocks = F.ceil(F.coalesce("m", F.lit(1)) / group_limit).cast("int")
+        dealt = held.withColumn("own", F.pmod(F.xxhash64("node"), blocks).cast("int")).select("key", "node", "n", "at", "root", "own", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
         dealt = dealt.select("key", F.least("own", "other").alias("one"), F.greatest("own", "other").alias("two"), "node", "n", "at", "root").join(bits, "node")
         dealt = dealt.repartition(n, "key", "one", "two").sortWithinPartitions("key", "one", "two", "n", "node")
         pairs = _candidates(dealt, num, den, every)
