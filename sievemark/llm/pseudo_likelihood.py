@@ -1,12 +1,15 @@
 """Masked pseudo-likelihood scores from a bidirectional window network.
 
-The vocabulary holds the most frequent words of the corpus; the others share
-hashed places. The network sees WIDTH words on either side of a masked one and
+The network's vocabulary holds the most frequent words of the corpus; the others
+share hashed places, and in its place each word has the share of its count there.
+Words counted more than a threshold, which follows the corpus, have their own count,
+the rest of a place the mean of theirs. The network sees WIDTH words on either side of a masked one and
 predicts it: embeddings by position, one tanh layer, and a softmax in two steps,
 the word's class and the word in its class. It is trained in numpy on all
 documents at once: in each round every task starts from the shared weights, trains
-on masked positions of its own documents (a hashed eighth of them, another eighth
-each round), and the weights are averaged by the number of positions trained on.
+on masked positions of its own documents, and the weights are averaged by the number
+of positions trained on. Positions are dealt over the rounds by hash: every one is a
+target once in all rounds together.
 A document's score is the sum of its words' conditional log probabilities, each
 given both sides.
 
@@ -25,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sievemark.llm import textscan
-from sievemark.llm.stage import shuffle_partitions, without
+from sievemark.llm.stage import checkpointed, shuffle_partitions, without
 
 WIDTH = 2
 FREQUENT = 2048
@@ -33,6 +36,8 @@ CLASSES = 64
 VOCABULARY = CLASSES * CLASSES
 EMBEDDING, HIDDEN = 16, 32
 ROUNDS, MASKED = 2, 8
+#: Words with a count of their own, at most: their table goes to every task.
+LISTED = 1 << 18
 BATCH, RATE = 512, 0.08
 _PAD = VOCABULARY
 _SHAPES = {"e": (VOCABULARY + 1, EMBEDDING), "w": (2 * WIDTH * EMBEDDING, HIDDEN), "b": (HIDDEN,), "c": (HIDDEN, CLASSES), "cb": (CLASSES,), "v": (CLASSES, HIDDEN, CLASSES), "vb": (CLASSES, CLASSES)}
@@ -46,8 +51,51 @@ def _hashed(column: pa.Array) -> Iterator[tuple[textscan.Texts, textscan.Runs, n
         yield t, w, textscan.span_hash(folded, w.starts, w.ends) if len(w) else np.zeros(0, np.uint64)
 
 
-def frequent_words(texts: DataFrame, top: int = FREQUENT) -> np.ndarray:
-    """Hashes of the most frequent words, counted over all texts."""
+class Vocabulary:
+    """Places of words, frequent ones by rank and the others by hash behind them, and what each has of its place.
+
+    word and n are the listed words' hashes and counts; rest has, for each shared
+    place, how many other words there are and the sum of their counts.
+    """
+
+    def __init__(self, word: np.ndarray, n: np.ndarray, rest: np.ndarray, top: int = FREQUENT):
+        order = np.argsort(word)
+        self.keys = word[order]
+        rank = np.empty(len(word), np.int64)
+        rank[np.lexsort((word.view(np.int64), -n))] = np.arange(len(word))
+        # Ranks are dealt over the classes, so that every class has frequent words.
+        self.place = np.where(rank < top, rank, self._shared(word))[order]
+        others = rank >= top
+        total = rest[1] + np.bincount(self._shared(word[others]) - FREQUENT, weights=n[others], minlength=VOCABULARY - FREQUENT)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            own = np.where(others, np.log(n / total[self._shared(word) - FREQUENT]), 0.0)
+            self.rest = np.log(rest[1] / rest[0] / total)
+        self.share = own[order]
+
+    @staticmethod
+    def _shared(h: np.ndarray) -> np.ndarray:
+        return (FREQUENT + h % np.uint64(VOCABULARY - FREQUENT)).astype(np.int64)
+
+    def _find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at = np.minimum(np.searchsorted(self.keys, h), len(self.keys) - 1)
+        return at, self.keys[at] == h
+
+    def places(self, h: np.ndarray) -> np.ndarray:
+        if not len(self.keys) or not len(h):
+            return self._shared(h)
+        at, listed = self._find(h)
+        return np.where(listed, self.place[at], self._shared(h))
+
+    def shares(self, h: np.ndarray) -> np.ndarray:
+        """Log probability of each word within its place."""
+        if not len(self.keys) or not len(h):
+            return self.rest[self._shared(h) - FREQUENT]
+        at, listed = self._find(h)
+        return np.where(listed, self.share[at], self.rest[self._shared(h) - FREQUENT])
+
+
+def vocabulary_of(texts: DataFrame, top: int = FREQUENT, listed: int = LISTED) -> Vocabulary:
+    """Counted over all texts; the least count of a listed word is the least at which there are at most `listed`."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -55,26 +103,33 @@ def frequent_words(texts: DataFrame, top: int = FREQUENT) -> np.ndarray:
             word, n = np.unique(np.concatenate(seen or [np.zeros(0, np.uint64)]), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(textscan.signed(word)), pa.array(n)], names=["word", "n"])
 
-    rows = texts.mapInArrow(count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    found = rows.orderBy(F.desc("n"), "word").limit(top).toArrow()
-    return found["word"].to_numpy().view(np.uint64)
-
-
-class Vocabulary:
-    """Places of words: frequent ones by rank, the others by hash behind them."""
-
-    def __init__(self, frequent: np.ndarray):
-        self.order = np.argsort(frequent)
-        self.keys = frequent[self.order]
-
-    def places(self, h: np.ndarray) -> np.ndarray:
-        rest = (FREQUENT + h % np.uint64(VOCABULARY - FREQUENT)).astype(np.int64)
-        if not len(self.keys) or not len(h):
-            return rest
-        at = np.minimum(np.searchsorted(self.keys, h), len(self.keys) - 1)
-        # Ranks are dealt over the classes, so that every class has frequent words.
-        rank = self.order[at]
-        return np.where(self.keys[at] == h, rank, rest)
+    words = checkpointed(texts.mapInArrow(count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")))
+    # Different counts are few: at most the root of twice the corpus's words.
+    sizes = sorted(((r.n, r.words) for r in words.groupBy("n").agg(F.count("*").alias("words")).collect()), reverse=True)
+    least, so_far = sizes[0][0] + 1 if sizes else 1, 0
+    for n, size in sizes:
+        so_far += size
+        if so_far > listed:
+            break
+        least = n
+    found = words.where(F.col("n") >= least).toArrow()
+    shared = VOCABULARY - FREQUENT
+    # A power of two, so that signed and unsigned hashes have the same remainder.
+    others = words.where(F.col("n") < least).groupBy(F.pmod("word", F.lit(shared)).alias("place")).agg(F.count("*").alias("words"), F.sum("n").alias("n"))
+    rest = np.zeros((2, shared))
+    for r in others.collect():
+        rest[:, r.place] = r.words, r.n
+    return Vocabulary(found["word"].to_numpy().view(np.uint64), found["n"].to_numpy(), rest, top)
+
+
+def targets(h: np.ndarray, runs: textscan.Runs, number: int, rounds: int, masked: int) -> np.ndarray:
+    """The words that are targets in a round: of `masked` slices every rounds-th, so that all are in one round."""
+    if not len(h):
+        return np.zeros(0, np.int64)
+    # By the words themselves and their place, so that no order of rows matters.
+    own = textscan.mix(h + (np.arange(len(h)) - runs.bounds[runs.doc]).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) % np.uint64(masked)
+    turns = min(rounds, masked)
+    return np.flatnonzero(own % np.uint64(turns) == np.uint64(number % turns))
 
 
 def _split(place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -130,27 +185,38 @@ def train_batch(w: Weights, sums: Weights, around: np.ndarray, place: np.ndarray
     dc = np.exp(_softmax_log(h @ w["c"] + w["cb"]))
     dc[np.arange(n), cls] -= 1
     dh = dc @ w["c"].T
-    grads: list[tuple[str, object, np.ndarray]] = [("c", slice(None), h.T @ dc), ("cb", slice(None), dc.sum(axis=0))]
+    # All classes in one product: each class's rows stand in its own block, padded with zeros.
     order = np.argsort(cls, kind="stable")
-    cuts = np.searchsorted(cls[order], np.arange(CLASSES + 1))
-    for c in range(CLASSES):
-        at = order[cuts[c] : cuts[c + 1]]
-        if len(at):
-            dv = np.exp(_softmax_log(h[at] @ w["v"][c] + w["vb"][c]))
-            dv[np.arange(len(at)), word[at]] -= 1
-            dh[at] += dv @ w["v"][c].T
-            grads += [("v", c, h[at].T @ dv), ("vb", c, dv.sum(axis=0))]
+    own = cls[order]
+    slot = np.arange(n) - np.searchsorted(own, np.arange(CLASSES))[own]
+    wide = int(slot.max()) + 1
+    at = own * wide + slot
+    hs, ds = np.zeros((CLASSES * wide, HIDDEN), np.float32), np.zeros((CLASSES * wide, CLASSES), np.float32)
+    hs[at] = h[order]
+    hs = hs.reshape(CLASSES, wide, HIDDEN)
+    dv = np.exp(_softmax_log((hs @ w["v"]).reshape(-1, CLASSES)[at] + w["vb"][own]))
+    dv[np.arange(n), word[order]] -= 1
+    ds[at] = dv
+    ds = ds.reshape(CLASSES, wide, CLASSES)
+    dh[order] += (ds @ w["v"].transpose(0, 2, 1)).reshape(-1, HIDDEN)[at]
     da = dh * (1 - h * h)
-    grads += [("w", slice(None), x.T @ da), ("b", slice(None), da.sum(axis=0))]
     dx = (da @ w["w"].T).reshape(n * 2 * WIDTH, EMBEDDING)
-    used, at = np.unique(around.ravel(), return_inverse=True)
-    by = np.argsort(at, kind="stable")
-    de = np.add.reduceat(dx[by], np.searchsorted(at[by], np.arange(len(used))), axis=0)
-    grads.append(("e", used, de))
-    for name, where, g in grads:
-        g = g / n
-        sums[name][where] += g * g
-        w[name][where] -= (RATE * g / (np.sqrt(sums[name][where]) + 1e-6)).astype(np.float32)
+    by = np.argsort(around.ravel(), kind="stable")
+    seen = around.ravel()[by]
+    first = np.flatnonzero(np.diff(seen, prepend=-1))
+    used = seen[first]
+    for name, g in (("c", h.T @ dc), ("cb", dc.sum(axis=0)), ("v", hs.transpose(0, 2, 1) @ ds), ("vb", ds.sum(axis=1)), ("w", x.T @ da), ("b", da.sum(axis=0))):
+        g /= n
+        rate = g * g
+        sums[name] += rate
+        np.sqrt(sums[name], out=rate)
+        rate += 1e-6
+        g *= RATE
+        g /= rate
+        w[name] -= g
+    g = np.add.reduceat(dx[by], first, axis=0) / n
+    sums["e"][used] += g * g
+    w["e"][used] -= RATE * g / (np.sqrt(sums["e"][used]) + 1e-6)
 
 
 def train(texts: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS, masked: int = MASKED) -> Weights:
@@ -169,9 +235,7 @@ def train(texts: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS, masked
                 for _, runs, h in _hashed(batch.column("text")):
                     place = vocabulary.places(h)
                     around = _around(place, runs.doc)
-                    # Masked by the words themselves and their place, so that no order of rows matters.
-                    own = textscan.mix(h + (np.arange(len(h)) - runs.bounds[runs.doc]).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) % np.uint64(masked) if len(h) else h
-                    at = np.flatnonzero(own == np.uint64(number % masked))
+                    at = targets(h, runs, number, rounds, masked)
                     for lo in range(0, len(at), BATCH):
                         train_batch(w, sums, around[at[lo : lo + BATCH]], place[at[lo : lo + BATCH]])
                     n += len(at)
@@ -210,7 +274,7 @@ def pseudo_likelihood(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     docs = without(docs, ["n_tokens", "log_likelihood", "mean_log_likelihood"])
     names = docs.columns
     texts = docs.select(F.col("text").cast("string").alias("text"))
-    vocabulary = Vocabulary(frequent_words(texts))
+    vocabulary = vocabulary_of(texts)
     weights = train(texts, vocabulary, rounds)
     shared = docs.sparkSession.sparkContext.broadcast((weights, vocabulary))
     schema = docs.select("*", F.lit(0).cast("long").alias("n_tokens"), F.lit(0.0).alias("log_likelihood")).schema
@@ -223,7 +287,7 @@ def pseudo_likelihood(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
                 if len(h):
                     place = vocabulary.places(h)
                     n[t.first : t.first + len(t)] = np.diff(w.bounds)
-                    total[t.first : t.first + len(t)] = np.bincount(w.doc, weights=log_probability(weights, _around(place, w.doc), place), minlength=len(t))
+                    total[t.first : t.first + len(t)] = np.bincount(w.doc, weights=log_probability(weights, _around(place, w.doc), place) + vocabulary.shares(h), minlength=len(t))
             yield pa.RecordBatch.from_arrays([*(batch.column(x) for x in names), pa.array(n), pa.array(total)], names=[*names, "n_tokens", "log_likelihood"])
 
     scored = docs.mapInArrow(score, schema)

@@ -249,6 +249,32 @@ def test_pseudo_likelihood(spark, empty):
     assert pseudo_likelihood.report(empty).count() == 0
 
 
+@pytest.mark.parametrize("rounds", [1, 2, 3, 8])
+def test_every_position_is_a_target_once(rounds):
+    import pyarrow as pa
+
+    column = pa.array([" ".join(f"w{i % 37} v{i}" for i in range(200)), None, "the of the of the of"])
+    for _, runs, h in pseudo_likelihood._hashed(column):
+        at = np.concatenate([pseudo_likelihood.targets(h, runs, i, rounds, 8) for i in range(rounds)])
+        assert sorted(at.tolist()) == list(range(406))
+
+
+@pytest.mark.parametrize("listed", [10_000, 3000, 0])
+def test_words_of_a_shared_place_have_their_own_probability(spark, listed):
+    import pyarrow as pa
+
+    rows = [(" ".join(f"w{j}" for j in range(i, 5000, i + 1)),) for i in range(5)] + [(None,), ("",)]
+    vocabulary = pseudo_likelihood.vocabulary_of(spark.createDataFrame(rows, "text string"), listed=listed)
+    counts = collections.Counter(w for t, in rows for w in (t or "").split())
+    h = next(pseudo_likelihood._hashed(pa.array([" ".join(counts)])))[2]
+    place, share = vocabulary.places(h), vocabulary.shares(h)
+    assert np.bincount(place, weights=np.exp(share))[np.unique(place)] == pytest.approx(1)
+    if listed >= len(counts):
+        n = np.array(list(counts.values()))
+        assert np.exp(share) == pytest.approx(n / np.bincount(place, weights=n)[place])
+        assert len(np.unique(place[n > 1])) > 2048 - 1 and share.min() < 0
+
+
 def test_language(spark):
     words = {"en": "the and of to with that this have from".split(), "fr": "le la les des une dans pour avec que".split()}
     rng = np.random.default_rng(6)
