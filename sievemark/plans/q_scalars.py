@@ -37,6 +37,12 @@ def seq_md5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").where(F.col("text").rlike(r"^[\x00-\x7F]*$")).select("doc_id", F.md5(F.upper("text")).alias("md5"))
 
 
+@query("seq_md5_all")
+def seq_md5_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document, whatever its letters; without SQL, as upper() differs there beyond ASCII."""
+    return table(spark, sf_dir, "documents").select("doc_id", F.md5(F.upper("text")).alias("md5"))
+
+
 _ALIASES = [("promo", "Promo"), ("brand#1", "FirstBrand"), ("brand#12", "TwelfthBrand"), ("brand#2", "SecondBrand")]
 
 

@@ -58,3 +58,14 @@ def test_epitope_id_round_trip(spark):
     x = value(spark, F.regexp_extract("i", fs.EPITOPE_ID, 3), i="Spike_B_cell_BepiPred_12.3")
     assert x == "BepiPred"
     assert value(spark, F.regexp_extract("i", fs.EPITOPE_ID, 3), i="junk") == ""
+
+
+def test_md5_of_every_document(spark, tmp_path):
+    import hashlib
+
+    from __spark_entry__ import queries
+
+    texts = ["acDef", "", "Straße", "ünd été", "г-жа Иванова", "ŉ ǰ ﬁ", "ὈΔΥΣΣΕΎς", "日本 x", None]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: r.md5 for r in queries()["seq_md5_all"](spark, str(tmp_path)).collect()}
+    assert got == {i: None if t is None else hashlib.md5(t.upper().encode()).hexdigest() for i, t in enumerate(texts)}
