@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sievemark.llm.stage import checkpointed
+from sievemark.llm.stage import checkpointed, without
 
 _BLANKS = " \t\n\x0b\x0c\r"
 _SYMBOLS = "#*$%&|<>"
@@ -61,18 +61,19 @@ def base_counts(docs: DataFrame) -> DataFrame:
     return d.select(*names, covered.alias("n_repeat_words"))
 
 
-def line_frequency(docs: DataFrame, host: str = "source", limit_docs: int = 20, limit_percent: int = 1, deplete_percent: int = 50) -> DataFrame:
-    """Counts and verdict for each row of docs (doc_id, text, and the host column).
+def _slim(docs: DataFrame, host: str) -> tuple[Column, Column, Column]:
+    return F.col("doc_id").cast("long"), F.col(host).cast("string"), F.coalesce(F.col("text").cast("string"), F.lit(""))
 
-    A line is above the limit if at least limit_docs documents and limit_percent
-    per cent of its host's documents have it. A document is depleted if such lines
-    hold more than deplete_percent per cent of its line characters.
-    """
-    d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(host).cast("string").alias("host"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    uid = [F.xxhash64("text").alias("t1"), F.xxhash64("text", F.lit(7)).alias("t2")]
+
+def _uid(text: Column) -> tuple[Column, Column]:
+    return F.xxhash64(text), F.xxhash64(text, F.lit(7))
+
+
+def frequent_lines(docs: DataFrame, host: str, limit_docs: int, limit_percent: int) -> DataFrame:
+    """Rows that have frequent lines (g_doc_id, g_host, g_t1, g_t2): how many, their characters, and where they stand."""
+    d = docs.select(*(c.alias(n) for c, n in zip(_slim(docs, host), ("doc_id", "host", "text"), strict=True)))
+    uid = [c.alias(n) for c, n in zip(_uid(F.col("text")), ("t1", "t2"), strict=True)]
     key = ["doc_id", "host", "t1", "t2"]
-    # Written, so that no filter on the result is pushed into the nested array expressions and repeats them.
-    base = checkpointed(base_counts(d.select("doc_id", "host", *uid, "text")))
     normal = lambda x: F.regexp_replace(F.lower(_bare(x)), "[0-9]+", "0")
     hashed = lambda df, *keep: df.select(*keep, F.xxhash64("line").alias("h1"), F.xxhash64("line", F.lit(7)).alias("h2"))
     distinct = d.select("doc_id", "host", F.explode(F.array_distinct(F.split("text", "\n"))).alias("line")).select("doc_id", "host", normal(F.col("line")).alias("line")).where("line != ''")
@@ -82,10 +83,52 @@ def line_frequency(docs: DataFrame, host: str = "source", limit_docs: int = 20,
     lines = d.select("doc_id", "host", *uid, F.posexplode(F.split("text", "\n")).alias("at", "line")).select(*key, "at", normal(F.col("line")).alias("line")).where("line != ''")
     lines = hashed(lines, *key, "at", F.length("line").alias("chars"))
     hit = lines.join(frequent, (F.col("h1") == F.col("f1")) & (F.col("h2") == F.col("f2")) & F.col("host").eqNullSafe(F.col("f_host"))).groupBy(*key, "at").agg(F.max("chars").alias("chars"))
-    gone = hit.groupBy(*(F.col(c).alias(f"g_{c}") for c in key)).agg(F.count("*").alias("n_frequent_lines"), F.sum("chars").alias("frequent_chars"))
-    same = (F.col("t1") == F.col("g_t1")) & (F.col("t2") == F.col("g_t2")) & F.col("doc_id").eqNullSafe(F.col("g_doc_id")) & F.col("host").eqNullSafe(F.col("g_host"))
+    return hit.groupBy(*(F.col(c).alias(f"g_{c}") for c in key)).agg(F.count("*").alias("n_frequent_lines"), F.sum("chars").alias("frequent_chars"), F.collect_list("at").alias("frequent_at"))
+
+
+def _same(doc_id: str, host: str, t1: str, t2: str) -> Column:
+    return (F.col(t1) == F.col("g_t1")) & (F.col(t2) == F.col("g_t2")) & F.col(doc_id).eqNullSafe(F.col("g_doc_id")) & F.col(host).eqNullSafe(F.col("g_host"))
+
+
+def without_frequent_lines(docs: DataFrame, host: str = "source", limit_docs: int = 20, limit_percent: int = 1, deplete_percent: int = 50) -> DataFrame:
+    """docs with text without the lines above the limit, their number and characters, and depleted, as line_frequency judges.
+
+    The other lines, blank ones too, stay as they are and in their order; null text stays null.
+    """
+    docs = without(docs, ["n_frequent_lines", "frequent_chars", "depleted"])
+    gone = frequent_lines(docs, host, limit_docs, limit_percent)
+    doc_id, own_host, text = _slim(docs, host)
+    t1, t2 = _uid(text)
+    keyed = docs.select("*", doc_id.alias("__doc_id"), own_host.alias("__host"), t1.alias("__t1"), t2.alias("__t2"))
+    joined = keyed.join(gone, _same("__doc_id", "__host", "__t1", "__t2"), "left")
+    # The places left come from a set difference, so that a long text of frequent lines takes linear time.
+    left = F.array_except(F.sequence(F.lit(0), F.size(F.split("text", "\n")) - 1), F.col("frequent_at"))
+    joined = joined.select("*", F.split("text", "\n").alias("__lines"), F.when(F.col("frequent_at").isNotNull(), left).alias("__left"))
+    zero = F.lit(0).cast("long")
+    chars = F.coalesce("frequent_chars", zero)
+    new = F.when(F.col("__left").isNull(), F.col("text").cast("string")).otherwise(F.array_join(F.expr("transform(__left, i -> __lines[i])"), "\n"))
+    return joined.select(
+        *(new.alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns),
+        F.coalesce("n_frequent_lines", zero).alias("n_frequent_lines"),
+        chars.cast("long").alias("frequent_chars"),
+        (chars * 100 > F.length(_without(F.coalesce(F.col("text").cast("string"), F.lit("")), _BLANKS)) * deplete_percent).alias("depleted"),
+    )
+
+
+def line_frequency(docs: DataFrame, host: str = "source", limit_docs: int = 20, limit_percent: int = 1, deplete_percent: int = 50) -> DataFrame:
+    """Counts and verdict for each row of docs (doc_id, text, and the host column).
+
+    A line is above the limit if at least limit_docs documents and limit_percent
+    per cent of its host's documents have it. A document is depleted if such lines
+    hold more than deplete_percent per cent of its line characters.
+    """
+    d = docs.select(*(c.alias(n) for c, n in zip(_slim(docs, host), ("doc_id", "host", "text"), strict=True)))
+    uid = [c.alias(n) for c, n in zip(_uid(F.col("text")), ("t1", "t2"), strict=True)]
+    # Written, so that no filter on the result is pushed into the nested array expressions and repeats them.
+    base = checkpointed(base_counts(d.select("doc_id", "host", *uid, "text")))
+    gone = frequent_lines(docs, host, limit_docs, limit_percent)
     zero = F.lit(0).cast("long")
-    out = base.join(gone, same, "left").select(*base.columns, F.coalesce("n_frequent_lines", zero).alias("n_frequent_lines"), F.coalesce("frequent_chars", zero).cast("long").alias("frequent_chars"))
+    out = base.join(gone, _same("doc_id", "host", "t1", "t2"), "left").select(*base.columns, F.coalesce("n_frequent_lines", zero).alias("n_frequent_lines"), F.coalesce("frequent_chars", zero).cast("long").alias("frequent_chars"))
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     depleted = F.col("frequent_chars") * 100 > F.col("word_chars") * deplete_percent
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"), (~failed & ~depleted).alias("kept"), "n_frequent_lines", "frequent_chars")

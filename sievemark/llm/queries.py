@@ -47,6 +47,11 @@ def op8_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_quality.line_frequency(_table(spark, sf_dir, "documents"), host="source", limit_docs=20, limit_percent=1, deplete_percent=50)
 
 
+def op8_line_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return line_quality.without_frequent_lines(docs, host="source", limit_docs=20, limit_percent=1, deplete_percent=50)
+
+
 def op9_language_fusion(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.report(_table(spark, sf_dir, "pages"), _table(spark, sf_dir, "documents"))
 
@@ -64,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_line_dedup": op6_line_dedup,
     "op7_pseudo_likelihood": op7_pseudo_likelihood,
     "op8_line_frequency": op8_line_frequency,
+    "op8_line_removal": op8_line_removal,
     "op9_language_fusion": op9_language_fusion,
     "op10_surrogates": op10_surrogates,
 }

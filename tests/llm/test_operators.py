@@ -174,6 +174,17 @@ def test_depleted_documents_are_rejected(spark):
     assert not any(got[i] for i in range(30)) and all(got[100 + i] for i in range(10))
 
 
+def test_frequent_lines_are_removed(spark):
+    rows = [(i, f"Shared line {i}\n\n  own {'xyz'[i % 3] * (i + 1)} \nSHARED LINE 7", "h") for i in range(25)] + [(50, "shared line 1", "h"), (51, None, "h"), (52, "", None), (53, "shared line 1\nb", None), (None, "Shared line 3\nq", "h")]
+    docs = spark.createDataFrame([*rows, rows[0]], "doc_id long, text string, source string")
+    expected = [(i, f"\n  own {'xyz'[i % 3] * (i + 1)} ", 2) for i in range(25)] + [(50, "", 1), (51, None, 0), (52, "", 0), (53, "shared line 1\nb", 0), (None, "q", 1)]
+    got = line_quality.without_frequent_lines(docs)
+    same(got.select("doc_id", "text", "n_frequent_lines"), [*expected, expected[0]])
+    counts = line_quality.line_frequency(docs).select("doc_id", "n_frequent_lines", "frequent_chars")
+    same(got.select("doc_id", "n_frequent_lines", "frequent_chars"), [tuple(r) for r in counts.collect()])
+    assert got.where("depleted and doc_id = 50").count() == 1 and got.where("depleted and doc_id = 53").count() == 0
+
+
 def test_boundaries_are_optimal():
     rng = np.random.default_rng(2)
     for _ in range(20):
