@@ -44,7 +44,7 @@ def item_windows(items: DataFrame, window: int, shingle: int) -> DataFrame:
     """(item_id, said, n, shingles): each distinct window of an item, its words, and its shingle hashes by offset."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in textscan.bounded(batches):
             rows: list[tuple] = []
             for t, w, folded, h in _scan(batch.column("text")):
                 for d in range(len(t)):
@@ -69,7 +69,7 @@ def _count_shingles(texts: DataFrame, known: np.ndarray, ks: list[int]) -> dict[
         quick = np.zeros(1 << _BITMAP, bool)
         quick[own >> np.uint64(64 - _BITMAP)] = True
         total = np.zeros(len(own), np.int64)
-        for batch in batches:
+        for batch in textscan.bounded(batches):
             for _, w, _, h in _scan(batch.column("text")):
                 for k in ks:
                     s = textscan.shingles(h, w.doc, k)[0]
@@ -80,6 +80,7 @@ def _count_shingles(texts: DataFrame, known: np.ndarray, ks: list[int]) -> dict[
         yield pa.RecordBatch.from_arrays([pa.array(textscan.signed(own[some])), pa.array(total[some])], names=["shingle", "n"])
 
     rows = texts.mapInArrow(count, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n")).collect()
+    shared.destroy()
     return {r.shingle & (2**64 - 1): r.n for r in rows}
 
 
@@ -122,7 +123,7 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = 10, shingle:
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = shared.value
-        for batch in batches:
+        for batch in textscan.bounded(batches):
             n_words, n_hit = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows, np.int64)
             items: list[list[str]] = [[] for _ in range(batch.num_rows)]
             for t, w, folded, h in _scan(batch.column("text").cast(pa.string())):
@@ -163,7 +164,7 @@ def _joined(docs: DataFrame, found: DataFrame, ks: list[int]) -> DataFrame:
         known = repeats.build(keys.select("shingle"), twofold, repeats.bits_for(keys.count()))
 
         def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+            for batch in textscan.bounded(batches):
                 for t, w, folded, h in _scan(batch.column("text")):
                     for k in ks:
                         s, word = textscan.shingles(h, w.doc, k)
@@ -190,7 +191,7 @@ def _joined(docs: DataFrame, found: DataFrame, ks: list[int]) -> DataFrame:
     names = docs.columns
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in textscan.bounded(batches):
             n = np.zeros(batch.num_rows, np.int64)
             for t, w, _, _ in _scan(batch.column("text").cast(pa.string())):
                 n[t.first : t.first + len(t)] = np.diff(w.bounds)

@@ -81,7 +81,7 @@ def trigram_model(docs: DataFrame) -> tuple[list[str], np.ndarray]:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[str, np.ndarray] = {}
-        for batch in batches:
+        for batch in textscan.bounded(batches):
             langs = batch.column("lang").to_pylist()
             for t, cell, doc in trigrams(batch.column("text")):
                 names = langs[t.first : t.first + len(t)]
@@ -115,7 +115,7 @@ def identify(pages: DataFrame, labelled: DataFrame, url: str = "url", html: str
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         logp = shared.value
-        for batch in batches:
+        for batch in textscan.bounded(batches, html):
             urls, bodies = batch.column(url).to_pylist(), batch.column(html).to_pylist()
             places = [address(u or "", known) for u in urls]
             said = [declared(b or "") for b in bodies]

@@ -7,7 +7,11 @@ Third pass: lines of confirmed keys go, except in the keeper.
 
 Defined results. Null or empty text: one empty line, kept. A row without doc_id
 never keeps a repeated line, as the keeper is the largest doc_id; it does not
-count as a document. Rows that repeat a doc_id are one document for the count.
+count as a document. Ids are compared in their own type, strings as strings. Rows
+that repeat a doc_id are one document for the count, and each keeps its lines if
+it is the keeper; so do all lines of one key in it. A text of any length is
+scanned whole. Columns named n_lines or n_dropped are replaced; names that begin
+with __ are the operator's own. An empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -16,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,7 +30,7 @@ from sievemark.llm.stage import checkpointed, without
 
 _STRIP = b" \t\n\x0b\x0c\r"
 _NEWLINE = textscan._table(True, (0x0A, 0x0A))
-#: Confirmed keys are sent to every task up to this many (24 bytes each); more are joined by document.
+#: Confirmed keys are sent to every task up to this many (32 bytes each, in three arrays); more are joined by document.
 BROADCAST_KEYS = 1 << 20
 
 
@@ -69,8 +74,8 @@ def _once_a_text(lines: _Lines) -> np.ndarray:
 
 
 def repeated_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, max_filter_bits: int = repeats.MAX_BITS) -> DataFrame:
-    """(key binary, keep_doc long): keys in at least min_docs documents, and the largest doc_id with it."""
-    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    """(key binary, hash long, keep_doc): keys in at least min_docs documents, and the largest doc_id with it."""
+    slim = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     size = slim.agg(F.sum(F.octet_length("text"))).first()[0] or 0
 
     def hashes(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
@@ -78,19 +83,53 @@ def repeated_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, max_
             lines = _Lines(t, min_chars)
             yield lines.hash[_once_a_text(lines)]
 
-    twice = repeats.build(slim.select("text"), hashes, repeats.bits_for(size // max(1, min_chars + 1), 8, max_filter_bits))
+    twice = repeats.build(slim.select("text"), hashes, repeats.bits_for(size // max(1, min_chars + 1), 8, max_filter_bits), "text")
 
     def suspects(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = batch.column("doc_id")
+        for batch in textscan.bounded(batches):
             for t in textscan.chunks(batch.column("text")):
                 lines = _Lines(t, min_chars)
                 first = np.sort(_once_a_text(lines))
-                at = lines.long[first[twice.suspects(lines.hash[first])]]
-                yield pa.RecordBatch.from_arrays([pa.array([lines.digest(i) for i in at.tolist()], pa.binary()), ids.take(pa.array(lines.doc[at] + t.first))], names=["key", "doc_id"])
-
-    found = slim.mapInArrow(suspects, "key binary, doc_id long")
-    return found.groupBy("key").agg(F.count_distinct("doc_id").alias("n"), F.max("doc_id").alias("keep_doc")).where(F.col("n") >= min_docs).select("key", "keep_doc")
+                first = first[twice.suspects(lines.hash[first])]
+                yield _keyed(lines, first, batch.column("doc_id"), t.first, "doc_id")
+
+    found = slim.mapInArrow(suspects, slim.select(F.lit(b"").alias("key"), F.lit(0).cast("long").alias("hash"), "doc_id").schema)
+    counted = found.groupBy("key", "hash").agg(F.count_distinct("doc_id").alias("n"), F.max("doc_id").alias("keep_doc"))
+    return counted.where(F.col("n") >= min_docs).select("key", "hash", "keep_doc")
+
+
+def _keyed(lines: _Lines, at: np.ndarray, owner: pa.Array, first: int, name: str) -> pa.RecordBatch:
+    """Digest and hash of long lines (by their number among these), and what their rows have in owner."""
+    rows = pa.array(lines.doc[lines.long[at]] + first)
+    return pa.RecordBatch.from_arrays([pa.array(map(lines.digest, lines.long[at].tolist()), pa.binary()), pa.array(textscan.signed(lines.hash[at])), owner.take(rows)], names=["key", "hash", name])
+
+
+class Keepers:
+    """Confirmed keys in arrays, ordered by hash; a line's digest is computed only where its hash is among them."""
+
+    def __init__(self, table: pa.Table | pa.RecordBatch):
+        h = table.column("hash").to_numpy().view(np.uint64)
+        order = np.argsort(h)
+        self.hash = h[order]
+        self.key = np.frombuffer(b"".join(x.as_py() for x in table.column("key")), "V16")[order]
+        keep = table.column("keep_doc")
+        self.keep = (keep.combine_chunks() if isinstance(keep, pa.ChunkedArray) else keep).take(pa.array(order))
+
+    def gone(self, lines: _Lines, ids: pa.Array) -> np.ndarray:
+        """The lines that go; ids: of the texts."""
+        h = lines.hash
+        lo, hi = np.searchsorted(self.hash, h, "left"), np.searchsorted(self.hash, h, "right")
+        line, key = [], []
+        for i in np.flatnonzero(hi > lo).tolist():
+            own = np.frombuffer(lines.digest(int(lines.long[i])), "V16")[0]
+            for j in range(lo[i], hi[i]):
+                if self.key[j] == own:
+                    line.append(int(lines.long[i]))
+                    key.append(j)
+                    break
+        at = np.array(line, np.int64)
+        stays = pc.fill_null(pc.equal(ids.take(pa.array(lines.doc[at])), self.keep.take(pa.array(key, pa.int64()))), False)
+        return at[~stays.to_numpy(zero_copy_only=False)]
 
 
 def drop_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, max_filter_bits: int = repeats.MAX_BITS, broadcast_keys: int = BROADCAST_KEYS) -> DataFrame:
@@ -99,67 +138,61 @@ def drop_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, max_filt
     Keys of at least min_chars code points (stripped, A-Z folded) in at least
     min_docs documents lose their lines except in the largest doc_id.
     """
-    docs = without(docs, ["n_lines", "n_dropped"])
+    docs = without(docs, ["n_lines", "n_dropped"]).withColumn("text", F.col("text").cast("string"))
     gone = checkpointed(repeated_lines(docs, min_chars, min_docs, max_filter_bits))
     names, out = docs.columns, docs.withColumn("n_lines", F.lit(0).cast("long")).withColumn("n_dropped", F.lit(0).cast("long")).schema
     if gone.count() <= broadcast_keys:
-        table = docs.sparkSession.sparkContext.broadcast({bytes(r.key): r.keep_doc for r in gone.collect()})
+        table = docs.sparkSession.sparkContext.broadcast(Keepers(gone.toArrow()))
 
         def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            keep = table.value
-            for batch in batches:
-                yield from _rewrite(batch, names, min_chars, lambda _: keep)
+            for batch in textscan.bounded(batches):
+                yield _rewrite(batch, names, min_chars, table.value)
 
         return docs.mapInArrow(rewrite, out)
     # Too many keys to send around: each document is joined with those of its own lines.
     uid = F.struct(F.col("doc_id"), F.xxhash64("text"), F.length("text"))
-    slim = docs.select(uid.alias("__uid"), F.col("text").cast("string").alias("text"))
+    slim = docs.select(uid.alias("__uid"), "text")
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in textscan.bounded(batches):
             for t in textscan.chunks(batch.column("text")):
                 lines = _Lines(t, min_chars)
-                at = lines.long[np.sort(_once_a_text(lines))]
-                yield pa.RecordBatch.from_arrays([batch.column("__uid").take(pa.array(lines.doc[at] + t.first)), pa.array([lines.digest(i) for i in at.tolist()], pa.binary())], names=["__uid", "key"])
+                yield _keyed(lines, np.sort(_once_a_text(lines)), batch.column("__uid"), t.first, "__uid")
 
-    own = slim.mapInArrow(keys, slim.select("__uid", F.lit(b"").alias("key")).schema).join(gone, "key").groupBy("__uid").agg(F.map_from_entries(F.collect_set(F.struct("key", "keep_doc"))).alias("__gone"))
+    schema = slim.select(F.lit(b"").alias("key"), F.lit(0).cast("long").alias("hash"), "__uid").schema
+    own = slim.mapInArrow(keys, schema).join(gone, ["key", "hash"]).groupBy("__uid").agg(F.collect_set(F.struct("key", "hash", "keep_doc")).alias("__gone"))
     joined = docs.withColumn("__uid", uid)
     joined = joined.join(own.withColumnRenamed("__uid", "__own"), F.col("__uid").eqNullSafe(F.col("__own")), "left").drop("__uid", "__own")
 
     def rewrite_own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            own = [dict(x or ()) for x in batch.column("__gone").to_pylist()]
-            yield from _rewrite(batch, names, min_chars, own.__getitem__)
+        for batch in textscan.bounded(batches):
+            yield _rewrite(batch, names, min_chars, Keepers(pa.RecordBatch.from_struct_array(batch.column("__gone").flatten())))
 
     return joined.mapInArrow(rewrite_own, out)
 
 
-def _rewrite(batch: pa.RecordBatch, names: list[str], min_chars: int, keepers) -> Iterator[pa.RecordBatch]:
-    ids, texts = batch.column("doc_id").to_pylist(), batch.column("text")
-    was_null = texts.is_null().to_numpy(zero_copy_only=False)
-    new: list[bytes | None] = []
-    n_lines, n_dropped = [], []
+def _rewrite(batch: pa.RecordBatch, names: list[str], min_chars: int, keepers: Keepers) -> pa.RecordBatch:
+    ids, texts = batch.column("doc_id"), batch.column("text")
+    new: list[pa.Array] = []
+    count = np.zeros((2, batch.num_rows), np.int64)
     for t in textscan.chunks(texts):
         lines = _Lines(t, min_chars)
+        own = slice(t.first, t.first + len(t))
         drop = np.zeros(len(lines.start), bool)
-        for i in lines.long.tolist():
-            row = t.first + lines.doc[i]
-            gone_keys, key = keepers(row), lines.digest(i)
-            drop[i] = key in gone_keys and gone_keys[key] != ids[row]
-        n_lines.append(lines.count)
-        gone = np.add.reduceat(drop, lines.bounds[:-1], dtype=np.int64) if len(t) else np.zeros(0, np.int64)
-        n_dropped.append(gone)
-        for d in range(len(t)):
-            if was_null[t.first + d]:
-                new.append(None)
-            elif not gone[d]:
-                new.append(t.raw(d))
-            else:
-                kept = [i for i in range(lines.bounds[d], lines.bounds[d + 1]) if not drop[i]]
-                new.append(b"\n".join(t.data[lines.start[i] : lines.end[i]].tobytes() for i in kept))
-    text = pa.array(new, pa.binary()).cast(pa.string())
+        drop[keepers.gone(lines, ids[own])] = True
+        count[0, own] = lines.count
+        count[1, own] = fewer = np.bincount(lines.doc[drop], minlength=len(t))
+        if not fewer.any():
+            new.append(texts[own])
+            continue
+        said: list[bytes | None] = []
+        for d, (n, known) in enumerate(zip(fewer.tolist(), texts[own].is_valid().to_pylist(), strict=True)):
+            kept = [i for i in range(lines.bounds[d], lines.bounds[d + 1]) if not drop[i]] if n else ()
+            said.append(None if not known else b"\n".join(t.data[lines.start[i] : lines.end[i]].tobytes() for i in kept) if n else t.raw(d))
+        new.append(pa.array(said, pa.binary()).cast(pa.string()))
+    text = pa.concat_arrays(new) if new else texts
     cols = [text if name == "text" else batch.column(name) for name in names]
-    yield pa.RecordBatch.from_arrays([*cols, pa.array(np.concatenate(n_lines or [np.zeros(0, np.int64)]).astype(np.int64)), pa.array(np.concatenate(n_dropped or [np.zeros(0, np.int64)]))], names=[*names, "n_lines", "n_dropped"])
+    return pa.RecordBatch.from_arrays([*cols, *map(pa.array, count)], names=[*names, "n_lines", "n_dropped"])
 
 
 def report(docs: DataFrame, **how) -> DataFrame:

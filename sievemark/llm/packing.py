@@ -40,7 +40,7 @@ def token_counts(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoding = _encoding(tokenizer) if tokenizer else None
-        for batch in batches:
+        for batch in textscan.bounded(batches):
             n = np.zeros(batch.num_rows, np.int64)
             column = batch.column("text").cast(pa.string())
             if encoding:

@@ -22,7 +22,7 @@ from sievemark.llm import textscan
 
 BLOCK = 20
 MAX_BITS = 1 << 29
-FLUSH = 1 << 22
+FLUSH = 1 << 21
 _PARTS = pa.schema([("block", pa.int32()), ("once", pa.binary()), ("twice", pa.binary())])
 
 
@@ -64,6 +64,10 @@ class SeenTwice:
     def __init__(self, bits: int, shared: Broadcast):
         self.bits, self.shared = bits, shared
 
+    def destroy(self) -> None:
+        """Frees the filter on the executors, once nothing that uses it is still to run."""
+        self.shared.destroy()
+
     def suspects(self, h: np.ndarray) -> np.ndarray:
         table = self.shared.value
         if not isinstance(table, np.ndarray):
@@ -74,13 +78,16 @@ class SeenTwice:
         return keep
 
 
-def build(df: DataFrame, hashes: Callable[[pa.RecordBatch], Iterator[np.ndarray]], bits: int) -> SeenTwice:
-    """Reads df once. hashes yields arrays of uint64; an item that should count once per row must come once."""
+def build(df: DataFrame, hashes: Callable[[pa.RecordBatch], Iterator[np.ndarray]], bits: int, column: str | None = None) -> SeenTwice:
+    """Reads df once. hashes yields arrays of uint64; an item that should count once per row must come once.
+
+    column: the text column that hashes reads, for batches of bounded size.
+    """
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: list[np.ndarray] = []
         size = 0
-        for batch in batches:
+        for batch in textscan.bounded(batches, column) if column else batches:
             for h in hashes(batch):
                 for at in _positions(h, bits):
                     found.append(at)

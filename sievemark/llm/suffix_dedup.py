@@ -127,7 +127,7 @@ def repeated_spans(docs: DataFrame, length: int = 200, gram: int = GRAM, max_fil
         for t in textscan.chunks(batch.column("text")):
             yield anchors(t, length, gram)[1]
 
-    twice = repeats.build(texts.select("text"), hashes, repeats.bits_for(2 * size // (length - gram), 16, max_filter_bits))
+    twice = repeats.build(texts.select("text"), hashes, repeats.bits_for(2 * size // (length - gram), 16, max_filter_bits), "text")
 
     def suspects(t: textscan.Texts) -> tuple[np.ndarray, np.ndarray]:
         place, h = anchors(t, length, gram)
@@ -141,7 +141,7 @@ def repeated_spans(docs: DataFrame, length: int = 200, gram: int = GRAM, max_fil
             g, a, b = zip(*times, strict=True)
             return pa.RecordBatch.from_arrays([pa.array(g, pa.int64()), pa.array(a, pa.binary()), pa.array(b, pa.binary()), pa.array(list(times.values()), pa.int64())], names=["gram", "before", "after", "times"])
 
-        for batch in batches:
+        for batch in textscan.bounded(batches):
             for t in textscan.chunks(batch.column("text")):
                 place, h = suspects(t)
                 for g, (_, _, a, b) in zip(textscan.signed(h).tolist(), _contexts(t, place, length, gram), strict=True):
@@ -193,7 +193,7 @@ def repeated_spans(docs: DataFrame, length: int = 200, gram: int = GRAM, max_fil
 
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
-        for batch in batches:
+        for batch in textscan.bounded(batches):
             uids = batch.column("uid").to_pylist()
             for t in textscan.chunks(batch.column("text")):
                 place, _ = suspects(t)
@@ -236,7 +236,7 @@ def remove_repeats(docs: DataFrame, length: int = 200, **how) -> DataFrame:
     schema = docs.select("*", F.lit(b"").alias("kept"), *(F.lit(0).cast("long").alias(x) for x in ("n_bytes", "n_removed", "n_spans"))).schema
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in textscan.bounded(batches):
             kept: list[bytes] = []
             count = np.zeros((3, batch.num_rows), np.int64)
             spans = batch.column("__spans").to_pylist()

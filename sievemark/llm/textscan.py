@@ -2,17 +2,22 @@
 
 A batch of texts is one byte array plus offsets. Words, lines and shingles are
 found for the whole batch with numpy, so no Python code runs per word. Every
-text is read to its end; batches are cut between texts only.
+text is read to its end; batches are cut between texts only. What a scan holds
+beside the texts is a few times a chunk, as batches are taken in chunks and
+spans are hashed in pieces: a text longer than a chunk is one by itself, and
+needs about nine bytes a byte of it.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 256 << 10
+#: Bytes that span_hash sums up at a time.
+PIECE = 64 << 10
 
 _rng = np.random.Generator(np.random.PCG64(20240229))
 _BYTE_CODE = _rng.integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
@@ -85,6 +90,23 @@ def whole(column: pa.Array) -> Texts:
     return Texts(data[offsets[0] : offsets[-1]], offsets - offsets[0])
 
 
+def bounded(batches: Iterable[pa.RecordBatch], column: str = "text", size: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batches' rows in runs of about size bytes of a column, so that what comes of a run is small too."""
+    for batch in batches:
+        if not batch.num_rows:
+            yield batch
+            continue
+        kind = batch.column(column).type
+        if not (pa.types.is_string(kind) or pa.types.is_binary(kind) or pa.types.is_large_string(kind) or pa.types.is_large_binary(kind)):
+            raise TypeError(f"column {column} is no text: {kind}")
+        offsets = whole(batch.column(column)).offsets
+        at, n = 0, batch.num_rows
+        while at < n:
+            to = min(n, max(at + 1, int(np.searchsorted(offsets, offsets[at] + size, "right")) - 1))
+            yield batch.slice(at, to - at)
+            at = to
+
+
 def chunks(column: pa.Array, size: int = CHUNK_BYTES) -> Iterator[Texts]:
     """The texts of a column in runs of about size bytes; a longer text is a run of its own."""
     t = whole(column)
@@ -125,11 +147,40 @@ def words(t: Texts, table: np.ndarray) -> Runs:
 
 
 def span_hash(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of data[start:end] for each pair."""
-    n = len(data)
-    total = np.zeros(n + 1, np.uint64)
-    np.cumsum(_BYTE_CODE[data] * powers(n), out=total[1:])
-    return mix((total[ends] - total[starts]) * powers(n + 1, True)[starts] + (ends - starts).astype(np.uint64))
+    """A 64-bit hash of data[start:end] for each pair; starts ascend.
+
+    The spans that start in one piece of the data are hashed from sums over it and
+    what they reach beyond it; one that reaches far is summed by itself.
+    """
+    out = np.empty(len(starts), np.uint64)
+    lo = 0
+    while lo < len(starts):
+        base = int(starts[lo])
+        hi = lo + int(np.searchsorted(starts[lo:], base + PIECE))
+        own, far = ends[lo:hi], ends[lo:hi] > base + 2 * PIECE
+        if far.any():
+            for i in np.flatnonzero(far).tolist():
+                out[lo + i] = _long_sum(data[starts[lo + i] : own[i]])
+            own = np.where(far, starts[lo:hi], own)
+        stop = int(own.max())
+        total = np.zeros(stop - base + 1, np.uint64)
+        np.multiply(_BYTE_CODE[data[base:stop]], powers(stop - base), out=total[1:])
+        np.cumsum(total[1:], out=total[1:])
+        begin = starts[lo:hi] - base
+        sums = (total[own - base] - total[begin]) * powers(PIECE, True)[begin]
+        out[lo:hi] = np.where(far, out[lo:hi], sums) if far.any() else sums
+        lo = hi
+    return mix(out + (ends - starts).astype(np.uint64))
+
+
+def _long_sum(data: np.ndarray) -> np.uint64:
+    """Sum of the byte codes times base**place, piece by piece."""
+    total, lead = 0, 1
+    for at in range(0, len(data), PIECE):
+        own = data[at : at + PIECE]
+        total += lead * int((_BYTE_CODE[own] * powers(len(own))).sum(dtype=np.uint64))
+        lead = lead * pow(int(_BASE), len(own), 2**64) % 2**64
+    return np.uint64(total % 2**64)
 
 
 def shingles(h: np.ndarray, doc: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:

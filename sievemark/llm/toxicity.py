@@ -43,9 +43,9 @@ FLOOR = 0.05
 EFFECT = 1.5
 PENALTY = -0.25
 _BITMAP = 18
-
-
 STEMS = (4, 5, 6)
+#: Tokens that a task holds before it sums them up.
+FLUSH = 1 << 20
 
 
 class Tokens:
@@ -154,7 +154,7 @@ def _training(docs: DataFrame, labels: DataFrame, folds: int, held_out: int, max
     rows = docs.join(F.broadcast(usable), "doc_id")
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in textscan.bounded(batches):
             least = np.zeros(batch.num_rows, np.uint64)
             for x in _read(batch.column("text")):
                 t, w, h = x.t, x.w, x.h
@@ -176,20 +176,29 @@ def _training(docs: DataFrame, labels: DataFrame, folds: int, held_out: int, max
 def _counts(train: DataFrame) -> dict[str, np.ndarray]:
     """By token the toxic and the clean documents of each half that have it."""
 
+    def summed(tokens: list[np.ndarray], kinds: list[np.ndarray]) -> pa.RecordBatch:
+        key, at = np.unique(np.concatenate(tokens), return_inverse=True)
+        n = np.bincount(at * 4 + np.concatenate(kinds), minlength=4 * len(key)).reshape(-1, 4)
+        return pa.RecordBatch.from_arrays([pa.array(textscan.signed(key)), *(pa.array(np.ascontiguousarray(n[:, x])) for x in range(4))], names=["token", "good0", "good1", "bad0", "bad1"])
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            kind = (batch.column("toxic").to_numpy() > 0) * 2 + batch.column("half").to_numpy()
+        tokens: list[np.ndarray] = []
+        kinds: list[np.ndarray] = []
+        size = 0
+        for batch in textscan.bounded(batches):
+            kind = ((batch.column("toxic").to_numpy() > 0) * 2 + batch.column("half").to_numpy()).astype(np.uint8)
             for x in _read(batch.column("text")):
-                h, doc = x.token, x.w.doc[x.word]
-                if not len(h):
-                    continue
-                order = np.lexsort((h, doc))
-                first = np.ones(len(h), bool)
-                first[1:] = (np.diff(doc[order]) != 0) | (h[order][1:] != h[order][:-1])
-                order = order[first]
-                key, at = np.unique(h[order], return_inverse=True)
-                own = kind[x.t.first + doc[order]]
-                yield pa.RecordBatch.from_arrays([pa.array(textscan.signed(key)), *(pa.array(np.bincount(at[own == x], minlength=len(key))) for x in range(4))], names=["token", "good0", "good1", "bad0", "bad1"])
+                doc = x.w.doc[x.word]
+                # Each token once a document: by a hash of both.
+                first = np.unique(textscan.mix(x.token ^ textscan.mix(doc.astype(np.uint64))), return_index=True)[1]
+                tokens.append(x.token[first])
+                kinds.append(kind[x.t.first + doc[first]])
+                size += len(first)
+            if size >= FLUSH:
+                yield summed(tokens, kinds)
+                tokens, kinds, size = [], [], 0
+        if size:
+            yield summed(tokens, kinds)
 
     rows = train.mapInArrow(count, "token long, good0 long, good1 long, bad0 long, bad1 long")
     sums = rows.groupBy("token").agg(*(F.sum(c).alias(c) for c in ("good0", "good1", "bad0", "bad1")))
@@ -206,7 +215,7 @@ def _corpus(texts: DataFrame, keys: np.ndarray) -> tuple[np.ndarray, float]:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lookup = _Lookup(shared.value)
         n, total = np.zeros(len(lookup.keys), np.int64), 0
-        for batch in batches:
+        for batch in textscan.bounded(batches):
             total += batch.num_rows
             for x in _read(batch.column("text")):
                 n += np.bincount(lookup.find(x.token)[1], minlength=len(n))
@@ -214,6 +223,7 @@ def _corpus(texts: DataFrame, keys: np.ndarray) -> tuple[np.ndarray, float]:
         yield pa.RecordBatch.from_arrays([pa.array([*some.tolist(), -1], pa.int64()), pa.array([*n[some].tolist(), total], pa.int64())], names=["key", "n"])
 
     got = texts.mapInArrow(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).toArrow().to_pydict()
+    shared.destroy()
     n, total = np.zeros(len(keys)), 0.0
     for key, x in zip(got["key"], got["n"], strict=True):
         if key < 0:
@@ -260,7 +270,7 @@ def _calibrated(train: DataFrame, raw: list[Model], base: float) -> Model:
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         models = shared.value
-        for batch in batches:
+        for batch in textscan.bounded(batches):
             half, n = batch.column("half").to_pylist(), [0] * batch.num_rows
             best, across, sums = ([[] for _ in range(batch.num_rows)] for _ in range(3))
             for x in _read(batch.column("text")):
@@ -280,6 +290,7 @@ def _calibrated(train: DataFrame, raw: list[Model], base: float) -> Model:
 
     # One small row for each labelled document: bounded by max_train.
     rows = train.mapInArrow(scan, "toxic int, n long, best array<double>, across array<double>, scores array<double>").toArrow().to_pydict()
+    shared.destroy()
     clean = [i for i, x in enumerate(rows["toxic"]) if x <= 0]
     words = float(sum(rows["n"][i] for i in clean)) or 1.0
     hits = np.array([s for i in clean for s in rows["scores"][i]])
@@ -327,7 +338,7 @@ def passages(docs: DataFrame, model: Model, significant: float = 0.05) -> DataFr
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         base = model.probability(0, [])
-        for batch in batches:
+        for batch in textscan.bounded(batches):
             score, found = np.full(batch.num_rows, base), [[] for _ in range(batch.num_rows)]
             for x in _read(batch.column("text").cast(pa.string())):
                 t, w = x.t, x.w
