@@ -74,7 +74,7 @@ def _survey(docs: DataFrame, k: int) -> DataFrame:
     """doc_id, the size n of its set, a digest of it, and a bitmap in which every n-gram flips a bit."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in textscan.bounded(batches):
             n = np.zeros(batch.num_rows, np.int64)
             digest: list[bytes | None] = [None] * batch.num_rows
             bits: list[bytes | None] = [None] * batch.num_rows
@@ -97,7 +97,7 @@ def _sketch(docs: DataFrame, k: int) -> DataFrame:
         table = np.zeros(1 << SKETCH_BITS, np.uint32)
         wait: list[np.ndarray] = []
         size = 0
-        for batch in batches:
+        for batch in textscan.bounded(batches):
             for _, u in shingle_sets(batch.column("text"), k):
                 wait.append((u & np.uint64((1 << SKETCH_BITS) - 1)).astype(np.int64))
                 size += len(u)
@@ -186,7 +186,8 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100,
     single = _one_text_an_id(docs, sets)
     if single is not docs:
         sets = checkpointed(_survey(single, k))
-    classes = sets.where("doc_id is not null and n > 0").groupBy("digest").agg(F.min("doc_id").alias("class_id"))
+    # Written, so that both sides of the join are plain shuffles, of which a partition with many copies can be split.
+    classes = checkpointed(sets.where("doc_id is not null and n > 0").groupBy("digest").agg(F.min("doc_id").alias("class_id")))
     members = checkpointed(sets.where("doc_id is not null and n > 0").join(classes, "digest").select("doc_id", "class_id", "n", "bits"))
     total, n_docs = members.agg(F.sum("n"), F.count("*")).first()
     real = single.where("doc_id is not null")
@@ -206,10 +207,10 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100,
             yield prefix(u)
 
     looked_up = (total or 0) * (den - num) // den + (n_docs or 0)
-    twice = repeats.build(real, hashes, repeats.bits_for(looked_up, 16, max_filter_bits))
+    twice = repeats.build(real, hashes, repeats.bits_for(looked_up, 16, max_filter_bits), "text")
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in map(picked, batches):
+        for batch in map(picked, textscan.bounded(batches)):
             ids = batch.column("doc_id").to_numpy()
             found, owner, place = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
             for row, u in shingle_sets(batch.column("text"), k):
@@ -222,11 +223,14 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100,
 
     keys = real.mapInArrow(emit, "key long, doc_id long, at long").join(members, "doc_id").where("doc_id = class_id").select("key", F.col("class_id").alias("node"), "n", "at")
     keys = checkpointed(keys)
+    first.destroy()
+    twice.destroy()
     bits = members.where("doc_id = class_id").select(F.col("class_id").alias("node"), "bits").distinct()
     links = _links(keys, bits, real, order, k, num, den, group_limit)
-    roots = components(links)
+    order.shared.destroy()
     degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
-    out = members.join(roots, members.class_id == roots.node, "left").drop("node").join(degree, F.col("class_id") == degree.node, "left")
+    linked = checkpointed(components(links).join(degree, "node", "left"))
+    out = members.join(linked, F.col("class_id") == F.col("node"), "left")
     out = out.select("doc_id", F.coalesce("root", "class_id").alias("component_id"), F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"))
     rows = survey.select("doc_id", F.col("n").alias("n_shingles"))
     return rows.join(out.distinct(), "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"))
@@ -237,7 +241,7 @@ def _pieces(nodes: DataFrame, docs: DataFrame, order: _Order, k: int) -> DataFra
     wanted = repeats.build(nodes, _twofold, repeats.bits_for(nodes.count(), 16))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in textscan.bounded(batches):
             ids = batch.column("doc_id").to_numpy()
             some = np.flatnonzero(wanted.suspects(textscan.mix(ids.view(np.uint64))))
             if not len(some):
@@ -248,7 +252,9 @@ def _pieces(nodes: DataFrame, docs: DataFrame, order: _Order, k: int) -> DataFra
                 at = np.array([0, *order.fragments(place).tolist(), len(u)], np.int32)
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(FRAGMENTS, ids[row])), pa.array(np.arange(FRAGMENTS, dtype=np.int32)), pa.ListArray.from_arrays(at, pa.array(textscan.signed(u)))], names=["node", "fragment", "part"])
 
-    return checkpointed(docs.mapInArrow(cut, "node long, fragment int, part array<long>"))
+    pieces = checkpointed(docs.mapInArrow(cut, "node long, fragment int, part array<long>"))
+    wanted.destroy()
+    return pieces
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, order: _Order, k: int, num: int, den: int) -> DataFrame:
