@@ -2,16 +2,31 @@
 
 An entity's canonical form (case, spacing and punctuation aside) is mapped by a
 keyed hash to another of the same form: digits to digits, letters to letters of
-the same case and script, check digits valid where they were, octets in range,
-given names within their gender. Equal entities get equal surrogates wherever they
-stand, each written in the style of its occurrence. Collisions are looked for
-among all distinct entities by grouped aggregation: where two entities share a
-surrogate, or a surrogate is itself an entity of the corpus, all but the least
-entity take the next attempt until none is left.
-
-Defined results. Null text stays null, empty text empty, with no entities. Rows
-with equal texts get equal results. What two types claim goes to the type named
-first in TYPES, then to the longer match.
+the same case and script, check digits of cards and account numbers valid where
+they were, octets in range, given names within their gender. Equal entities get
+equal surrogates wherever they stand, each written in the style of its occurrence.
+
+A name's entity is each of its words, so that "Dr Jane Smith", "Ms Smith" and a
+bare "Jane" further on in the text keep to one person's name. Names are found after
+a title; every other place of the text that has one of the words so found, with a
+capital, is a mention as well. Whether a word is a given name, and of which gender,
+is what the titles before it say all over the corpus, found by grouped aggregation:
+the last word after a title is a family name, one with others behind it a given one;
+titles of both genders, or none but neutral ones, leave the gender open. A name in
+a text without any title stays.
+
+Collisions are looked for among all distinct entities by grouped aggregation: where
+two entities share a surrogate, or a surrogate is itself an entity of the corpus, all
+but the least entity take the next attempt until none is left. Later attempts widen
+the form (longer local parts and names, other ranges of addresses), so a full range
+ends the search no more than a full form does; what has no free surrogate after
+MAX_ATTEMPTS rounds is an error.
+
+Defined results. Null text stays null, empty text empty, with no entities; an empty
+table gives an empty one. Rows with equal texts get equal results. What two types
+claim goes to the type named first in TYPES, then to the earlier match. Texts are
+read whole, in time that grows with their length. A column named entities is
+replaced; names that begin with __ are the operator's own.
 """
 
 from __future__ import annotations
@@ -25,10 +40,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sievemark.llm import textscan
 from sievemark.llm.stage import checkpointed, without
 
-#: Entities that needed a second attempt are sent to every task up to this many; more are joined.
+#: Given names, and entities that needed a second attempt, are sent to every task up to this many; more are joined.
 BROADCAST_ATTEMPTS = 200_000
+#: Rounds of collision search. A round that is needed at all makes the next one rare.
+MAX_ATTEMPTS = 64
 DEFAULT_KEY = b"set a secret key of your own"
 
 # Honorifics by gender, and syllables that names are made of.
@@ -62,31 +80,63 @@ _DIGIT = re.compile(r"\d\D{0,2}\d\D{0,2}\d|\d\.\d")
 _ANY_TITLE = re.compile(rf"(?<!\w)(?:{_TITLE})\b")
 
 
+#: A word that may be a name's.
+_CAPITAL = re.compile(r"(?<![\w@])[A-ZÀ-ÖØ-ÞА-ЯЁ][\w'’-]*")
+
+
 def entities(text: str) -> list[tuple[int, int, str, str]]:
     """(start, end, type, canonical form) in order of place, without overlaps."""
-    found: list[tuple[int, int, str, str]] = []
-    taken: list[tuple[int, int]] = []
+    return [x[:4] for x in mentions(text)]
+
+
+def mentions(text: str) -> list[tuple[int, int, str, str, str]]:
+    """The entities, and what the place says of a name's word: a gender ("any" where the title is neutral) if it stands as a given name, else ""."""
+    found: list[tuple[int, int, str, str, str]] = []
+    taken = bytearray()
     digits = _DIGIT.search(text) is not None
+
+    def claim(a: int, b: int) -> bool:
+        nonlocal taken
+        if not taken:
+            taken = bytearray(len(text))
+        if taken.find(1, a, b) >= 0:
+            return False
+        taken[a:b] = b"\x01" * (b - a)
+        return True
+
     for kind, pattern in TYPES.items():
         if kind == "email" and "@" not in text or kind in _NEEDS_DIGIT and not digits or kind == "name" and not _ANY_TITLE.search(text):
             continue
-        own = [m.span("name" if kind == "name" else 0) + (m,) for m in pattern.finditer(text)]
-        for a, b, m in own:
-            if all(b <= lo or a >= hi for lo, hi in taken):
-                taken.append((a, b))
-                found.append((a, b, kind, canonical(kind, text[a:b], m)))
+        known: set[str] = set()
+        for m in pattern.finditer(text):
+            a, b = m.span("name" if kind == "name" else 0)
+            if not claim(a, b):
+                continue
+            if kind != "name":
+                found.append((a, b, kind, canonical(kind, text[a:b]), ""))
+                continue
+            words = list(re.finditer(r"\S+", text[a:b]))
+            for i, w in enumerate(words):
+                form = canonical(kind, w[0])
+                known.add(form)
+                found.append((a + w.start(), a + w.end(), kind, form, _GENDER[m["title"]] if i + 1 < len(words) else ""))
+        if known:
+            for m in _CAPITAL.finditer(text):
+                said = m[0].rstrip("'’-")
+                for end in (len(said), len(said) - 2 if said[-2:] in ("'s", "’s") else 0):
+                    if end > 1 and canonical(kind, said[:end]) in known and claim(m.start(), m.start() + end):
+                        found.append((m.start(), m.start() + end, kind, canonical(kind, said[:end]), ""))
+                        break
     return sorted(found)
 
 
-def canonical(kind: str, said: str, match: re.Match | None = None) -> str:
+def canonical(kind: str, said: str) -> str:
     if kind == "email":
         return said.lower()
     if kind == "ip":
         return ".".join(str(int(x)) for x in said.split("."))
     if kind == "name":
-        script = "cyrillic" if re.search("[А-яЁё]", said) else "latin"
-        gender = _GENDER[match["title"]] if match else "any"
-        return f"{script} {gender} " + " ".join(said.lower().split())
+        return ("cyrillic " if re.search("[А-яЁё]", said) else "latin ") + said.rstrip("'’-").lower()
     return re.sub(r"[^0-9A-Za-z]", "", said) if kind != "access_key" else said
 
 
@@ -113,20 +163,30 @@ def _luhn(digits: str) -> int:
     return sum(sum(divmod(2 * int(d), 10)) if i % 2 else int(d) for i, d in enumerate(reversed(digits))) % 10
 
 
-def surrogate(key: bytes, kind: str, form: str, attempt: int = 0) -> str:
-    """The canonical form that stands for a canonical form."""
+def _mod97(account: str) -> int:
+    return int("".join(str(int(c, 36)) for c in account[4:] + account[:4])) % 97
+
+
+def surrogate(key: bytes, kind: str, form: str, attempt: int = 0, gender: str = "") -> str:
+    """The canonical form that stands for a canonical form. gender: of a given name; empty for a family name."""
     r = _Stream(key, kind, form, attempt)
     if kind == "email":
         local, _, domain = form.partition("@")
         hosts, _, top = domain.rpartition(".")
-        return f"{_shaped(local, r)}@{_shaped(hosts, _Stream(key, 'domain', domain, 0))}.{top}"
+        # The domain follows the address's attempts only late, so that addresses of one domain stay together.
+        new = _shaped(local, r)
+        wider = attempt // 4 if any(map(str.isalnum, local)) else attempt
+        new += "".join(chr(97 + r.below(26)) for _ in range(wider))
+        return f"{new}@{_shaped(hosts, _Stream(key, 'domain', domain, attempt // 16))}.{top}"
     if kind == "ip":
         octets = [int(x) for x in form.split(".")]
-        fixed = 2 if octets[:2] == [192, 168] else 1 if octets[0] in (10, 127) else 0
-        first = [octets[0], octets[1]][:fixed]
+        fixed = [192, 168] if octets[:2] == [192, 168] else octets[:1] if octets[0] in (10, 127) else []
+        if fixed and attempt >= 8:
+            fixed = [10] if attempt < 16 else []  # the range may be full: the large private one, then any
+        first = list(fixed)
         while len(first) < 4:
             x = 1 + r.below(254)
-            if len(first) or x not in (10, 127, 192):
+            if first or x not in (10, 127, 192):
                 first.append(x)
         return ".".join(map(str, first))
     if kind == "card":
@@ -139,20 +199,17 @@ def surrogate(key: bytes, kind: str, form: str, attempt: int = 0) -> str:
         pool = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567" if head in ("AKIA", "ASIA") else "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
         return head + "".join(c if c == "_" else pool[r.below(len(pool))] for c in form[4:])
     if kind == "iban":
-        return form[:2] + _shaped(form[2:], r)
+        new = form[:2] + "00" + _shaped(form[4:], r)
+        return f"{new[:2]}{98 - _mod97(new):02d}{new[4:]}" if _mod97(form) == 1 else new[:2] + _shaped(form[2:4], r) + new[4:]
     if kind == "phone":
         keep = max(0, len(form) - 10)
         new = form[:keep] + _shaped(form[keep:], r)
         return new if new[keep] != "0" or form[keep] == "0" else new[:keep] + str(1 + r.below(9)) + new[keep + 1 :]
     if kind == "name":
-        script, gender, *words = form.split(" ")
+        script = form.partition(" ")[0]
         syllables = _SYLLABLES[script]
-        made = []
-        for i, _ in enumerate(words):
-            stem = "".join(syllables[r.below(32)] for _ in range(2 + r.below(2)))
-            ends = _ENDINGS[script, gender if i == 0 and len(words) > 1 else "any"]
-            made.append(stem + ends[r.below(3)])
-        return f"{script} {gender} " + " ".join(made)
+        stem = "".join(syllables[r.below(32)] for _ in range(2 + r.below(2) + attempt // 3))
+        return f"{script} {stem}{_ENDINGS[script, gender or 'any'][r.below(3)]}"
     return _shaped(form, r)
 
 
@@ -161,8 +218,8 @@ def rendered(kind: str, said: str, new: str) -> str:
     if kind == "ip" or kind == "access_key":
         return new
     if kind == "name":
-        words = iter(new.split(" ")[2:])
-        return re.sub(r"[^\s]+", lambda m: (lambda w: w.upper() if m[0].isupper() and len(m[0]) > 1 else w.capitalize() if m[0][:1].isupper() else w)(next(words, "")), said)
+        word = new.partition(" ")[2]
+        return (word.upper() if said.isupper() and len(said) > 1 else word.capitalize()) + said[len(said.rstrip("'’-")) :]
     if kind == "email":
         same = len(said) == len(new)
         return "".join(n.upper() if c.isupper() else n for c, n in zip(said, new, strict=True)) if same else new
@@ -170,57 +227,64 @@ def rendered(kind: str, said: str, new: str) -> str:
     return "".join(next(fresh, c) if re.match("[0-9A-Za-z]", c) else c for c in said)
 
 
-def attempts(docs: DataFrame, key: bytes) -> DataFrame:
-    """(kind, form, attempt) of the entities whose first surrogate is not free."""
+_STATE = "kind string, form string, gender string, attempt int, new string"
+
+
+def attempts(docs: DataFrame, key: bytes, max_attempts: int = MAX_ATTEMPTS) -> DataFrame:
+    """(kind, form, gender, attempt) of the given names, and of the entities whose first surrogate is not free."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[tuple[str, str]] = set()
-        for batch in batches:
-            new: list[tuple[str, str]] = []
+        seen: set[tuple[str, str, str]] = set()
+        for batch in textscan.bounded(batches):
+            new: list[tuple[str, str, str]] = []
             for text in batch.column("text").to_pylist():
-                for _, _, kind, form in entities(text) if text else ():
-                    if (kind, form) not in seen:
-                        seen.add((kind, form))
-                        new.append((kind, form))
-            if len(seen) > 1 << 20:
+                for _, _, *own in mentions(text) if text else ():
+                    if (own := tuple(own)) not in seen:
+                        seen.add(own)
+                        new.append(own)
+            if len(seen) > 1 << 18:
                 seen = set()
-            k, f = zip(*new, strict=True) if new else ((), ())
-            yield pa.RecordBatch.from_arrays([pa.array(k, pa.string()), pa.array(f, pa.string())], names=["kind", "form"])
+            columns = zip(*new, strict=True) if new else ((), (), ())
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in columns], names=["kind", "form", "gender"])
 
     def named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = zip(*(batch.column(c).to_pylist() for c in ("kind", "form", "attempt")), strict=True)
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("kind", "form", "attempt")), pa.array([surrogate(key, *r) for r in rows], pa.string())], names=["kind", "form", "attempt", "new"])
+            rows = zip(*(batch.column(c).to_pylist() for c in ("kind", "form", "attempt", "gender")), strict=True)
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("kind", "form", "gender", "attempt")), pa.array([surrogate(key, *r) for r in rows], pa.string())], names=["kind", "form", "gender", "attempt", "new"])
 
     texts = docs.select(F.col("text").cast("string").alias("text"))
-    known = checkpointed(texts.mapInArrow(find, "kind string, form string").distinct())
-    state = checkpointed(known.withColumn("attempt", F.lit(0)).mapInArrow(named, "kind string, form string, attempt int, new string"))
-    while True:
+    said = texts.mapInArrow(find, "kind string, form string, gender string")
+    only = lambda g: F.max(F.col("gender") == g)
+    gender = F.when(only("female") & ~only("male"), "female").when(only("male") & ~only("female"), "male").when(F.max("gender") > "", "any").otherwise("")
+    known = checkpointed(said.groupBy("kind", "form").agg(gender.alias("gender")))
+    state = checkpointed(known.withColumn("attempt", F.lit(0)).mapInArrow(named, _STATE))
+    for _ in range(max_attempts):
         # A surrogate's rightful owner is the least entity that has it; an entity of the corpus owns its own form.
         owners = state.groupBy("kind", "new").agg(F.count("*").alias("n"), F.min("form").alias("least")).join(known.select("kind", F.col("form").alias("new"), F.lit(True).alias("real")), ["kind", "new"], "left").where("n > 1 or real")
-        bad = checkpointed(state.join(owners, ["kind", "new"]).where("real or form != least").select("kind", "form", (F.col("attempt") + 1).alias("attempt")))
+        bad = checkpointed(state.join(owners, ["kind", "new"]).where("real or form != least").select("kind", "form", "gender", (F.col("attempt") + 1).alias("attempt")))
         if not bad.count():
-            return state.where("attempt > 0").select("kind", "form", "attempt")
+            return state.where("attempt > 0 or gender != ''").select("kind", "form", "gender", "attempt")
         rest = state.join(bad, ["kind", "form"], "left_anti")
-        state = checkpointed(rest.unionByName(bad.mapInArrow(named, "kind string, form string, attempt int, new string")))
+        state = checkpointed(rest.unionByName(bad.mapInArrow(named, _STATE)))
+    raise ValueError(f"no free surrogate after {max_attempts} attempts for {[tuple(r) for r in bad.groupBy('kind').count().collect()]}")
 
 
-def pseudonymised(docs: DataFrame, key: bytes = DEFAULT_KEY, broadcast_attempts: int = BROADCAST_ATTEMPTS) -> DataFrame:
+def pseudonymised(docs: DataFrame, key: bytes = DEFAULT_KEY, broadcast_attempts: int = BROADCAST_ATTEMPTS, max_attempts: int = MAX_ATTEMPTS) -> DataFrame:
     """docs with text rewritten, and entities: kind, surrogate and place (code points, in the new text)."""
-    docs = without(docs, ["entities"])
+    docs = without(docs, ["entities"]).withColumn("text", F.col("text").cast("string"))
     names = docs.columns
     kind = "array<struct<kind:string,start:bigint,end:bigint,surrogate:string>>"
     arrow = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("surrogate", pa.string())]))
     schema = docs.withColumn("text", F.col("text").cast("string")).withColumn("entities", F.array().cast(kind)).schema
-    again = checkpointed(attempts(docs, key))
+    again = checkpointed(attempts(docs, key, max_attempts))
 
-    def rewrite(batch: pa.RecordBatch, attempt: Callable[[int], dict[tuple[str, str], int]]) -> pa.RecordBatch:
+    def rewrite(batch: pa.RecordBatch, attempt: Callable[[int], dict[tuple[str, str], tuple[int, str]]]) -> pa.RecordBatch:
         texts, notes = [], []
         for row, text in enumerate(batch.column("text").cast(pa.string()).to_pylist()):
             own, out, at, size = [], [], 0, 0
             tries = attempt(row)
             for a, b, what, form in entities(text) if text else ():
-                new = rendered(what, text[a:b], surrogate(key, what, form, tries.get((what, form), 0)))
+                new = rendered(what, text[a:b], surrogate(key, what, form, *tries.get((what, form), (0, ""))))
                 out += [text[at:a], new]
                 size += a - at + len(new)
                 at = b
@@ -231,26 +295,26 @@ def pseudonymised(docs: DataFrame, key: bytes = DEFAULT_KEY, broadcast_attempts:
         return pa.RecordBatch.from_arrays([*cols, pa.array(notes, arrow)], names=[*names, "entities"])
 
     if again.count() <= broadcast_attempts:
-        table = docs.sparkSession.sparkContext.broadcast({(r.kind, r.form): r.attempt for r in again.collect()})
+        table = docs.sparkSession.sparkContext.broadcast({(r.kind, r.form): (r.attempt, r.gender) for r in again.collect()})
 
         def everywhere(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+            for batch in textscan.bounded(batches):
                 yield rewrite(batch, lambda _: table.value)
 
         return docs.mapInArrow(everywhere, schema)
     texts = docs.select(F.md5("text").alias("uid"), F.col("text").cast("string").alias("text")).where("text is not null")
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in textscan.bounded(batches):
             rows = [(u, k, f) for u, text in zip(batch.column("uid").to_pylist(), batch.column("text").to_pylist(), strict=True) for k, f in {e[2:] for e in entities(text)}]
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*rows, strict=True)] if rows else [pa.array([], pa.string())] * 3, names=["uid", "kind", "form"])
 
-    own = texts.mapInArrow(find, "uid string, kind string, form string").join(again, ["kind", "form"]).groupBy("uid").agg(F.collect_set(F.struct("kind", "form", "attempt")).alias("__tries"))
+    own = texts.mapInArrow(find, "uid string, kind string, form string").join(again, ["kind", "form"]).groupBy("uid").agg(F.collect_set(F.struct("kind", "form", "attempt", "gender")).alias("__tries"))
     joined = docs.join(own.select(F.col("uid").alias("__uid"), "__tries"), F.md5("text") == F.col("__uid"), "left").select(*names, "__tries")
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            tries = [{(x["kind"], x["form"]): x["attempt"] for x in own or ()} for own in batch.column("__tries").to_pylist()]
+        for batch in textscan.bounded(batches):
+            tries = [{(x["kind"], x["form"]): (x["attempt"], x["gender"]) for x in own or ()} for own in batch.column("__tries").to_pylist()]
             yield rewrite(batch, tries.__getitem__)
 
     return joined.mapInArrow(each, schema)
