@@ -3,7 +3,8 @@
 The network's vocabulary holds the most frequent words of the corpus; the others
 share hashed places, and in its place each word has the share of its count there.
 Words counted more than a threshold, which follows the corpus, have their own count,
-the rest of a place the mean of theirs. The network sees WIDTH words on either side of a masked one and
+the rest of a place the mean of theirs. Texts are turned into places once and the
+places written as a table. The network sees WIDTH words on either side of a masked one and
 predicts it: embeddings by position, one tanh layer, and a softmax in two steps,
 the word's class and the word in its class. It is trained in numpy on all
 documents at once: in each round every task starts from the shared weights, trains
@@ -14,7 +15,11 @@ A document's score is the sum of its words' conditional log probabilities, each
 given both sides.
 
 Defined results. Null, empty or wordless text: no tokens, a score of 0 and a null
-mean. Equal texts get equal scores.
+mean; so in an empty table. Rows with equal texts get equal scores, up to the last
+bits of a sum, and all count in training. Words of equal count rank by hash. The
+weights depend on how rows are dealt to tasks, as each task trains on its own. A text of any length
+is scored whole. Columns with the names of the results are replaced; names that
+begin with __ are the operator's own.
 """
 
 from __future__ import annotations
@@ -36,16 +41,23 @@ CLASSES = 64
 VOCABULARY = CLASSES * CLASSES
 EMBEDDING, HIDDEN = 16, 32
 ROUNDS, MASKED = 2, 8
+#: Tasks whose weights are averaged together; averages are averaged again, so many at a time.
+FAN_IN = 16
 #: Words with a count of their own, at most: their table goes to every task.
 LISTED = 1 << 18
-BATCH, RATE = 512, 0.08
+#: Positions of one training step: few at first, more the more a task has seen.
+LEAST_BATCH, BATCH, RATE = 256, 2048, 0.08
 _PAD = VOCABULARY
-_SHAPES = {"e": (VOCABULARY + 1, EMBEDDING), "w": (2 * WIDTH * EMBEDDING, HIDDEN), "b": (HIDDEN,), "c": (HIDDEN, CLASSES), "cb": (CLASSES,), "v": (CLASSES, HIDDEN, CLASSES), "vb": (CLASSES, CLASSES)}
+#: Embeddings, hidden layer and its bias, classes, and words of each class; the last row of these two is their bias.
+_SHAPES = {"e": (VOCABULARY + 1, EMBEDDING), "w": (2 * WIDTH * EMBEDDING, HIDDEN), "b": (HIDDEN,), "c": (HIDDEN + 1, CLASSES), "v": (CLASSES, HIDDEN + 1, CLASSES)}
+#: exp() of float32 logits up to this is summed without taking the row's most off.
+_SAFE = 60.0
+_ONES = np.ones(CLASSES, np.float32)
 Weights = dict[str, np.ndarray]
 
 
 def _hashed(column: pa.Array) -> Iterator[tuple[textscan.Texts, textscan.Runs, np.ndarray]]:
-    for t in textscan.chunks(column, 1 << 20):
+    for t in textscan.chunks(column):
         folded = textscan.FOLD[t.data]
         w = textscan.words(textscan.Texts(folded, t.offsets, t.first), textscan.ALNUM)
         yield t, w, textscan.span_hash(folded, w.starts, w.ends) if len(w) else np.zeros(0, np.uint64)
@@ -71,6 +83,9 @@ class Vocabulary:
             own = np.where(others, np.log(n / total[self._shared(word) - FREQUENT]), 0.0)
             self.rest = np.log(rest[1] / rest[0] / total)
         self.share = own[order]
+        #: Words of the corpus in each place.
+        self.counts = np.concatenate([np.zeros(FREQUENT), total])
+        np.add.at(self.counts, rank[~others], n[~others])
 
     @staticmethod
     def _shared(h: np.ndarray) -> np.ndarray:
@@ -80,28 +95,38 @@ class Vocabulary:
         at = np.minimum(np.searchsorted(self.keys, h), len(self.keys) - 1)
         return at, self.keys[at] == h
 
-    def places(self, h: np.ndarray) -> np.ndarray:
-        if not len(self.keys) or not len(h):
-            return self._shared(h)
-        at, listed = self._find(h)
-        return np.where(listed, self.place[at], self._shared(h))
-
-    def shares(self, h: np.ndarray) -> np.ndarray:
-        """Log probability of each word within its place."""
-        if not len(self.keys) or not len(h):
-            return self.rest[self._shared(h) - FREQUENT]
-        at, listed = self._find(h)
-        return np.where(listed, self.share[at], self.rest[self._shared(h) - FREQUENT])
+    def look_up(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The place of each word, and its log probability within it."""
+        place = self._shared(h)
+        share = self.rest[place - FREQUENT]
+        if len(self.keys) and len(h):
+            # Equal words are looked up once, in ascending order.
+            word, back = np.unique(h, return_inverse=True)
+            at, listed = self._find(word)
+            place = np.where(listed, self.place[at], self._shared(word))[back]
+            share = np.where(listed, self.share[at], self.rest[self._shared(word) - FREQUENT])[back]
+        return place, share
 
 
 def vocabulary_of(texts: DataFrame, top: int = FREQUENT, listed: int = LISTED) -> Vocabulary:
     """Counted over all texts; the least count of a listed word is the least at which there are at most `listed`."""
 
+    def counted(seen: list[np.ndarray]) -> pa.RecordBatch:
+        word, n = np.unique(np.concatenate(seen), return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(textscan.signed(word)), pa.array(n)], names=["word", "n"])
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            seen = [h for _, _, h in _hashed(batch.column("text"))]
-            word, n = np.unique(np.concatenate(seen or [np.zeros(0, np.uint64)]), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(textscan.signed(word)), pa.array(n)], names=["word", "n"])
+        seen: list[np.ndarray] = []
+        size = 0
+        for batch in textscan.bounded(batches):
+            for _, _, h in _hashed(batch.column("text")):
+                seen.append(h)
+                size += len(h)
+            if size >= 1 << 20:
+                yield counted(seen)
+                seen, size = [], 0
+        if size:
+            yield counted(seen)
 
     words = checkpointed(texts.mapInArrow(count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")))
     # Different counts are few: at most the root of twice the corpus's words.
@@ -122,178 +147,248 @@ def vocabulary_of(texts: DataFrame, top: int = FREQUENT, listed: int = LISTED) -
     return Vocabulary(found["word"].to_numpy().view(np.uint64), found["n"].to_numpy(), rest, top)
 
 
-def targets(h: np.ndarray, runs: textscan.Runs, number: int, rounds: int, masked: int) -> np.ndarray:
-    """The words that are targets in a round: of `masked` slices every rounds-th, so that all are in one round."""
-    if not len(h):
+def targets(place: np.ndarray, offsets: np.ndarray, number: int, rounds: int, masked: int) -> np.ndarray:
+    """The words that are targets in a round: of `masked` slices every rounds-th, so that all are in one round.
+
+    offsets: where the texts begin in place.
+    """
+    if not len(place):
         return np.zeros(0, np.int64)
-    # By the words themselves and their place, so that no order of rows matters.
-    own = textscan.mix(h + (np.arange(len(h)) - runs.bounds[runs.doc]).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) % np.uint64(masked)
+    # By the words' places and where they stand in their text, so that no order of rows matters.
+    at = np.arange(len(place)) - np.repeat(offsets[:-1], np.diff(offsets))
+    own = textscan.mix(place.astype(np.uint64) + at.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) % np.uint64(masked)
     turns = min(rounds, masked)
     return np.flatnonzero(own % np.uint64(turns) == np.uint64(number % turns))
 
 
-def _split(place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    return place % CLASSES, place // CLASSES
-
-
-def start(seed: int = 7) -> Weights:
+def start(vocabulary: Vocabulary, seed: int = 7) -> Weights:
+    """Random weights, and biases that say what each place's share of the corpus says."""
     rng = np.random.default_rng(seed)
     w = {k: (rng.standard_normal(s) * (0.1 if k == "e" else s[0] ** -0.5 if len(s) < 3 else s[1] ** -0.5)).astype(np.float32) for k, s in _SHAPES.items()}
-    return w | {k: np.zeros(_SHAPES[k], np.float32) for k in ("b", "cb", "vb")}
+    # Word r of class c is place r * CLASSES + c.
+    n = vocabulary.counts.reshape(CLASSES, CLASSES).T + 0.5
+    cls = n.sum(axis=1)
+    w["b"][:] = 0
+    w["c"][-1] = np.log(cls / cls.sum())
+    w["v"][:, -1] = np.log(n / cls[:, None])
+    return w
 
 
-def _around(place: np.ndarray, doc: np.ndarray) -> np.ndarray:
+def _around(place: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """The WIDTH places before and after each word of the same text."""
     n = len(place)
-    out = np.full((n, 2 * WIDTH), _PAD, np.int32)
+    out = np.full((n, 2 * WIDTH), _PAD, np.int16)
+    inside = offsets[(offsets > 0) & (offsets < n)]
     for j, d in enumerate([*range(-WIDTH, 0), *range(1, WIDTH + 1)]):
         a, b = max(0, -d), min(n, n - d)
         if a < b:
-            own = doc[a:b] == doc[a + d : b + d]
-            out[a:b, j][own] = place[a + d : b + d][own]
+            out[a:b, j] = place[a + d : b + d]
+        # What a text's first or last words would see of its neighbour.
+        for k in range(abs(d)):
+            at = inside + k if d < 0 else inside - 1 - k
+            out[at[(at >= 0) & (at < n)], j] = _PAD
     return out
 
 
-def _softmax_log(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
+def _hidden(w: Weights, around: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """What stands around each word, and the hidden layer with a 1 behind it."""
+    x = np.take(w["e"], around, axis=0).reshape(len(around), -1)
+    own = x @ w["w"]
+    own += w["b"]
+    h = np.ones((len(around), HIDDEN + 1), np.float32)
+    h[:, :-1] = np.tanh(own, out=own)
+    return x, h
+
+
+def _by_class(place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[int]]:
+    """An order of the places by class, their classes and words in it, and where each class begins."""
+    cls = (place % CLASSES).astype(np.uint8)
+    order = np.argsort(cls, kind="stable")
+    cls = cls[order]
+    return order, cls, (place // CLASSES)[order], np.searchsorted(cls, np.arange(CLASSES + 1)).tolist()
+
+
+def _word_logits(w: Weights, h: np.ndarray, cuts: list[int]) -> np.ndarray:
+    """Of the words of each row's class; rows stand by class."""
+    out = np.empty((len(h), CLASSES), np.float32)
+    for c in range(CLASSES):
+        lo, hi = cuts[c], cuts[c + 1]
+        if hi > lo:
+            np.matmul(h[lo:hi], w["v"][c], out=out[lo:hi])
+    return out
 
 
 def log_probability(w: Weights, around: np.ndarray, place: np.ndarray) -> np.ndarray:
     out = np.empty(len(place))
-    for lo in range(0, len(place), 8192):
-        own = place[lo : lo + 8192]
-        h = np.tanh(w["e"][around[lo : lo + 8192]].reshape(len(own), -1) @ w["w"] + w["b"])
-        cls, word = _split(own)
-        p = _softmax_log(h @ w["c"] + w["cb"])[np.arange(len(own)), cls]
-        order = np.argsort(cls, kind="stable")
-        cuts = np.searchsorted(cls[order], np.arange(CLASSES + 1))
-        for c in range(CLASSES):
-            at = order[cuts[c] : cuts[c + 1]]
-            if len(at):
-                p[at] += _softmax_log(h[at] @ w["v"][c] + w["vb"][c])[np.arange(len(at)), word[at]]
-        out[lo : lo + 8192] = p
+    # As the hidden layer is within -1 and 1, no logit is larger than its weights together.
+    safe = max(np.abs(w["c"]).sum(axis=0).max(), np.abs(w["v"]).sum(axis=1).max()) < _SAFE
+    for lo in range(0, len(place), 2 * BATCH):
+        order, cls, word, cuts = _by_class(place[lo : lo + 2 * BATCH])
+        n = np.arange(len(order))
+        _, h = _hidden(w, around[lo : lo + 2 * BATCH][order])
+        p = np.zeros(len(order))
+        for x, own in ((h @ w["c"], cls), (_word_logits(w, h, cuts), word)):
+            if not safe:
+                x -= x.max(axis=1, keepdims=True)
+            p += x[n, own]
+            p -= np.log(np.exp(x, out=x) @ _ONES)
+        out[lo : lo + 2 * BATCH][order] = p
     return out
 
 
+def _error(x: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """Of logits, in place: the probabilities less 1 at the right place."""
+    np.exp(np.minimum(x, _SAFE, out=x), out=x)
+    x *= (1 / (x @ _ONES))[:, None]
+    x[np.arange(len(x)), own] -= 1
+    return x
+
+
 def train_batch(w: Weights, sums: Weights, around: np.ndarray, place: np.ndarray) -> None:
     """One step of stochastic gradient descent with adaptive rates, in place."""
-    n = len(place)
-    x = w["e"][around].reshape(n, -1)
-    h = np.tanh(x @ w["w"] + w["b"])
-    cls, word = _split(place)
-    dc = np.exp(_softmax_log(h @ w["c"] + w["cb"]))
-    dc[np.arange(n), cls] -= 1
+    order, cls, word, cuts = _by_class(place)
+    around = around[order]
+    x, h = _hidden(w, around)
+    dc = _error(h @ w["c"], cls)
+    dv = _error(_word_logits(w, h, cuts), word)
     dh = dc @ w["c"].T
-    # All classes in one product: each class's rows stand in its own block, padded with zeros.
-    order = np.argsort(cls, kind="stable")
-    own = cls[order]
-    slot = np.arange(n) - np.searchsorted(own, np.arange(CLASSES))[own]
-    wide = int(slot.max()) + 1
-    at = own * wide + slot
-    hs, ds = np.zeros((CLASSES * wide, HIDDEN), np.float32), np.zeros((CLASSES * wide, CLASSES), np.float32)
-    hs[at] = h[order]
-    hs = hs.reshape(CLASSES, wide, HIDDEN)
-    dv = np.exp(_softmax_log((hs @ w["v"]).reshape(-1, CLASSES)[at] + w["vb"][own]))
-    dv[np.arange(n), word[order]] -= 1
-    ds[at] = dv
-    ds = ds.reshape(CLASSES, wide, CLASSES)
-    dh[order] += (ds @ w["v"].transpose(0, 2, 1)).reshape(-1, HIDDEN)[at]
-    da = dh * (1 - h * h)
-    dx = (da @ w["w"].T).reshape(n * 2 * WIDTH, EMBEDDING)
+    g = {"c": h.T @ dc, "v": np.zeros(_SHAPES["v"], np.float32)}
+    for c in range(CLASSES):
+        lo, hi = cuts[c], cuts[c + 1]
+        if hi > lo:
+            own = dv[lo:hi]
+            dh[lo:hi] += own @ w["v"][c].T
+            np.matmul(h[lo:hi].T, own, out=g["v"][c])
+    h = h[:, :-1]
+    dh = dh[:, :-1] * (1 - h * h)
+    g |= {"w": x.T @ dh, "b": dh.sum(axis=0)}
+    dx = (dh @ w["w"].T).reshape(-1, EMBEDDING)
     by = np.argsort(around.ravel(), kind="stable")
     seen = around.ravel()[by]
-    first = np.flatnonzero(np.diff(seen, prepend=-1))
+    first = np.flatnonzero(np.diff(seen, prepend=np.int16(-1)))
     used = seen[first]
-    for name, g in (("c", h.T @ dc), ("cb", dc.sum(axis=0)), ("v", hs.transpose(0, 2, 1) @ ds), ("vb", ds.sum(axis=1)), ("w", x.T @ da), ("b", da.sum(axis=0))):
-        g /= n
-        rate = g * g
+    for name, own in g.items():
+        own /= len(place)
+        rate = own * own
         sums[name] += rate
         np.sqrt(sums[name], out=rate)
         rate += 1e-6
-        g *= RATE
-        g /= rate
-        w[name] -= g
-    g = np.add.reduceat(dx[by], first, axis=0) / n
-    sums["e"][used] += g * g
-    w["e"][used] -= RATE * g / (np.sqrt(sums["e"][used]) + 1e-6)
-
-
-def train(texts: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS, masked: int = MASKED) -> Weights:
-    sc = texts.sparkSession.sparkContext
-    weights = start()
-    n_parts = max(1, min(shuffle_partitions(texts.sparkSession), len(_SHAPES)))
+        own /= rate
+        own *= RATE
+        w[name] -= own
+    own = np.add.reduceat(np.take(dx, by, axis=0), first, axis=0) / len(place)
+    sums["e"][used] += own * own
+    w["e"][used] -= RATE * own / (np.sqrt(sums["e"][used]) + 1e-6)
+
+
+def _written(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """The places of a batch's texts, and where each text begins."""
+    t = textscan.whole(batch.column("__places"))
+    return t.data.view(np.int16), t.offsets // 2
+
+
+def encoded(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """docs with __places (two bytes a word) and __share (the sum of the words' log probabilities within their places)."""
+    names = docs.columns
+    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in textscan.bounded(batches):
+            said: list[bytes] = []
+            share = np.zeros(batch.num_rows)
+            for t, w, h in _hashed(batch.column("text")):
+                place, own = shared.value.look_up(h)
+                place = place.astype("<i2")
+                said += [place[a:b].tobytes() for a, b in zip(w.bounds[:-1].tolist(), w.bounds[1:].tolist(), strict=True)]
+                share[t.first : t.first + len(t)] = np.bincount(w.doc, weights=own, minlength=len(t))
+            yield pa.RecordBatch.from_arrays([*(batch.column(x) for x in names), pa.array(said, pa.binary()), pa.array(share)], names=[*names, "__places", "__share"])
+
+    out = docs.mapInArrow(encode, docs.withColumn("__places", F.lit(b"")).withColumn("__share", F.lit(0.0)).schema)
+    return out
+
+
+def train(places: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS, masked: int = MASKED) -> Weights:
+    """places: rows with __places, read once a round."""
+    sc = places.sparkSession.sparkContext
+    weights = start(vocabulary)
+    places = places.select("__places")
+    n_tasks = places.rdd.getNumPartitions()
     for number in range(rounds):
-        shared = sc.broadcast((weights, vocabulary))
+        shared = sc.broadcast(weights)
 
         def learn(batches: Iterator[pa.RecordBatch], shared=shared, number=number) -> Iterator[pa.RecordBatch]:
-            first, vocabulary = shared.value
-            w = {k: v.copy() for k, v in first.items()}
+            w = {k: v.copy() for k, v in shared.value.items()}
             sums = {k: np.full(s, 1e-3, np.float32) for k, s in _SHAPES.items()}
             n = 0
-            for batch in batches:
-                for _, runs, h in _hashed(batch.column("text")):
-                    place = vocabulary.places(h)
-                    around = _around(place, runs.doc)
-                    at = targets(h, runs, number, rounds, masked)
-                    for lo in range(0, len(at), BATCH):
-                        train_batch(w, sums, around[at[lo : lo + BATCH]], place[at[lo : lo + BATCH]])
-                    n += len(at)
+            wait = np.zeros((0, 2 * WIDTH), np.int16), np.zeros(0, np.int16)
+            for batch in textscan.bounded(batches, "__places"):
+                place, offsets = _written(batch)
+                at = targets(place, offsets, number, rounds, masked)
+                around, own = np.concatenate([wait[0], _around(place, offsets)[at]]), np.concatenate([wait[1], place[at]])
+                lo = 0
+                while len(own) - lo >= (size := min(BATCH, max(LEAST_BATCH, n // 8))):
+                    train_batch(w, sums, around[lo : lo + size], own[lo : lo + size])
+                    lo += size
+                    n += size
+                wait = around[lo:], own[lo:]
+            if len(wait[1]):
+                train_batch(w, sums, *wait)
+                n += len(wait[1])
             if n:
                 task = TaskContext.get().partitionId()
                 for name, x in w.items():
-                    yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([task], pa.int32()), pa.array([n], pa.int64()), pa.array([x.tobytes()], pa.binary())], names=["name", "task", "n", "x"])
-
-        def average(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            total: dict[str, np.ndarray] = {}
-            weight: dict[str, int] = {}
-            for batch in batches:
-                for name, n, x in zip(*(batch.column(c).to_pylist() for c in ("name", "n", "x")), strict=True):
-                    own = np.frombuffer(x, np.float32).astype(np.float64) * n
-                    total[name] = total[name] + own if name in total else own
-                    weight[name] = weight.get(name, 0) + n
-            for name, x in total.items():
-                yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([weight[name]], pa.int64()), pa.array([x.tobytes()], pa.binary())], names=["name", "n", "x"])
-
-        parts = texts.mapInArrow(learn, "name string, task int, n long, x binary")
-        # First some tasks together, then all: no task reads every task's weights.
-        some = parts.repartition(n_parts * 4, "name", F.col("task") % 16).mapInArrow(average, "name string, n long, x binary")
-        got: dict[str, tuple[np.ndarray, int]] = {}
-        for r in some.collect():
-            x = np.frombuffer(r.x, np.float64)
-            old = got.get(r.name, (0.0, 0))
-            got[r.name] = (old[0] + x, old[1] + r.n)
+                    yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([task], pa.int32()), pa.array([n], pa.int64()), pa.array([x.astype(np.float64).tobytes()], pa.binary())], names=["name", "task", "n", "x"])
+
+        parts = places.mapInArrow(learn, "name string, task int, n long, x binary")
+        # FAN_IN tasks together, then these averages, and so on: no task and not the driver reads every task's weights.
+        groups = n_tasks
+        while groups > 1:
+            groups = -(-groups // FAN_IN)
+            parts = parts.withColumn("task", F.expr(f"task div {FAN_IN}").cast("int")).repartition(min(groups * len(_SHAPES), shuffle_partitions(places.sparkSession)), "name", "task").mapInArrow(_average, "name string, task int, n long, x binary")
+        got = {r.name: np.frombuffer(r.x, np.float64) for r in parts.collect()}
+        shared.destroy()
         if not got:
             break
-        weights = {k: (got[k][0] / got[k][1]).reshape(s).astype(np.float32) for k, s in _SHAPES.items()}
+        weights = {k: got[k].reshape(s).astype(np.float32) for k, s in _SHAPES.items()}
     return weights
 
 
-def pseudo_likelihood(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """docs with n_tokens, log_likelihood (summed) and mean_log_likelihood."""
-    docs = without(docs, ["n_tokens", "log_likelihood", "mean_log_likelihood"])
-    names = docs.columns
-    texts = docs.select(F.col("text").cast("string").alias("text"))
-    vocabulary = vocabulary_of(texts)
-    weights = train(texts, vocabulary, rounds)
-    shared = docs.sparkSession.sparkContext.broadcast((weights, vocabulary))
-    schema = docs.select("*", F.lit(0).cast("long").alias("n_tokens"), F.lit(0.0).alias("log_likelihood")).schema
+def _average(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (name, task, n, x) with the same name and task as one, weighted by n."""
+    total: dict[tuple[str, int], np.ndarray] = {}
+    weight: dict[tuple[str, int], int] = {}
+    for batch in batches:
+        for name, task, n, x in zip(*(batch.column(c).to_pylist() for c in ("name", "task", "n", "x")), strict=True):
+            own, key = np.frombuffer(x, np.float64) * n, (name, task)
+            total[key] = total[key] + own if key in total else own
+            weight[key] = weight.get(key, 0) + n
+    for (name, task), x in total.items():
+        n = weight[name, task]
+        yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([task], pa.int32()), pa.array([n], pa.int64()), pa.array([(x / n).tobytes()], pa.binary())], names=["name", "task", "n", "x"])
+
+
+def pseudo_likelihood(docs: DataFrame, rounds: int = ROUNDS, keep_text: bool = True) -> DataFrame:
+    """docs (without its text, if that is not to be kept) with n_tokens, log_likelihood (summed) and mean_log_likelihood."""
+    docs = without(docs, ["n_tokens", "log_likelihood", "mean_log_likelihood"]).withColumn("text", F.col("text").cast("string"))
+    vocabulary = vocabulary_of(docs.select("text"))
+    places = encoded(docs, vocabulary)
+    places = checkpointed(places if keep_text else places.drop("text"))
+    names = [c for c in places.columns if c not in ("__places", "__share")]
+    shared = docs.sparkSession.sparkContext.broadcast(train(places, vocabulary, rounds))
+    schema = places.select(*names, F.lit(0).cast("long").alias("n_tokens"), F.lit(0.0).alias("log_likelihood")).schema
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights, vocabulary = shared.value
-        for batch in batches:
-            n, total = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows)
-            for t, w, h in _hashed(batch.column("text").cast(pa.string())):
-                if len(h):
-                    place = vocabulary.places(h)
-                    n[t.first : t.first + len(t)] = np.diff(w.bounds)
-                    total[t.first : t.first + len(t)] = np.bincount(w.doc, weights=log_probability(weights, _around(place, w.doc), place) + vocabulary.shares(h), minlength=len(t))
+        for batch in textscan.bounded(batches, "__places"):
+            place, offsets = _written(batch)
+            n = np.diff(offsets)
+            total = np.bincount(np.repeat(np.arange(len(n)), n), weights=log_probability(shared.value, _around(place, offsets), place), minlength=len(n))
+            total += batch.column("__share").to_numpy()
             yield pa.RecordBatch.from_arrays([*(batch.column(x) for x in names), pa.array(n), pa.array(total)], names=[*names, "n_tokens", "log_likelihood"])
 
-    scored = docs.mapInArrow(score, schema)
+    scored = places.mapInArrow(score, schema)
     return scored.withColumn("mean_log_likelihood", F.when(F.col("n_tokens") > 0, F.col("log_likelihood") / F.col("n_tokens")))
 
 
 def report(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return pseudo_likelihood(slim, rounds).select("doc_id", "n_tokens", "log_likelihood", "mean_log_likelihood")
+    return pseudo_likelihood(slim, rounds, keep_text=False).select("doc_id", "n_tokens", "log_likelihood", "mean_log_likelihood")

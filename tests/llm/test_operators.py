@@ -262,12 +262,54 @@ def test_pseudo_likelihood(spark, empty):
 
 @pytest.mark.parametrize("rounds", [1, 2, 3, 8])
 def test_every_position_is_a_target_once(rounds):
-    import pyarrow as pa
+    place, offsets = np.arange(406, dtype=np.int16) % 37, np.array([0, 400, 400, 406])
+    at = np.concatenate([pseudo_likelihood.targets(place, offsets, i, rounds, 8) for i in range(rounds)])
+    assert sorted(at.tolist()) == list(range(406))
+
+
+def plain_log_probability(w, around, place):
+    """One word at a time, both softmaxes written out."""
+    h = np.tanh(np.concatenate([w["e"][p] for p in around]) @ w["w"] + w["b"])
+    out = 0.0
+    h = np.append(h, 1.0)
+    for logits, own in ((h @ w["c"], place % 64), (h @ w["v"][place % 64], place // 64)):
+        p = np.exp(logits.astype(np.float64))
+        out += float(np.log(p[own] / p.sum()))
+    return out
+
 
-    column = pa.array([" ".join(f"w{i % 37} v{i}" for i in range(200)), None, "the of the of the of"])
-    for _, runs, h in pseudo_likelihood._hashed(column):
-        at = np.concatenate([pseudo_likelihood.targets(h, runs, i, rounds, 8) for i in range(rounds)])
-        assert sorted(at.tolist()) == list(range(406))
+def test_network_against_one_word_at_a_time():
+    rng = np.random.default_rng(8)
+    vocabulary = pseudo_likelihood.Vocabulary(np.arange(1, 400, dtype=np.uint64), np.arange(400, 1, -1), np.ones((2, 2048)))
+    w = pseudo_likelihood.start(vocabulary)
+    place, offsets = rng.integers(0, 4096, 300).astype(np.int16), np.array([0, 0, 1, 3, 120, 300])
+    around = pseudo_likelihood._around(place, offsets)
+    for lo, hi in zip(offsets[:-1], offsets[1:], strict=True):
+        for i in range(lo, hi):
+            assert around[i].tolist() == [int(place[j]) if lo <= j < hi else 4096 for j in (i - 2, i - 1, i + 1, i + 2)]
+    expected = [plain_log_probability(w, a, int(p)) for a, p in zip(around, place, strict=True)]
+    assert pseudo_likelihood.log_probability(w, around, place) == pytest.approx(expected, abs=1e-4)
+    # A small step along the gradient that train_batch takes raises the likelihood by what the gradient says.
+    before = {k: v.astype(np.float64) for k, v in w.items()}
+    sums = {k: np.full(v.shape, 1e12, np.float32) for k, v in w.items()}
+    pseudo_likelihood.train_batch(w, sums, around, place)
+    step = {k: w[k] - before[k] for k in w}
+    for name, at in (("c", (3, 5)), ("c", (-1, 9)), ("b", (2,)), ("w", (7, 1)), ("v", (int(place[0]) % 64, 4, 6)), ("e", (int(around[5][0]), 3))):
+        up, down = ({k: v.copy() for k, v in before.items()} for _ in range(2))
+        up[name][at] += 1e-4
+        down[name][at] -= 1e-4
+        slope = sum(plain_log_probability(up, a, int(p)) - plain_log_probability(down, a, int(p)) for a, p in zip(around, place, strict=True)) / 2e-4 / len(place)
+        assert step[name][at] == pytest.approx(slope * pseudo_likelihood.RATE / 1e6, abs=2e-8 + abs(slope) * 2e-9)
+
+
+def test_equal_texts_have_equal_scores(spark):
+    rows = [(i, f"one of the texts {i % 5} that stand here " * (i % 5 + 1), i) for i in range(40)]
+    got = pseudo_likelihood.pseudo_likelihood(spark.createDataFrame(rows, "doc_id long, text string, n_tokens int")).collect()
+    assert {r.n_tokens for r in got} == {8 * (i + 1) for i in range(5)} and set(got[0].asDict()) == {"doc_id", "text", "n_tokens", "log_likelihood", "mean_log_likelihood"}
+    by = collections.defaultdict(set)
+    for r in got:
+        by[r.text].add(round(r.log_likelihood, 2))
+    assert [len(x) for x in by.values()] == [1] * 5
 
 
 @pytest.mark.parametrize("listed", [10_000, 3000, 0])
@@ -278,7 +320,7 @@ def test_words_of_a_shared_place_have_their_own_probability(spark, listed):
     vocabulary = pseudo_likelihood.vocabulary_of(spark.createDataFrame(rows, "text string"), listed=listed)
     counts = collections.Counter(w for t, in rows for w in (t or "").split())
     h = next(pseudo_likelihood._hashed(pa.array([" ".join(counts)])))[2]
-    place, share = vocabulary.places(h), vocabulary.shares(h)
+    place, share = vocabulary.look_up(h)
     assert np.bincount(place, weights=np.exp(share))[np.unique(place)] == pytest.approx(1)
     if listed >= len(counts):
         n = np.array(list(counts.values()))
@@ -324,6 +366,85 @@ def test_surrogates(spark, docs, empty, how):
     assert surrogates.report(empty, **how).count() == 0
 
 
+def replaced_plainly(rows, key=surrogates.DEFAULT_KEY):
+    """All entities in one dictionary, one round after the other."""
+    said = collections.defaultdict(set)
+    for _, text in rows:
+        for _, _, kind, form, gender in surrogates.mentions(text or ""):
+            said[kind, form].add(gender)
+    gender = {e: "female" if "female" in g and "male" not in g else "male" if "male" in g and "female" not in g else "any" if g - {""} else "" for e, g in said.items()}
+    tries = dict.fromkeys(said, 0)
+    while True:
+        owners = collections.defaultdict(list)
+        for kind, form in said:
+            owners[kind, surrogates.surrogate(key, kind, form, tries[kind, form], gender[kind, form])].append(form)
+        bad = [(kind, form) for (kind, new), forms in owners.items() for form in forms if (kind, new) in said or form != min(forms)]
+        if not bad:
+            break
+        for e in bad:
+            tries[e] += 1
+    out = []
+    for i, text in rows:
+        new = text
+        for a, b, kind, form, _ in reversed(surrogates.mentions(text or "")):
+            new = new[:a] + surrogates.rendered(kind, text[a:b], surrogates.surrogate(key, kind, form, tries[kind, form], gender[kind, form])) + new[b:]
+        out.append((i, new))
+    return out
+
+
+@pytest.mark.parametrize("how", [{}, {"broadcast_attempts": -1}])
+def test_surrogates_against_one_dictionary(spark, how):
+    rng = np.random.default_rng(9)
+    names = ["Holm", "Jane", "Smith", "Ivo", "Kovacs", "Lund"]
+    say = lambda: rng.choice([f"_@{'abcdef'[rng.integers(6)]}.io", f"x{rng.integers(30)}@b.io", f"10.0.0.{rng.integers(200)}", f"{rng.choice(['Mr', 'Ms', 'Dr'])} {rng.choice(names)} {rng.choice(names)}", f"Mr {rng.choice(names)}", rng.choice(names), "word", "123-45-67%02d" % rng.integers(99)])
+    rows = [(i, ", ".join(str(say()) for _ in range(rng.integers(0, 12)))) for i in range(120)] + [(500, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    same(surrogates.report(docs, **how).select("doc_id", "text"), replaced_plainly(rows))
+
+
+def test_mentions_of_a_person_keep_together(spark):
+    rows = [(1, "Dr Jane Smith met Ms Smith. Jane and SMITH left; Smith's coat stayed, smith stayed. Janet came."), (2, "Ms Jane Lund and Mr Ivo Lund"), (3, "Jane Lund without a title")]
+    got = {r.doc_id: r for r in surrogates.pseudonymised(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    new = [e.surrogate for e in got[1].entities]
+    jane, smith = new[0], new[1]
+    assert new == [jane, smith, smith, jane, smith.upper(), smith]
+    assert got[1].text == f"Dr {jane} {smith} met Ms {smith}. {jane} and {smith.upper()} left; {smith}'s coat stayed, smith stayed. Janet came."
+    assert jane.endswith(("a", "ia", "ine")), "Ms Jane elsewhere says the gender"
+    assert got[2].entities[2].surrogate.endswith(("n", "r", "s")) and got[2].entities[1].surrogate == got[2].entities[3].surrogate
+    assert got[3].text == rows[2][1]
+
+
+def test_addresses_without_letters_and_full_ranges(spark):
+    rows = [(i, f"_@{c}.io") for i, c in enumerate("abcdefghijklmnopqrstuvwxyz")]
+    rows += [(100 + a, " ".join(f"192.168.{a}.{b}" for b in range(1, 255))) for a in range(1, 255)]
+    got = {r.doc_id: r.text for r in surrogates.report(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    new = [x for t in got.values() for x in t.split()]
+    old = {x for _, t in rows for x in t.split()}
+    assert len(set(new)) == len(new) == len(old) and not set(new) & old
+
+
+def test_full_form_is_an_error(spark):
+    rows = [(i, f"_@{c}.io") for i, c in enumerate("abcdefghijklmnopqrstuvwxyz")]
+    with pytest.raises(ValueError, match="no free surrogate"):
+        surrogates.report(spark.createDataFrame(rows, "doc_id long, text string"), max_attempts=1).count()
+
+
+def test_account_numbers_stay_valid():
+    valid = "GB82WEST12345698765432"
+    assert surrogates._mod97(valid) == 1
+    for i in range(20):
+        new = surrogates.surrogate(b"k", "iban", valid, i)
+        assert surrogates._mod97(new) == 1 and new[:2] == "GB" and new[4:8].isalpha() and new[8:].isdigit() and new != valid
+
+
+def test_overlaps_take_linear_time():
+    import time
+
+    began = time.time()
+    assert len(surrogates.entities(" ".join(f"a{i}@b{i}.org" for i in range(40_000)))) == 40_000
+    assert time.time() - began < 5
+
+
 def test_pipeline(spark, tmp_path):
     import corpus_pipeline
 
