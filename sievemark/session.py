@@ -9,11 +9,18 @@ import tempfile
 from pyspark.sql import SparkSession
 
 _shipped: set[str] = set()
+#: Bytes of an Arrow batch between the JVM and Python: what stands beside the heap, on both sides, is a few times this a task.
+BATCH_SETTING, BATCH_DEFAULT, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 64 << 20, 2 << 20
 
 
 def ship(spark: SparkSession) -> None:
-    """Sends this package to the executors once, so that Python tasks can import it wherever the driver runs."""
+    """Sends this package to the executors once, so that Python tasks can import it wherever the driver runs.
+
+    Batches of texts are bounded in bytes, too, where the session leaves Spark's default of 64 MB.
+    """
     sc = spark.sparkContext
+    if spark.conf.get(BATCH_SETTING, f"{BATCH_DEFAULT}b").rstrip("b") == str(BATCH_DEFAULT):
+        spark.conf.set(BATCH_SETTING, f"{BATCH_BYTES}b")
     if sc.applicationId in _shipped:
         return
     home = os.path.dirname(os.path.abspath(__file__))
