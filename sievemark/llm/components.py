@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 
 from sievemark.llm.stage import checkpointed
 
+#: Links of a file of the link table.
+FILE_ROWS = 250_000
+
 
 def components(links: DataFrame) -> DataFrame:
     """links (a, b), any order, repeats allowed -> (node, root): the smallest node of each linked node's component."""
@@ -23,10 +26,11 @@ def components(links: DataFrame) -> DataFrame:
         if now == mark or now[0] == 0:
             return state.select(F.col("a").alias("node"), F.col("b").alias("root")).union(state.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
         mark = now
+        files = -(-2 * now[0] // FILE_ROWS)
         both = state.union(state.select("b", "a"))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
         large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         large = down(large)
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e")).select("e.a", "e.b")
-        state = checkpointed(down(small))
+        state = checkpointed(down(small), files)

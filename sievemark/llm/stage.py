@@ -21,11 +21,19 @@ def checkpoint_folder(spark: SparkSession) -> str:
     return folder
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """df written as a table in the shared folder and read from there: cuts lineage, survives lost executors."""
-    path = f"{checkpoint_folder(df.sparkSession)}/stage-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+#: Files that a checkpoint table has for each core at most: more only cost their making and listing.
+FILES_A_CORE = 8
+
+
+def checkpointed(df: DataFrame, most_files: int | None = None) -> DataFrame:
+    """df written as a table in the shared folder and read from there: cuts lineage, survives lost executors.
+
+    most_files: for tables whose size is known to be small.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_folder(spark)}/stage-{uuid.uuid4().hex}"
+    df.coalesce(min(most_files or 1 << 30, FILES_A_CORE * spark.sparkContext.defaultParallelism)).write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

@@ -18,6 +18,7 @@ are equal repeat each other, so texts of at least `length` bytes go in all of th
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -137,9 +138,11 @@ def repeated_spans(docs: DataFrame, length: int = 200, gram: int = GRAM, max_fil
     def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         times: dict[tuple[int, bytes, bytes], int] = {}
 
-        def counted() -> pa.RecordBatch:
-            g, a, b = zip(*times, strict=True)
-            return pa.RecordBatch.from_arrays([pa.array(g, pa.int64()), pa.array(a, pa.binary()), pa.array(b, pa.binary()), pa.array(list(times.values()), pa.int64())], names=["gram", "before", "after", "times"])
+        def counted() -> Iterator[pa.RecordBatch]:
+            items = iter(times.items())
+            while some := list(itertools.islice(items, 4096)):
+                (g, a, b), n = zip(*(k for k, _ in some), strict=True), [n for _, n in some]
+                yield pa.RecordBatch.from_arrays([pa.array(g, pa.int64()), pa.array(a, pa.binary()), pa.array(b, pa.binary()), pa.array(n, pa.int64())], names=["gram", "before", "after", "times"])
 
         for batch in textscan.bounded(batches):
             for t in textscan.chunks(batch.column("text")):
@@ -147,10 +150,9 @@ def repeated_spans(docs: DataFrame, length: int = 200, gram: int = GRAM, max_fil
                 for g, (_, _, a, b) in zip(textscan.signed(h).tolist(), _contexts(t, place, length, gram), strict=True):
                     times[g, a, b] = times.get((g, a, b), 0) + 1
                 if len(times) >= 1 << 16:
-                    yield counted()
+                    yield from counted()
                     times = {}
-        if times:
-            yield counted()
+        yield from counted()
 
     def resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows come sorted by gram; groups are put together up to a size, and one that is too large is passed on."""
