@@ -80,8 +80,8 @@ def frequent_lines(docs: DataFrame, host: str, limit_docs: int, limit_percent: i
     hosts = d.groupBy("host").agg(F.count_distinct("doc_id").alias("n_host"))
     counted = hashed(distinct, "doc_id", "host").groupBy("host", "h1", "h2").agg(F.count_distinct("doc_id").alias("n")).where(F.col("n") >= limit_docs)
     frequent = counted.join(hosts, counted.host.eqNullSafe(hosts.host)).where(F.col("n") * 100 >= F.col("n_host") * limit_percent).select(counted.host.alias("f_host"), F.col("h1").alias("f1"), F.col("h2").alias("f2"))
-    lines = d.select("doc_id", "host", *uid, F.posexplode(F.split("text", "\n")).alias("at", "line")).select(*key, "at", normal(F.col("line")).alias("line")).where("line != ''")
-    lines = hashed(lines, *key, "at", F.length("line").alias("chars"))
+    lines = d.select("doc_id", "host", *uid, F.posexplode(F.split("text", "\n")).alias("at", "line")).select(*key, "at", F.length(_without(F.col("line"), _BLANKS)).alias("chars"), normal(F.col("line")).alias("line")).where("line != ''")
+    lines = hashed(lines, *key, "at", "chars")
     hit = lines.join(frequent, (F.col("h1") == F.col("f1")) & (F.col("h2") == F.col("f2")) & F.col("host").eqNullSafe(F.col("f_host"))).groupBy(*key, "at").agg(F.max("chars").alias("chars"))
     return hit.groupBy(*(F.col(c).alias(f"g_{c}") for c in key)).agg(F.count("*").alias("n_frequent_lines"), F.sum("chars").alias("frequent_chars"), F.collect_list("at").alias("frequent_at"))
 
@@ -120,7 +120,7 @@ def line_frequency(docs: DataFrame, host: str = "source", limit_docs: int = 20,
 
     A line is above the limit if at least limit_docs documents and limit_percent
     per cent of its host's documents have it. A document is depleted if such lines
-    hold more than deplete_percent per cent of its line characters.
+    hold more than deplete_percent per cent of word_chars.
     """
     d = docs.select(*(c.alias(n) for c, n in zip(_slim(docs, host), ("doc_id", "host", "text"), strict=True)))
     uid = [c.alias(n) for c, n in zip(_uid(F.col("text")), ("t1", "t2"), strict=True)]

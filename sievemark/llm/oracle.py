@@ -47,10 +47,10 @@ _QUALITY = f"""with d as (select doc_id, source, coalesce(text, '') as text, reg
  r as (select doc_id, count(distinct p) as n_repeat_words from (select doc_id, unnest([i, i + 1, i + 2]) as p from (select doc_id, i, count(*) over (partition by doc_id, x) as c from g) where c > 1) group by doc_id),
  l as (select doc_id, source, unnest(string_split(text, chr(10))) as line from d),
  dup as (select doc_id, count(*) - count(distinct line) as n_dup_lines from l where trim(line, {_BLANKS}) <> '' group by doc_id),
- k as (select doc_id, source, regexp_replace(lower(trim(line, {_BLANKS})), '[0-9]+', '0', 'g') as key from l),
+ k as (select doc_id, source, regexp_replace(lower(trim(line, {_BLANKS})), '[0-9]+', '0', 'g') as key, length(regexp_replace(line, '[\\x20\\x09-\\x0D]', '', 'g')) as chars from l),
  h as (select source, count(distinct doc_id) as n_host from d group by source),
  f as (select source, key from (select source, key, count(distinct doc_id) as n from k where key <> '' group by source, key having count(distinct doc_id) >= 20) join h using (source) where n * 100 >= n_host),
- gone as (select doc_id, count(*) as n_frequent_lines, sum(length(key)) as frequent_chars from k join f using (source, key) group by doc_id),
+ gone as (select doc_id, count(*) as n_frequent_lines, sum(chars) as frequent_chars from k join f using (source, key) group by doc_id),
  base as (select doc_id, len(w) as n_words, length(array_to_string(w, '')) as word_chars, length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) as n_symbols from d),
  joined as (select base.*, coalesce(n_dup_lines, 0) as n_dup_lines, coalesce(n_repeat_words, 0) as n_repeat_words, coalesce(n_frequent_lines, 0) as n_frequent_lines, cast(coalesce(frequent_chars, 0) as bigint) as frequent_chars from base left join dup using (doc_id) left join r using (doc_id) left join gone using (doc_id)),
  v as (select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed from joined)
