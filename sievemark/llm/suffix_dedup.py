@@ -14,6 +14,10 @@ strings are counted by digest over the whole cluster instead.
 
 Defined results. Null or empty text: no bytes. Strings never cross rows; rows that
 are equal repeat each other, so texts of at least `length` bytes go in all of them.
+Which copy comes first does not matter: all go. Of equal hashes in a string the first
+is its anchor. Texts of any length are scanned whole, in pieces. An empty table gives
+an empty one. Columns with the names of the results are replaced; names that begin
+with __ are the operator's own.
 """
 
 from __future__ import annotations
@@ -32,31 +36,38 @@ from sievemark.llm.stage import checkpointed, shuffle_partitions, without
 
 GRAM = 48
 GROUP_LIMIT = 100_000
-_PLACE = 30
+#: Bytes of a text whose strings are looked at together, and the bits that tell its places apart.
+PIECE = 256 << 10
+_PLACE = 20
 
 
 def anchors(t: textscan.Texts, length: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
-    """Anchor positions in the data of t, and the hashes of their grams."""
-    n = len(t.data)
-    none = np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    sizes = np.diff(t.offsets)
-    if n < length or not (sizes >= length).any():
-        return none
-    at = np.arange(n - gram + 1)
-    h = textscan.span_hash(t.data, at, at + gram)
-    low = (h >> np.uint64(_PLACE) << np.uint64(_PLACE)) | at.astype(np.uint64)
-    width, have = length - gram + 1, 1
-    while have * 2 <= width:
-        low = np.minimum(low[:-have], low[have:])
-        have *= 2
-    if have < width:
-        low = np.minimum(low[: len(low) - (width - have)], low[width - have :])
-    starts = np.ones(len(low), bool)
-    for end, size in zip(t.offsets[1:].tolist(), sizes.tolist(), strict=True):
-        starts[max(end - min(size, length - 1), 0) : end] = False
-    place = (low[starts] & np.uint64((1 << _PLACE) - 1)).astype(np.int64)
-    place = np.unique(place)
-    return place, h[place]
+    """Anchor positions in the data of t, and the hashes of their grams; strings are taken a piece at a time."""
+    found, hashes = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+    width = length - gram + 1
+    for at in range(0, len(t.data) - length + 1, PIECE):
+        data = t.data[at : at + PIECE + length - 1]
+        n = len(data) - length + 1
+        # Strings that begin here and end in the same text.
+        begin = np.arange(at, at + n)
+        whole = begin + length <= t.offsets[np.searchsorted(t.offsets, begin, "right")]
+        if not whole.any():
+            continue
+        grams = np.arange(n + width - 1)
+        h = textscan.span_hash(data, grams, grams + gram)
+        low = (h >> np.uint64(_PLACE) << np.uint64(_PLACE)) | grams.astype(np.uint64)
+        have = 1
+        while have * 2 <= width:
+            low = np.minimum(low[:-have], low[have:])
+            have *= 2
+        if have < width:
+            low = np.minimum(low[: len(low) - (width - have)], low[width - have :])
+        place = np.unique((low[whole] & np.uint64((1 << _PLACE) - 1)).astype(np.int64))
+        found.append(place + at)
+        hashes.append(h[place])
+    # A string near the end of a piece may have an anchor that one of the next piece has, too.
+    place, first = np.unique(np.concatenate(found), return_index=True)
+    return place, np.concatenate(hashes)[first]
 
 
 def _contexts(t: textscan.Texts, place: np.ndarray, length: int, gram: int) -> Iterator[tuple[int, int, bytes, bytes]]:
