@@ -9,7 +9,11 @@ verified word by word over a window as long as the item's.
 
 Defined results. Null text, of a document or an item, has no words; such items
 match nothing. Items with a null id mark words but are not listed. Equal ids are
-listed once. Rows with equal texts get equal results, whatever their doc_id.
+listed once. Rows with equal texts get equal results, whatever their doc_id. Of
+shingles of a window that are equally rare the one with the least hash is looked up,
+and of equal ones the first; which it is changes no result. Texts are scanned whole,
+whatever their length. Empty tables of either kind give no hits. Columns with the
+names of the results are replaced; names that begin with __ are the operator's own.
 """
 
 from __future__ import annotations

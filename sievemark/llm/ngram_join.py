@@ -19,7 +19,11 @@ lost. A group too large for a task is dealt in blocks that meet each other.
 Defined results. Null, empty or wordless text: an empty set, linked with nothing.
 A null doc_id takes part in nothing and has a null component. Rows that repeat a
 doc_id with other text count as one document with the largest of the texts; each
-row reports its own n_shingles.
+row reports its own n_shingles. A pair that just meets the threshold links. Where
+n-grams are equally frequent their hashes order them. n_links counts links among those
+compared, which connect whatever any links connect, and not all links. Texts are cut
+whole, whatever their length. An empty table gives an empty one. Only doc_id and text
+are read, and columns of other names are not returned.
 """
 
 from __future__ import annotations

@@ -16,7 +16,12 @@ Labels are read only of rows whose crc32 of the id, modulo `folds`, is not
 `held_out`, and of at most max_train rows, chosen by hash. Text is all that a score
 sees. Defined results. Null or empty text has no passage and gets the base score.
 Labels that are null are ignored; of several labels of an id the largest counts.
-Without labels of both classes every score is 0.
+Without labels of both classes every score is 0. Rows with equal texts get equal
+scores, whatever their ids. Of a word's tokens with equal scores any counts, as only
+the score does; of segments, one that only ties with what came before it stands by
+itself. Texts are scanned whole, whatever their length. An empty table gives an empty
+one. Columns named score and passages are replaced; names that begin with __ are the
+operator's own.
 """
 
 from __future__ import annotations

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from sievemark.llm import decontaminate, deep_shallow, language, line_dedup, line_quality, ngram_join, packing, pseudo_likelihood, suffix_dedup, surrogates, toxicity
+from sievemark.llm import decontaminate, deep_shallow, language, line_dedup, line_quality, ngram_join, packing, pseudo_likelihood, suffix_dedup, surrogates, textscan, toxicity
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, items int, key string"
 FOLD = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
@@ -343,6 +343,72 @@ def test_language(spark):
     assert language.report(spark.createDataFrame([], "page_id long, url string, html string"), docs).count() == 0
 
 
+def identified_plainly(pages, docs):
+    """Every count in a dictionary, every page by itself, with all others counted anew."""
+    import math
+
+    import pyarrow as pa
+
+    langs = sorted({x for _, x in docs if x})
+    cells = {x: collections.Counter(c for t, own in docs if own == x for _, cell, _ in language.trigrams(pa.array([t])) for c in cell.tolist()) for x in langs}
+    size = {x: sum(cells[x].values()) + 0.05 * language.CELLS for x in langs}
+    seen = []
+    for i, url, html in pages:
+        cell = [c for _, cell, _ in language.trigrams(pa.array([language.visible(html or "")])) for c in cell.tolist()]
+        like = {x: language.TEMPER * sum(math.log((cells[x][c] + 0.05) / size[x]) for c in cell) for x in langs}
+        host, domain, suffix, hint = language.address(url or "", set(langs))
+        said = language.declared(html or "")
+        seen.append({"id": i, "like": like, "guess": max(langs, key=lambda x: (like[x], -langs.index(x))) if cell else None, "host": host, "domain": domain, "suffix": suffix, "hint": hint, "declared": said if said in langs or not said else "?"})
+    out = {}
+    for p in seen:
+        others = [o for o in seen if o is not p and o["guess"]]
+        n = collections.Counter(o["guess"] for o in others)
+        by = {c: collections.Counter(o["guess"] for o in others if o[c] == p[c]) for c in ("host", "domain", "suffix", "hint", "declared")}
+        total = {}
+        for x in langs:
+            total[x] = p["like"][x] + sum(math.log((by[c][x] + 0.5) / (n[x] + 0.5 * (len(langs) + 2))) for c in ("hint", "declared"))
+            every = (sum(by["suffix"].values()) + 0.5) / (sum(n.values()) + 1)
+            total[x] += math.log((by["suffix"][x] + 20 * every) / (n[x] + 20))
+            share = (n[x] + 1) / (sum(n.values()) + len(langs))
+            domain = (by["domain"][x] + 10 * share) / (sum(by["domain"].values()) + 10)
+            total[x] += math.log((by["host"][x] + 5 * domain) / (sum(by["host"].values()) + 5))
+        best = max(langs, key=lambda x: (total[x], -langs.index(x)))
+        out[p["id"]] = (best, p["guess"], 1 / sum(math.exp(v - total[best]) for v in total.values()))
+    return out
+
+
+def test_language_against_plain_counts(spark):
+    words = {"en": "the and of to with that this have from".split(), "fr": "le la les des une dans pour avec que".split(), "de": "der die das und mit von für nicht".split()}
+    rng = np.random.default_rng(11)
+    docs = [(" ".join(rng.choice(words[x], 30)), x) for x in words for _ in range(5)]
+    pages = []
+    for i in range(60):
+        x = ("en", "fr", "de")[rng.integers(3)]
+        said = rng.choice([x, x, "xx", ""])
+        url = rng.choice([f"https://www.a{rng.integers(3)}.{rng.choice(['com', 'uk', 'fr'])}/{rng.choice([x, 'p'])}/{i}", f"http://{x}.b.org/{i}", "none"])
+        pages.append((i, str(url), f"<html{f' lang={said}' if said else ''}><body>{' '.join(rng.choice(words[x], rng.integers(0, 4)))}</body>"))
+    pages += [(100, None, None), (101, pages[0][1], pages[0][2])]
+    expected = identified_plainly(pages, docs)
+    got = language.report(spark.createDataFrame(pages, "page_id long, url string, html string"), spark.createDataFrame(docs, "text string, lang string")).collect()
+    assert len(got) == len(pages)
+    for r in got:
+        lang, guess, sure = expected[r.page_id]
+        assert (r.lang, r.text_lang) == (lang, guess) and r.confidence == pytest.approx(sure, abs=2e-4)
+
+
+def test_markup_takes_linear_time():
+    import time
+
+    began = time.time()
+    for x in ("<script", "<!--", "<", "<html ", "<meta content-language ", "</script>", "<style></script>"):
+        language.visible(x * 60_000)
+        language.declared(x * 60_000)
+    assert time.time() - began < 10
+    assert language.visible("a<script>x</SCRIPT >b<!-- y -->c<p>d</p>&amp;<style>e").split() == ["a", "b", "c", "d", "&", "e"]
+    assert language.declared("<html><meta name='x' content='de'><meta property='og:locale' content='fr_FR'>") == "fr"
+    assert language.declared("<html data-lang='de'><html class=x lang = 'EN-us'>") == "en"
+
+
 PRIVATE = "Mail Anna.Bo@mail.example.com or ANNA.BO@MAIL.EXAMPLE.COM, call +1 (613) 555-3280, card 4111 1111 1111 1111, host 10.2.3.4, Mrs Greta Holm and Mr Holm, г-жа Иванова."
 
 
@@ -445,6 +511,195 @@ def test_overlaps_take_linear_time():
     assert time.time() - began < 5
 
 
+def test_anchors_do_not_depend_on_pieces(monkeypatch):
+    rng = np.random.default_rng(12)
+    texts_ = [bytes(rng.choice([97, 98, 99], n).tolist()) for n in (5000, 199, 200, 0, 3000)]
+    t = textscan.Texts(np.frombuffer(b"".join(texts_), np.uint8), np.cumsum([0, *map(len, texts_)]))
+    whole = suffix_dedup.anchors(t, 200, 48)
+    monkeypatch.setattr(suffix_dedup, "PIECE", 301)
+    assert all((a == b).all() for a, b in zip(whole, suffix_dedup.anchors(t, 200, 48), strict=True))
+    h = textscan.span_hash(t.data, np.arange(len(t.data) - 47), np.arange(48, len(t.data) + 1)) >> np.uint64(20)
+    expected = {min(range(at, at + 153), key=lambda i: (h[i], i)) for lo, hi in zip(t.offsets[:-1], t.offsets[1:], strict=True) for at in range(lo, hi - 199)}
+    assert sorted(expected) == whole[0].tolist()
+
+
+def test_hashes_do_not_depend_on_pieces(monkeypatch):
+    data = np.random.default_rng(13).integers(0, 256, 9000).astype(np.uint8)
+    starts = np.arange(0, 8000, 7)
+    ends = starts + np.random.default_rng(14).integers(0, 1000, len(starts))
+    whole = textscan.span_hash(data, starts, ends)
+    monkeypatch.setattr(textscan, "PIECE", 64)
+    assert (textscan.span_hash(data, starts, ends) == whole).all()
+    assert whole[0] == textscan.span_hash(np.concatenate([data[5:9], data]), np.array([4]), ends[:1] + 4)[0]
+
+
+LONG = 8_000_000
+
+
+def test_one_very_long_text(spark):
+    docs = spark.range(1).select(F.lit(1).cast("long").alias("doc_id"), F.expr(f"array_join(transform(sequence(1, {LONG // 8}), i -> concat('w', 100000 + i % 700001)), ' ')").alias("text"), F.lit("s").alias("source"))
+    short = spark.createDataFrame([(2, PASSAGE, "s"), (3, PASSAGE, "s")], "doc_id long, text string, source string")
+    docs = docs.union(short).cache()
+    items = spark.createDataFrame([("i", PASSAGE)], "item_id string, text string")
+    labels = spark.createDataFrame([(2, 1), (3, 0)], "doc_id long, toxic int")
+    words = LONG // 8
+    first = lambda df: df.where("doc_id = 1").first()
+    assert first(packing.report(docs)).n_tokens == words
+    assert first(decontaminate.report(docs, items)).n_words == words
+    assert 0 <= first(toxicity.report(docs, labels)).score <= 1
+    row = first(suffix_dedup.report(docs))
+    # The words' numbers begin again after 700,001 of them: what follows is there twice, and so is what it repeats.
+    assert row.n_bytes == 8 * words - 1 and row.n_spans == 2 and abs(row.n_removed - 16 * (words - 700_001)) <= 16
+    assert first(ngram_join.report(docs, k=3, num=90)).n_shingles == 700_001
+    assert first(line_dedup.report(docs)).n_lines == 1
+    assert first(pseudo_likelihood.report(docs, rounds=1)).n_tokens == words
+    assert first(surrogates.report(docs)).n_entities == 0
+    assert first(line_quality.line_frequency(docs)).n_words == words
+    pages = docs.select(F.col("doc_id").alias("page_id"), F.lit("http://x.org/").alias("url"), F.concat(F.lit("<html lang=en>"), "text").alias("html"))
+    assert language.report(pages, docs.withColumn("lang", F.lit("en"))).where("page_id = 1").first().lang == "en"
+
+
+def test_other_columns_and_ids_of_text_stay(spark):
+    lines = f"{LINE}\nown"
+    rows = [(f"id{i}", lines if i < 6 else PASSAGE, i, i * 10, "en", f"k{i}") for i in range(8)]
+    docs = spark.createDataFrame(rows, "doc_id string, text string, n int, word int, lang string, key string")
+    clash = docs.select("*", *(F.lit("mine").alias(c) for c in ("score", "passages", "n_words", "items", "n_lines", "kept", "n_bytes", "entities", "n_tokens", "bucket", "padding", "log_likelihood", "depleted", "hash", "gram", "uid")))
+    items = spark.createDataFrame([("i", PASSAGE)], "item_id string, text string")
+    model = toxicity.Model(np.zeros(0, np.uint64), np.zeros(0), 1.0, 1.0, (0.0, 0.0, 0.0, 0.0))
+    outs = {
+        "line": line_dedup.drop_lines(clash),
+        "join": line_dedup.drop_lines(clash, broadcast_keys=0),
+        "contamination": decontaminate.contamination(clash, items),
+        "joined": decontaminate.contamination(clash, items, broadcast_bytes=0),
+        "toxicity": toxicity.passages(clash, model),
+        "suffix": suffix_dedup.remove_repeats(clash),
+        "likelihood": pseudo_likelihood.pseudo_likelihood(clash, rounds=1),
+        "surrogates": surrogates.pseudonymised(clash),
+        "packing": packing.pack(packing.token_counts(clash)),
+        "removal": line_quality.without_frequent_lines(clash.withColumn("doc_id", F.substr("doc_id", F.lit(3))), host="lang"),
+    }
+    for name, df in outs.items():
+        got = df.collect()
+        assert len(got) == 8 and len({c.lower() for c in df.columns}) == len(df.columns), name
+        assert sorted((r.n, r.word, r.key, r.hash, r.gram) for r in got) == [(i, i * 10, f"k{i}", "mine", "mine") for i in range(8)], name
+    kept = {r.doc_id: r.text for r in outs["line"].collect()}
+    assert [kept[f"id{i}"] for i in range(6)] == ["own"] * 5 + [lines], "the largest id keeps the line"
+    assert {r.doc_id: r.text for r in outs["join"].collect()} == kept
+
+
+def segments_plainly(scores):
+    """The best segment, and the same of what is left and right of it."""
+    best = max(((sum(scores[a : b + 1]), -a, a, b) for a in range(len(scores)) for b in range(a, len(scores))), default=(0, 0, 0, 0))
+    if best[0] <= 0:
+        return []
+    _, _, a, b = best
+    return segments_plainly(scores[:a]) + [(a, b, best[0])] + [(x + b + 1, y + b + 1, s) for x, y, s in segments_plainly(scores[b + 1 :])]
+
+
+def test_segments_against_all_segments():
+    rng = np.random.default_rng(15)
+    for _ in range(300):
+        n = int(rng.integers(1, 25))
+        at = sorted(rng.choice(n, int(rng.integers(0, n + 1)), replace=False).tolist())
+        score = (rng.random(len(at)) + 0.01).tolist()
+        full = [-0.25 - i * 1e-9 for i in range(n)]
+        for p, x in zip(at, score, strict=True):
+            full[p] = x
+        got, expected = toxicity.segments(at, score, -0.25), segments_plainly(full)
+        assert [x[:2] for x in got] == [x[:2] for x in expected]
+        assert [x[2] for x in got] == pytest.approx([x[2] for x in expected], abs=1e-6)
+
+
+def test_toxicity_counts_against_plain_ones(spark):
+    rng = np.random.default_rng(16)
+    rows = [(" ".join(rng.choice(["Vile", "vileness", "wörter", "wörterbuch", "ok", "fine1"], rng.integers(0, 12))), int(rng.integers(2)), int(rng.integers(2))) for _ in range(80)] + [(None, 1, 0), ("", 0, 1)]
+    plain = collections.defaultdict(lambda: [0, 0, 0, 0])
+    for text, toxic, half in rows:
+        tokens = {x for w in ALNUM.findall((text or "").translate(FOLD)) for x in [w, *((k, w[:k]) for k in toxicity.STEMS if len(w) >= k)]}
+        for x in tokens:
+            plain[x][2 * toxic + half] += 1
+    train = spark.createDataFrame(rows, "text string, toxic int, half int").repartition(3)
+    got = toxicity._counts(train)
+    table = sorted(zip(*(got[c].tolist() for c in ("good0", "good1", "bad0", "bad1")), strict=True))
+    assert table == sorted(tuple(map(float, x)) for x in plain.values() if sum(x) >= toxicity.MIN_DOCS and x[2] + x[3] > 0)
+    often, total = toxicity._corpus(train.select("text"), got["keys"])
+    words = collections.Counter(w for text, _, _ in rows for w in ALNUM.findall((text or "").translate(FOLD)))
+    every = collections.Counter({w: n for w, n in words.items()})
+    for w, n in words.items():
+        for k in toxicity.STEMS:
+            if len(w) >= k:
+                every[k, w[:k]] += n
+    assert total == len(rows) and sorted(often.tolist()) == sorted(float(every[x]) for x, n in plain.items() if sum(n) >= toxicity.MIN_DOCS and n[2] + n[3] > 0)
+
+
+def pipeline_plainly(rows, scores, passage):
+    """rows (doc_id, text) after all stages but packing; scores: of the toxicity stage."""
+    rows = [(i, t) for i, t in rows if scores[i] < 0.7]
+    key = lambda x: x.strip(" \t\n\x0b\x0c\r").translate(FOLD)
+    where = collections.defaultdict(set)
+    for i, t in rows:
+        for line in (t or "").split("\n"):
+            if len(key(line)) >= 40:
+                where[key(line)].add(i)
+    gone = {k: max(v) for k, v in where.items() if len(v) >= 5}
+    rows = [(i, t if t is None else "\n".join(x for x in t.split("\n") if gone.get(key(x), i) == i)) for i, t in rows]
+    sets = {}
+    for i, t in rows:
+        w = WORDS.findall((t or "").translate(FOLD))
+        sets[i] = frozenset(tuple(w[a : a + 5]) for a in range(len(w) - 4)) if len(w) >= 5 else frozenset([tuple(w)]) if w else frozenset()
+    root = {i: i for i in sets}
+    for a in sorted(sets):
+        for b in sorted(sets):
+            both = len(sets[a] & sets[b])
+            if a < b and both and 100 * both >= 80 * (len(sets[a]) + len(sets[b]) - both) and root[a] != root[b]:
+                lo, hi = sorted((root[a], root[b]))
+                root = {i: lo if r == hi else r for i, r in root.items()}
+    rows = [(i, t) for i, t in rows if root[i] == i]
+    w = ALNUM.findall(passage.translate(FOLD))
+    windows = {tuple(w[a : a + 10]) for a in range(len(w) - 9)}
+    said = {i: ALNUM.findall((t or "").translate(FOLD)) for i, t in rows}
+    return {i: len(x) for i, x in said.items() if not any(tuple(x[a : a + 10]) in windows for a in range(len(x) - 9))}
+
+
+def test_pipeline_against_plain_stages(spark, tmp_path):
+    import corpus_pipeline
+
+    rng = np.random.default_rng(17)
+    base = texts()
+    rows = [(i, t) for i, t in enumerate(base)]
+    for i in range(300):
+        w = list(rng.choice([f"w{j}" for j in range(300)], 60))
+        if i % 5 == 0:
+            w[10], w[12], w[30], w[40] = "vile", "rotten", "vile", "rotten"
+        rows.append((1000 + i, " ".join(w)))
+    rows += [(2000, rows[60][1]), (2001, None), (2002, ""), (2003, rows[61][1] + " more")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([("i", PASSAGE), ("j", None)], "item_id string, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    labels = spark.createDataFrame([(1000 + i, 1, int(i % 5 == 0)) for i in range(300)], "doc_id long, quality int, toxic int")
+    labels.write.parquet(str(tmp_path / "labels.parquet"))
+    scores = {r.doc_id: r.score for r in toxicity.report(docs, labels).collect()}
+    expected = pipeline_plainly(rows, scores, PASSAGE)
+    got = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert 30 < sum(x >= 0.7 for x in scores.values()) and {r.doc_id for r in got} == set(expected) and len(got) == len(expected)
+    for r in got:
+        assert r.padding == r.boundary - r.n_tokens >= 0 and r.n_tokens >= expected[r.doc_id]
+    batches = collections.Counter((r.bucket, r.batch) for r in got)
+    assert all(n * r.boundary <= 65_536 for r in got for n in [batches[r.bucket, r.batch]])
+
+
+@pytest.mark.parametrize("rows", [[], [(None, None)], [(1, None), (1, None)], [(1, ""), (2, "")], [(3, "a b c d e f"), (3, "a b c d e f"), (4, "a b c d e f")]])
+def test_pipeline_on_odd_tables(spark, tmp_path, rows):
+    import corpus_pipeline
+
+    spark.createDataFrame([(i, t, None, None, None) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([], "item_id string, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    got = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    # Rows that repeat an id are one document to the near-duplicate stage, and stay or go together.
+    assert sorted(str(r.doc_id) for r in got) == sorted(str(i) for i, t in rows if i != 4)
+
+
 def test_pipeline(spark, tmp_path):
     import corpus_pipeline
 
