@@ -2,6 +2,14 @@
 
 Each stage takes (spark, docs, sf_dir) and works on all rows that the one before
 kept. All but the last return the columns of documents.
+
+Defined results. Null and empty texts pass every stage but are no near duplicates of
+anything. Rows that repeat a doc_id stay or go together: the line stage keeps a line
+in all rows of its keeper, the near-duplicate stage takes the largest of their texts.
+Of near duplicates the smallest doc_id stays; a null doc_id is nobody's duplicate. Other
+columns are carried along; those that a stage adds by the same name hide them until the
+stage's end only. Empty tables of documents, labels or items give empty or unfiltered
+results. Texts of any length are read whole.
 """
 
 from __future__ import annotations
@@ -62,7 +70,7 @@ STAGES = [
     ("packing", pack_documents),
 ]
 
-#: The toxicity model is no SQL: tests compare the run with a brute-force version.
+#: The toxicity model is no SQL: a test compares the run with a brute-force version of the other stages.
 ORACLE_SQL = None
 
 
