@@ -8,29 +8,44 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Files that a checkpoint table has for each core at most: more only cost their making and listing.
+FILES_A_CORE = 8
+#: Links of a file of a link table.
+FILE_ROWS = 250_000
+
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir; a temporary one only where it is unset, as in tests."""
+    """The shared folder of spark.checkpoint.dir, read from the session.
+
+    Only where it is unset on one machine, as in tests, a temporary folder takes its place; on a cluster that is an error.
+    """
     sc = spark.sparkContext
     folder = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir")
     if folder is None:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="checkpoints-"))
         folder = sc.getCheckpointDir()
     return folder
 
 
-def written(df: DataFrame) -> DataFrame:
-    """df as a table in the shared folder, read back: later steps do not recompute it."""
-    path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def written(df: DataFrame, most_files: int | None = None) -> DataFrame:
+    """df written as a table in the shared folder and read from there: cuts lineage, survives lost executors.
+
+    most_files: for tables whose size is known to be small.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
+    df.coalesce(min(most_files or 1 << 30, FILES_A_CORE * spark.sparkContext.defaultParallelism)).write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def connected_components(links: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
-    """links (*by, a, b) -> (*by, node, root): the least node of each linked node's component, within each value of by.
+    """links (*by, a, b), any order, repeats allowed -> (*by, node, root): the least node of each linked node's component, within each value of by.
 
     Each round hangs every node on the least of its neighbours, first larger then
-    smaller ones, so a path shrinks geometrically and the table never grows.
+    smaller ones, so a path shrinks geometrically; the table is never larger than
+    twice its first size, and rounds are cut from each other by a written table.
     """
     key = list(by)
     down = lambda df: df.select(*key, F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a != b").distinct()
@@ -45,4 +60,4 @@ def connected_components(links: DataFrame, by: tuple[str, ...] = ()) -> DataFram
         large = down(both.join(least, [*key, "a"]).where("b > a").select(*key, F.col("b").alias("a"), F.col("m").alias("b")))
         least = large.groupBy(*key, "a").agg(F.min("b").alias("m"))
         pairs = F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e")
-        state = written(down(large.join(least, [*key, "a"]).select(*key, pairs).select(*key, "e.a", "e.b")))
+        state = written(down(large.join(least, [*key, "a"]).select(*key, pairs).select(*key, "e.a", "e.b")), -(-2 * now[0] // FILE_ROWS))
