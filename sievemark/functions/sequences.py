@@ -10,6 +10,7 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# The formats of headers, file names and identifiers.
 DEFLINE = r"^(\S+)\s*(.*?)\s*(?:\[([^\]]+)\])?\s*$"
 STEM = r"^(\S+)\s+(.+?)\s+-\s+(.+)$"
 EPITOPE_ID = r"^(.+)_(B_cell|T_cell)_([A-Za-z0-9-]+)_(\d+)\.(\d+)$"
@@ -46,22 +47,40 @@ def header_parts(x: Column) -> list[Column]:
 
 
 def number_text(x: Column) -> Column:
-    """At most six decimals, no trailing zeros."""
-    return F.rtrim(F.rtrim(F.format_string("%.6f", x), F.lit("0")), F.lit("."))
+    """At most six decimals, no trailing zeros; null stays null."""
+    return F.when(x.isNotNull(), F.rtrim(F.rtrim(F.format_string("%.6f", x), F.lit("0")), F.lit(".")))
 
 
 def as_bool(x: Column) -> Column:
     return F.lower(F.trim(x)).isin("true", "t", "yes", "y", "1")
 
 
+def as_float(x: Column, default: float = float("nan")) -> Column:
+    """A number, or the default where the text is none; NaN unless another is given."""
+    return F.coalesce(F.trim(x).try_cast("double"), F.lit(default))
+
+
 def as_int(x: Column, default: int = 0) -> Column:
     return F.coalesce(x.try_cast("double").try_cast("int"), F.lit(default))
 
 
+_LOWER, _UPPER = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+
+def folded(x: Column) -> Column:
+    """a-z as A-Z. Letters beyond are no residues and stay, so that no text changes its length."""
+    return F.translate(x, _LOWER, _UPPER)
+
+
+def match_text(window: Column, ref_id: Column, offset: Column) -> Column:
+    """A place in a reference, counted from 1."""
+    return F.format_string("%s@%s:%d", window, ref_id, offset + 1)
+
+
 def windows(x: Column, k: int) -> Column:
-    """All k-character windows; a shorter text is its own window, an empty one has none."""
-    every = F.regexp_extract_all(x, F.lit(f"(?s)(?=(.{{{k}}}))"), 1)
-    return F.when(F.length(x) == 0, F.array().cast("array<string>")).when(F.length(x) < k, F.array(x)).otherwise(every)
+    """All k-character windows in upper case; a shorter text is its own window, an empty one has none."""
+    every = F.regexp_extract_all(folded(x), F.lit(f"(?s)(?=(.{{{k}}}))"), 1)
+    return F.when(F.length(x) == 0, F.array().cast("array<string>")).when(F.length(x) < k, F.array(folded(x))).otherwise(every)
 
 
 def standard_only(x: Column) -> Column:

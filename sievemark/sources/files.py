@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,17 +13,46 @@ from pyspark.sql.window import Window
 from sievemark.functions import sequences as fs
 
 
+def _pieces(spark: SparkSession, path: str, **how) -> DataFrame:
+    """(file, n, value): what a separator parts, and n, which orders it within its file. Large files are split."""
+    # Inside a block rows are read in order and numbered upwards; blocks are ordered by where they start.
+    n = F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("id"))
+    return spark.read.text(path, **how).select(F.url_decode("_metadata.file_name").alias("file"), n.alias("n"), "value")
+
+
+def _first(pieces: DataFrame) -> DataFrame:
+    """(file, first): the number of each file's first piece."""
+    return pieces.where("n.block = 0").groupBy("file").agg(F.min("n.id").alias("first"))
+
+
 def scan_fasta(spark: SparkSession, path: str) -> DataFrame:
-    """(file, ord, header, sequence) of every record; text before the first '>' is ignored, gaps and stops are dropped."""
-    whole = spark.read.text(path, wholetext=True).select(F.url_decode("_metadata.file_name").alias("file"), F.regexp_replace("value", "^\\uFEFF", "").alias("value"))
-    pieces = whole.select("file", F.posexplode(F.split("value", r"(?m)^\s*>")).alias("ord", "piece")).where("ord > 0")
+    """(file, ord, header, sequence) of every record; text before the first '>' is ignored, gaps and stops are dropped.
+
+    Files are cut where a line begins with '>', so that a large one is read by many tasks; ord numbers a file's records.
+    """
+    pieces = _pieces(spark, path, lineSep="\n>")
+    pieces = pieces.join(F.broadcast(_first(pieces)), "file", "left")  # a row a file
+    # A file's first piece has its own '>', if any, after a byte order mark and whatever else stands there.
+    opened = (F.col("n.block") == 0) & (F.col("n.id") == F.col("first"))
+    said = F.when(opened, F.regexp_replace("value", "^\\uFEFF", "")).otherwise(F.concat(F.lit(">"), "value"))
+    records = pieces.select("file", "n", F.posexplode(F.split(said, r"(?m)^[^\S\n]*>")).alias("at", "piece")).where("at > 0")
     parts = F.split("piece", r"\r?\n", 2)
-    return pieces.select("file", F.col("ord").cast("long").alias("ord"), F.trim(parts[0]).alias("header"), F.upper(F.regexp_replace(F.coalesce(F.get(parts, F.lit(1)), F.lit("")), r"[\s*-]", "")).alias("sequence"))
+    sequence = F.upper(F.regexp_replace(F.coalesce(F.get(parts, F.lit(1)), F.lit("")), r"[\s*-]", ""))
+    records = records.select("file", F.col("n.block").alias("block"), "n", "at", F.trim(parts[0]).alias("header"), sequence.alias("sequence"))
+    # Numbers inside each block, and how many records the blocks before it have.
+    inside = F.row_number().over(Window.partitionBy("file", "block").orderBy("n", "at"))
+    sizes = records.groupBy("file", "block").agg(F.count("*").alias("size"))
+    before = F.coalesce(F.sum("size").over(Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    numbered = records.withColumn("inside", inside).join(sizes.select("file", "block", before.alias("before")), ["file", "block"])
+    return numbered.select("file", (F.col("before") + F.col("inside")).alias("ord"), "header", "sequence")
 
 
 def scan_input_dir(spark: SparkSession, folder: str, extensions: tuple[str, ...] = ("fasta", "fa", "faa")) -> DataFrame:
-    """Records of the folder's own files with one of the extensions, in any case."""
-    return scan_fasta(spark, folder).where(F.lower(F.regexp_extract("file", r"\.([^.]+)$", 1)).isin(*extensions))
+    """Records of the folder's own files with one of the extensions, in any case; input_ord numbers them by file name, then place."""
+    rows = scan_fasta(spark, folder).where(F.lower(F.regexp_extract("file", r"\.([^.]+)$", 1)).isin(*extensions))
+    sizes = rows.groupBy("file").agg(F.max("ord").alias("size"))
+    before = F.coalesce(F.sum("size").over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # a row a file
+    return rows.join(F.broadcast(sizes.select("file", before.alias("before"))), "file").withColumn("input_ord", F.col("before") + F.col("ord")).drop("before")
 
 
 def sink_fasta(rows: DataFrame, path: str, width: int = 60) -> None:
@@ -77,43 +107,91 @@ def resolve_column(columns: list[str], candidates: list[str], what: str, require
     return None
 
 
+def to_float(x: Column, what: str) -> Column:
+    """A number, or an error that says what was none."""
+    return F.coalesce(F.trim(x).try_cast("double"), F.raise_error(F.concat(F.lit(f"no number for {what}: "), F.coalesce(x, F.lit("(nothing)")))).cast("double"))
+
+
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(file, n, line) in file order, from whole small files."""
-    return spark.read.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("file"), F.posexplode(F.split(F.regexp_replace("value", r"\r?\n$", ""), r"\r?\n")).alias("n", "line"))
+    """(file, n, line); n orders the lines of a file."""
+    return _pieces(spark, path).select("file", "n", F.regexp_replace("value", "^\\uFEFF", "").alias("line"))
+
+
+#: Characters of a file from which its delimiter is guessed.
+SAMPLE = 8192
+
+
+def _delimiters(lines: DataFrame) -> dict[str, str]:
+    """The delimiter of each file, from its first lines."""
+    first = F.broadcast(_first(lines))  # a row a file
+    size = F.length("line") + 1
+    near = lines.where("n.block = 0").join(first, "file").where(F.col("n.id") < F.col("first") + SAMPLE)
+    upto = F.sum(size).over(Window.partitionBy("file").orderBy("n")) - size
+    head = near.withColumn("upto", upto).where(F.col("upto") < SAMPLE).select("file", "n", F.left("line", SAMPLE - F.col("upto").cast("int")).alias("line"))
+    texts: dict[str, str] = {}
+    for r in head.orderBy("file", "n").collect():
+        texts[r.file] = texts.get(r.file, "") + r.line + "\n"
+    return {f: sniff(x) for f, x in texts.items()}
 
 
 def scan_delimited(spark: SparkSession, path: str, header_contains: str = "") -> DataFrame:
-    """A table of unknown delimiter, after any preamble before the row that names header_contains; blank rows go."""
-    lines = numbered_lines(spark, path).where(F.length(F.trim("line")) > 0)
-    if header_contains:
-        lines_with = lines.where(F.contains(F.lower("line"), F.lit(header_contains.lower())))
-        first = lines_with.orderBy("file", "n").first()
-        if first is None:
-            raise ValueError(f"no row with {header_contains!r} in {path}")
-    else:
-        first = lines.orderBy("file", "n").first()
-        if first is None:
-            return spark.createDataFrame([], T.StructType())
-    sep = sniff(first.line)
-    names = [x.strip().strip('"') for x in first.line.split(sep)]
-    schema = ", ".join(f"`{n}` string" for n in names)
-    body = lines.where(F.col("n") > first.n)
-    parsed = F.from_csv("line", F.lit(schema), {"sep": sep})
-    return body.select("n", parsed.alias("r")).select(F.col("n").alias("row"), "r.*")
+    """The tables of a path's files, each of its own delimiter; ragged rows are filled or cut, blank rows go.
+
+    With header_contains a file's header is the first row that has a field of that name, in any case; what stands
+    before is a preamble. Without, it is the first row. __file and __row say where a row comes from, in order.
+    """
+    lines = numbered_lines(spark, path)
+    seps = _delimiters(lines)
+    if not seps:
+        return spark.createDataFrame([], T.StructType())
+    # One small row a file: reports of tools.
+    known = F.broadcast(spark.createDataFrame(list(seps.items()), "file string, sep string"))
+    filled = lines.where(F.length(F.trim("line")) > 0).join(known, "file")
+    wanted = header_contains.strip().lower()
+    fields = F.transform(F.split("line", F.concat(F.lit("\\Q"), F.col("sep"), F.lit("\\E"))), lambda x: F.trim(F.lower(F.trim(x)), F.lit('"')))
+    heads = (filled.where(F.array_contains(fields, wanted)) if wanted else filled).groupBy("file", "sep").agg(F.min(F.struct("n", "line")).alias("h")).select("file", "sep", "h.n", "h.line").collect()
+    if wanted and len(heads) < len(seps):
+        raise ValueError(f"no header with a field {header_contains!r} in {', '.join(sorted(set(seps) - {h.file for h in heads}))}")
+    tables: dict[tuple[str, ...], list] = {}
+    for h in heads:
+        names = [x.strip() for x in next(csv.reader([h.line], delimiter=h.sep))]
+        names = [x or f"_c{i}" for i, x in enumerate(names)]
+        # Of columns with one name the last has it.
+        names = [x if x not in names[i + 1 :] else f"{x}#{i}" for i, x in enumerate(names)]
+        tables.setdefault((h.sep, *names), []).append(h)
+    out = None
+    for (sep, *names), own in tables.items():
+        schema = ", ".join("`" + x.replace("`", "``") + "` string" for x in names)
+        starts = F.broadcast(spark.createDataFrame([(h.file, h.n) for h in own], lines.select("file", F.col("n").alias("head")).schema))
+        # Exploded, so that no later filter on a cell is moved before this one and meets the header or the preamble.
+        rows = filled.join(starts, "file").select("file", "n", F.explode(F.when(F.col("n") > F.col("head"), F.array("line"))).alias("body"))
+        rows = rows.select("file", "n", F.from_csv("body", F.lit(schema), {"sep": sep, "escape": '"'}).alias("r")).select(F.col("file").alias("__file"), F.col("n").alias("__row"), "r.*")
+        rows = rows.where(F.exists(F.array(*(F.col("`" + x.replace("`", "``") + "`") for x in names)), lambda x: F.length(F.trim(F.coalesce(x, F.lit("")))) > 0))
+        out = rows if out is None else out.unionByName(rows, allowMissingColumns=True)
+    return spark.createDataFrame([], T.StructType()) if out is None else out
 
 
 def scan_alleles(spark: SparkSession, path: str) -> DataFrame:
-    """(n, allele): one a line, comments and blank lines left out."""
-    return numbered_lines(spark, path).select("n", F.trim(F.split("line", "#")[0]).alias("allele")).where("allele <> ''")
+    """(n, allele): one a line, comments and blank lines left out; a file without any is an error."""
+    rows = numbered_lines(spark, path).select("n", F.trim(F.split("line", "#")[0]).alias("allele")).where("allele <> ''")
+    if rows.isEmpty():
+        raise ValueError(f"no alleles in {path}")
+    return rows
 
 
 def scan_sections(spark: SparkSession, path: str) -> DataFrame:
-    """(sequence_id, position, residue, score) of a sectioned table: '>id' opens a block of rows."""
+    """(sequence_id, position, residue, score) of a sectioned table: '>id' opens a block of rows, tabs or commas part their cells.
+
+    Rows whose first cell is no whole number are headings; scores before any '>' are an error.
+    """
     by = Window.partitionBy("file").orderBy("n")
-    lines = numbered_lines(spark, path).withColumn("sequence_id", F.last(F.when(F.startswith("line", F.lit(">")), F.trim(F.expr("substr(line, 2)"))), ignorenulls=True).over(by))
-    cells = F.split("line", "\t")
-    rows = lines.where("sequence_id is not null and not startswith(line, '>')").where(F.size(cells) >= 3)
-    return rows.select("sequence_id", cells[0].cast("long").alias("position"), cells[1].alias("residue"), cells[2].cast("double").alias("score"))
+    lines = numbered_lines(spark, path).select("file", "n", F.trim("line").alias("line")).where("line <> ''")
+    own = F.when(F.startswith("line", F.lit(">")), F.split(F.trim(F.expr("substr(line, 2)")), r"\s+")[0])
+    lines = lines.withColumn("sequence_id", F.last(own, ignorenulls=True).over(by)).where("not startswith(line, '>')")
+    cells = F.split("line", F.when(F.contains("line", F.lit("\t")), "\t").otherwise(","))
+    rows = lines.withColumn("c", cells).where((F.size("c") >= 3) & F.trim(F.col("c")[0]).rlike("^-*[0-9]+$"))
+    named = F.coalesce("sequence_id", F.raise_error(F.concat(F.lit("scores before any '>' in "), "file")).cast("string"))
+    return rows.select(named.alias("sequence_id"), F.trim(F.col("c")[0]).cast("long").alias("position"), F.trim(F.col("c")[1]).alias("residue"), to_float(F.col("c")[2], "score").alias("score"))
 
 
 def scan_residue_scores(spark: SparkSession, path: str) -> DataFrame:
@@ -125,39 +203,71 @@ def sink_residue_scores(track: DataFrame, path: str) -> None:
     track.select("sequence_id", "position", "score").repartitionByRange("sequence_id").sortWithinPartitions("sequence_id", "position").write.csv(path, sep="\t", header=True)
 
 
-def scan_wide_residues(spark: SparkSession, path: str, accession: str, score: str) -> DataFrame:
-    """A per-residue table without positions: rows stand in residue order."""
-    rows = scan_delimited(spark, path)
-    name, value = resolve_column(rows.columns, [accession], "accession"), resolve_column(rows.columns, [score], "score")
-    by = Window.partitionBy(name).orderBy("row")
-    return rows.select(F.col(name).alias("sequence_id"), F.row_number().over(by).cast("long").alias("position"), F.trim(value).cast("double").alias("score"))
+def first_token(x: Column) -> Column:
+    """An identifier without leading '>' and what follows it."""
+    return F.split(F.trim(F.ltrim(F.trim(x), F.lit(">"))), r"\s+")[0]
 
 
-def scan_scores(spark: SparkSession, path: str, ids: list[str], scores: list[str], unscored: tuple[str, ...] = ()) -> DataFrame:
-    """(sequence_id, score): sentinels read as null, present but unscored; other text that is no number is an error."""
+def scan_wide_residues(spark: SparkSession, path: str, ids: list[str], scores: list[str], positions: tuple[str, ...] = ()) -> DataFrame:
+    """(sequence_id, position, score) of a table with a row a residue, numbered by its position column or else in file order."""
     rows = scan_delimited(spark, path)
-    name, value = resolve_column(rows.columns, ids, "id"), resolve_column(rows.columns, scores, "score")
-    raw = F.trim(value)
-    return rows.select(F.trim(name).alias("sequence_id"), F.when(F.lower(raw).isin("", *unscored), None).otherwise(raw.cast("double")).alias("score"))
+    if not rows.columns:
+        raise ValueError(f"no rows in {path}")
+    columns = [c for c in rows.columns if c not in ("__file", "__row")]
+    name, value = resolve_column(columns, ids, "id"), resolve_column(columns, scores, "score")
+    place = resolve_column(columns, list(positions), "position", required=False)
+    order = ([to_float(F.col(f"`{place}`"), "position").cast("int")] if place else []) + [F.col("__file"), F.col("__row")]
+    by = Window.partitionBy("sequence_id").orderBy(*order)
+    rows = rows.withColumn("sequence_id", first_token(F.col(f"`{name}`")))
+    return rows.select("sequence_id", F.row_number().over(by).cast("long").alias("position"), to_float(F.col(f"`{value}`"), "score").alias("score"))
+
+
+def last_rows(rows: DataFrame, key: str) -> DataFrame:
+    """Of the rows with one key, the last of the path's files."""
+    rest = [c for c in rows.columns if c not in (key, "__file", "__row")]
+    return rows.groupBy(key).agg(F.max(F.struct("__file", "__row", *rest)).alias("r")).select(key, *(F.col(f"r.`{c}`") for c in rest))
+
+
+def scan_scores(spark: SparkSession, path: str, ids: list[str], scores: list[str], unscored: tuple[str, ...] = (), header_contains: str = "") -> DataFrame:
+    """(sequence_id, score): sentinels read as null, present but unscored; other text that is no number is an error. The last row of an id counts."""
+    rows = scan_delimited(spark, path, header_contains)
+    if not rows.columns:
+        raise ValueError(f"no rows in {path}")
+    columns = [c for c in rows.columns if c not in ("__file", "__row")]
+    name, value = resolve_column(columns, ids, "id"), resolve_column(columns, scores, "score")
+    raw = F.trim(F.coalesce(F.col(f"`{value}`"), F.lit("")))
+    score = F.when(F.lower(raw).isin(*unscored), None).otherwise(to_float(raw, "score")) if unscored else to_float(raw, "score")
+    rows = rows.where(F.length(F.trim(f"`{name}`")) > 0).select("__file", "__row", first_token(F.col(f"`{name}`")).alias("sequence_id"), score.alias("score"))
+    return last_rows(rows, "sequence_id")
 
 
 def must_cover(asked: DataFrame, given: DataFrame, key: str) -> None:
-    """Every id asked for must have come back."""
+    """Every id asked for must have come back: one that is missing has an unknown result, not a clean one."""
     missing = [r[0] for r in asked.join(given, key, "left_anti").select(key).orderBy(key).limit(10).collect()]
     if missing:
         raise ValueError(f"no result for {', '.join(map(str, missing))}")
 
 
 def scan_population_report(spark: SparkSession, path: str) -> DataFrame:
-    """(population, mhc_class, coverage, average_hit, pc90) of a report in blocks of class I, II and combined."""
+    """(population, mhc_class, coverage, average_hit, pc90) of a report in blocks of class I, II and combined.
+
+    A block has two tables whose headings begin alike; the one whose second cell is 'coverage' counts, up to a
+    blank line. Rows need a coverage; their other cells may be missing. A report without rows is an error.
+    """
     by = Window.partitionBy("file").orderBy("n")
-    lines = numbered_lines(spark, path).select("file", "n", F.split(F.trim("line"), r"\t|\s{2,}").alias("c"), F.trim("line").alias("line"))
-    kind = F.nullif(F.regexp_extract(F.lower("line"), r"class\s+(combined|ii|i)\b", 1), F.lit(""))
-    head = F.when(F.startswith(F.lower("line"), F.lit("population/area")), F.lower("line").contains("coverage") & F.lower("line").contains("pc90"))
-    marked = lines.withColumn("mhc_class", F.last(kind, ignorenulls=True).over(by)).withColumn("table", F.last(head, ignorenulls=True).over(by)).withColumn("is_head", head.isNotNull())
-    number = lambda i: F.regexp_replace(F.get("c", F.lit(i)), "%", "").try_cast("double")
-    rows = marked.where("table and not is_head and size(c) >= 4").where(~F.lower(F.col("c")[0]).isin("average", "standard_deviation"))
-    return rows.select(F.col("c")[0].alias("population"), F.upper("mhc_class").alias("mhc_class"), number(1).alias("coverage"), number(2).alias("average_hit"), number(3).alias("pc90")).withColumn("mhc_class", F.when(F.col("mhc_class") == "COMBINED", "combined").otherwise(F.col("mhc_class")))
+    line = F.trim("line")
+    cells = F.filter(F.transform(F.split(line, F.when(F.contains(line, F.lit("\t")), "\t").otherwise(r"\s{2,}")), lambda x: F.trim(x)), lambda x: x != "")
+    lines = numbered_lines(spark, path).select("file", "n", line.alias("line"), F.lower(line).alias("low"), cells.alias("c"))
+    is_class, is_head = F.startswith("low", F.lit("class ")), F.startswith("low", F.lit("population"))
+    kind = F.when(is_class, F.trim(F.expr("substr(line, 7)")))
+    head = F.when(is_class | (F.col("line") == ""), False).when(is_head, F.coalesce(F.lower(F.get("c", F.lit(1))) == "coverage", F.lit(False)))
+    marked = lines.withColumn("mhc_class", F.coalesce(F.last(kind, ignorenulls=True).over(by), F.lit(""))).withColumn("inside", F.last(head, ignorenulls=True).over(by)).where(head.isNull())
+    number = lambda i: F.get("c", F.lit(i)).try_cast("double")
+    rows = marked.where("inside and size(c) >= 2").where(~F.lower(F.col("c")[0]).isin("average", "standard_deviation"))
+    rows = rows.select(F.col("c")[0].alias("population"), "mhc_class", F.trim(F.replace(F.col("c")[1], F.lit("%"), F.lit(""))).try_cast("double").alias("coverage"), number(2).alias("average_hit"), number(3).alias("pc90")).where("coverage is not null")
+    if rows.isEmpty():
+        raise ValueError(f"no population rows in {path}")
+    return rows
 
 
 def sink_population_input(rows: DataFrame, path: str) -> None:
