@@ -11,6 +11,7 @@ from pyspark.sql.window import Window
 
 from sievemark.functions import sequences as fs
 from sievemark.operators.graph import connected_components, written
+from sievemark.operators.identifiers import numbered
 
 
 def similar_pairs(rows: DataFrame, least: float) -> DataFrame:
@@ -26,10 +27,11 @@ def similar_pairs(rows: DataFrame, least: float) -> DataFrame:
     left = rows.select(F.col("ord").alias("a"), F.col("sequence").alias("sa"), F.col("n").alias("na"), F.explode(F.sequence(F.col("n"), F.greatest(F.col("n"), reach).cast("int"))).alias("nb"))
     right = rows.select(F.col("ord").alias("b"), F.col("sequence").alias("sb"), F.col("n").alias("nb"))
     near = left.join(right, "nb").where("na < nb or (na = nb and a < b)")
-    shortest = rows.agg(F.min("n")).first()[0] or 1
-    k = max(1, min(shortest, 6))
-    grams = rows.select(F.col("ord").alias("b"), F.col("sequence").alias("sb"), F.col("n").alias("nb"), F.explode(F.array_distinct(fs.windows(F.col("sequence"), k))).alias("gram"))
-    heads = rows.select(F.col("ord").alias("a"), F.col("sequence").alias("sa"), F.col("n").alias("na"), F.substring("sequence", 1, k).alias("gram"))
+    # A contained sequence is found by its first letters: up to six, or all that it has.
+    sizes = [r[0] for r in rows.select(F.least("n", F.lit(6))).distinct().collect()]  # six values at most
+    every = F.array(*(F.array_distinct(fs.windows(F.col("sequence"), k)) for k in sizes or [6]))
+    grams = rows.select(F.col("ord").alias("b"), F.col("sequence").alias("sb"), F.col("n").alias("nb"), F.explode(F.array_distinct(F.flatten(every))).alias("gram"))
+    heads = rows.select(F.col("ord").alias("a"), F.col("sequence").alias("sa"), F.col("n").alias("na"), fs.folded(F.left("sequence", F.least("n", F.lit(6)))).alias("gram"))
     inside = heads.join(grams, "gram").where("na <= nb and a != b and contains(sb, sa)")
     both = near.select("a", "b", "sa", "sb").union(inside.select("a", "b", "sa", "sb"))
     both = both.selectExpr("least(a, b) as a", "greatest(a, b) as b", "if(a < b, sa, sb) as sa", "if(a < b, sb, sa) as sb").distinct()
@@ -48,7 +50,7 @@ def clusters(rows: DataFrame, thresholds: list[int]) -> DataFrame:
     roots = connected_components(links, by=("threshold",))
     every = rows.select("ord", "sequence").crossJoin(F.broadcast(levels))
     out = every.join(roots.withColumnRenamed("node", "ord"), ["threshold", "ord"], "left").withColumn("root", F.coalesce("root", "ord"))
-    numbers = out.select("threshold", "root").distinct().withColumn("cluster", F.row_number().over(Window.partitionBy("threshold").orderBy("root")))
+    numbers = numbered(out.select("threshold", "root").distinct(), ["threshold"], [F.asc("root")], "cluster")
     return out.join(numbers, ["threshold", "root"])
 
 
@@ -73,21 +75,39 @@ def consensus(members: DataFrame, key: list[str]) -> tuple[DataFrame, DataFrame]
     return text, aligned.drop("width")
 
 
+def run_statistics(members: DataFrame, text: DataFrame, key: list[str]) -> DataFrame:
+    """What a clustering did: (threshold, n_peptides, n_clusters, n_singletons, n_voted, worst, n_ambiguous).
+
+    members (*key, ord, sequence, position) and text (*key, consensus), as consensus gives them; key begins with the
+    threshold. n_voted: clusters with a column whose residues differ; worst: the most such columns of one.
+    """
+    letters = members.select(*key, "position", F.posexplode(F.split("sequence", "")).alias("i", "residue")).where("residue <> ''")
+    columns = letters.groupBy(*key, (F.col("position") + F.col("i")).alias("column")).agg((F.min("residue") != F.max("residue")).alias("differ"))
+    differ = columns.groupBy(*key).agg(F.count_if("differ").alias("differ"))
+    sizes = members.groupBy(*key).agg(F.count("*").alias("n"))
+    rows = text.join(sizes, key).join(differ, key)
+    return rows.groupBy(key[0]).agg(F.sum("n").alias("n_peptides"), F.count("*").alias("n_clusters"), F.count_if(F.col("n") == 1).alias("n_singletons"), F.count_if(F.col("differ") > 0).alias("n_voted"), F.max("differ").alias("worst"), F.count_if(F.contains(F.upper("consensus"), F.lit("X"))).alias("n_ambiguous"))
+
+
 def pruned(members: DataFrame) -> DataFrame:
     """Members that say what the consensus says at their place; a place that is no number above 0 is none."""
     at = F.col("position").try_cast("int") if dict(members.dtypes)["position"] == "string" else F.col("position")
     return members.where((at > 0) & (F.substring(F.col("consensus"), at, F.length("sequence")) == F.col("sequence")))
 
 
-def evaluate_rule(counts: DataFrame, min_mhc_i: int = 1, min_mhc_ii: int = 1, min_bepipred: int = 1, min_epidope: int = 1, both_bcell_tools: bool = True, min_strains: int = 0) -> DataFrame:
-    """counts (n_mhc_i, n_mhc_ii, n_bepipred, n_epidope, n_strains, n_unresolved, consensus) with reason and passes."""
+def evaluate_rule(counts: DataFrame, min_mhc_i: int = 1, min_mhc_ii: int = 1, min_bepipred: int = 1, min_epidope: int = 1, both_bcell_tools: bool = True, min_strains: int = 0, reject_ambiguous: bool = True) -> DataFrame:
+    """counts (n_mhc_i, n_mhc_ii, n_bepipred, n_epidope, n_strains, n_unresolved, consensus) with reason and passes.
+
+    reject_ambiguous: an X in the consensus, in either case, is a reason.
+    """
     few = lambda c, least, name: F.when(F.col(c) < least, F.format_string(f"{name} %d < {least}", F.col(c)))
     b_cell = [few("n_bepipred", min_bepipred, "BepiPred"), few("n_epidope", min_epidope, "EpiDope")]
     if not both_bcell_tools:
         least = min_bepipred + min_epidope
         total = F.col("n_bepipred") + F.col("n_epidope")
         b_cell = [F.when(total < least, F.format_string(f"B-cell %d < {least}", total))]
-    reasons = [F.when(F.col("consensus").contains("X"), "consensus contains X"), few("n_mhc_i", min_mhc_i, "MHC-I"), few("n_mhc_ii", min_mhc_ii, "MHC-II"), *b_cell]
+    ambiguous = [F.when(F.upper("consensus").contains("X"), "consensus contains X")] if reject_ambiguous else []
+    reasons = [*ambiguous, few("n_mhc_i", min_mhc_i, "MHC-I"), few("n_mhc_ii", min_mhc_ii, "MHC-II"), *b_cell]
     if min_strains:
         reasons.append(few("n_strains", min_strains, "strains"))
     reasons.append(F.when(F.col("n_unresolved") > 0, F.format_string("%d unresolved members", F.col("n_unresolved"))))
