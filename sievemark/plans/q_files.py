@@ -69,7 +69,7 @@ def scan_delimited(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.scan_delimited(spark, path, "n_nationkey").select("n_nationkey", "n_name")
 
 
-@query("scan_sections", "select r_name as sequence_id, position, 'A' as residue, position * 0.5::double as score from region, (select unnest(range(1, 4)) as position)")
+@query("scan_sections", "select split_part(r_name, ' ', 1) as sequence_id, position, 'A' as residue, position * 0.5::double as score from region, (select unnest(range(1, 4)) as position)")
 def scan_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _path(spark)
     said = F.concat(F.lit(">"), "r_name", F.lit("\n1\tA\t0.5\n2\tA\t1.0\n3\tA\t1.5"))

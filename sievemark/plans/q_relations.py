@@ -8,7 +8,10 @@ from pyspark.sql.window import Window
 
 from sievemark.functions import sequences as fs
 from sievemark.operators import identifiers as ids
+from sievemark.operators import records
+from sievemark.operators.graph import written
 from sievemark.plans.catalog import query, table
+from sievemark.plans.q_scalars import folded_sql
 
 # Epitope rows: protein = p_brand, tool = l_returnflag, sequence = p_name, strain = l_linestatus,
 # allele = p_type, start = l_linenumber, score = l_quantity.
@@ -31,9 +34,10 @@ def dedup_epitopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ids.deduplicated(epitopes(spark, sf_dir), ["protein", "tool", "sequence"])
 
 
-@query("dedup_sequences", "select min(doc_id) as doc_id, md5(text) as md5 from documents group by md5(text)")
+@query("dedup_sequences", f"select min(doc_id) as doc_id, md5({folded_sql('text')}) as md5 from documents group by 2")
 def dedup_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").groupBy(F.md5("text").alias("md5")).agg(F.min("doc_id").alias("doc_id"))
+    """The first of equal texts, in either case."""
+    return table(spark, sf_dir, "documents").groupBy(F.md5(fs.folded(F.col("text"))).alias("md5")).agg(F.min("doc_id").alias("doc_id"))
 
 
 @query("unique_collapse", "select p_name as sequence, arg_min(p_brand, p_partkey) as first_brand, min(p_partkey) as ord from part group by p_name")
@@ -51,24 +55,47 @@ def tool_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return epitopes(spark, sf_dir).groupBy("tool").agg(F.count("*").alias("n"), F.count_distinct("sequence").alias("n_distinct"), F.min(F.length("sequence")).cast("long").alias("shortest"), F.max(F.length("sequence")).cast("long").alias("longest"))
 
 
-# Validation of records: documents as FASTA bodies.
-@query("validate_record", "select doc_id, unnest(list_filter([case when length(text) < 200 then concat('too short: ', length(text)) end, case when regexp_matches(upper(regexp_replace(text, '\\s', '', 'g')), '[^ACDEFGHIKLMNPQRSTVWYBXZJUO]') then 'invalid characters' end], lambda x: x is not null)) as problem from documents")
+# Validation of records: documents as FASTA bodies, blanks, gaps and stops aside.
+_BODY = folded_sql("regexp_replace(text, '[ \\t\\n\\r*-]', '', 'g')")
+_PROBLEMS = f"""list_filter([case when length(s) < 200 then concat(length(s), ' residues, fewer than 200') end, case when s = '' then 'empty sequence' end,
+ case when len(regexp_extract_all(s, '[^{fs.VALID}]')) > 0 then concat('not amino acids: ', array_to_string(list_sort(list_distinct(regexp_extract_all(s, '[^{fs.VALID}]'))), '')) end,
+ case when regexp_matches(s, '^[ACGTUN]+$') then 'nucleotides, not amino acids' end], lambda x: x is not null)"""
+
+
+@query("validate_record", f"select doc_id, unnest({_PROBLEMS}) as problem from (select doc_id, {_BODY} as s from documents)")
 def validate_record(spark: SparkSession, sf_dir: str) -> DataFrame:
-    body = F.upper(F.regexp_replace("text", r"\s", ""))
-    problems = F.array(F.when(F.length("text") < 200, F.format_string("too short: %d", F.length("text"))), F.when(body.rlike(f"[^{fs.VALID}]"), "invalid characters"))
-    return table(spark, sf_dir, "documents").select("doc_id", F.explode(F.array_compact(problems)).alias("problem"))
+    body = fs.folded(F.regexp_replace("text", r"[ \t\n\r*-]", "")).alias("s")
+    return table(spark, sf_dir, "documents").select("doc_id", body).select("doc_id", F.explode(records.problems_of(F.col("s"), 200)).alias("problem"))
+
+
+# Records: parts, their names' letters as sequences, p_brand as protein and p_type as strain.
+_LETTERS = "regexp_replace(upper(p_name), '[^A-Z]', '', 'g')"
+
+
+def part_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = F.col("p_partkey").cast("string")
+    return table(spark, sf_dir, "part").select(F.concat(F.lit("in/"), key, F.lit(".fasta")).alias("path"), F.col("p_partkey").alias("ord"), key.alias("id"), key.alias("accession"), F.col("p_brand").alias("protein_label"), F.col("p_name").alias("protein_name"), F.col("p_type").alias("strain"), F.regexp_replace(F.upper("p_name"), "[^A-Z]", "").alias("sequence"))
+
+
+_DUPLICATE = "select concat('in/', p_partkey, '.fasta') as path, cast(p_partkey as varchar) as id, concat('second record of (', p_brand, ', ', p_type, '), which in/', first_value(p_partkey) over w, '.fasta has, in in/', p_partkey, '.fasta') as problem from part window w as (partition by p_brand, p_type order by p_partkey) qualify row_number() over w > 1"
 
 
-@query("duplicate_pair", "select p_partkey, first_value(p_partkey) over w as first_supplier from part window w as (partition by p_brand, p_type order by p_partkey) qualify row_number() over w > 1")
+@query("duplicate_pair", _DUPLICATE)
 def duplicate_pair(spark: SparkSession, sf_dir: str) -> DataFrame:
-    by = Window.partitionBy("p_brand", "p_type").orderBy("p_partkey")
-    return table(spark, sf_dir, "part").select("p_partkey", F.first("p_partkey").over(by).alias("first_supplier"), F.row_number().over(by).alias("r")).where("r > 1").drop("r")
+    return records.find_problems(part_records(spark, sf_dir), 1)
 
 
-@query("build_manifest", "select p_brand as protein_label, p_type as strain, arg_min(p_name, p_partkey) as name, min(p_partkey) as accession from part group by p_brand, p_type")
+@query("preflight", f"with d as ({_DUPLICATE}) select concat('in/', p_partkey, '.fasta') as path, cast(p_partkey as varchar) as id, p_brand as protein_label, p_type as strain, length({_LETTERS}) as length, '' as warnings, coalesce(problem, '') as problems from part left join d on d.id = cast(p_partkey as varchar)")
+def preflight(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How every record will be read, and whether the manifest would refuse it."""
+    return records.described(part_records(spark, sf_dir), 1).withColumn("warnings", F.array_join("warnings", "; ")).withColumn("problems", F.array_join("problems", "; "))
+
+
+@query("build_manifest", f"select cast(p_partkey as varchar) as accession, p_brand as protein_label, p_type as strain, length({_LETTERS}) as length, md5({_LETTERS}) as md5, concat('in/', p_partkey, '.fasta') as path from part qualify row_number() over (partition by p_brand, p_type order by p_partkey) = 1")
 def build_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = ids.first_of(table(spark, sf_dir, "part"), ["p_brand", "p_type"], ["p_partkey"])
-    return rows.select(F.col("p_brand").alias("protein_label"), F.col("p_type").alias("strain"), F.col("p_name").alias("name"), F.col("p_partkey").alias("accession"))
+    """Of records that have been made distinct by pair: any problem left would be an error."""
+    rows = ids.first_of(part_records(spark, sf_dir), ["protein_label", "strain"], ["ord"])
+    return records.build_manifest(rows, 1).drop("protein_name")
 
 
 @query("discover_pairs", "select distinct p_brand as protein_label, p_type as strain from part")
@@ -81,18 +108,15 @@ def distinct_project(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("lang", "source").distinct()
 
 
-# Binding rows: percentile = l_discount * 100.
-@query("filter_percentile", "select l_orderkey, l_linenumber, upper(l_returnflag) as peptide, coalesce(l_extendedprice, l_discount) as score from lineitem where l_discount <= 0.02 and l_returnflag <> ''")
-def filter_percentile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "lineitem").where("l_discount <= 0.02D and l_returnflag <> ''").select("l_orderkey", "l_linenumber", F.upper("l_returnflag").alias("peptide"), F.coalesce("l_extendedprice", "l_discount").alias("score"))
-
-
-@query("filter_immunogenic", "select o_orderkey, case when o_orderpriority <> '1-URGENT' then 'kept' when c_acctbal > 0 then 'kept' else 'dropped' end as verdict from orders left join customer on c_custkey = o_custkey")
+# Scored peptides: orders by segment of their customer; urgent ones are class I, the score is the balance of the segment's first customer.
+@query("filter_immunogenic", "with s as (select c_mktsegment as sequence, arg_min(c_acctbal, c_custkey) as immunogenicity from customer group by 1) select o_orderkey, case when o_orderpriority <> '1-URGENT' or immunogenicity > 3000 then 'kept' else 'dropped' end as verdict from orders join customer on c_custkey = o_custkey join s on sequence = c_mktsegment")
 def filter_immunogenic(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Class-I rows (urgent orders) stay if their score (the customer's balance) is over the limit, strictly."""
-    joined = table(spark, sf_dir, "orders").join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"), "left")
-    kept = (F.col("o_orderpriority") != "1-URGENT") | F.coalesce(F.col("c_acctbal") > 0, F.lit(False))
-    return joined.select("o_orderkey", F.when(kept, "kept").otherwise("dropped").alias("verdict"))
+    """A score for each distinct peptide; class I rows stay if it is over the limit, strictly, and the others are a table of their own."""
+    customer = table(spark, sf_dir, "customer")
+    scores = customer.groupBy(F.col("c_mktsegment").alias("sequence")).agg(F.min_by("c_acctbal", "c_custkey").alias("immunogenicity"))
+    rows = table(spark, sf_dir, "orders").join(customer, F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", F.col("c_mktsegment").alias("sequence"), F.when(F.col("o_orderpriority") == "1-URGENT", "MHC-I").otherwise("MHC-II").alias("epitope_class"))
+    kept, dropped = records.filter_immunogenic(rows, scores, 3000.0)
+    return kept.select("o_orderkey", F.lit("kept").alias("verdict")).unionByName(dropped.select("o_orderkey", F.lit("dropped").alias("verdict")))
 
 
 _SCORED = "documents left join labels using (doc_id)"
@@ -113,9 +137,22 @@ def drop_failing_proteins(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored(spark, sf_dir).groupBy("lang").agg(F.count_if(ok).alias("n_kept"), F.count_if(~ok).alias("n_failing"))
 
 
-@query("filter_reference", "select min(doc_id) as doc_id, md5(text) as md5 from documents where not contains(text, 'X') group by md5(text)")
+_REFERENCE = f"r as (select doc_id, {folded_sql('text')} as s from documents)"
+
+
+def _reference(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    rows = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("ord"), F.col("doc_id").alias("accession"), fs.folded(F.col("text")).alias("sequence"))
+    return records.filter_reference(rows)
+
+
+@query("filter_reference", f"with {_REFERENCE} select doc_id, s as sequence from r where not contains(s, 'X') qualify row_number() over (partition by s order by doc_id) = 1")
 def filter_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").where(~F.contains("text", F.lit("X"))).groupBy(F.md5("text").alias("md5")).agg(F.min("doc_id").alias("doc_id"))
+    return _reference(spark, sf_dir)[0].select(F.col("ord").alias("doc_id"), "sequence")
+
+
+@query("filter_reference_counts", f"with {_REFERENCE}, k as (select count(*) as n, count(*) filter (contains(s, 'X')) as n_ambiguous, count(distinct s) filter (not contains(s, 'X')) as n_kept from r) select n, n_ambiguous, n - n_ambiguous - n_kept as n_repeated, n_kept from k")
+def filter_reference_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _reference(spark, sf_dir)[1]
 
 
 @query("identity_flag", "select l_orderkey, l_linenumber, l_discount * 100 >= 5 as at_risk from lineitem")
@@ -146,6 +183,15 @@ def combine_screens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verdicts(spark, sf_dir).select("doc_id", "reason", "passes")
 
 
+@query("screen_allergen", f"select doc_id, case when toxic = 1 then 'predicted allergen' end as strict, case when toxic = 1 then 'NOTE predicted allergen (advisory, not filtered)' end as advisory, toxic is null or toxic <> 1 as passes_strict, true as passes_advisory from {_SCORED}")
+def screen_allergen(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The call as a reason to drop, and as a note: only the first fails a candidate."""
+    call = F.coalesce(F.col("toxic") == 1, F.lit(False))
+    rows = scored(spark, sf_dir).select("doc_id", records.allergen_reason(call).alias("strict"), records.allergen_reason(call, False).alias("advisory"))
+    passes = lambda c: (F.coalesce(F.startswith(c, F.lit("NOTE ")), F.lit(True))).alias(f"passes_{c}")
+    return rows.select("*", passes("strict"), passes("advisory"))
+
+
 @query("passes_flag", f"with {_V} select passes, count(*) as n from v group by passes")
 def passes_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verdicts(spark, sf_dir).groupBy("passes").agg(F.count("*").alias("n"))
@@ -161,64 +207,60 @@ def reason_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verdicts(spark, sf_dir).where("reason <> ''").select(F.explode(F.split("reason", "; ")).alias("reason")).groupBy("reason").agg(F.count("*").alias("n"))
 
 
-@query("flagged_final", f"with {_V} select lang, count(*) filter (toxic = 1) as n_flagged, coalesce(array_to_string(list_sort(list(doc_id) filter (toxic = 1)), ','), '') as ids from v group by lang")
+@query("flagged_final", f"with {_V} select lang, doc_id, count(*) over (partition by lang) as n_flagged from v where toxic = 1")
 def flagged_final(spark: SparkSession, sf_dir: str) -> DataFrame:
-    flagged = F.when(F.col("toxic") == 1, F.col("doc_id"))
-    return verdicts(spark, sf_dir).groupBy("lang").agg(F.count(flagged).alias("n_flagged"), F.array_join(F.array_sort(F.collect_list(flagged)), ",").alias("ids"))
+    """The flagged rows, a row each, and how many there are; a list of all in one cell would not be bounded."""
+    flagged = verdicts(spark, sf_dir).where("toxic = 1").select("lang", "doc_id")
+    return flagged.join(flagged.groupBy("lang").agg(F.count("*").alias("n_flagged")), "lang")
 
 
 @query("final_rank", f"with {_V} select row_number() over (order by n_chars desc nulls last, doc_id) as rank, doc_id, n_chars from v where passes")
 def final_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Dense numbers from range partitions: each adds the rows before it, so nothing is sorted in one task."""
-    rows = verdicts(spark, sf_dir).where("passes").select("doc_id", "n_chars", F.coalesce("n_chars", F.lit(-1)).alias("k"))
-    dealt = rows.repartitionByRange(F.desc("k"), F.asc("doc_id")).select("doc_id", "n_chars", "k", F.spark_partition_id().alias("part"))
-    from sievemark.operators.graph import written
+    rows = verdicts(spark, sf_dir).where("passes").select("doc_id", "n_chars")
+    return ids.numbered(rows, [], [F.desc_nulls_last("n_chars"), F.asc("doc_id")], "rank")
 
-    dealt = written(dealt)
-    before = dealt.groupBy("part").agg(F.count("*").alias("n")).withColumn("before", F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("part", "before")
-    here = F.row_number().over(Window.partitionBy("part").orderBy(F.desc("k"), "doc_id"))
-    return dealt.withColumn("here", here).join(before, "part").select((F.col("here") + F.col("before")).alias("rank"), "doc_id", "n_chars")
 
-
-# Joins.
-@query("join_seqnum", "select l_orderkey, l_linenumber, r_name from lineitem join (select row_number() over (order by r_regionkey) as ordinal, r_name from region) on ordinal = l_linenumber")
+# Joins. Those of a tool's rows with what was submitted must match: a row without a partner is an error.
+@query("join_seqnum", "select c_custkey, n_name from customer join (select row_number() over (order by n_nationkey) as seq_num, n_name from nation) on seq_num = c_nationkey + 1")
 def join_seqnum(spark: SparkSession, sf_dir: str) -> DataFrame:
-    records = table(spark, sf_dir, "region").select(F.row_number().over(Window.orderBy("r_regionkey")).alias("ordinal"), "r_name")  # one row a submitted record
-    return table(spark, sf_dir, "lineitem").join(records, F.col("l_linenumber") == F.col("ordinal")).select("l_orderkey", "l_linenumber", "r_name")
+    submitted = table(spark, sf_dir, "nation").select(F.row_number().over(Window.orderBy("n_nationkey")).alias("seq_num"), "n_name")  # one row a submitted record
+    rows = table(spark, sf_dir, "customer").select("c_custkey", (F.col("c_nationkey") + 1).alias("seq_num"))
+    return records.must_match(rows, F.broadcast(submitted), "seq_num", "rows of no submitted sequence").select("c_custkey", "n_name")
 
 
-@query("join_resolve_id", "with q as (select s_suppkey, case when s_suppkey % 2 = 0 then n_name else left(n_name, 5) end as said from supplier join nation on n_nationkey = s_nationkey), exact as (select s_suppkey, n_name from q join nation on said = n_name), fuzzy as (select s_suppkey, min(n_name) as n_name from q join nation on starts_with(n_name, said) or starts_with(said, n_name) where s_suppkey not in (select s_suppkey from exact) group by s_suppkey having count(*) = 1) select * from exact union all select * from fuzzy")
+@query("join_resolve_id", "select s_suppkey, concat(lpad(cast(n_nationkey as varchar), 2, '0'), ' ', n_name) as name from supplier join nation on n_nationkey = s_nationkey")
 def join_resolve_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Exact names first; else the one name that begins the other. Prefixes meet by equality on a shared prefix length."""
-    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    q = table(spark, sf_dir, "supplier").join(nation, F.col("s_nationkey") == F.col("n_nationkey")).select("s_suppkey", F.when(F.col("s_suppkey") % 2 == 0, F.col("n_name")).otherwise(F.left("n_name", F.lit(5))).alias("said"))
-    names = nation.select("n_name")
-    exact = q.join(names, F.col("said") == F.col("n_name")).select("s_suppkey", "n_name")
-    rest = q.join(exact, "s_suppkey", "left_anti")
-    cut = names.select("n_name", F.explode(F.sequence(F.lit(1), F.length("n_name"))).alias("k")).select("n_name", F.expr("left(n_name, k)").alias("head"))
-    longer = rest.join(cut, F.col("said") == F.col("head")).select("s_suppkey", "n_name")
-    own = rest.select("s_suppkey", "said", F.explode(F.sequence(F.lit(1), F.length("said"))).alias("k")).select("s_suppkey", F.expr("left(said, k)").alias("head"))
-    shorter = own.join(names, F.col("head") == F.col("n_name")).select("s_suppkey", "n_name")
-    fuzzy = longer.union(shorter).distinct().groupBy("s_suppkey").agg(F.min("n_name").alias("n_name"), F.count("*").alias("n")).where("n = 1").drop("n")
-    return exact.union(fuzzy)
-
-
-@query("join_surrogate", "select concat('s', n - 1) as surrogate, s_name from (select row_number() over (order by s_suppkey) as n, s_name from supplier)")
+    """Suppliers name their nation in full, cut to four letters, or with a tail: each finds it again."""
+    nation = table(spark, sf_dir, "nation").select("n_nationkey", F.concat(F.lpad(F.col("n_nationkey").cast("string"), 2, "0"), F.lit(" "), "n_name").alias("name"))
+    said = F.when(F.col("s_suppkey") % 3 == 0, F.left("name", F.lit(4))).when(F.col("s_suppkey") % 3 == 1, F.concat("name", F.lit("|tail"))).otherwise(F.col("name"))
+    rows = table(spark, sf_dir, "supplier").join(nation, F.col("s_nationkey") == F.col("n_nationkey")).select("s_suppkey", said.alias("said"))
+    return records.resolved(rows, nation, "said", "name").select("s_suppkey", "name")
+
+
+@query("join_surrogate", "select s_suppkey, s_name, s_acctbal as score from supplier")
 def join_surrogate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    numbered = table(spark, sf_dir, "supplier").select(F.concat(F.lit("s"), F.row_number().over(Window.orderBy("s_suppkey")) - 1).alias("surrogate"), "s_suppkey")  # a submission of one tool run
-    back = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
-    return numbered.join(back, "s_suppkey").select("surrogate", "s_name")
+    """A tool scores short names; its rows get their suppliers back."""
+    submitted = written(records.surrogates(table(spark, sf_dir, "supplier"), "s_suppkey"))
+    scores = submitted.select("surrogate", F.col("s_acctbal").alias("score"))
+    return records.restored(scores, submitted.select("surrogate", "s_suppkey", "s_name")).select("s_suppkey", "s_name", "score")
+
 
+# Members of clusters: order lines. Their ids are a part's (l_linenumber = 1), a stranger's with a known sequence (2), one that
+# only its form explains (3), or nothing. Parts are epitopes; every part's id stands twice, with two tools, of which the last counts.
+_MEMBERS = "m as (select l_orderkey, l_linenumber, case l_linenumber when 1 then concat('part', l_partkey) when 3 then concat('Spike_T_cell_MHCII_', l_partkey, '.1') else '?' end as description, case when l_linenumber <= 2 then p_name else '-' end as sequence from lineitem join part on p_partkey = l_partkey)"
+_TOOL = "case p_size % 2 when 0 then 'bepipred' else 'epidope' end"
 
-@query("join_member_epitope", "with d as (select p_name, arg_min(p_brand, p_partkey) as brand from part group by p_name) select l_orderkey, l_linenumber, coalesce(p.p_brand, d.brand, 'unresolved') as brand from lineitem left join part p on p.p_partkey = l_partkey + (l_linenumber % 2) * 100000000 left join part q on q.p_partkey = l_partkey left join d on d.p_name = q.p_name")
+
+@query("join_member_epitope", f"with {_MEMBERS}, q as (select p_name, arg_min({_TOOL}, p_partkey) as first_tool, array_to_string(list_sort(list(distinct p_brand)), '|') as strains from part group by p_name) select l_orderkey, l_linenumber, case l_linenumber when 1 then 'mhc_i' when 2 then coalesce(first_tool, '') when 3 then 'mhc_ii' else '' end as source_tool, case l_linenumber when 1 then 'MHC-I' when 2 then 'B' when 3 then 'MHC-II' else '' end as epitope_class, coalesce(strains, '') as strains from m left join q on p_name = sequence")
 def join_member_epitope(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """By id, else by sequence (first row of it), else unresolved; every other line carries an unknown id."""
-    part = table(spark, sf_dir, "part")
-    line = table(spark, sf_dir, "lineitem").join(part.select(F.col("p_partkey").alias("k"), F.col("p_name").alias("sequence")), F.col("l_partkey") == F.col("k"), "left")
-    by_id = part.select(F.col("p_partkey").alias("id"), F.col("p_brand").alias("by_id"))
-    by_sequence = part.groupBy(F.col("p_name").alias("sequence")).agg(F.min_by("p_brand", "p_partkey").alias("by_sequence"))
-    said = F.col("l_partkey") + (F.col("l_linenumber") % 2) * 100000000
-    return line.join(by_id, said == F.col("id"), "left").join(by_sequence, "sequence", "left").select("l_orderkey", "l_linenumber", F.coalesce("by_id", "by_sequence", F.lit("unresolved")).alias("brand"))
+    part, line = table(spark, sf_dir, "part"), table(spark, sf_dir, "lineitem")
+    n = F.col("l_linenumber")
+    description = F.when(n == 1, F.concat(F.lit("part"), "l_partkey")).when(n == 3, F.format_string("Spike_T_cell_MHCII_%d.1", F.col("l_partkey"))).otherwise("?")
+    members = line.join(part, F.col("p_partkey") == F.col("l_partkey")).select("l_orderkey", "l_linenumber", description.alias("description"), F.when(n <= 2, F.col("p_name")).otherwise("-").alias("sequence"))
+    row = lambda tool, kind, ord_: part.select(F.concat(F.lit("part"), "p_partkey").alias("epitope_id"), F.col("p_name").alias("sequence"), tool.alias("source_tool"), F.lit(kind).alias("epitope_class"), F.col("p_brand").alias("strains"), ord_.alias("ord"))
+    first = row(F.when(F.col("p_size") % 2 == 0, "bepipred").otherwise("epidope"), "B", F.col("p_partkey"))
+    epitopes_ = first.unionByName(row(F.lit("mhc_i"), "MHC-I", F.col("p_partkey") + 1_000_000_000))
+    return records.members_annotated(members, epitopes_).select("l_orderkey", "l_linenumber", "source_tool", "epitope_class", "strains")
 
 
 @query("join_strains_by_sequence", f"with {_E}, s as (select sequence, array_to_string(list_sort(list(distinct strain)), '|') as strains from e group by sequence) select epitope_id, strains from e join s using (sequence)")
@@ -326,11 +368,32 @@ def coverage_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wide.select("n_name", *(F.col(s).alias(s.lower()) for s in _SEGMENTS))
 
 
-@query("population_coverage", "select p_brand as consensus_id, p_type as population, count(*) as n_alleles, max(p_retailprice) as coverage from part group by 1, 2 union all select 'ALL', p_type, count(*), max(p_retailprice) from part group by p_type")
+# Coverage: brands are candidates, their parts' names the members' peptides; types of parts are alleles, with a second chain in some.
+_ASKED = """e as (select p_partkey, p_name, p_brand, case p_size % 3 when 0 then 'MHC-I' when 1 then 'MHC-II' else 'B' end as class, p_type as allele from part),
+ s as (select p_name, allele from e where class <> 'B'),
+ asked as (select distinct p_brand as consensus_id, s.allele from e join s using (p_name) where class <> 'B' union select 'ALL', s.allele from e join s using (p_name) where class <> 'B'),
+ bags as (select consensus_id, count(distinct allele) as n_alleles, array_to_string(list_sort(list(distinct allele)), '|') as alleles from asked group by 1)"""
+
+
+def coverage_asked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = table(spark, sf_dir, "part")
+    kind = F.element_at(F.array(F.lit("MHC-I"), F.lit("MHC-II"), F.lit("B")), (F.col("p_size") % 3 + 1).cast("int"))
+    chain = F.when(F.col("p_size") % 2 == 0, F.concat("p_type", F.lit("/second"))).otherwise(F.col("p_type"))
+    epitopes_ = part.select(F.col("p_partkey").alias("epitope_id"), F.col("p_name").alias("sequence"), kind.alias("epitope_class"), chain.alias("allele"))
+    members = part.select(F.col("p_brand").alias("consensus_id"), F.col("p_partkey").alias("epitope_id"))
+    passing = part.groupBy(F.col("p_brand").alias("consensus_id")).agg(F.min("p_name").alias("sequence"))
+    return records.coverage_input(passing, members, epitopes_)
+
+
+@query("population_coverage", f"with {_ASKED} select consensus_id, r_name as population, class as mhc_class, r_regionkey * 10 + length(consensus_id) + i * 0.5::double as coverage, n_alleles, alleles from bags, region, (values ('I', 1), ('II', 2), ('combined', 3)) t(class, i) where not (class = 'II' and r_regionkey = 0)")
 def population_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "part").select(F.col("p_brand").alias("consensus_id"), F.col("p_type").alias("population"), "p_retailprice")
-    sums = lambda df: df.agg(F.count("*").alias("n_alleles"), F.max("p_retailprice").alias("coverage"))
-    return sums(rows.groupBy("consensus_id", "population")).union(sums(rows.groupBy("population")).select(F.lit("ALL"), "population", "n_alleles", "coverage"))
+    """What a tool reports of every candidate, and of all together, with the alleles that were asked for; a class it leaves out stays out."""
+    asked = written(coverage_asked(spark, sf_dir))
+    ids_ = asked.select("consensus_id").union(spark.createDataFrame([("ALL",)], "consensus_id string"))
+    kinds = F.broadcast(spark.createDataFrame([("I", 1), ("II", 2), ("combined", 3)], "mhc_class string, i int"))
+    reports = ids_.crossJoin(F.broadcast(table(spark, sf_dir, "region"))).crossJoin(kinds).where("not (mhc_class = 'II' and r_regionkey = 0)")  # a report's rows: five populations, three classes
+    reports = reports.select("consensus_id", F.col("r_name").alias("population"), "mhc_class", (F.col("r_regionkey") * 10 + F.length("consensus_id") + F.col("i") * 0.5).alias("coverage"), F.lit(None).cast("double").alias("average_hit"), F.lit(None).cast("double").alias("pc90"))
+    return records.population_coverage(asked, reports).drop("average_hit", "pc90")
 
 
 @query("conservancy_min", "select lang, cast(min(q) as double) as least, array_to_string(list_sort(list(concat(source, ':', q, '%'))), '|') as per_source from (select lang, source, 100 * count(*) filter (length(text) >= 1000) // count(*) as q from documents group by lang, source) group by lang")
@@ -342,12 +405,14 @@ def conservancy_min(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Sorts, limits and sets.
 @query("sort_multi", "select p_partkey, row_number() over (partition by p_brand order by p_type, p_name, p_partkey) as place from part")
 def sort_multi(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "part").select("p_partkey", F.row_number().over(Window.partitionBy("p_brand").orderBy("p_type", "p_name", "p_partkey")).alias("place"))
+    rows = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type", "p_name")
+    return ids.numbered(rows, ["p_brand"], [F.asc("p_type"), F.asc("p_name"), F.asc("p_partkey")], "place").select("p_partkey", "place")
 
 
 @query("sort_desc_score", "select c_custkey, row_number() over (partition by c_nationkey order by c_acctbal desc, c_custkey) as place from customer")
 def sort_desc_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "customer").select("c_custkey", F.row_number().over(Window.partitionBy("c_nationkey").orderBy(F.desc("c_acctbal"), "c_custkey")).alias("place"))
+    rows = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
+    return ids.numbered(rows, ["c_nationkey"], [F.desc("c_acctbal"), F.asc("c_custkey")], "place").select("c_custkey", "place")
 
 
 @query("topk_truncate", "select p_brand, array_to_string(list_slice(list_sort(list(distinct p_name)), 1, 8), ';') as first_eight from part group by p_brand")

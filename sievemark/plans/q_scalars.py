@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from sievemark.functions import sequences as fs
+from sievemark.operators import records
 from sievemark.plans.catalog import query, table
+from sievemark.sources.files import to_float as to_number
 
 _HEADERS = "headers as (select doc_id, concat(doc_id, ' ', source, ' [', lang, ']') as header from documents)"
 
@@ -32,14 +34,19 @@ def filename_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select("p_partkey", fs.fallback(F.when(F.col("p_size") % 2 == 0, F.col("p_name")).otherwise(""), stem, 2, "unknown protein").alias("name"))
 
 
-@query("seq_md5", "select doc_id, md5(upper(text)) as md5 from documents where regexp_matches(text, '^[\\x00-\\x7F]*$')")
+#: a-z as A-Z in SQL, as fs.folded does it.
+def folded_sql(x: str) -> str:
+    return f"translate({x}, '{fs._LOWER}', '{fs._UPPER}')"
+
+
+@query("seq_md5", f"select doc_id, md5({folded_sql('text')}) as md5 from documents")
 def seq_md5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").where(F.col("text").rlike(r"^[\x00-\x7F]*$")).select("doc_id", F.md5(F.upper("text")).alias("md5"))
+    return table(spark, sf_dir, "documents").select("doc_id", F.md5(fs.folded(F.col("text"))).alias("md5"))
 
 
 @query("seq_md5_all")
 def seq_md5_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document, whatever its letters; without SQL, as upper() differs there beyond ASCII."""
+    """With every letter in upper case, also beyond A-Z; without SQL, as upper() differs there."""
     return table(spark, sf_dir, "documents").select("doc_id", F.md5(F.upper("text")).alias("md5"))
 
 
@@ -56,9 +63,9 @@ def normalise_label(spark: SparkSession, sf_dir: str) -> DataFrame:
     return part.join(met, "p_partkey", "left").select("p_partkey", F.coalesce("label", F.nullif(words, F.lit("")), F.lit("Unknown")).alias("label"))
 
 
-@query("make_header", "select doc_id, concat(regexp_replace(trim(source), '\\s+', '_', 'g'), '|', regexp_replace(trim(left(text, 12)), '\\s+', '_', 'g'), '|', doc_id) as header from documents")
+@query("make_header", "select p_partkey, concat(regexp_replace(trim(p_type), '\\s+', '_', 'g'), '|', regexp_replace(trim(p_name), '\\s+', '_', 'g'), '|', p_partkey) as header from part")
 def make_header(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", fs.header_of(F.col("source"), F.left("text", F.lit(12)), F.col("doc_id").cast("string")).alias("header"))
+    return table(spark, sf_dir, "part").select("p_partkey", fs.header_of(F.col("p_type"), F.col("p_name"), F.col("p_partkey").cast("string")).alias("header"))
 
 
 @query("parse_header", "select p_partkey, split_part(h, '|', 1) as protein, split_part(h, '|', 2) as strain, split_part(h, '|', 3) as accession from (select p_partkey, case p_size % 3 when 0 then concat(p_brand, '|', p_name, '|', p_partkey) when 1 then concat(p_brand, '|', p_name) else p_brand end as h from part)")
@@ -80,7 +87,7 @@ def parse_epitope_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ids.select("o_orderkey", *(F.nullif(F.regexp_extract("id", fs.EPITOPE_ID, i), F.lit("")).alias(n) for i, n in ((1, "protein"), (3, "tool"))))
 
 
-@query("windows", "select item_id, unnest(case when length(text) < 50 then [text] else list_transform(range(1, length(text) - 48), lambda i: substr(text, i, 50)) end) as window from benchmark where text <> ''")
+@query("windows", f"select item_id, unnest(case when length(text) < 50 then [{folded_sql('text')}] else list_transform(range(1, length(text) - 48), lambda i: substr({folded_sql('text')}, i, 50)) end) as window from benchmark where text <> ''")
 def windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "benchmark").select("item_id", F.explode(fs.windows(F.col("text"), 50)).alias("window"))
 
@@ -108,9 +115,9 @@ def percent_identity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return a.join(b, F.col("a") < F.col("b")).select("a", "b", fs.percent_identity("sa", "sb").alias("identity"))
 
 
-@query("max_identity_matches", "select p_partkey, cast(" + _PLACED.format(q="q", t="t") + " as bigint) as matches from (select p_partkey, left(p_name, 4) as q, concat(lower(p_type), reverse(p_name)) as t from part)")
+@query("max_identity_matches", "select p_partkey, cast(" + _PLACED.format(q="q", t="t") + " as bigint) as matches from (select p_partkey, p_name as q, concat(lower(p_type), reverse(p_name)) as t from part)")
 def max_identity_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part = table(spark, sf_dir, "part").select("p_partkey", F.left("p_name", F.lit(4)).alias("q"), F.concat(F.lower("p_type"), F.reverse("p_name")).alias("t"))
+    part = table(spark, sf_dir, "part").select("p_partkey", F.col("p_name").alias("q"), F.concat(F.lower("p_type"), F.reverse("p_name")).alias("t"))
     return part.select("p_partkey", fs.max_identity_matches("q", "t").cast("long").alias("matches"))
 
 
@@ -175,9 +182,38 @@ def as_int(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _coded(spark, sf_dir).select("o_orderkey", fs.as_int(F.col("x")).alias("number"))
 
 
+@query("as_float", f"select o_orderkey, coalesce(try_cast(trim({_CODES}) as double), -1) as number from orders")
+def as_float(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _coded(spark, sf_dir).select("o_orderkey", fs.as_float(F.col("x"), -1.0).alias("number"))
+
+
+@query("to_float", "select p_partkey, p_retailprice as number from part")
+def to_float(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbers written as text, blanks around them, and read back; text that is no number would be an error."""
+    said = F.concat(F.lit("  "), F.col("p_retailprice").cast("string"), F.lit(" "))
+    return table(spark, sf_dir, "part").select("p_partkey", to_number(said, "price").alias("number"))
+
+
 @query("describe_match", "select l_orderkey, l_linenumber, concat(l_returnflag, '@', l_partkey, ':', l_linenumber + 1) as said from lineitem")
 def describe_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.format_string("%s@%d:%d", F.col("l_returnflag"), F.col("l_partkey"), F.col("l_linenumber") + 1).alias("said"))
+    return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", fs.match_text(F.col("l_returnflag"), F.col("l_partkey").cast("string"), F.col("l_linenumber")).alias("said"))
+
+
+@query("threshold_scale_guard", "select x, x in ('90:50', '80', '60') as accepted from (values ('90:50'), ('80'), ('60'), ('0.6'), ('1'), ('101'), ('50:90'), ('90:70:50'), ('high')) t(x)")
+def threshold_scale_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which ranges of thresholds are accepted: per cent, over 1, from the higher to the lower."""
+    def accepted(x: str) -> bool:
+        try:
+            return bool(fs.threshold_sweep(x))
+        except ValueError:
+            return False
+
+    return spark.createDataFrame([(x, accepted(x)) for x in ("90:50", "80", "60", "0.6", "1", "101", "50:90", "90:70:50", "high")], "x string, accepted boolean")
+
+
+@query("allele_length_grid", "select n_name as allele, length from nation, (values (8), (9), (10)) t(length)")
+def allele_length_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return records.allele_length_grid(table(spark, sf_dir, "nation").select(F.col("n_name").alias("allele")), [8, 9, 10])
 
 
 @query("threshold_sweep", "select unnest([90, 80, 70, 60, 50]) as threshold")
