@@ -1,17 +1,16 @@
 """Deep-shallow string sorting, with the common prefix of each two neighbours.
 
-Shallow: multikey quicksort, breadth first, on 8-byte digits; strings that differ
-early part ways here, and only groups that are still equal go on to the next digit.
-Deep: what shares the whole shallow prefix is ordered by a blind trie, which
-compares each string in full with one other string only.
+Shallow: multikey quicksort on 8-byte digits. A part whose strings agree up to a digit
+is split in three by a pivot, the median of three of its strings: what is less and what
+is greater is split again by the same digit, what is equal goes on to the next. All
+parts are split at once, breadth first. Deep: what shares the whole shallow prefix is
+ordered by a blind trie, which compares each string in full with one other string only.
 """
 
 from __future__ import annotations
 
 import numpy as np
 
-from sievemark.llm import textscan
-
 DIGIT = 8
 
 
@@ -75,6 +74,35 @@ class _Blind:
         return order, prefix
 
 
+def _multikey(keys: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows by group and then by keys[0], keys[1], ..., and where a row begins that differs from the one before it."""
+    n = len(group)
+    order = np.argsort(group, kind="stable")
+    head = np.ones(n, bool)
+    head[1:] = group[order][1:] != group[order][:-1]
+    level = np.zeros(n, np.int64)
+    while True:
+        first = np.flatnonzero(head)
+        size = np.diff(np.append(first, n))
+        open_ = (size > 1) & (level[first] < len(keys))
+        if not open_.any():
+            return order, head
+        at = np.flatnonzero(np.repeat(open_, size))
+        size = size[open_]
+        part = np.repeat(np.arange(len(size)), size)
+        begin = np.cumsum(size) - size
+        rows = order[at]
+        key = keys[level[at], rows]
+        x, y, z = key[begin], key[begin + size // 2], key[begin + size - 1]
+        pivot = np.maximum(np.minimum(x, y), np.minimum(np.maximum(x, y), z))[part]
+        side = (key > pivot).astype(np.int64) + (key >= pivot)
+        by = np.argsort(part * 3 + side, kind="stable")
+        order[at], side = rows[by], side[by]
+        level[at] += side == 1
+        # Rows of a part stand together, and the parts in their order.
+        head[at[1:][(side[1:] != side[:-1]) & (part[1:] == part[:-1])]] = True
+
+
 def sort(strings: list[bytes], group: np.ndarray, shallow: int = 64) -> tuple[np.ndarray, np.ndarray]:
     """Order of the strings within each group, and the common prefix with the one before it (-1 at a group's start)."""
     n = len(strings)
@@ -84,35 +112,19 @@ def sort(strings: list[bytes], group: np.ndarray, shallow: int = 64) -> tuple[np
     padded = b"".join(s[:shallow].ljust(shallow, b"\0") for s in strings)
     digits = np.frombuffer(padded, ">u8").reshape(n, depth).astype(np.uint64)
     size = np.minimum(np.fromiter(map(len, strings), np.int64, n), shallow)
-    order = np.argsort(group, kind="stable")
-    cls = np.cumsum(np.diff(group[order], prepend=group[order[:1]]) != 0)
-    prefix = np.where(np.diff(cls, prepend=-1) != 0, -1, shallow)
-    for d in range(depth + 1):
-        first = np.flatnonzero(np.diff(cls, prepend=-1))
-        lengths = np.diff([*first, n])
-        tied = np.repeat(lengths > 1, lengths)
-        if not tied.any():
-            break
-        at = np.flatnonzero(tied)
-        rows = order[at]
-        key = digits[rows, d] if d < depth else size[rows].astype(np.uint64)
-        by = np.lexsort((key, cls[at]))
-        rows, key = rows[by], key[by]
-        order[at] = rows
-        parted = (cls[at][1:] == cls[at][:-1]) & (key[1:] != key[:-1])
-        where = at[1:][parted]
-        if d < depth:
-            x = key[1:][parted] ^ key[:-1][parted]
-            same = np.zeros(len(x), np.int64)
-            for b in range(1, DIGIT):
-                same += x < np.uint64(1) << np.uint64(8 * b)
-            prefix[where] = d * DIGIT + same
-        new = np.zeros(n, np.int64)
-        new[where] = 1
-        cls = np.cumsum((np.diff(cls, prepend=cls[:1]) != 0) + new)
+    order, head = _multikey(np.concatenate([digits.T, size.astype(np.uint64)[None]]), group)
+    differ = digits[order[1:]] ^ digits[order[:-1]]
+    digit = (differ != 0).argmax(axis=1)
+    x = differ[np.arange(n - 1), digit]
+    same = np.zeros(n - 1, np.int64)
+    for b in range(1, DIGIT):
+        same += x < np.uint64(1) << np.uint64(8 * b)
+    prefix = np.full(n, -1, np.int64)
     # A string that ends early shares no more than it has, whatever its padding says.
-    prefix[1:] = np.minimum(prefix[1:], np.minimum(size[order[1:]], size[order[:-1]]))
-    for lo, hi in textscan.groups(cls):
+    prefix[1:] = np.minimum(np.where(x != 0, digit * DIGIT + same, shallow), np.minimum(size[order[1:]], size[order[:-1]]))
+    prefix[1:][group[order[1:]] != group[order[:-1]]] = -1
+    bounds = np.append(np.flatnonzero(head), n)
+    for lo, hi in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
         if hi - lo > 1:
             trie = _Blind(strings)
             for i in order[lo:hi].tolist():

@@ -37,8 +37,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sievemark.llm import repeats, textscan
-from sievemark.llm.components import components
 from sievemark.llm.stage import checkpointed, shuffle_partitions
+from sievemark.operators.graph import connected_components
 
 SKETCH_BITS = 22
 _CELL = 18
@@ -233,7 +233,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100,
     links = _links(keys, bits, real, order, k, num, den, group_limit)
     order.shared.destroy()
     degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("n_links"))
-    linked = checkpointed(components(links).join(degree, "node", "left"))
+    linked = checkpointed(connected_components(links).join(degree, "node", "left"))
     out = members.join(linked, F.col("class_id") == F.col("node"), "left")
     out = out.select("doc_id", F.coalesce("root", "class_id").alias("component_id"), F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"))
     rows = survey.select("doc_id", F.col("n").alias("n_shingles"))
@@ -370,7 +370,7 @@ def _links(keys: DataFrame, bits: DataFrame, docs: DataFrame, order: _Order, k:
         if links is None:
             held = held.withColumn("root", F.col("node"))
         else:
-            held = held.join(components(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
+            held = held.join(connected_components(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
             held = held.join(held.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi").select("key"), "key", "left_semi")
         blocks = F.ceil(F.coalesce("m", F.lit(1)) / group_limit).cast("int")
         dealt = held.withColumn("own", F.pmod(F.xxhash64("node"), blocks).cast("int")).select("key", "node", "n", "at", "root", "own", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))

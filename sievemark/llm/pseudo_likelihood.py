@@ -1,10 +1,10 @@
 """Masked pseudo-likelihood scores from a bidirectional window network.
 
 The network's vocabulary holds the most frequent words of the corpus; the others
-share hashed places, and in its place each word has the share of its count there.
-Words counted more than a threshold, which follows the corpus, have their own count,
-the rest of a place the mean of theirs. Texts are turned into places once and the
-places written as a table. The network sees WIDTH words on either side of a masked one and
+share hashed places, and in its place each word has the share of its count there:
+every word of the corpus has a probability of its own. The most frequent words'
+counts go to every task; those of the others, which are rare, are joined. Texts are
+turned into places once and the places written as a table. The network sees WIDTH words on either side of a masked one and
 predicts it: embeddings by position, one tanh layer, and a softmax in two steps,
 the word's class and the word in its class. It is trained in numpy on all
 documents at once: in each round every task starts from the shared weights, trains
@@ -43,7 +43,7 @@ EMBEDDING, HIDDEN = 16, 32
 ROUNDS, MASKED = 2, 8
 #: Tasks whose weights are averaged together; averages are averaged again, so many at a time.
 FAN_IN = 16
-#: Words with a count of their own, at most: their table goes to every task.
+#: Words whose counts go to every task, at most; the counts of the others are joined.
 LISTED = 1 << 18
 #: Positions of one training step: few at first, more the more a task has seen.
 LEAST_BATCH, BATCH, RATE = 256, 2048, 0.08
@@ -67,7 +67,7 @@ class Vocabulary:
     """Places of words, frequent ones by rank and the others by hash behind them, and what each has of its place.
 
     word and n are the listed words' hashes and counts; rest has, for each shared
-    place, how many other words there are and the sum of their counts.
+    place, the sum of the counts of the other words in it.
     """
 
     def __init__(self, word: np.ndarray, n: np.ndarray, rest: np.ndarray, top: int = FREQUENT):
@@ -78,14 +78,16 @@ class Vocabulary:
         # Ranks are dealt over the classes, so that every class has frequent words.
         self.place = np.where(rank < top, rank, self._shared(word))[order]
         others = rank >= top
-        total = rest[1] + np.bincount(self._shared(word[others]) - FREQUENT, weights=n[others], minlength=VOCABULARY - FREQUENT)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            own = np.where(others, np.log(n / total[self._shared(word) - FREQUENT]), 0.0)
-            self.rest = np.log(rest[1] / rest[0] / total)
+        total = rest + np.bincount(self._shared(word[others]) - FREQUENT, weights=n[others], minlength=VOCABULARY - FREQUENT)
+        own = np.zeros(len(word))
+        own[others] = np.log(n[others] / total[self._shared(word[others]) - FREQUENT])
         self.share = own[order]
+        #: Of a word that is not listed: its share, but for the logarithm of its count.
+        self.rest = -np.log(np.maximum(total, 1))
         #: Words of the corpus in each place.
         self.counts = np.concatenate([np.zeros(FREQUENT), total])
         np.add.at(self.counts, rank[~others], n[~others])
+        self.complete = not rest.any()
 
     @staticmethod
     def _shared(h: np.ndarray) -> np.ndarray:
@@ -95,21 +97,21 @@ class Vocabulary:
         at = np.minimum(np.searchsorted(self.keys, h), len(self.keys) - 1)
         return at, self.keys[at] == h
 
-    def look_up(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The place of each word, and its log probability within it."""
+    def look_up(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The place of each word, its log probability within it, and whether it is listed; if not, the logarithm of its count is still to be added."""
         place = self._shared(h)
-        share = self.rest[place - FREQUENT]
+        share, listed = self.rest[place - FREQUENT], np.zeros(len(h), bool)
         if len(self.keys) and len(h):
             # Equal words are looked up once, in ascending order.
             word, back = np.unique(h, return_inverse=True)
-            at, listed = self._find(word)
-            place = np.where(listed, self.place[at], self._shared(word))[back]
-            share = np.where(listed, self.share[at], self.rest[self._shared(word) - FREQUENT])[back]
-        return place, share
+            at, known = self._find(word)
+            shared = self._shared(word)
+            place, share, listed = (x[back] for x in (np.where(known, self.place[at], shared), np.where(known, self.share[at], self.rest[shared - FREQUENT]), known))
+        return place, share, listed
 
 
-def vocabulary_of(texts: DataFrame, top: int = FREQUENT, listed: int = LISTED) -> Vocabulary:
-    """Counted over all texts; the least count of a listed word is the least at which there are at most `listed`."""
+def vocabulary_of(texts: DataFrame, top: int = FREQUENT, listed: int = LISTED) -> tuple[Vocabulary, DataFrame]:
+    """Counted over all texts, with the counts of all words (word, n); the least count of a listed word is the least at which there are at most `listed`."""
 
     def counted(seen: list[np.ndarray]) -> pa.RecordBatch:
         word, n = np.unique(np.concatenate(seen), return_counts=True)
@@ -140,11 +142,11 @@ def vocabulary_of(texts: DataFrame, top: int = FREQUENT, listed: int = LISTED) -
     found = words.where(F.col("n") >= least).toArrow()
     shared = VOCABULARY - FREQUENT
     # A power of two, so that signed and unsigned hashes have the same remainder.
-    others = words.where(F.col("n") < least).groupBy(F.pmod("word", F.lit(shared)).alias("place")).agg(F.count("*").alias("words"), F.sum("n").alias("n"))
-    rest = np.zeros((2, shared))
+    others = words.where(F.col("n") < least).groupBy(F.pmod("word", F.lit(shared)).alias("place")).agg(F.sum("n").alias("n"))
+    rest = np.zeros(shared)
     for r in others.collect():
-        rest[:, r.place] = r.words, r.n
-    return Vocabulary(found["word"].to_numpy().view(np.uint64), found["n"].to_numpy(), rest, top)
+        rest[r.place] = r.n
+    return Vocabulary(found["word"].to_numpy().view(np.uint64), found["n"].to_numpy(), rest, top), words
 
 
 def targets(place: np.ndarray, offsets: np.ndarray, number: int, rounds: int, masked: int) -> np.ndarray:
@@ -288,7 +290,7 @@ def _written(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
 
 
 def encoded(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """docs with __places (two bytes a word) and __share (the sum of the words' log probabilities within their places)."""
+    """docs with __places (two bytes a word), __share (the sum of what is known of the words' log probabilities within their places) and __rare (words that are not listed)."""
     names = docs.columns
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
@@ -296,15 +298,20 @@ def encoded(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
         for batch in textscan.bounded(batches):
             said: list[bytes] = []
             share = np.zeros(batch.num_rows)
+            rare, n_rare = [np.zeros(0, np.uint64)], np.zeros(batch.num_rows, np.int64)
             for t, w, h in _hashed(batch.column("text")):
-                place, own = shared.value.look_up(h)
+                place, own, listed = shared.value.look_up(h)
                 place = place.astype("<i2")
                 said += [place[a:b].tobytes() for a, b in zip(w.bounds[:-1].tolist(), w.bounds[1:].tolist(), strict=True)]
-                share[t.first : t.first + len(t)] = np.bincount(w.doc, weights=own, minlength=len(t))
-            yield pa.RecordBatch.from_arrays([*(batch.column(x) for x in names), pa.array(said, pa.binary()), pa.array(share)], names=[*names, "__places", "__share"])
+                rows = slice(t.first, t.first + len(t))
+                share[rows] = np.bincount(w.doc, weights=own, minlength=len(t))
+                rare.append(h[~listed])
+                n_rare[rows] = np.bincount(w.doc[~listed], minlength=len(t))
+            lists = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(n_rare)]).astype(np.int32), pa.array(textscan.signed(np.concatenate(rare))))
+            yield pa.RecordBatch.from_arrays([*(batch.column(x) for x in names), pa.array(said, pa.binary()), pa.array(share), lists], names=[*names, "__places", "__share", "__rare"])
 
-    out = docs.mapInArrow(encode, docs.withColumn("__places", F.lit(b"")).withColumn("__share", F.lit(0.0)).schema)
-    return out
+    schema = docs.select("*", F.lit(b"").alias("__places"), F.lit(0.0).alias("__share"), F.array().cast("array<long>").alias("__rare")).schema
+    return docs.mapInArrow(encode, schema)
 
 
 def train(places: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS, masked: int = MASKED) -> Weights:
@@ -370,10 +377,10 @@ def _average(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def pseudo_likelihood(docs: DataFrame, rounds: int = ROUNDS, keep_text: bool = True) -> DataFrame:
     """docs (without its text, if that is not to be kept) with n_tokens, log_likelihood (summed) and mean_log_likelihood."""
     docs = without(docs, ["n_tokens", "log_likelihood", "mean_log_likelihood"]).withColumn("text", F.col("text").cast("string"))
-    vocabulary = vocabulary_of(docs.select("text"))
-    places = encoded(docs, vocabulary)
+    vocabulary, words = vocabulary_of(docs.select("text"))
+    places = encoded(docs.withColumn("__row", F.monotonically_increasing_id()), vocabulary)
     places = checkpointed(places if keep_text else places.drop("text"))
-    names = [c for c in places.columns if c not in ("__places", "__share")]
+    names = [c for c in places.columns if c not in ("__places", "__share", "__rare")]
     shared = docs.sparkSession.sparkContext.broadcast(train(places, vocabulary, rounds))
     schema = places.select(*names, F.lit(0).cast("long").alias("n_tokens"), F.lit(0.0).alias("log_likelihood")).schema
 
@@ -385,7 +392,13 @@ def pseudo_likelihood(docs: DataFrame, rounds: int = ROUNDS, keep_text: bool = T
             total += batch.column("__share").to_numpy()
             yield pa.RecordBatch.from_arrays([*(batch.column(x) for x in names), pa.array(n), pa.array(total)], names=[*names, "n_tokens", "log_likelihood"])
 
-    scored = places.mapInArrow(score, schema)
+    scored = places.drop("__rare").mapInArrow(score, schema)
+    if not vocabulary.complete:
+        # No word of these is frequent, so neither side of the join has a hot key; equal words of a row are one.
+        rare = places.select("__row", F.explode("__rare").alias("word")).groupBy("__row", "word").agg(F.count("*").alias("times"))
+        rest = rare.join(words, "word").groupBy(F.col("__row").alias("__of")).agg(F.sum(F.col("times") * F.ln("n")).alias("__rest"))
+        scored = scored.join(rest, F.col("__row") == F.col("__of"), "left").withColumn("log_likelihood", F.col("log_likelihood") + F.coalesce("__rest", F.lit(0.0))).drop("__of", "__rest")
+    scored = scored.drop("__row")
     return scored.withColumn("mean_log_likelihood", F.when(F.col("n_tokens") > 0, F.col("log_likelihood") / F.col("n_tokens")))
 
 

@@ -1,39 +1,13 @@
-"""Cutting lineage and bounding what is broadcast."""
+"""What the text operators share: written tables, and columns that results replace."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
+from sievemark.operators.graph import shared_folder as checkpoint_folder
+from sievemark.operators.graph import written as checkpointed
 
-def checkpoint_folder(spark: SparkSession) -> str:
-    """The shared folder of spark.checkpoint.dir, read from the session.
-
-    Only where it is unset, as in tests on one machine, a temporary folder takes its place.
-    """
-    sc = spark.sparkContext
-    folder = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir")
-    if folder is None:
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="checkpoints-"))
-        folder = sc.getCheckpointDir()
-    return folder
-
-
-#: Files that a checkpoint table has for each core at most: more only cost their making and listing.
-FILES_A_CORE = 8
-
-
-def checkpointed(df: DataFrame, most_files: int | None = None) -> DataFrame:
-    """df written as a table in the shared folder and read from there: cuts lineage, survives lost executors.
-
-    most_files: for tables whose size is known to be small.
-    """
-    spark = df.sparkSession
-    path = f"{checkpoint_folder(spark)}/stage-{uuid.uuid4().hex}"
-    df.coalesce(min(most_files or 1 << 30, FILES_A_CORE * spark.sparkContext.defaultParallelism)).write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+__all__ = ["checkpoint_folder", "checkpointed", "shuffle_partitions", "without"]
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

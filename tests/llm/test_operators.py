@@ -280,7 +280,7 @@ def plain_log_probability(w, around, place):
 
 def test_network_against_one_word_at_a_time():
     rng = np.random.default_rng(8)
-    vocabulary = pseudo_likelihood.Vocabulary(np.arange(1, 400, dtype=np.uint64), np.arange(400, 1, -1), np.ones((2, 2048)))
+    vocabulary = pseudo_likelihood.Vocabulary(np.arange(1, 400, dtype=np.uint64), np.arange(400, 1, -1), np.ones(2048))
     w = pseudo_likelihood.start(vocabulary)
     place, offsets = rng.integers(0, 4096, 300).astype(np.int16), np.array([0, 0, 1, 3, 120, 300])
     around = pseudo_likelihood._around(place, offsets)
@@ -317,17 +317,29 @@ def test_words_of_a_shared_place_have_their_own_probability(spark, listed):
     import pyarrow as pa
 
     rows = [(" ".join(f"w{j}" for j in range(i, 5000, i + 1)),) for i in range(5)] + [(None,), ("",)]
-    vocabulary = pseudo_likelihood.vocabulary_of(spark.createDataFrame(rows, "text string"), listed=listed)
+    vocabulary, words = pseudo_likelihood.vocabulary_of(spark.createDataFrame(rows, "text string"), listed=listed)
+    assert words.count() == len({w for t, in rows for w in (t or "").split()})
     counts = collections.Counter(w for t, in rows for w in (t or "").split())
     h = next(pseudo_likelihood._hashed(pa.array([" ".join(counts)])))[2]
-    place, share = vocabulary.look_up(h)
-    assert np.bincount(place, weights=np.exp(share))[np.unique(place)] == pytest.approx(1)
-    if listed >= len(counts):
-        n = np.array(list(counts.values()))
-        assert np.exp(share) == pytest.approx(n / np.bincount(place, weights=n)[place])
+    place, share, known = vocabulary.look_up(h)
+    n = np.array(list(counts.values()))
+    assert known.sum() <= listed and known.all() == vocabulary.complete
+    share = share + np.where(known, 0.0, np.log(n))
+    assert np.exp(share) == pytest.approx(n / np.bincount(place, weights=n)[place])
+    if known.all():
         assert len(np.unique(place[n > 1])) > 2048 - 1 and share.min() < 0
 
 
+def test_rare_words_have_their_own_count(spark, monkeypatch):
+    rows = [(i, " ".join(f"w{j}" for j in range(i, 3000, i + 1))) for i in range(6)] + [(10, None), (11, ""), (12, "only here")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    every = {r.doc_id: r.log_likelihood for r in pseudo_likelihood.report(docs, rounds=1).collect()}
+    build = pseudo_likelihood.vocabulary_of
+    monkeypatch.setattr(pseudo_likelihood, "vocabulary_of", lambda texts: build(texts, listed=2500))
+    got = {r.doc_id: r.log_likelihood for r in pseudo_likelihood.report(docs, rounds=1).collect()}
+    assert len(got) == len(rows) and got == pytest.approx(every, rel=1e-6)
+
+
 def test_language(spark):
     words = {"en": "the and of to with that this have from".split(), "fr": "le la les des une dans pour avec que".split()}
     rng = np.random.default_rng(6)
