@@ -101,8 +101,7 @@ def build(df: DataFrame, hashes: Callable[[pa.RecordBatch], Iterator[np.ndarray]
     parts = df.mapInArrow(scan, "block int, once binary, twice binary")
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     merged = parts.repartition(max(1, min(n, bits >> BLOCK)), F.col("block")).mapInArrow(_merge, "block int, twice binary")
-    table = np.zeros(bits >> 3, np.uint8)
     step = 1 << (BLOCK - 3)
-    for row in merged.collect():
-        table[row.block * step : (row.block + 1) * step] = np.frombuffer(row.twice, np.uint8)
-    return SeenTwice(bits, spark.sparkContext.broadcast(table.tobytes()))
+    blocks = {row.block: row.twice for row in merged.collect()}
+    table = b"".join(blocks.pop(i, None) or bytes(step) for i in range(bits >> BLOCK))
+    return SeenTwice(bits, spark.sparkContext.broadcast(table))

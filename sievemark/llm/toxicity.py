@@ -293,12 +293,18 @@ def _calibrated(train: DataFrame, raw: list[Model], base: float) -> Model:
             lists = (pa.array(x, pa.list_(pa.float64())) for x in (best, across, sums))
             yield pa.RecordBatch.from_arrays([batch.column("toxic"), pa.array(n, pa.int64()), *lists], names=["toxic", "n", "best", "across", "scores"])
 
-    # One small row for each labelled document: bounded by max_train.
-    rows = train.mapInArrow(scan, "toxic int, n long, best array<double>, across array<double>, scores array<double>").toArrow().to_pydict()
+    # One small row for each labelled document: bounded by max_train. Kept in arrays, lists as values and their rows.
+    table = train.mapInArrow(scan, "toxic int, n long, best array<double>, across array<double>, scores array<double>").toArrow().combine_chunks()
     shared.destroy()
-    clean = [i for i, x in enumerate(rows["toxic"]) if x <= 0]
-    words = float(sum(rows["n"][i] for i in clean)) or 1.0
-    hits = np.array([s for i in clean for s in rows["scores"][i]])
+
+    def flat(name: str) -> tuple[np.ndarray, np.ndarray]:
+        column = table[name].chunk(0) if table[name].num_chunks else pa.array([], pa.list_(pa.float64()))
+        return column.flatten().to_numpy(), np.repeat(np.arange(len(column)), np.diff(column.offsets.to_numpy()))
+
+    toxic, n = table["toxic"].to_numpy() > 0, table["n"].to_numpy()
+    words = float(n[~toxic].sum()) or 1.0
+    hits, row = flat("scores")
+    hits = hits[~toxic[row]]
     top = float(raw[0].score.max())
     # Rate of the extreme-value law: where the mean of exp(rate * score) over clean words is 1.
     lo, hi = 1e-3, 50.0
@@ -307,10 +313,19 @@ def _calibrated(train: DataFrame, raw: list[Model], base: float) -> Model:
         mean = ((words - len(hits)) * math.exp(mid * PENALTY) + (np.exp(np.minimum(mid * hits, 500)).sum() if len(hits) else math.exp(min(mid * top, 500)))) / words
         lo, hi = (lo, mid) if mean > 1 else (mid, hi)
     rate = lo
-    k = len(clean) / max(sum(rows["n"][i] * math.exp(-rate * max([0.0, *rows["best"][i]])) for i in clean), 1.0)
+    best = np.zeros(len(n))
+    scores, row = flat("best")
+    np.maximum.at(best, row, scores)
+    k = float((~toxic).sum()) / max(float((n * np.exp(-rate * best))[~toxic].sum()), 1.0)
     model = Model(raw[0].lookup.keys, raw[0].score, rate, k, (base, 0.0, 0.0, 0.0))
-    x = np.array([(1.0, *model.evidence(n, [(0, 0, s) for s in found])) for n, found in zip(rows["n"], rows["across"], strict=True)])
-    y = (np.array(rows["toxic"]) > 0).astype(float)
+    # What Model.evidence says of each row, for all at once.
+    scores, row = flat("across")
+    e = np.minimum(rate * scores - np.log(k * np.maximum(n[row], 1)), -math.log(1e-300))
+    best, total = np.zeros(len(n)), np.zeros(len(n))
+    np.maximum.at(best, row, e)
+    np.add.at(total, row, np.where(e > -math.log(0.05), e, 0.0))
+    x = np.stack([np.ones(len(n)), np.log1p(best), np.minimum(best, 60.0) / 10, np.minimum(total, 60.0) / 10], axis=1)
+    y = toxic.astype(float)
     # Newton steps on the features that raise the score; one that would lower it is left out.
     use = [0, 1, 2, 3]
     while True:
