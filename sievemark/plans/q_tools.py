@@ -200,14 +200,14 @@ def final_fasta(spark: SparkSession, sf_dir: str) -> DataFrame:
 _NUMBER = "rtrim(rtrim(printf('%.6f', {}), '0'), '.')"
 
 
-@query("final_report", f"with {_FINAL}, a as (select concat('N', s_nationkey) as protein, count(*) as n from supplier group by 1) select concat('| ', rank, ' | ', consensus_id, ' | N', s_nationkey, ' | ', upper(consensus_id), ' | ', length(consensus_id), ' | ', {_NUMBER.format('s_acctbal')}, ' | ', case when s_suppkey % 3 <> 0 then concat({_NUMBER.format('s_suppkey * 0.5::double')}, '%') else '-' end, ' | ', case when s_suppkey % 3 <> 0 then 'A:1%\\|B:2%' else '-' end, ' | ', {_NUMBER.format('s_suppkey * 0.25::double')}, '% |') as line from f union all select concat('| ', protein, ' | ', n, ' |') from a union all select concat('**', count(*), '** consensus epitopes passed every stage.') from f")
+@query("final_report", f"with {_FINAL}, a as (select concat('N', s_nationkey) as protein, count(*) as n from supplier group by 1) select concat('| ', rank, ' | ', consensus_id, ' | N', s_nationkey, ' | ', upper(consensus_id), ' | ', length(consensus_id), ' | ', {_NUMBER.format('s_acctbal')}, ' | ', case when s_suppkey % 3 <> 0 then concat({_NUMBER.format('s_suppkey * 0.5::double')}, '%') else '-' end, ' | ', case when s_suppkey % 3 <> 0 then 'A:1%\\|B:2%' else '-' end, ' | ', {_NUMBER.format('s_suppkey * 0.25::double')}, '% |') as line from f union all select concat('| ', protein, ' | ', n, ' |') from a union all select concat('Candidates left after all stages: **', count(*), '**.') from f")
 def final_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Of the report: the counts, the attrition's rows and the list's."""
     path = f"{shared_folder(spark)}/tool-{uuid.uuid4().hex}"
     own = final(spark, sf_dir)
     tools.final_report(spark, own, own.groupBy(F.col("protein_label").alias("protein")).agg(F.count("*").alias("n")), path)
     lines = spark.read.text(path).select(F.col("value").alias("line"))
-    return lines.where("line like '**%passed every stage.' or line like '| %' and line not like '| ---%' and line not like '| rank%' and line not like '| protein |%'")
+    return lines.where("line like 'Candidates left%' or line like '| %' and line not like '| ---%' and line not like '| rank%' and line not like '| protein |%'")
 
 
 # Epitopes of score tracks on records: a user's events are a sequence's scores; residues follow from the position.

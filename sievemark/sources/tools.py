@@ -227,11 +227,11 @@ def final_report(spark: SparkSession, final: DataFrame, attrition: DataFrame, pa
     a protein) are collected.
     """
     n = final.count()
-    lines = [f"**{n}** consensus epitopes passed every stage.", ""]
+    lines = [f"Candidates left after all stages: **{n}**.", ""]
     flagged = [r[0] for r in final.where("allergen").orderBy("rank").select("consensus_id").collect()]
     if flagged:
-        lines += [f"**{len(flagged)} of {n}** are called allergens; that screen is advisory: " + ", ".join(f"`{x}`" for x in flagged) + ".", ""]
-    lines += ["## Attrition by stage", "", *markdown_table(attrition), "", "## Final candidates", ""]
+        lines += [f"Called allergens, which is advisory: **{len(flagged)}**, namely " + ", ".join(f"`{x}`" for x in flagged) + ".", ""]
+    lines += ["## What each stage left", "", *markdown_table(attrition), "", "## Ranked list", ""]
     if n:
         shown = files.as_text(final.select("rank", "consensus_id", "protein_label", "sequence", "length", "antigenicity_score", "conservancy_percent", "conservancy_per_strain", "world_coverage_percent")).join(final.select(F.col("rank").cast("string").alias("rank"), F.col("rank").alias("at")), "rank").orderBy("at").drop("at")
         percent = lambda c: F.coalesce(F.concat(c, F.lit("%")), F.lit("-")).alias(c)

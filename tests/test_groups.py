@@ -2,6 +2,7 @@ from pyspark.sql import functions as F
 
 from sievemark.operators import clustering as cl
 from sievemark.operators import graph, matching
+from sievemark.operators.identifiers import numbered
 
 
 def rows(spark, sequences):
@@ -67,3 +68,18 @@ def test_conservancy(spark):
     t = spark.createDataFrame([("Sudan", "XACDEX"), ("Sudan", "ACDEX"), ("Sudan", "WWWWW")], "strain string, text string")
     r = matching.conservancy(spark.createDataFrame([(1, "ACDE")], "query_id int, sequence string"), t, 1.0).first()
     assert (r.n_targets, r.n_matched) == (3, 2)
+
+
+def test_numbers_over_ranges(spark):
+    rows = spark.createDataFrame([(i % 3 if i % 7 else None, (i * 37) % 101, i) for i in range(200)], "g int, k int, i int").repartition(5)
+    got = numbered(rows, ["g"], [F.desc("k"), F.asc("i")], "place").collect()
+    assert len(got) == 200
+    for g in (0, 1, 2, None):
+        own = sorted((-r.k, r.i, r.place) for r in got if r.g == g)
+        assert [p for _, _, p in own] == list(range(1, len(own) + 1))
+    assert numbered(rows.limit(0), [], [F.asc("i")], "place").count() == 0
+
+
+def test_one_letter_sequences_link_with_what_contains_them(spark):
+    pairs = {(r.a, r.b): r.identity for r in cl.similar_pairs(rows(spark, ["ACDEFGHIKL", "D", "CDEFG", "W"]), 90).collect()}
+    assert pairs == {(0, 1): 99.9, (0, 2): 99.9, (1, 2): 99.9}

@@ -187,6 +187,6 @@ def test_reports(spark, tmp_path):
     attrition = spark.createDataFrame([("P", 2, 1)], "protein string, strains int, final_candidates int")
     tools.final_report(spark, final, attrition, str(tmp_path / "r"), spark.createDataFrame([("P", 80.0)], "protein_label string, coverage double"))
     text = "\n".join(r.value for r in spark.read.text(str(tmp_path / "r")).collect())
-    assert "**1** consensus epitopes" in text and "called allergens" in text and "66.67%" in text and "A:66.67%\\|B:100%" in text and "- **P**: 80%" in text
+    assert "left after all stages: **1**" in text and "Called allergens" in text and "66.67%" in text and "A:66.67%\\|B:100%" in text and "- **P**: 80%" in text
     tools.final_report(spark, final.limit(0), attrition, str(tmp_path / "e"))
     assert "No candidate is left" in "\n".join(r.value for r in spark.read.text(str(tmp_path / "e")).collect())
