@@ -56,9 +56,69 @@ _QUALITY = f"""with d as (select doc_id, source, coalesce(text, '') as text, reg
  v as (select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed from joined)
  select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, not base_failed and not frequent_chars * 100 > word_chars * 50 as kept, n_frequent_lines, frequent_chars from v"""
 
+_FINITE = "embedding is not null and list_bool_and(list_transform(embedding, lambda x: x is not null and isfinite(x)))"
+
+
+def _scaled(scale: int) -> str:
+    return f"list_transform(embedding, lambda x: cast(floor({scale} * cast(x as double)) as bigint))"
+
+
+_TOP = f"""with v as (select row_number() over () as r, vec_id, {_scaled(256)} as v from embeddings where coalesce({_FINITE}, len(embedding) = 0)),
+ s as (select q.r, q.vec_id as query_id, c.vec_id, coalesce(list_sum(list_transform(range(1, least(len(q.v), len(c.v)) + 1), lambda i: q.v[i] * c.v[i])), 0) as score from v q join v c on q.vec_id % 50 = 0 and q.r <> c.r)
+ select query_id, rank, vec_id, cast(score as bigint) as score from (select *, cast(row_number() over (partition by r order by score desc, vec_id nulls last) as integer) as rank from s) where rank <= 5"""
+
+
+def _k_means(k: int = 8, rounds: int = 10) -> str:
+    """Assignments and centroids of every round as tables of their own."""
+    ctes = [f"v as materialized (select row_number() over () as r, vec_id, {_scaled(1024)} as v from embeddings where len(embedding) = 64 and {_FINITE})"]
+    ctes += [f"c0 as materialized (select cast(row_number() over (order by sha256('3:' || vec_id), v) - 1 as integer) as j, v as c from v where vec_id is not null order by sha256('3:' || vec_id), v limit {k})"]
+    square = "list_sum(list_transform(range(1, 65), lambda i: (v[i] - c[i]) * (v[i] - c[i])))"
+    for t in range(rounds + 1):
+        ctes += [f"a{t} as materialized (select r, min([d, j]) as n from (select r, j, cast({square} as bigint) as d from v, c{t}) group by r)"]
+        if t < rounds:
+            ctes += [
+                f"m{t} as materialized (select j, list(cast(((s - ((s % n) + n) % n) // n) as bigint) order by i) as c from (select n[2] as j, i, sum(x) as s, count(*) as n from (select r, unnest(v) as x, unnest(range(1, 65)) as i from v) join a{t} using (r) group by all) group by j)",
+                f"c{t + 1} as materialized (select c{t}.j, coalesce(m{t}.c, c{t}.c) as c from c{t} left join m{t} using (j))",
+            ]
+    t = rounds
+    return "with " + ",\n ".join(ctes) + f"""
+ select vec_id, cast(n[2] as integer) as cluster, n[1] as distance, cast(sum(n[1]) over (partition by n[2]) as bigint) as cluster_inertia, cast(sum(n[1]) over () as bigint) as inertia, sha256(array_to_string(c, ',')) as centroid_sha256
+ from a{t} join v using (r) join c{t} on c{t}.j = n[2]"""
+
+
+#: Edits of a turn in each state (0 nothing said, 1 after s, 2 after u, 3 after a): letter, cost, state after it, role given.
+_EDITS = "select * from (values (0, 'D', 3, 0, ''), (1, 'D', 3, 1, ''), (2, 'D', 3, 2, ''), (3, 'D', 3, 3, ''), (0, 'Ks', 0, 1, ''), (0, 'Ku', 0, 2, ''), (1, 'Ku', 0, 2, ''), (2, 'Ka', 0, 3, ''), (3, 'Ku', 0, 2, ''), (0, 'R', 2, 2, 'user'), (1, 'R', 2, 2, 'user'), (2, 'R', 2, 3, 'assistant'), (3, 'R', 2, 2, 'user')) t(q, letter, cost, q2, name)"
+#: What is inserted after an edit, if anything.
+_INSERTS = "select * from (values (0, 0, '', 0, []), (1, 1, '', 0, []), (2, 2, '', 0, []), (3, 3, '', 0, []), (0, 2, 'I', 2, ['user:']), (1, 2, 'I', 2, ['user:']), (2, 3, 'I', 2, ['assistant:']), (3, 2, 'I', 2, ['user:']), (0, 3, 'II', 4, ['user:', 'assistant:']), (1, 3, 'II', 4, ['user:', 'assistant:'])) t(q2, q3, said, more, lines)"
+
+_REPAIR = f"""with recursive crc as materialized (select list_transform(range(256), lambda n: list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, y: case when c & 1 = 1 then xor(3988292384, c >> 1) else c >> 1 end)) as t),
+ c as (select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text, list_concat([4294967295], list_transform(string_split(coalesce(cast(conv_id as varchar), ' ') || ':' || coalesce(cast(turn as varchar), ' '), ''), lambda x: cast(ord(x) as bigint))) as bytes from conversations),
+ h as (select conv_id, turn, role, text, xor(list_reduce(bytes, lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8)), 4294967295) % 20 as fault from c, crc),
+ e as (select conv_id, turn, case when fault = 4 then 'user' else role end as role, case fault when 1 then '' when 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text from h, range(2) copies(copy) where fault <> 0 and (copy = 0 or fault = 3)),
+ o as (select *, row_number() over (partition by conv_id order by turn nulls first, role, md5(text)) as i, rtrim(text, {_BLANKS}) as said from e),
+ f as materialized (select conv_id, turn, i, role, text, said = '' as blank, said <> '' and row_number() over (partition by conv_id, role, text order by i) > 1 as duplicate, right(said, 1) not in ('.', '!', '?') as cut from o),
+ k as (select *, cut and not blank and not duplicate as truncated, left(role, 1) as initial, lag(left(role, 1)) over (partition by conv_id order by i) as prior from f),
+ n as (select conv_id, count(*) as n, count(*) filter (blank) as blank, count(*) filter (duplicate) as duplicate, count(*) filter (truncated) as truncated, count(*) filter (prior is not null and prior || initial not in ('su', 'ua', 'au')) as illegal, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps from k group by conv_id),
+ edits as materialized ({_EDITS}), inserts as materialized ({_INSERTS}),
+ every as (select distinct conv_id from conversations),
+ steps as (
+  select conv_id, 0 as i, q3 as q, lpad(cast(more as varchar), 12, '0') || said as key, lines from every, inserts where q2 = 0
+  union all
+  select conv_id, i, q, min(key) as key, arg_min(lines, key) as lines from (
+   select s.conv_id, s.i + 1 as i, q3 as q, lpad(cast(cast(left(s.key, 12) as bigint) + edits.cost + more + case when k.truncated and letter <> 'D' then 1 else 0 end as varchar), 12, '0') || substr(s.key, 13) || left(letter, 1) || inserts.said as key,
+    list_concat(s.lines, case when letter = 'D' then [] when letter = 'R' then [name || ':' || k.text] else [role || ':' || k.text] end, inserts.lines) as lines
+   from steps s join k on s.conv_id is not distinct from k.conv_id and k.i = s.i + 1 join edits on edits.q = s.q join inserts on inserts.q2 = edits.q2
+   where letter in ('D', 'R', 'K' || initial) and (letter = 'D' or not (k.blank or k.duplicate))) group by conv_id, i, q)
+ select every.conv_id, coalesce(gaps, 0) as gaps, coalesce(blank, 0) as blank, coalesce(duplicate, 0) as duplicate, coalesce(truncated, 0) as truncated, coalesce(illegal, 0) as illegal, cast(left(min(key), 12) as bigint) as cost, substr(min(key), 13) as audit, sha256(array_to_string(arg_min(lines, key), chr(10))) as repaired_sha256
+ from every left join n on n.conv_id is not distinct from every.conv_id join steps on steps.conv_id is not distinct from every.conv_id and steps.i = coalesce(n.n, 0) and q in (0, 3) group by all"""
+
+
 SQL: dict[str, str] = {
     "op2_prefix_decontamination": _DECONTAMINATION,
     "op5_ngram_jaccard": _JACCARD,
     "op6_line_dedup": _LINES,
     "op8_line_frequency": _QUALITY,
+    "op11_maxscore_topk": _TOP,
+    "op12_yinyang_clusters": _k_means(),
+    "op13_conversation_repair": _REPAIR,
 }

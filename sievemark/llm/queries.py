@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sievemark.llm import decontaminate, language, line_dedup, line_quality, ngram_join, packing, pseudo_likelihood, suffix_dedup, surrogates, toxicity
+from sievemark.llm import conversations, decontaminate, language, line_dedup, line_quality, maxscore, ngram_join, packing, pseudo_likelihood, suffix_dedup, surrogates, toxicity, yinyang
 from sievemark.session import ship
 
 
@@ -60,6 +60,18 @@ def op10_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return surrogates.report(_table(spark, sf_dir, "documents"))
 
 
+def op11_maxscore_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maxscore.report(_table(spark, sf_dir, "embeddings"), every=50, k=5, scale=256)
+
+
+def op12_yinyang_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return yinyang.report(_table(spark, sf_dir, "embeddings"), k=8, rounds=10, width=64, scale=1024, salt=3)
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.report(_table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_length_buckets": op1_length_buckets,
     "op2_prefix_decontamination": op2_prefix_decontamination,
@@ -72,4 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_removal": op8_line_removal,
     "op9_language_fusion": op9_language_fusion,
     "op10_surrogates": op10_surrogates,
+    "op11_maxscore_topk": op11_maxscore_topk,
+    "op12_yinyang_clusters": op12_yinyang_clusters,
+    "op13_conversation_repair": op13_conversation_repair,
 }
