@@ -192,8 +192,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, scale: int = 256,
     packed = _packed(scaled(queries, id_column, vector, scale))
     # Blocks of one partition are numbered from 0; with the partition's number they are numbered over all.
     blocks = checkpointed(packed.withColumn("shard", F.col("shard") + F.spark_partition_id() * F.lit(1 << 40)))
-    sizes = blocks.groupBy().agg(F.sum(F.length("impacts") + F.length("ids") + 64)).first()[0] or 0
-    passes = max(1, -(-sizes // pass_bytes))
+    size, n = blocks.agg(F.sum(F.length("impacts") + F.length("ids") + 64), F.count("*")).first()
+    passes = max(1, min(n, -(-(size or 0) // pass_bytes)))
     path = f"{checkpoint_folder(vectors.sparkSession)}/lists-{uuid.uuid4().hex}"
     for i in range(passes):
         own = blocks if passes == 1 else blocks.where(F.pmod(F.xxhash64("shard"), F.lit(passes)) == i)

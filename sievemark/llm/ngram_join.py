@@ -59,7 +59,7 @@ def shingle_sets(column: pa.Array, k: int) -> Iterator[tuple[int, np.ndarray]]:
         w = textscan.words(t, textscan.NONBLANK)
         if not len(w):
             continue
-        h = textscan.span_hash(textscan.FOLD[t.data], w.starts, w.ends)
+        h = textscan.word_hash(textscan.FOLD[t.data], w.starts, w.ends)
         s, at = textscan.shingles(h, w.doc, k)
         cut = np.searchsorted(at, w.bounds)
         for d in range(len(t)):

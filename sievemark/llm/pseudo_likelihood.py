@@ -60,7 +60,7 @@ def _hashed(column: pa.Array) -> Iterator[tuple[textscan.Texts, textscan.Runs, n
     for t in textscan.chunks(column):
         folded = textscan.FOLD[t.data]
         w = textscan.words(textscan.Texts(folded, t.offsets, t.first), textscan.ALNUM)
-        yield t, w, textscan.span_hash(folded, w.starts, w.ends) if len(w) else np.zeros(0, np.uint64)
+        yield t, w, textscan.word_hash(folded, w.starts, w.ends) if len(w) else np.zeros(0, np.uint64)
 
 
 class Vocabulary:

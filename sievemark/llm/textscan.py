@@ -14,6 +14,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 CHUNK_BYTES = 256 << 10
 #: Bytes that span_hash sums up at a time.
@@ -147,9 +148,11 @@ def words(t: Texts, table: np.ndarray) -> Runs:
 
 
 def span_hash(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of data[start:end] for each pair; starts ascend.
+    """A 64-bit rolling hash of data[start:end] for each pair; starts ascend.
 
-    The spans that start in one piece of the data are hashed from sums over it and
+    For spans that overlap, and for filters in front of a comparison of bytes: texts that agree in it can be written
+    down (long words of two letters in the Thue-Morse order), as for any sum of powers modulo 2**64. Where equal
+    hashes decide, word_hash is to be taken. The spans that start in one piece of the data are hashed from sums over it and
     what they reach beyond it; one that reaches far is summed by itself.
     """
     out = np.empty(len(starts), np.uint64)
@@ -183,6 +186,25 @@ def _long_sum(data: np.ndarray) -> np.uint64:
     return np.uint64(total % 2**64)
 
 
+#: For each number of bytes from 0 to 8, what keeps them of a little-endian load.
+_KEEP = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+
+
+def word_hash(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of data[start:end] for each pair that is no sum of its bytes: words by two loads, longer spans by XXH3."""
+    size = ends - starts
+    out = np.zeros(len(starts), np.uint64)
+    short = np.flatnonzero(size <= 16)
+    loads = np.lib.stride_tricks.sliding_window_view(np.concatenate([data, np.zeros(16, np.uint8)]), 8)
+    load = lambda at, n: np.ascontiguousarray(loads[at]).view("<u8").ravel() & _KEEP[n]
+    n = size[short]
+    low, high = load(starts[short], np.minimum(n, 8)), load(starts[short] + np.minimum(n, 8), np.maximum(n - 8, 0))
+    out[short] = mix(mix(low + _LANE[0]) ^ mix(high + _LANE[1]) * _LANE[2] ^ n.astype(np.uint64))
+    for i in np.flatnonzero(size > 16).tolist():
+        out[i] = xxhash.xxh3_64_intdigest(data[starts[i] : ends[i]].tobytes(), 7)
+    return out
+
+
 def shingles(h: np.ndarray, doc: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of every k consecutive words of one text, and the index of the first word."""
     n = len(h) - k + 1
