@@ -10,43 +10,21 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from sievemark.functions import sequences as fs
-from sievemark.operators.graph import connected_components, written
+from sievemark.operators.graph import connected_components, spanning_forest, written
 from sievemark.operators.identifiers import numbered
-
-
-def similar_pairs(rows: DataFrame, least: float) -> DataFrame:
-    """(a, b, identity) for pairs a < b of ord with identity of at least `least`.
-
-    Identity divides by the longer length, so only pairs whose lengths are within
-    the ratio meet, by equal length bands; contained sequences, which the ratio
-    does not bind, meet through their k-mers.
-    """
-    rows = rows.select("ord", "sequence", F.length("sequence").alias("n")).where("n > 0")
-    ratio = max(least, 1.0) / 100
-    reach = F.floor(F.col("n") / ratio)
-    left = rows.select(F.col("ord").alias("a"), F.col("sequence").alias("sa"), F.col("n").alias("na"), F.explode(F.sequence(F.col("n"), F.greatest(F.col("n"), reach).cast("int"))).alias("nb"))
-    right = rows.select(F.col("ord").alias("b"), F.col("sequence").alias("sb"), F.col("n").alias("nb"))
-    near = left.join(right, "nb").where("na < nb or (na = nb and a < b)")
-    # A contained sequence is found by its first letters: up to six, or all that it has.
-    sizes = [r[0] for r in rows.select(F.least("n", F.lit(6))).distinct().collect()]  # six values at most
-    every = F.array(*(F.array_distinct(fs.windows(F.col("sequence"), k)) for k in sizes or [6]))
-    grams = rows.select(F.col("ord").alias("b"), F.col("sequence").alias("sb"), F.col("n").alias("nb"), F.explode(F.array_distinct(F.flatten(every))).alias("gram"))
-    heads = rows.select(F.col("ord").alias("a"), F.col("sequence").alias("sa"), F.col("n").alias("na"), fs.folded(F.left("sequence", F.least("n", F.lit(6)))).alias("gram"))
-    inside = heads.join(grams, "gram").where("na <= nb and a != b and contains(sb, sa)")
-    both = near.select("a", "b", "sa", "sb").union(inside.select("a", "b", "sa", "sb"))
-    both = both.selectExpr("least(a, b) as a", "greatest(a, b) as b", "if(a < b, sa, sb) as sa", "if(a < b, sb, sa) as sb").distinct()
-    return both.withColumn("identity", fs.percent_identity("sa", "sb")).where(F.col("identity") >= least).select("a", "b", "identity")
+from sievemark.operators.similarity import similar_pairs
 
 
 def clusters(rows: DataFrame, thresholds: list[int]) -> DataFrame:
     """(threshold, ord, sequence, root, cluster): components at every threshold from one pass over the pairs.
 
-    root is the least ord of the component; clusters are numbered in its order.
+    The pairs are compared once, and a maximum spanning forest of them is cut at each threshold. root is the least ord
+    of the component; clusters are numbered in its order.
     """
     spark = rows.sparkSession
-    pairs = written(similar_pairs(rows, min(thresholds)))
+    forest = written(spanning_forest(similar_pairs(rows, min(thresholds)).withColumnRenamed("identity", "weight")))
     levels = spark.createDataFrame([(t,) for t in thresholds], "threshold int")
-    links = pairs.join(F.broadcast(levels), F.col("identity") >= F.col("threshold")).select("threshold", "a", "b")
+    links = forest.join(F.broadcast(levels), F.col("weight") >= F.col("threshold")).select("threshold", "a", "b")
     roots = connected_components(links, by=("threshold",))
     every = rows.select("ord", "sequence").crossJoin(F.broadcast(levels))
     out = every.join(roots.withColumnRenamed("node", "ord"), ["threshold", "ord"], "left").withColumn("root", F.coalesce("root", "ord"))
@@ -54,6 +32,24 @@ def clusters(rows: DataFrame, thresholds: list[int]) -> DataFrame:
     return out.join(numbers, ["threshold", "root"])
 
 
+def sweep_totals(ruled: DataFrame) -> DataFrame:
+    """(threshold, found, ambiguous, examined, passing) of clusters (threshold, consensus, passes) at every threshold, and in all with a null one.
+
+    Clusters whose consensus has an X in either case are ambiguous; the others are examined.
+    """
+    x = F.contains(F.upper("consensus"), F.lit("X"))
+    return ruled.rollup("threshold").agg(F.count("*").alias("found"), F.count_if(x).alias("ambiguous"), F.count_if(~x).alias("examined"), F.count_if(~x & F.col("passes")).alias("passing"))
+
+
+def rejection_reasons(ruled: DataFrame) -> DataFrame:
+    """(threshold, reason, n, place): how many clusters (threshold, reason, passes) gave each reason at each threshold, the most frequent first.
+
+    A cluster counts under each of its reasons. Equal counts stand in the order of the reasons.
+    """
+    counts = ruled.where("not passes").select("threshold", F.explode(F.split("reason", "; ")).alias("reason")).where("reason <> ''").groupBy("threshold", "reason").agg(F.count("*").alias("n"))
+    return numbered(counts, ["threshold"], [F.desc("n"), F.asc("reason")], "place")
+
+
 def consensus(members: DataFrame, key: list[str]) -> tuple[DataFrame, DataFrame]:
     """members (*key, ord, sequence) -> (*key, consensus) and members with position and alignment.
 

@@ -1,10 +1,13 @@
-"""Shared checkpoint tables and connected components."""
+"""Shared checkpoint tables, connected components and spanning forests."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Hashable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +15,8 @@ from pyspark.sql import functions as F
 FILES_A_CORE = 8
 #: Links of a file of a link table.
 FILE_ROWS = 250_000
+#: Up to so many links (some 10 MB) are joined up by one task; more are in rounds over the cluster, with the same result.
+FEW_LINKS = 1 << 18
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -40,16 +45,39 @@ def written(df: DataFrame, most_files: int | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def connected_components(links: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+class _Sets:
+    """Disjoint sets of nodes, each known by its least one."""
+
+    def __init__(self) -> None:
+        self.above: dict[Hashable, Hashable] = {}
+
+    def root(self, x: Hashable) -> Hashable:
+        top = x
+        while (up := self.above.setdefault(top, top)) != top:
+            top = up
+        while (up := self.above[x]) != top:
+            self.above[x], x = top, up
+        return top
+
+    def join(self, a: Hashable, b: Hashable) -> bool:
+        a, b = self.root(a), self.root(b)
+        if a != b:
+            self.above[max(a, b)] = min(a, b)
+        return a != b
+
+
+def connected_components(links: DataFrame, by: tuple[str, ...] = (), few: int = FEW_LINKS) -> DataFrame:
     """links (*by, a, b), any order, repeats allowed -> (*by, node, root): the least node of each linked node's component, within each value of by.
 
-    Each round hangs every node on the least of its neighbours, first larger then
+    Up to `few` links are one task's. Beyond, each round hangs every node on the least of its neighbours, first larger then
     smaller ones, so a path shrinks geometrically; the table is never larger than
     twice its first size, and rounds are cut from each other by a written table.
     """
     key = list(by)
     down = lambda df: df.select(*key, F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a != b").distinct()
     state, mark = written(down(links)), None
+    if state.count() <= few:
+        return _joined_up(state, key)
     while True:
         now = tuple(state.agg(F.count("*"), F.sum(F.xxhash64(*key, "a", "b").cast("decimal(38,0)"))).first())
         if now == mark or not now[0]:
@@ -61,3 +89,80 @@ def connected_components(links: DataFrame, by: tuple[str, ...] = ()) -> DataFram
         least = large.groupBy(*key, "a").agg(F.min("b").alias("m"))
         pairs = F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e")
         state = written(down(large.join(least, [*key, "a"]).select(*key, pairs).select(*key, "e.a", "e.b")), -(-2 * now[0] // FILE_ROWS))
+
+
+def _joined_up(links: DataFrame, key: list[str]) -> DataFrame:
+    """connected_components of few links, in one task."""
+    kinds = dict(links.dtypes)
+
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sets, like = _Sets(), None
+        for batch in batches:
+            like = batch.schema
+            *own, a, b = (batch.column(c).to_pylist() for c in (*key, "a", "b"))
+            for k, x, y in zip(zip(*own, strict=True) if key else [()] * batch.num_rows, a, b, strict=True):
+                sets.join((*k, x), (*k, y))
+        nodes = list(sets.above)
+        if nodes:
+            roots = [sets.root(x) for x in nodes]
+            columns = [pa.array([x[i] for x in nodes], like.field(c).type) for i, c in enumerate(key)]
+            columns += [pa.array([x[-1] for x in own], like.field("a").type) for own in (nodes, roots)]
+            yield pa.RecordBatch.from_arrays(columns, names=[*key, "node", "root"])
+
+    schema = ", ".join([*(f"{c} {kinds[c]}" for c in key), f"node {kinds['a']}", f"root {kinds['a']}"])
+    return links.select(*key, "a", "b").repartition(1).mapInArrow(join, schema)
+
+
+def _local_forest(links: DataFrame) -> DataFrame:
+    """Of each task's links, in runs of FEW_LINKS, those of a maximum spanning forest: no other can be one of the whole."""
+
+    def forest(run: list[pa.RecordBatch]) -> pa.RecordBatch:
+        t = pa.Table.from_batches(run)
+        a, b, w = (t.column(c).to_numpy() for c in ("a", "b", "weight"))
+        order = np.lexsort((b, a, -w))
+        sets = _Sets()
+        kept = [i for i in order.tolist() if sets.join(int(a[i]), int(b[i]))]
+        return pa.RecordBatch.from_arrays([pa.array(a[kept]), pa.array(b[kept]), pa.array(w[kept])], names=["a", "b", "weight"])
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        run: list[pa.RecordBatch] = []
+        n = 0
+        for batch in batches:
+            run.append(batch)
+            n += batch.num_rows
+            if n >= FEW_LINKS:
+                yield forest(run)
+                run, n = [], 0
+        if n:
+            yield forest(run)
+
+    return links.mapInArrow(scan, "a long, b long, weight double")
+
+
+def spanning_forest(links: DataFrame, few: int = FEW_LINKS) -> DataFrame:
+    """links (a, b, weight) -> those of a maximum spanning forest, a < b: cut at any weight, it has the components of all links of that weight or more.
+
+    Every task first keeps a forest of its own links. Up to `few` that are left are one task's; more go in Boruvka's rounds, in each of
+    which every component takes its heaviest link to another one (ties: the least a, then b), and components that
+    are linked become one.
+    """
+    own = links.select(F.least("a", "b").cast("long").alias("a"), F.greatest("a", "b").cast("long").alias("b"), F.col("weight").cast("double").alias("weight")).where("a != b")
+    own = written(_local_forest(own))
+    if own.count() <= few:
+        return _local_forest(own.repartition(1))
+    order = F.struct("weight", (-F.col("a")).alias("x"), (-F.col("b")).alias("y"))
+    state = own.select("a", "b", "weight", F.col("a").alias("ra"), F.col("b").alias("rb"))
+    forest = None
+    while True:
+        both = state.union(state.select("a", "b", "weight", "rb", "ra"))
+        best = both.groupBy("ra").agg(F.max_by(F.struct("a", "b", "weight", "rb"), order).alias("l")).select("ra", "l.*")
+        best = written(best)
+        taken = best.select("a", "b", "weight").distinct()
+        forest = written(taken if forest is None else forest.union(taken))
+        roots = written(connected_components(best.select(F.col("ra").alias("a"), F.col("rb").alias("b")), few=few))
+        left, right = roots.select(F.col("node").alias("ra"), F.col("root").alias("na")), roots.select(F.col("node").alias("rb"), F.col("root").alias("nb"))
+        moved = state.join(left, "ra").join(right, "rb").where("na != nb")
+        moved = moved.groupBy(F.least("na", "nb").alias("ra"), F.greatest("na", "nb").alias("rb")).agg(F.max_by(F.struct("a", "b", "weight"), order).alias("l"))
+        state = written(moved.select("l.*", "ra", "rb"))
+        if state.isEmpty():
+            return forest

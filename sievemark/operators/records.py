@@ -167,7 +167,7 @@ def build_epitopes(track: DataFrame, records: DataFrame, tool: str, threshold: f
 
 def allergen_reason(allergen: Column, drop_on_allergen: bool = True) -> Column:
     """A reason, or only a note where the call is advisory; null for what is no allergen."""
-    return F.when(allergen, "predicted allergen" if drop_on_allergen else "NOTE predicted allergen (advisory, not filtered)")
+    return F.when(allergen, "called an allergen" if drop_on_allergen else "NOTE the allergen call is advice only")
 
 
 def allele_length_grid(alleles: DataFrame, lengths: list[int]) -> DataFrame:

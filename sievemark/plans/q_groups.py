@@ -9,8 +9,9 @@ from sievemark.functions import sequences as fs
 from sievemark.operators import clustering as cl
 from sievemark.operators import graph, matching
 from sievemark.operators.identifiers import numbered
+from sievemark.operators.similarity import similar_pairs
 from sievemark.plans.catalog import query, table
-from sievemark.plans.q_scalars import _NAMES, _PID, _PLACED, folded_sql, names
+from sievemark.plans.q_scalars import _NAMES, _PID, _PLACED, folded_sql, names, peptides
 
 _LEAST = 50
 _PAIRS = f"pairs as (select a, b, identity from (select a, b, {_PID} as identity from (select x.ord as a, y.ord as b, case when length(x.name) <= length(y.name) then x.name else y.name end as s, case when length(x.name) <= length(y.name) then y.name else x.name end as l from names x join names y on x.ord < y.ord)) where identity >= {_LEAST})"
@@ -23,7 +24,7 @@ _SWEEP = f"""with recursive {_NAMES}, {_PAIRS}, t as (select unnest([90, 80, 70,
 
 @query("similarity_self_join", f"with {_NAMES}, {_PAIRS} select a, b, identity from pairs")
 def similarity_self_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cl.similar_pairs(names(spark, sf_dir), _LEAST)
+    return similar_pairs(names(spark, sf_dir), _LEAST)
 
 
 def sweep_members(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,7 +34,7 @@ def sweep_members(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("connected_components", f"{_SWEEP} select ord as node, root from members where threshold = 60")
 def connected_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = names(spark, sf_dir)
-    links = cl.similar_pairs(n, 60).select("a", "b")
+    links = similar_pairs(n, 60).select("a", "b")
     return n.join(graph.connected_components(links).withColumnRenamed("node", "ord"), "ord", "left").select(F.col("ord").alias("node"), F.coalesce("root", "ord").alias("root"))
 
 
@@ -42,12 +43,6 @@ def sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sweep_members(spark, sf_dir).select("threshold", "ord", "sequence", "cluster")
 
 
-@query("sweep_totals", f"{_SWEEP} select coalesce(threshold, 0) as threshold, count(distinct threshold * 1000000 + cluster) as n_clusters, count(*) as n_members from members group by rollup (threshold)")
-def sweep_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sizes = sweep_members(spark, sf_dir).groupBy("threshold", "cluster").agg(F.count("*").alias("n"))
-    return sizes.rollup("threshold").agg(F.count("*").alias("n_clusters"), F.sum("n").alias("n_members")).select(F.coalesce("threshold", F.lit(0)).alias("threshold"), "n_clusters", "n_members")
-
-
 _CONSENSUS = f"""{_SWEEP}, anchor as (select threshold, cluster, arg_max(sequence, length(sequence) * 10000000 - ord) as anchor from members group by threshold, cluster),
  cand as (select m.threshold, m.cluster, m.ord, m.sequence as q, a.anchor as t, unnest(range(1 - length(m.sequence), length(a.anchor))) as o from members m join anchor a using (threshold, cluster)),
  scored as (select *, least(length(t), o + length(q)) - greatest(0, o) as overlap, coalesce(list_sum(list_transform(range(greatest(0, o), least(length(t), o + length(q))), lambda p: cast(substr(t, p + 1, 1) = substr(q, p - o + 1, 1) as int))), 0) as score from cand),
@@ -112,17 +107,17 @@ def disagreeing_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Rules: the members' parts say which tool predicted them (p_size modulo 4) and their strains (p_brand); a member with a part of
 # size 1 is traced to no tool.
-_COUNTS = f"""{_CONSENSUS}, {_KEPT}, own as (select p_name as sequence, count(*) filter (p_size % 4 = 0) as b, count(*) filter (p_size % 4 = 1) as e, count(*) filter (p_size % 4 = 2) as i, count(*) filter (p_size % 4 = 3) as ii, min(p_size) = 1 as untraced from part group by p_name),
+_COUNTS = f"""{_CONSENSUS}, {_KEPT}, own as (select peptide as sequence, count(*) filter (p_size % 4 = 0) as b, count(*) filter (p_size % 4 = 1) as e, count(*) filter (p_size % 4 = 2) as i, count(*) filter (p_size % 4 = 3) as ii, min(p_size) = 1 as untraced from peptides group by peptide),
  counts as (select threshold, cluster, sum(b)::bigint as n_bepipred, sum(e)::bigint as n_epidope, sum(i)::bigint as n_mhc_i, sum(ii)::bigint as n_mhc_ii, count(*) filter (untraced) as n_unresolved from kept join own using (sequence) group by threshold, cluster),
- strains as (select threshold, cluster, count(distinct p_brand) as n_strains from kept join part on p_name = sequence group by threshold, cluster),
+ strains as (select threshold, cluster, count(distinct p_brand) as n_strains from kept join peptides on peptide = sequence group by threshold, cluster),
  full_counts as (select t.threshold, t.cluster, t.consensus, coalesce(n_bepipred, 0) as n_bepipred, coalesce(n_epidope, 0) as n_epidope, coalesce(n_mhc_i, 0) as n_mhc_i, coalesce(n_mhc_ii, 0) as n_mhc_ii, coalesce(n_unresolved, 0) as n_unresolved, coalesce(n_strains, 0) as n_strains from texts t left join counts using (threshold, cluster) left join strains using (threshold, cluster)),
- ruled as (select *, array_to_string(list_filter([case when contains(upper(consensus), 'X') then 'consensus contains X' end, case when n_mhc_i < 8 then concat('MHC-I ', n_mhc_i, ' < 8') end, case when n_mhc_ii < 8 then concat('MHC-II ', n_mhc_ii, ' < 8') end, case when n_bepipred + n_epidope < 16 then concat('B-cell ', n_bepipred + n_epidope, ' < 16') end, case when n_strains < 15 then concat('strains ', n_strains, ' < 15') end, case when n_unresolved > 0 then concat(n_unresolved, ' unresolved members') end], lambda x: x is not null), '; ') as reason from full_counts)"""
+ ruled as (select *, array_to_string(list_filter([case when contains(upper(consensus), 'X') then 'consensus contains X' end, case when n_mhc_i < 2 then concat('MHC-I ', n_mhc_i, ' < 2') end, case when n_mhc_ii < 2 then concat('MHC-II ', n_mhc_ii, ' < 2') end, case when n_bepipred + n_epidope < 4 then concat('B-cell ', n_bepipred + n_epidope, ' < 4') end, case when n_strains < 6 then concat('strains ', n_strains, ' < 6') end, case when n_unresolved > 0 then concat(n_unresolved, ' unresolved members') end], lambda x: x is not null), '; ') as reason from full_counts)"""
 
 
 def ruled(spark: SparkSession, sf_dir: str, **how) -> DataFrame:
     text, aligned = consensus_of(spark, sf_dir)
     kept = cl.pruned(aligned.join(text, ["threshold", "cluster"]))
-    part = table(spark, sf_dir, "part").withColumnRenamed("p_name", "sequence")
+    part = peptides(spark, sf_dir).withColumnRenamed("peptide", "sequence")
     of = lambda i: F.count_if(F.col("p_size") % 4 == i)
     own = part.groupBy("sequence").agg(of(0).alias("b"), of(1).alias("e"), of(2).alias("i"), of(3).alias("ii"), (F.min("p_size") == 1).alias("untraced"))
     counts = kept.join(own, "sequence").groupBy("threshold", "cluster").agg(F.sum("b").alias("n_bepipred"), F.sum("e").alias("n_epidope"), F.sum("i").alias("n_mhc_i"), F.sum("ii").alias("n_mhc_ii"), F.count_if("untraced").alias("n_unresolved"))
@@ -130,7 +125,7 @@ def ruled(spark: SparkSession, sf_dir: str, **how) -> DataFrame:
     zero = lambda c: F.coalesce(c, F.lit(0).cast("long")).alias(c)
     full = text.join(counts, ["threshold", "cluster"], "left").join(strains, ["threshold", "cluster"], "left")
     full = full.select("threshold", "cluster", "consensus", *(zero(c) for c in ("n_bepipred", "n_epidope", "n_mhc_i", "n_mhc_ii", "n_unresolved", "n_strains")))
-    return cl.evaluate_rule(full, 8, 8, 8, 8, both_bcell_tools=False, min_strains=15, **how)
+    return cl.evaluate_rule(full, 2, 2, 2, 2, both_bcell_tools=False, min_strains=6, **how)
 
 
 @query("evaluate_rule", f"{_COUNTS} select threshold, cluster, reason, reason = '' as passes from ruled")
@@ -138,6 +133,21 @@ def evaluate_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ruled(spark, sf_dir).select("threshold", "cluster", "reason", "passes")
 
 
+_TOTALS = "select threshold, count(*) as found, count(*) filter (contains(upper(consensus), 'X')) as ambiguous, count(*) filter (not contains(upper(consensus), 'X')) as examined, count(*) filter (reason = '') as passing from ruled"
+
+
+@query("sweep_totals", f"{_COUNTS} {_TOTALS} group by rollup (threshold)")
+def sweep_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Found, ambiguous, examined and passing clusters at every threshold and in all."""
+    return cl.sweep_totals(ruled(spark, sf_dir))
+
+
+@query("rejection_reasons", f"{_COUNTS}, h as (select threshold, r as reason, count(*) as n from (select threshold, unnest(string_split(reason, '; ')) as r from ruled where reason <> '') group by all) select threshold, reason, n, row_number() over (partition by threshold order by n desc, reason) as place from h")
+def rejection_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Why clusters were rejected, by threshold, the most frequent reason first."""
+    return cl.rejection_reasons(ruled(spark, sf_dir))
+
+
 @query("select_at_threshold", f"{_COUNTS} select threshold, cluster, consensus, n_bepipred, n_epidope, n_mhc_i, n_mhc_ii, reason = '' as passes, reason from ruled where not contains(consensus, 'X')")
 def select_at_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ruled(spark, sf_dir).where("not contains(consensus, 'X')").select("threshold", "cluster", "consensus", "n_bepipred", "n_epidope", "n_mhc_i", "n_mhc_ii", "passes", "reason")
@@ -148,9 +158,9 @@ def pool_passing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cl.pool_passing(ruled(spark, sf_dir))
 
 
-@query("annotate", f"{_SWEEP}, s as (select p_name as sequence, array_to_string(list_sort(list(distinct p_brand)), '|') as strains from part group by p_name) select threshold, cluster, ord, strains from members join s using (sequence)")
+@query("annotate", f"{_SWEEP}, s as (select peptide as sequence, array_to_string(list_sort(list(distinct p_brand)), '|') as strains from peptides group by peptide) select threshold, cluster, ord, strains from members join s using (sequence)")
 def annotate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    strains = table(spark, sf_dir, "part").groupBy(F.col("p_name").alias("sequence")).agg(F.array_join(F.array_sort(F.collect_set("p_brand")), "|").alias("strains"))
+    strains = peptides(spark, sf_dir).groupBy(F.col("peptide").alias("sequence")).agg(F.array_join(F.array_sort(F.collect_set("p_brand")), "|").alias("strains"))
     return sweep_members(spark, sf_dir).join(strains, "sequence").select("threshold", "cluster", "ord", "strains")
 
 
@@ -196,7 +206,7 @@ def screen_autoimmunity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("query_id").alias("item_id"), "n_matches", F.array_join(F.slice("matches", 1, 20), ";").alias("matches"), "n_skipped", F.array_join(why, "; ").alias("reason"), passes.alias("passes"))
 
 
-# Best identity: distinct part names against the same names with their words cut and turned round, in three strains.
+# Best identity: the distinct peptides against the same ones cut and turned round, in three strains.
 _REFS = "refs as (select ord as ref_id, ord % 3 as strain, concat(substr(name, 3), ' ', substr(name, 1, 4)) as body from names)"
 _BEST = _REFS + ", b as (select ord as query_id, name as q, ref_id, " + f"case when length(body) < length(name) then 0 else {_PLACED.format(q='name', t='body')} end as matches from names, refs)"
 
@@ -222,7 +232,7 @@ def best_identity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # Members of a name's cluster: the parts of that name, with their type before it. Exact pieces have five letters or blanks.
-_PIECES = f"""mw as (select ord, p_partkey, unnest(list_transform(range(1, length(s) - 3), lambda i: substr(s, i, 5))) as window from (select ord, p_partkey, upper(concat(p_type, ' ', p_name)) as s from part join names on name = p_name)),
+_PIECES = f"""mw as (select ord, p_partkey, unnest(list_transform(range(1, length(s) - 3), lambda i: substr(s, i, 5))) as window from (select ord, p_partkey, upper(concat(p_type, ' ', peptide)) as s from peptides join names on name = peptide)),
  rw as (select ref_id, i - 1 as "offset", substr(s, i, 5) as window from (select ref_id, upper(body) as s, unnest(range(1, length(body) - 3)) as i from refs)),
  ex as (select ord, count(distinct p_partkey) as n_exact, array_to_string(list_sort(list(distinct concat(mw.window, '@', ref_id, ':', "offset" + 1)))[1:8], ';') as exact_matches from mw join rw on mw.window = rw.window where regexp_matches(mw.window, '^[{_ALPHABET}]+$') group by ord),
  m as (select query_id, max(cast(matches as double) * 100 / length(q)) as p from b where matches > 0 group by query_id)"""
@@ -232,8 +242,8 @@ _PIECES = f"""mw as (select ord, p_partkey, unnest(list_transform(range(1, lengt
 def screen_allergen_homology(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact pieces of the members and best identity of the consensus, each with its own flag; the risk is either."""
     q = names(spark, sf_dir).select(F.col("ord").alias("query_id"), "sequence")
-    part = table(spark, sf_dir, "part")
-    members = part.join(q, F.col("p_name") == F.col("sequence")).select("query_id", F.col("p_partkey").alias("member_id"), F.concat("p_type", F.lit(" "), "p_name").alias("sequence"))
+    part = peptides(spark, sf_dir)
+    members = part.join(q, F.col("peptide") == F.col("sequence")).select("query_id", F.col("p_partkey").alias("member_id"), F.concat("p_type", F.lit(" "), "peptide").alias("sequence"))
     found = matching.allergen_homology(q, members, references(spark, sf_dir).drop("strain"), 5, 40, _ALPHABET)
     return found.select("query_id", "n_exact", "exact_matches", "percent", "exact_risk", "identity_risk", "homology_risk")
 
@@ -241,10 +251,12 @@ def screen_allergen_homology(spark: SparkSession, sf_dir: str) -> DataFrame:
 _CONS = _REFS + ", c as (select name, strain, case when contains(body, name) then 1::double when length(body) < length(name) then cast(list_sum(list_transform(range(1, length(body) + 1), lambda i: cast(substr(name, i, 1) = substr(body, i, 1) as int))) as double) / length(name) else cast(" + _PLACED.format(q="name", t="body") + " as double) / length(name) end as identity, ord from names, refs)"
 
 
-@query("conservancy_agg", f"with {_NAMES}, {_CONS} select ord as query_id, strain, count(*) as n_targets, count(*) filter (identity >= 0.25) as n_matched, cast(count(*) filter (identity >= 0.25) as double) / count(*) as fraction, min(identity) as min_identity, max(identity) as max_identity from c group by ord, strain")
+@query("conservancy_agg", f"with {_NAMES}, {_CONS.replace('as identity, ord from', 'as identity, ord, ref_id from')} select ord as query_id, strain, count(*) as n_targets, count(*) filter (identity >= 0.25) as n_matched, cast(count(*) filter (identity >= 0.25) as double) / count(*) as fraction, min(identity) as min_identity, max(identity) as max_identity, array_to_string(list_sort(list(concat('R', ref_id)) filter (identity >= 0.25)), '|') as matched_labels from c group by ord, strain")
 def conservancy_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
     q = names(spark, sf_dir).select(F.col("ord").alias("query_id"), "sequence")
-    return matching.conservancy(q, references(spark, sf_dir).select("strain", "text"), 0.25)
+    targets = references(spark, sf_dir).select("strain", F.concat(F.lit("R"), F.col("ref_id").cast("string")).alias("label"), "text")
+    found = matching.conservancy(q, targets, 0.25)
+    return found.withColumn("matched_labels", F.when(F.size("matched") > 0, F.array_join("matched", "|"))).drop("matched")
 
 
 @query("conservancy_cross_join", f"with {_NAMES}, {_CONS.replace('as identity, ord from', 'as identity, ord, ref_id from')} select ord as query_id, strain, max(identity) as best, arg_max(ref_id, identity * 1000000 - ref_id / 1000000000.0) as ref_id from c group by ord, strain")

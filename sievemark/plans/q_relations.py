@@ -183,7 +183,7 @@ def combine_screens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verdicts(spark, sf_dir).select("doc_id", "reason", "passes")
 
 
-@query("screen_allergen", f"select doc_id, case when toxic = 1 then 'predicted allergen' end as strict, case when toxic = 1 then 'NOTE predicted allergen (advisory, not filtered)' end as advisory, toxic is null or toxic <> 1 as passes_strict, true as passes_advisory from {_SCORED}")
+@query("screen_allergen", f"select doc_id, case when toxic = 1 then 'called an allergen' end as strict, case when toxic = 1 then 'NOTE the allergen call is advice only' end as advisory, toxic is null or toxic <> 1 as passes_strict, true as passes_advisory from {_SCORED}")
 def screen_allergen(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The call as a reason to drop, and as a note: only the first fails a candidate."""
     call = F.coalesce(F.col("toxic") == 1, F.lit(False))

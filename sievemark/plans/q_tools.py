@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from sievemark.operators import records
 from sievemark.operators.graph import shared_folder
+from sievemark.operators.identifiers import numbered
 from sievemark.plans.catalog import query, table
 from sievemark.plans.q_groups import _CONSENSUS, consensus_of
 from sievemark.plans.q_tracks import _ALL, _MEANS, GAP, LEAST, LENGTH, STEP, T, track
@@ -128,8 +129,7 @@ def cluster_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pyspark.sql.window import Window
 
     text, aligned = consensus_of(spark, sf_dir)
-    # The clusters of a run of a few thresholds: a row each.
-    numbers = text.select("threshold", "cluster", "consensus", F.row_number().over(Window.orderBy("threshold", "cluster")).alias("cluster_ord"))
+    numbers = numbered(text.select("threshold", "cluster", "consensus"), [], [F.asc("threshold"), F.asc("cluster")], "cluster_ord")
     index = F.row_number().over(Window.partitionBy("threshold", "cluster").orderBy("position", "ord"))
     rows = aligned.withColumn("member_index", index).join(numbers, ["threshold", "cluster"])
     return rows.select("cluster_ord", F.concat_ws("-", "threshold", F.concat("cluster", F.lit(".1"))).alias("cluster_id"), "consensus", "member_index", "alignment", "position", F.concat(F.lit("id"), "ord").alias("description"), "sequence")

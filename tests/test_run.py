@@ -40,7 +40,7 @@ def test_from_records_to_ranks(spark, records):
     assert not screened.passes and screened.n_matches == 1 and screened.antigenicity_score == len(piece) and "9-mer" in screened.reason
     called = spark.createDataFrame([(final[0].consensus_id, 0.9, True)], "consensus_id string, score double, allergen boolean")
     advisory = run.screening(out["final"].select("consensus_id", "sequence"), out["members"], how, allergens=called).first()
-    assert advisory.passes and advisory.reason.startswith("NOTE predicted allergen")
+    assert advisory.passes and advisory.reason.startswith("NOTE the allergen call")
 
 
 def test_a_run_refuses_what_does_not_fit(spark, records):
