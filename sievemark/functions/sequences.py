@@ -124,6 +124,23 @@ def propensity(residue: Column) -> Column:
     return F.try_element_at(F.create_map(*pairs), residue)
 
 
+def is_threshold_range(spec: Column) -> Column:
+    """Whether threshold_sweep accepts a text."""
+    high, low = _ends(spec)
+    return spec.rlike(r"^\s*[0-9]+(\.[0-9]+)?\s*(:\s*[0-9]+(\.[0-9]+)?\s*)?$") & F.coalesce((high <= 100) & (low <= 100) & (high > 1) & (low > 1) & (F.floor(high) >= F.floor(low)), F.lit(False))
+
+
+def thresholds_of(spec: Column, step: int = 10) -> Column:
+    """threshold_sweep of a column; null where it would be an error."""
+    high, low = (F.floor(x).cast("int") for x in _ends(spec))
+    return F.when(is_threshold_range(spec), F.array_union(F.sequence(high, low, F.lit(-step)), F.array(low)))
+
+
+def _ends(spec: Column) -> tuple[Column, Column]:
+    parts = F.split(spec, ":")
+    return tuple(F.trim(p).try_cast("double") for p in (parts[0], F.element_at(parts, -1)))
+
+
 def threshold_sweep(spec: str | int, step: int = 10) -> list[int]:
     """'90:50' -> 90, 80, ... 50; one number is itself. The last value always takes part."""
     parts = str(spec).split(":")

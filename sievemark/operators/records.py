@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from sievemark.functions import sequences as fs
 from sievemark.operators import tracks
-from sievemark.operators.identifiers import assign_ids
+from sievemark.operators.graph import written
+from sievemark.operators.identifiers import assign_ids, numbered
+from sievemark.operators.prefixes import only_relatives
 
 # The tools' names in tables, and in identifiers with the kind of epitope and its class.
 TOOLS = {"bepipred": ("B_cell", "BepiPred", "B"), "epidope": ("B_cell", "EpiDope", "B"), "mhc_i": ("T_cell", "MHCI", "MHC-I"), "mhc_ii": ("T_cell", "MHCII", "MHC-II")}
@@ -34,8 +35,10 @@ def problems_of(sequence: Column, min_length: int = 1) -> Column:
 def find_problems(records: DataFrame, min_length: int = 50) -> DataFrame:
     """(path, id, problem) of records (path, ord, id, protein_label, strain, sequence): faults of sequences, and second suppliers of a pair."""
     own = records.select("path", "id", F.explode(problems_of(F.col("sequence"), min_length)).alias("problem"))
-    by = Window.partitionBy("protein_label", "strain").orderBy("ord")
-    pairs = records.withColumn("first", F.first("path").over(by)).withColumn("r", F.row_number().over(by)).where("r > 1")
+    # Written, so that a pair with many records is a plain shuffle on both sides, which adaptive execution splits.
+    first = written(records.groupBy("protein_label", "strain").agg(F.min_by(F.struct("ord", "path"), F.struct("ord", "path")).alias("f")))
+    pairs = records.join(first, [records[c].eqNullSafe(first[c]) for c in ("protein_label", "strain")]).select(*(records[c] for c in records.columns), F.col("f.path").alias("first"), F.col("f.ord").alias("first_ord"))
+    pairs = pairs.where("ord > first_ord or (ord = first_ord and path <> first)")
     said = F.format_string("second record of (%s, %s), which %s has, in %s", F.col("protein_label"), F.col("strain"), F.col("first"), F.col("path"))
     return own.unionByName(pairs.select("path", "id", said.alias("problem")))
 
@@ -78,25 +81,21 @@ def must_match(rows: DataFrame, partners: DataFrame, on: str, what: str) -> Data
 def resolved(rows: DataFrame, names: DataFrame, said: str, name: str) -> DataFrame:
     """rows with the name each of their identifiers means: the same, else the only one that begins it or that it begins.
 
-    Identifiers that mean none or several are an error. Prefixes meet by equality of text and prefix.
+    Identifiers that mean none or several are an error.
     """
     own = names.select(F.col(name)).distinct()
     asked = rows.select(F.col(said).alias("__said")).distinct()
     exact = asked.join(own, F.col("__said") == F.col(name)).select("__said", name)
     rest = asked.join(exact, "__said", "left_anti")
-    heads = own.select(name, F.explode(F.transform(F.sequence(F.lit(1), F.length(name)), lambda n: F.left(F.col(name), n))).alias("__said"))
-    longer = rest.join(heads, "__said").select("__said", name)
-    pieces = rest.select("__said", F.explode(F.transform(F.sequence(F.lit(1), F.length("__said")), lambda n: F.left(F.col("__said"), n))).alias(name))
-    shorter = pieces.join(own, name).select("__said", name)
-    only = longer.union(shorter).distinct().groupBy("__said").agg(F.count("*").alias("n"), F.min(name).alias(name)).where("n = 1").select("__said", name)
+    only = only_relatives(rest.select(F.col("__said").alias("said")), own.select(F.col(name).alias("name"))).select(F.col("said").alias("__said"), F.col("name").alias(name))
     found = exact.union(only)
     must_be_empty(asked.join(found, "__said", "left_anti").orderBy("__said"), "identifiers that match no name or several")
     return rows.join(found, F.col(said) == F.col("__said")).drop("__said")
 
 
 def surrogates(records: DataFrame, order: str) -> DataFrame:
-    """records with a short name s0, s1, ... for a tool that cuts long ones; a submission is one task's work."""
-    return records.withColumn("surrogate", F.concat(F.lit("s"), (F.row_number().over(Window.orderBy(order)) - 1).cast("string")))
+    """records with a short name s0, s1, ... for a tool that cuts long ones."""
+    return numbered(records, [], [F.asc(order)], "__n").withColumn("surrogate", F.concat(F.lit("s"), (F.col("__n") - 1).cast("string"))).drop("__n")
 
 
 def restored(scores: DataFrame, records: DataFrame) -> DataFrame:
@@ -165,6 +164,18 @@ def build_epitopes(track: DataFrame, records: DataFrame, tool: str, threshold: f
     return named.select("epitope_id", "protein_label", "strain", "accession", "source_tool", "epitope_class", "start", "end", F.length("sequence").alias("length"), "sequence", "score")
 
 
+def drop_failing_proteins(scored: DataFrame, drop_failing: bool = False) -> DataFrame:
+    """scored (sequence_id, score, antigenic, ...) as it is: a protein below the threshold is only reported, or with drop_failing an error that names it."""
+    if drop_failing:
+        must_be_empty(scored.where("not antigenic").select("sequence_id", "score").orderBy("sequence_id"), "proteins below the antigenicity threshold")
+    return scored
+
+
+def t_cell_summary(epitopes: DataFrame) -> DataFrame:
+    """(source_tool, n, n_peptides, n_alleles) of binding rows (source_tool, sequence, allele); a missing or empty allele is none."""
+    return epitopes.groupBy("source_tool").agg(F.count("*").alias("n"), F.count_distinct("sequence").alias("n_peptides"), F.count_distinct(F.when(F.col("allele") != "", F.col("allele"))).alias("n_alleles"))
+
+
 def allergen_reason(allergen: Column, drop_on_allergen: bool = True) -> Column:
     """A reason, or only a note where the call is advisory; null for what is no allergen."""
     return F.when(allergen, "called an allergen" if drop_on_allergen else "NOTE the allergen call is advice only")

@@ -5,10 +5,8 @@ Predictors are plug-ins: their outputs are tables (see sources.tools) or a Score
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass, field
 
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,24 +14,7 @@ from sievemark.functions import sequences as fs
 from sievemark.operators import clustering, matching, records
 from sievemark.operators.graph import written
 from sievemark.operators.identifiers import assign_ids, numbered
-
-#: Takes records (sequence_id, sequence) and gives (sequence_id, score), a row for each.
-ScoreProvider = Callable[[DataFrame], DataFrame]
-
-
-def provider(predict: Callable[[list[str]], list[float | None]]) -> ScoreProvider:
-    """A predictor of sequences as a provider; it runs where the rows are, a batch at a time."""
-
-    def scores(rows: DataFrame) -> DataFrame:
-        def each(batches):
-            for batch in batches:
-                yield pa.RecordBatch.from_arrays([batch.column("sequence_id"), pa.array(predict(batch.column("sequence").to_pylist()), pa.float64())], names=["sequence_id", "score"])
-
-        slim = rows.select("sequence_id", "sequence")
-        return slim.mapInArrow(each, slim.select("sequence_id", F.lit(0.0).alias("score")).schema)
-
-    return scores
-
+from sievemark.operators.providers import ResidueProvider, ScoreProvider, provider, residue_provider  # noqa: F401
 
 @dataclass(frozen=True)
 class Settings:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sievemark.operators.graph import shared_folder
+from sievemark.operators.identifiers import numbered
 from sievemark.plans.catalog import query, table
 from sievemark.plans.q_tracks import _TRACK, track
 from sievemark.sources import files
@@ -97,3 +98,24 @@ def sink_population_input(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _path(spark)
     files.sink_population_input(table(spark, sf_dir, "part").groupBy(F.col("p_brand").alias("peptide")).agg(F.collect_list("p_type").alias("alleles")), path)
     return spark.read.text(path).select(F.col("value").alias("line"))
+
+
+def _lines(spark: SparkSession, path: str) -> DataFrame:
+    """(at, line): a file's lines with their numbers from 1."""
+    return numbered(files.numbered_lines(spark, path), [], [F.asc("n")], "at").select("at", "line")
+
+
+@query("sink_tsv_file", "select 1 as at, 'p_partkey' || chr(9) || 'p_name' || chr(9) || 'note' || chr(9) || 'large' as line union all select row_number() over (order by p_size desc, p_partkey) + 1, p_partkey || chr(9) || p_name || chr(9) || chr(9) || case when p_size > 25 then 'True' else 'False' end from part")
+def sink_tsv_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One file with one header, its rows in order."""
+    path = _path(spark)
+    files.sink_tsv_file(table(spark, sf_dir, "part").withColumn("large", F.col("p_size") > 25).withColumn("down", -F.col("p_size")), ["down", "p_partkey"], path, ["p_partkey", "p_name", "note", "large"])
+    return _lines(spark, path)
+
+
+@query("sink_fasta_file", "with r as (select 2 * row_number() over (order by p_partkey) as n, * from part) select n - 1 as at, '>' || p_partkey || ' ' || p_type as line from r union all select n, upper(p_name) from r")
+def sink_fasta_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One file, its records in order."""
+    path = _path(spark)
+    files.sink_fasta_file(table(spark, sf_dir, "part").select("p_partkey", F.concat_ws(" ", "p_partkey", "p_type").alias("header"), F.upper("p_name").alias("sequence")), ["p_partkey"], path, width=0)
+    return _lines(spark, path)

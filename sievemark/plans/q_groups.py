@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from sievemark.functions import sequences as fs
 from sievemark.operators import clustering as cl
-from sievemark.operators import graph, matching
+from sievemark.operators import alignment, graph, matching
 from sievemark.operators.identifiers import numbered
 from sievemark.operators.similarity import similar_pairs
 from sievemark.plans.catalog import query, table
@@ -276,6 +276,13 @@ def conservancy_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.groupBy("query_id").agg(F.min(F.expr("100 * n_matched div n_targets")).alias("least_percent"), F.count("*").alias("n_strains"), F.sum("n_targets").alias("n_targets"))
 
 
+@query("msa")
+def msa(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every family of peptides aligned around its centre; no SQL: a test holds it against an aligner of all pairs."""
+    rows = names(spark, sf_dir).select(F.expr("ord div 20").alias("group"), "ord", "sequence")
+    return alignment.align(rows).select(F.col("group").alias("family"), "ord", "alignment", "score")
+
+
 # Antigenicity: sequences are names, with a tool's score where there is one (first part's price modulo 3), or the built-in scale.
 @query("screen_antigenicity", f"with {_NAMES}, s as (select name, ord, case when p_size % 3 = 0 then null else p_retailprice end as score from names join part on p_partkey = ord) select ord as sequence_id, score, coalesce(score >= 950, false) as antigenic, case when score is null then 'not scored' when score < 950 then concat('antigenicity ', printf('%.4f', score), ' below 950') else '' end as note from s")
 def screen_antigenicity(spark: SparkSession, sf_dir: str) -> DataFrame:

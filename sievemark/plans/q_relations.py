@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -9,9 +11,10 @@ from pyspark.sql.window import Window
 from sievemark.functions import sequences as fs
 from sievemark.operators import identifiers as ids
 from sievemark.operators import records
-from sievemark.operators.graph import written
+from sievemark.operators.graph import shared_folder, written
 from sievemark.plans.catalog import query, table
 from sievemark.plans.q_scalars import folded_sql
+from sievemark.sources import tools
 
 # Epitope rows: protein = p_brand, tool = l_returnflag, sequence = p_name, strain = l_linestatus,
 # allele = p_type, start = l_linenumber, score = l_quantity.
@@ -55,6 +58,15 @@ def tool_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return epitopes(spark, sf_dir).groupBy("tool").agg(F.count("*").alias("n"), F.count_distinct("sequence").alias("n_distinct"), F.min(F.length("sequence")).cast("long").alias("shortest"), F.max(F.length("sequence")).cast("long").alias("longest"))
 
 
+_T_CELL = "t as (select case l_linestatus when 'F' then 'mhc_i' else 'mhc_ii' end as source_tool, p_name as sequence, case when l_linenumber % 3 = 0 then '' else p_type end as allele from lineitem join part on p_partkey = l_partkey)"
+
+
+@query("tcell_summary", f"with {_T_CELL} select source_tool, count(*) as n, count(distinct sequence) as n_peptides, count(distinct case when allele <> '' then allele end) as n_alleles from t group by source_tool")
+def tcell_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    line = table(spark, sf_dir, "lineitem").join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    return records.t_cell_summary(line.select(F.when(F.col("l_linestatus") == "F", "mhc_i").otherwise("mhc_ii").alias("source_tool"), F.col("p_name").alias("sequence"), F.when(F.col("l_linenumber") % 3 == 0, "").otherwise(F.col("p_type")).alias("allele")))
+
+
 # Validation of records: documents as FASTA bodies, blanks, gaps and stops aside.
 _BODY = folded_sql("regexp_replace(text, '[ \\t\\n\\r*-]', '', 'g')")
 _PROBLEMS = f"""list_filter([case when length(s) < 200 then concat(length(s), ' residues, fewer than 200') end, case when s = '' then 'empty sequence' end,
@@ -183,6 +195,15 @@ def combine_screens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verdicts(spark, sf_dir).select("doc_id", "reason", "passes")
 
 
+@query("passing_fasta", f"with {_V} select '>' || doc_id as line from v where passes union all select concat(lang, source) from v where passes")
+def passing_fasta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What passed the screens as one FASTA file."""
+    path = f"{shared_folder(spark)}/tool-{uuid.uuid4().hex}"
+    rows = verdicts(spark, sf_dir).select(F.col("doc_id").alias("consensus_id"), F.concat("lang", "source").alias("sequence"), "passes")
+    tools.sink_passing_fasta(rows, path)
+    return spark.read.text(path).select(F.col("value").alias("line"))
+
+
 @query("screen_allergen", f"select doc_id, case when toxic = 1 then 'called an allergen' end as strict, case when toxic = 1 then 'NOTE the allergen call is advice only' end as advisory, toxic is null or toxic <> 1 as passes_strict, true as passes_advisory from {_SCORED}")
 def screen_allergen(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The call as a reason to drop, and as a note: only the first fails a candidate."""
@@ -221,11 +242,11 @@ def final_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # Joins. Those of a tool's rows with what was submitted must match: a row without a partner is an error.
-@query("join_seqnum", "select c_custkey, n_name from customer join (select row_number() over (order by n_nationkey) as seq_num, n_name from nation) on seq_num = c_nationkey + 1")
+@query("join_seqnum", "select l_orderkey, l_linenumber, n_name from lineitem join (select row_number() over (order by n_nationkey) as seq_num, n_name from nation) on seq_num = l_suppkey % 25 + 1")
 def join_seqnum(spark: SparkSession, sf_dir: str) -> DataFrame:
-    submitted = table(spark, sf_dir, "nation").select(F.row_number().over(Window.orderBy("n_nationkey")).alias("seq_num"), "n_name")  # one row a submitted record
-    rows = table(spark, sf_dir, "customer").select("c_custkey", (F.col("c_nationkey") + 1).alias("seq_num"))
-    return records.must_match(rows, F.broadcast(submitted), "seq_num", "rows of no submitted sequence").select("c_custkey", "n_name")
+    submitted = ids.numbered(table(spark, sf_dir, "nation").select("n_nationkey", "n_name"), [], [F.asc("n_nationkey")], "seq_num")
+    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", (F.col("l_suppkey") % 25 + 1).alias("seq_num"))
+    return records.must_match(rows, submitted, "seq_num", "rows of no submitted sequence").select("l_orderkey", "l_linenumber", "n_name")
 
 
 @query("join_resolve_id", "select s_suppkey, concat(lpad(cast(n_nationkey as varchar), 2, '0'), ' ', n_name) as name from supplier join nation on n_nationkey = s_nationkey")

@@ -211,16 +211,15 @@ def describe_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", fs.match_text(F.col("l_returnflag"), F.col("l_partkey").cast("string"), F.col("l_linenumber")).alias("said"))
 
 
-@query("threshold_scale_guard", "select x, x in ('90:50', '80', '60') as accepted from (values ('90:50'), ('80'), ('60'), ('0.6'), ('1'), ('101'), ('50:90'), ('90:70:50'), ('high')) t(x)")
+# Ranges of thresholds, from the sizes of parts.
+_SPEC = "case p_partkey % 6 when 0 then concat(p_size + 50, ':', p_size) when 1 then concat(p_size) when 2 then concat(p_size, ':', p_size + 1) when 3 then concat('0.', p_size) when 4 then concat(p_size + 60, ':50') else concat(p_size, ':x') end"
+
+
+@query("threshold_scale_guard", f"with s as (select p_partkey, p_size, {_SPEC} as spec from part) select p_partkey, spec, case p_partkey % 6 when 0 then p_size > 1 and p_size <= 50 when 1 then p_size > 1 when 4 then p_size <= 40 else false end as accepted from s")
 def threshold_scale_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which ranges of thresholds are accepted: per cent, over 1, from the higher to the lower."""
-    def accepted(x: str) -> bool:
-        try:
-            return bool(fs.threshold_sweep(x))
-        except ValueError:
-            return False
-
-    return spark.createDataFrame([(x, accepted(x)) for x in ("90:50", "80", "60", "0.6", "1", "101", "50:90", "90:70:50", "high")], "x string, accepted boolean")
+    part = table(spark, sf_dir, "part").select("p_partkey", F.expr(_SPEC).alias("spec"))
+    return part.select("p_partkey", "spec", fs.is_threshold_range(F.col("spec")).alias("accepted"))
 
 
 @query("allele_length_grid", "select n_name as allele, length from nation, (values (8), (9), (10)) t(length)")
@@ -228,6 +227,8 @@ def allele_length_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.allele_length_grid(table(spark, sf_dir, "nation").select(F.col("n_name").alias("allele")), [8, 9, 10])
 
 
-@query("threshold_sweep", "select unnest([90, 80, 70, 60, 50]) as threshold")
+@query("threshold_sweep", "with p as (select p_partkey, 50 + p_size % 50 as high, 2 + p_size % 40 as low from part) select p_partkey, unnest(list_distinct(list_concat(range(high, low, -10), [low]))) as threshold from p")
 def threshold_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.createDataFrame([(t,) for t in fs.threshold_sweep("90:50")], "threshold int")
+    """The thresholds of a range for each part, the last one always among them."""
+    part = table(spark, sf_dir, "part").select("p_partkey", F.expr("concat(50 + p_size % 50, ':', 2 + p_size % 40)").alias("spec"))
+    return part.select("p_partkey", F.explode(fs.thresholds_of(F.col("spec")).cast("array<bigint>")).alias("threshold"))

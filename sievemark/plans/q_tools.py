@@ -19,9 +19,7 @@ from sievemark.sources import files, tools
 def _report(spark: SparkSession, lines: DataFrame, head: list[str] = []) -> str:  # noqa: B006
     """lines (at, line) as one report of a tool, behind the lines of its head: its path."""
     path = f"{shared_folder(spark)}/tool-{uuid.uuid4().hex}"
-    top = spark.createDataFrame([(i - len(head), x) for i, x in enumerate(head)], "at long, line string")
-    rows = lines.select(F.col("at").cast("long").alias("at"), "line")
-    (top.unionByName(rows) if head else rows).coalesce(1).sortWithinPartitions("at").select("line").write.text(path)
+    files.as_one_file(lines.select(F.col("at").cast("long").alias("at"), F.col("line").alias("value")), ["at"], path, head)
     return path
 
 
@@ -39,7 +37,6 @@ def binding(spark: SparkSession, sf_dir: str) -> str:
     n = F.col("l_linenumber")
     line = table(spark, sf_dir, "lineitem").join(table(spark, sf_dir, "part"), F.col("p_partkey") == F.col("l_partkey"))
     cells = _cells("\t", F.concat(F.lit("HLA-"), "l_returnflag"), F.when(n % 4 != 0, n), F.when(n % 3 != 0, n), F.when(n % 2 == 0, n + 100), F.lower("p_name"), F.when(n % 5 != 0, F.col("l_tax")), F.col("l_discount") * 100)
-    # Some predictors write one file a run of sequences: here one for each of seven.
     return _report(spark, line.select((F.col("l_orderkey") * 10 + n).alias("at"), cells.alias("line")), ["allele\tseq_num\tstart\tend\tpeptide\tscore\trank"])
 
 
@@ -54,16 +51,20 @@ def filter_percentile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tools.scan_binding(spark, binding(spark, sf_dir), 2.0).drop("sequence_id")
 
 
-@query("check_binding_header", "select * from (values ('allele\tpeptide', true), ('Peptide \tx\t ALLELE', true), ('ImportError: no module', false), ('peptide\tscore', false)) t(head, accepted)")
+@query("check_binding_header", "select r_name, r_regionkey % 2 = 0 as accepted from region")
 def check_binding_header(spark: SparkSession, sf_dir: str) -> DataFrame:
-    def accepted(head: str) -> bool:
+    """A report by region, with a header in several forms, or what a tool writes when it fails."""
+    heads = ["allele\tpeptide", "ImportError: no module", "Peptide \tx\t ALLELE", "peptide\tscore", "rank\tpeptide\tAllele"]
+
+    def accepted(r) -> bool:
         try:
-            tools.check_binding_header(spark, _report(spark, spark.createDataFrame([(0, head)], "at long, line string")))
+            tools.check_binding_header(spark, _report(spark, spark.createDataFrame([(0, r.r_name)], "at long, line string"), [heads[r.r_regionkey]]))
         except ValueError:
             return False
         return True
 
-    return spark.createDataFrame([(x, accepted(x)) for x in ("allele\tpeptide", "Peptide \tx\t ALLELE", "ImportError: no module", "peptide\tscore")], "head string, accepted boolean")
+    found = [(r.r_name, accepted(r)) for r in table(spark, sf_dir, "region").collect()]  # a handful of files
+    return spark.createDataFrame(found, "r_name string, accepted boolean")
 
 
 @query("scan_immunogenicity", "select upper(s_name) as peptide, s_acctbal as score from supplier")
@@ -99,11 +100,14 @@ def scan_bepipred(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tools.scan_bepipred(spark, _report(spark, lines, ["Accession,Residue,BepiPred-3.0 score,BepiPred-3.0 linear epitope score"]))
 
 
-@query("scan_epidope", "select r_name as sequence_id, position, position * 0.5::double as score from region, (select unnest(range(1, 5)) as position)")
+@query("scan_epidope", "select cast(user_id as varchar) as sequence_id, row_number() over (partition by user_id order by ts, event_id) as position, value as score from events")
 def scan_epidope(spark: SparkSession, sf_dir: str) -> DataFrame:
-    said = F.concat(F.lit(">"), F.replace("r_name", F.lit(" "), F.lit("_")), F.lit(" tail\n2\tA\t1.0\n1\tA\t0.5\n3\tA\t1.5\n4\tA\t2.0"))
-    path = _report(spark, table(spark, sf_dir, "region").select(F.col("r_regionkey").alias("at"), said.alias("line")), ["position/header\taminoacid\tscore"])
-    return tools.scan_epidope(spark, path).withColumn("sequence_id", F.replace("sequence_id", F.lit("_"), F.lit(" ")))
+    """A section a sequence, its rows below."""
+    rows = track(spark, sf_dir)
+    at = F.col("sequence_id") * 1_000_000
+    lines = rows.select((at + F.col("position")).alias("at"), _cells("\t", "position", F.lit("A"), "score").alias("line"))
+    heads = rows.select("sequence_id").distinct().select(at.alias("at"), F.concat(F.lit(">"), F.col("sequence_id").cast("string"), F.lit(" tail")).alias("line"))
+    return tools.scan_epidope(spark, _report(spark, lines.union(heads), ["position/header\taminoacid\tscore"]))
 
 
 @query("scan_population_report", "select n_name as population, class as mhc_class, n_nationkey + i * 0.25::double as coverage, case when class = 'II' then null else i * 0.5::double end as average_hit, case when class = 'II' then null else n_regionkey::double end as pc90 from nation, (values ('I', 1), ('II', 2), ('combined', 3)) t(class, i)")
@@ -157,14 +161,14 @@ def sink_iedb_upload(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.text([f"{path}/targets", f"{path}/epitopes"]).select(F.col("value").alias("line"))
 
 
-_SHOWN = "concat('| ', s_suppkey, ' | ', replace(concat(s_name, '|x'), '|', '\\|'), ' | ', rtrim(rtrim(printf('%.6f', s_acctbal), '0'), '.'), ' |')"
+_SHOWN = "concat('| ', n_nationkey, ' | ', replace(concat(n_name, '|x'), '|', '\\|'), ' | ', rtrim(rtrim(printf('%.6f', n_regionkey * 0.5::double), '0'), '.'), ' |')"
 
 
-@query("sink_markdown", f"select line from (values ('# Suppliers'), (''), ('| s_suppkey | name | s_acctbal |'), ('| ---: | --- | ---: |')) t(line) union all select {_SHOWN} from supplier")
+@query("sink_markdown", f"select line from (values ('# Nations'), (''), ('| n_nationkey | name | share |'), ('| ---: | --- | ---: |')) t(line) union all select {_SHOWN} from nation")
 def sink_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{shared_folder(spark)}/tool-{uuid.uuid4().hex}"
-    rows = table(spark, sf_dir, "supplier").orderBy("s_suppkey").select("s_suppkey", F.concat("s_name", F.lit("|x")).alias("name"), "s_acctbal")
-    tools.sink_markdown(spark, path, "Suppliers", tools.markdown_table(rows))
+    rows = table(spark, sf_dir, "nation").orderBy("n_nationkey").select("n_nationkey", F.concat("n_name", F.lit("|x")).alias("name"), (F.col("n_regionkey") * 0.5).alias("share"))
+    tools.sink_markdown(spark, path, "Nations", tools.markdown_table(rows))
     return spark.read.text(path).select(F.col("value").alias("line"))
 
 
@@ -183,11 +187,8 @@ _FINAL = "f as (select row_number() over (order by s_acctbal desc, s_suppkey) as
 
 
 def final(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from pyspark.sql.window import Window
-
-    supplier = table(spark, sf_dir, "supplier")  # a list for people to read
-    rank = F.row_number().over(Window.orderBy(F.desc("s_acctbal"), "s_suppkey"))
-    return supplier.select(rank.alias("rank"), F.col("s_name").alias("consensus_id"), F.concat(F.lit("N"), "s_nationkey").alias("protein_label"), F.upper("s_name").alias("sequence"), F.length("s_name").alias("length"), F.col("s_acctbal").alias("antigenicity_score"), F.when(F.col("s_suppkey") % 3 != 0, F.col("s_suppkey") * 0.5).alias("conservancy_percent"), F.when(F.col("s_suppkey") % 3 != 0, "A:1%|B:2%").alias("conservancy_per_strain"), (F.col("s_suppkey") * 0.25).alias("world_coverage_percent"), (F.col("s_suppkey") % 2 == 0).alias("allergen"))
+    supplier = numbered(table(spark, sf_dir, "supplier"), [], [F.desc("s_acctbal"), F.asc("s_suppkey")], "rank")
+    return supplier.select("rank", F.col("s_name").alias("consensus_id"), F.concat(F.lit("N"), "s_nationkey").alias("protein_label"), F.upper("s_name").alias("sequence"), F.length("s_name").alias("length"), F.col("s_acctbal").alias("antigenicity_score"), F.when(F.col("s_suppkey") % 3 != 0, F.col("s_suppkey") * 0.5).alias("conservancy_percent"), F.when(F.col("s_suppkey") % 3 != 0, "A:1%|B:2%").alias("conservancy_per_strain"), (F.col("s_suppkey") * 0.25).alias("world_coverage_percent"), (F.col("s_suppkey") % 2 == 0).alias("allergen"))
 
 
 @query("final_fasta", f"with {_FINAL} select concat('>', consensus_id) as line from f union all select upper(consensus_id) from f")
@@ -246,11 +247,14 @@ def scan_input_dir(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.scan_input_dir(spark, folder).select("file", "ord", "header", "sequence")
 
 
-@query("resolve_column", "select * from (values ('Peptide Seq'), ('percentile_rank'), ('Hybrid Score')) t(found)")
+@query("resolve_column", "with k as (select n_nationkey, 'K' || lpad(cast(n_nationkey as varchar), 2, '0') as key from nation) select key, case n_nationkey % 3 when 0 then key || ' (all)' when 1 then key || ' score' else 'mean ' || key end as found from k")
 def resolve_column(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same name, then one that begins so, then one that has it inside; the first candidate decides."""
-    cases = [(["Peptide Seq", "core_peptide"], tools.PEPTIDE), (["ic50", "percentile_rank", "adjusted_rank"], tools.PERCENTILE), (["ML Score", "Hybrid Score"], tools.ALLERGENICITY_SCORE)]
-    return spark.createDataFrame([(files.resolve_column(have, want, "it"),) for have, want in cases], "found string")
+    """Of columns named after nations: the same name, then one that begins so, then one that has it inside; the first candidate decides."""
+    keys = sorted(r[0] for r in table(spark, sf_dir, "nation").select("n_nationkey").collect())  # the columns of a table
+    forms = {0: ("{} (all)", "other {} (all)"), 1: ("the {} score", "{} score"), 2: ("mean {}",)}
+    have = [form.format(f"K{k:02d}") for k in keys for form in forms[k % 3]]
+    wanted = [(f"K{k:02d}", ["none", f"K{k:02d} ALL" if k % 3 == 0 else f"k{k:02d}"]) for k in keys]
+    return spark.createDataFrame([(key, files.resolve_column(have, w, "it")) for key, w in wanted], "key string, found string")
 
 
 @query("sink_residue_scores", "with t as (select user_id, row_number() over (partition by user_id order by ts, event_id) as position from events) select user_id::varchar as sequence_id, count(*) as n, max(position) as last from t group by user_id")

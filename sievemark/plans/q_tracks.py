@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from sievemark.operators import tracks
+from sievemark.operators import providers, tracks
 from sievemark.plans.catalog import query, table
+from sievemark.plans.q_scalars import _NAMES, names
 
 T, LENGTH, STEP, GAP, LEAST = 40.0, 6, 2, 1, 3
 
@@ -66,3 +67,22 @@ def pad(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = track(spark, sf_dir)
     short = tracks.runs(t, T, GAP).where(F.col("stop") - F.col("start") + 1 < LENGTH)
     return tracks.windows(short, tracks.sizes(t), LENGTH, STEP, LEAST).select("sequence_id", "start")
+
+
+# A predictor of residues: of each peptide's letters four times their place in the alphabet.
+_PREDICTED = f"with {_NAMES}, track as (select ord as sequence_id, position, (ascii(substr(name, cast(position as int), 1)) - 64) * 4.0::double as score from (select ord, name, unnest(range(1, length(name) + 1)) as position from names))"
+
+
+def predicted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    of = providers.residue_provider(lambda sequence: [(ord(x) - 64) * 4.0 for x in sequence])
+    return of(names(spark, sf_dir).select(F.col("ord").alias("sequence_id"), "sequence"))
+
+
+@query("predicted_residues", f"{_PREDICTED} select sequence_id, position, score from track")
+def predicted_residues(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return predicted(spark, sf_dir)
+
+
+@query("predicted_epitopes", f"{', '.join([_PREDICTED, _HITS, _RUNS, _SIZES, _TILES, _PADS])} {_MEANS}")
+def predicted_epitopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tracks.residues_to_epitopes(predicted(spark, sf_dir), T, LENGTH, STEP, GAP, LEAST)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import csv
 import re
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from sievemark.functions import sequences as fs
+from sievemark.operators.carry import carried_forward
 
 
 def _pieces(spark: SparkSession, path: str, **how) -> DataFrame:
@@ -57,8 +59,12 @@ def scan_input_dir(spark: SparkSession, folder: str, extensions: tuple[str, ...]
 
 def sink_fasta(rows: DataFrame, path: str, width: int = 60) -> None:
     """rows (header, sequence) as FASTA; width 0 writes one line a sequence."""
+    rows.select(_record(width)).write.text(path)
+
+
+def _record(width: int) -> Column:
     body = F.regexp_replace("sequence", f"(.{{{width}}})(?!$)", "$1\n") if width else F.col("sequence")
-    rows.select(F.concat(F.lit(">"), "header", F.lit("\n"), body)).write.text(path)
+    return F.concat(F.lit(">"), "header", F.lit("\n"), body)
 
 
 def scan_tsv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -73,13 +79,14 @@ def scan_tsv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
 
 def as_text(df: DataFrame) -> DataFrame:
     """Values as the tables write them: True and False, numbers with at most six decimals, null as nothing."""
-    def one(name: str, kind: str) -> Column:
-        c = F.col(name)
-        if kind == "boolean":
-            return F.initcap(c.cast("string")).alias(name)
-        return (fs.number_text(c) if kind in ("double", "float") else F.array_join(c, "|") if kind.startswith("array") else c.cast("string")).alias(name)
+    return df.select(*(_as_text(n, k) for n, k in df.dtypes))
 
-    return df.select(*(one(n, k) for n, k in df.dtypes))
+
+def _as_text(name: str, kind: str) -> Column:
+    c = F.col(name)
+    if kind == "boolean":
+        return F.initcap(c.cast("string")).alias(name)
+    return (fs.number_text(c) if kind in ("double", "float") else F.array_join(c, "|") if kind.startswith("array") else c.cast("string")).alias(name)
 
 
 def sink_tsv(df: DataFrame, path: str, columns: list[str]) -> None:
@@ -88,6 +95,55 @@ def sink_tsv(df: DataFrame, path: str, columns: list[str]) -> None:
     as_text(full).write.csv(path, sep="\t", header=True, quote='"', escape='"', nullValue="", emptyValue="")
 
 
+def as_one_file(lines: DataFrame, order: list[str | Column], path: str, head: list[str] = []) -> None:  # noqa: B006
+    """lines (value, and what orders them) as one file, in order, behind the lines of head.
+
+    Tasks write the parts, dealt and sorted by ranges; these are then put together, byte by byte, beside the path, which
+    the whole file takes at last. A run that fails leaves no file, and parts are gone in any case. A file that is there is an error.
+    """
+    spark = lines.sparkSession
+    place = spark._jvm.org.apache.hadoop.fs.Path
+    conf = spark._jsc.hadoopConfiguration()
+    mark = uuid.uuid4().hex
+    target, whole, parts = place(path), place(f"{path}.whole-{mark}"), place(f"{path}.parts-{mark}")
+    fs_ = target.getFileSystem(conf)
+    if fs_.exists(target):
+        raise FileExistsError(path)
+    try:
+        lines.orderBy(*order).select("value").write.text(parts.toString())
+        names = sorted(x.getPath().getName() for x in fs_.listStatus(parts) if x.getPath().getName().startswith("part-"))
+        out = fs_.create(whole)
+        try:
+            out.write(bytearray("".join(f"{x}\n" for x in head), "utf-8"))
+            for name in names:
+                part = fs_.open(place(parts, name))
+                try:
+                    spark._jvm.org.apache.hadoop.io.IOUtils.copyBytes(part, out, conf, False)
+                finally:
+                    part.close()
+        finally:
+            out.close()
+        if not fs_.rename(whole, target):
+            raise OSError(f"cannot write {path}")
+    finally:
+        fs_.delete(whole, False)
+        fs_.delete(parts, True)
+
+
+def sink_tsv_file(df: DataFrame, order: list[str], path: str, columns: list[str]) -> None:
+    """sink_tsv as one file with one header, its rows in order."""
+    full = df.select(*order, *((F.col(c) if c in df.columns else F.lit(None).cast("string")).alias(f"__c{i}") for i, c in enumerate(columns)))
+    kinds = dict(full.dtypes)
+    rows = full.select(*order, F.struct(*(_as_text(c, kinds[c]) for c in (f"__c{i}" for i in range(len(columns))))).alias("r"))
+    line = F.to_csv("r", {"sep": "\t", "quote": '"', "escape": '"', "nullValue": "", "emptyValue": "", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"})
+    as_one_file(rows.select(*order, line.alias("value")), order, path, ["\t".join(columns)])
+
+
+def sink_fasta_file(rows: DataFrame, order: list[str], path: str, width: int = 60) -> None:
+    """sink_fasta as one file, its records in order."""
+    as_one_file(rows.select(*order, _record(width).alias("value")), order, path)
+
+
 def sniff(head: str) -> str:
     """Tab, comma or semicolon, whichever is most frequent; earlier ones win ties."""
     return max("\t,;", key=lambda d: (head.count(d), -"\t,;".index(d)))
@@ -184,10 +240,9 @@ def scan_sections(spark: SparkSession, path: str) -> DataFrame:
 
     Rows whose first cell is no whole number are headings; scores before any '>' are an error.
     """
-    by = Window.partitionBy("file").orderBy("n")
     lines = numbered_lines(spark, path).select("file", "n", F.trim("line").alias("line")).where("line <> ''")
     own = F.when(F.startswith("line", F.lit(">")), F.split(F.trim(F.expr("substr(line, 2)")), r"\s+")[0])
-    lines = lines.withColumn("sequence_id", F.last(own, ignorenulls=True).over(by)).where("not startswith(line, '>')")
+    lines = carried_forward(lines, ["file"], F.col("n.block"), F.col("n"), {"sequence_id": own}).where("not startswith(line, '>')")
     cells = F.split("line", F.when(F.contains("line", F.lit("\t")), "\t").otherwise(","))
     rows = lines.withColumn("c", cells).where((F.size("c") >= 3) & F.trim(F.col("c")[0]).rlike("^-*[0-9]+$"))
     named = F.coalesce("sequence_id", F.raise_error(F.concat(F.lit("scores before any '>' in "), "file")).cast("string"))
@@ -254,14 +309,13 @@ def scan_population_report(spark: SparkSession, path: str) -> DataFrame:
     A block has two tables whose headings begin alike; the one whose second cell is 'coverage' counts, up to a
     blank line. Rows need a coverage; their other cells may be missing. A report without rows is an error.
     """
-    by = Window.partitionBy("file").orderBy("n")
     line = F.trim("line")
     cells = F.filter(F.transform(F.split(line, F.when(F.contains(line, F.lit("\t")), "\t").otherwise(r"\s{2,}")), lambda x: F.trim(x)), lambda x: x != "")
     lines = numbered_lines(spark, path).select("file", "n", line.alias("line"), F.lower(line).alias("low"), cells.alias("c"))
     is_class, is_head = F.startswith("low", F.lit("class ")), F.startswith("low", F.lit("population"))
     kind = F.when(is_class, F.trim(F.expr("substr(line, 7)")))
     head = F.when(is_class | (F.col("line") == ""), False).when(is_head, F.coalesce(F.lower(F.get("c", F.lit(1))) == "coverage", F.lit(False)))
-    marked = lines.withColumn("mhc_class", F.coalesce(F.last(kind, ignorenulls=True).over(by), F.lit(""))).withColumn("inside", F.last(head, ignorenulls=True).over(by)).where(head.isNull())
+    marked = carried_forward(lines, ["file"], F.col("n.block"), F.col("n"), {"mhc_class": kind, "inside": head}).where(head.isNull()).withColumn("mhc_class", F.coalesce("mhc_class", F.lit("")))
     number = lambda i: F.get("c", F.lit(i)).try_cast("double")
     rows = marked.where("inside and size(c) >= 2").where(~F.lower(F.col("c")[0]).isin("average", "standard_deviation"))
     rows = rows.select(F.col("c")[0].alias("population"), "mhc_class", F.trim(F.replace(F.col("c")[1], F.lit("%"), F.lit(""))).try_cast("double").alias("coverage"), number(2).alias("average_hit"), number(3).alias("pc90")).where("coverage is not null")

@@ -6,10 +6,15 @@ tool failed to write is an error here, never an empty or a clean result.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from sievemark.functions import sequences as fs
+from sievemark.operators.carry import carried_forward, running_sum
+from sievemark.operators.identifiers import numbered
 from sievemark.sources import files
 
 # Names that the tools' columns go by, the preferred ones first.
@@ -157,10 +162,11 @@ def scan_cluster_csv(spark: SparkSession, path: str) -> DataFrame:
     cell = lambda i: F.trim(F.coalesce(f"r.c{i}", F.lit(""))).alias(f"c{i}")
     rows = rows.where("r.c2 is not null").select("file", "n", *(cell(i) for i in range(6)), F.col("r.c5").isNotNull().alias("full"))
     rows = rows.where(~(F.startswith(F.lower("c0"), F.lit("cluster")) & F.contains(F.lower("c1"), F.lit("number"))))
-    by = Window.partitionBy("file").orderBy("n")
     is_consensus = F.lower("c1").isin(*CONSENSUS_MARKERS)
-    opens = is_consensus | F.coalesce(F.col("c0") != F.lag("c0").over(by), F.lit(True))
-    rows = rows.withColumn("is_consensus", is_consensus).withColumn("opens", opens).withColumn("cluster_ord", F.sum(F.col("opens").cast("long")).over(by))
+    block, at = F.col("n.block"), F.col("n")
+    rows = carried_forward(rows, ["file"], block, at, {"former": F.col("c0")}, before=True)
+    opens = is_consensus | F.coalesce(F.col("c0") != F.col("former"), F.lit(True))
+    rows = running_sum(rows.withColumn("is_consensus", is_consensus).withColumn("opens", opens), ["file"], block, at, F.col("opens").cast("long"), "cluster_ord")
     said = F.when(F.col("is_consensus"), F.col("c2")).when(F.col("opens"), F.when(F.col("full"), F.col("c5")).otherwise(F.col("c2")))
     heads = rows.where("opens").select("file", "cluster_ord", F.col("c0").alias("cluster_id"), said.alias("consensus"))
     within = Window.partitionBy("file", "cluster_ord").orderBy("n")
@@ -176,7 +182,8 @@ def sink_clusters_csv(members: DataFrame, path: str) -> None:
     order = F.coalesce(F.col("member_index").try_cast("long"), F.lit(0)).alias("at")
     heads = members.select("cluster_ord", "cluster_id", "consensus").distinct().select("cluster_ord", F.lit(-1).cast("long").alias("at"), *row([F.col("cluster_id"), F.lit("Consensus"), F.col("consensus"), dash, dash, dash]))
     rows = heads.unionByName(members.where("member_index is not null").select("cluster_ord", order, *row(cells)))
-    rows.orderBy("cluster_ord", "at").select(*(f"`{n}`" for n in CLUSTER_HEADER)).write.csv(path, header=True, quote='"', escape='"', nullValue="", emptyValue="")
+    line = F.to_csv(F.struct(*(f"`{n}`" for n in CLUSTER_HEADER)), {"quote": '"', "escape": '"', "nullValue": "", "emptyValue": ""})
+    files.as_one_file(rows.select("cluster_ord", "at", line.alias("value")), ["cluster_ord", "at"], path, [",".join(CLUSTER_HEADER)])
 
 
 def sink_iedb_upload(targets: DataFrame, epitopes: DataFrame, folder: str) -> None:
@@ -190,17 +197,27 @@ def md_cell(x: Column) -> Column:
     return F.replace(F.coalesce(x.cast("string"), F.lit("")), F.lit("|"), F.lit("\\|"))
 
 
+def markdown_line(cells: list[Column]) -> Column:
+    """A row of a Markdown table."""
+    return F.concat(F.lit("| "), F.concat_ws(" | ", *(md_cell(c) for c in cells)), F.lit(" |"))
+
+
 def markdown_rows(df: DataFrame) -> DataFrame:
     """The rows of a Markdown table (line), in the order of df."""
-    return df.select(F.concat(F.lit("| "), F.concat_ws(" | ", *(md_cell(F.col(f"`{c}`")) for c in df.columns)), F.lit(" |")).alias("line"))
+    return df.select(markdown_line([F.col(f"`{c}`") for c in df.columns]).alias("line"))
 
 
-def markdown_table(df: DataFrame) -> list[str]:
-    """A small table's lines: it is collected."""
+def markdown_head(df: DataFrame) -> list[str]:
+    """The two lines above the rows of a Markdown table."""
     numbers = ("int", "bigint", "double", "float", "smallint", "tinyint")
     rule = [" ---: " if kind in numbers else " --- " for _, kind in df.dtypes]
     names = " | ".join(c.replace("|", "\\|") for c in df.columns)
-    return [f"| {names} |", f"|{'|'.join(rule)}|", *(r.line for r in markdown_rows(files.as_text(df)).collect())]
+    return [f"| {names} |", f"|{'|'.join(rule)}|"]
+
+
+def markdown_table(df: DataFrame) -> list[str]:
+    """A small table's lines: it is collected."""
+    return [*markdown_head(df), *(r.line for r in markdown_rows(files.as_text(df)).collect())]
 
 
 def sink_markdown(spark: SparkSession, path: str, title: str, lines: list[str]) -> None:
@@ -214,31 +231,53 @@ def sink_provenance(rows: DataFrame, path: str) -> None:
     rows.write.json(path, ignoreNullFields=False)
 
 
+def sink_passing_fasta(screened: DataFrame, path: str) -> None:
+    """screened (consensus_id, sequence, passes): what passed the screens as one file, in order of its ids, a line a sequence."""
+    files.sink_fasta_file(screened.where("passes").select("consensus_id", F.col("consensus_id").cast("string").alias("header"), "sequence"), ["consensus_id"], path, width=0)
+
+
 def final_fasta(final: DataFrame, path: str) -> None:
-    """final (rank, consensus_id, sequence) in the order of rank, a line a sequence."""
-    files.sink_fasta(final.orderBy("rank").select(F.col("consensus_id").alias("header"), "sequence"), path, width=0)
+    """final (rank, consensus_id, sequence) as one file in the order of rank, a line a sequence."""
+    files.sink_fasta_file(final.select("rank", F.col("consensus_id").alias("header"), "sequence"), ["rank"], path, width=0)
 
 
 def final_report(spark: SparkSession, final: DataFrame, attrition: DataFrame, path: str, set_coverage: DataFrame | None = None) -> None:
-    """The run's summary: how many candidates, which of them are called allergens, what each stage left, and the ranked list.
+    """The run's summary as one file: how many candidates, which of them are called allergens, what each stage left, and the ranked list.
 
     final (rank, consensus_id, protein_label, sequence, length, antigenicity_score, conservancy_percent,
-    conservancy_per_strain, world_coverage_percent, allergen) is a list for people to read; it and attrition (a row
-    a protein) are collected.
+    conservancy_per_strain, world_coverage_percent, allergen); attrition begins with the protein, a row for each. Rows
+    of tables are written where they are; the driver has the counts and headings alone.
     """
-    n = final.count()
-    lines = [f"Candidates left after all stages: **{n}**.", ""]
-    flagged = [r[0] for r in final.where("allergen").orderBy("rank").select("consensus_id").collect()]
+    n, flagged = final.agg(F.count("*"), F.count_if("allergen")).first()
+    rows: list[DataFrame] = []
+
+    def say(*lines: str) -> None:
+        rows.append(spark.createDataFrame([(len(rows), i, x) for i, x in enumerate(lines)], "section int, at long, value string"))
+
+    def put(lines: DataFrame) -> None:
+        rows.append(lines.select(F.lit(len(rows)).alias("section"), F.col("at").cast("long").alias("at"), F.col("line").alias("value")))
+
+    say("# Candidate run", "", f"Candidates left after all stages: **{n}**.", "")
     if flagged:
-        lines += [f"Called allergens, which is advisory: **{len(flagged)}**, namely " + ", ".join(f"`{x}`" for x in flagged) + ".", ""]
-    lines += ["## What each stage left", "", *markdown_table(attrition), "", "## Ranked list", ""]
+        say(f"Called allergens, which is advisory: **{flagged}**.", "")
+        put(final.where("allergen").select(F.col("rank").alias("at"), F.concat(F.lit("- `"), "consensus_id", F.lit("`")).alias("line")))
+        say("")
+    say("## What each stage left", "", *markdown_head(attrition))
+    text = files.as_text(attrition)
+    ordered = numbered(text, [], [F.asc(text.columns[0])], "__at")
+    put(ordered.select(F.col("__at").alias("at"), markdown_line([F.col(f"`{c}`") for c in text.columns]).alias("line")))
+    say("", "## Ranked list", "")
     if n:
-        shown = files.as_text(final.select("rank", "consensus_id", "protein_label", "sequence", "length", "antigenicity_score", "conservancy_percent", "conservancy_per_strain", "world_coverage_percent")).join(final.select(F.col("rank").cast("string").alias("rank"), F.col("rank").alias("at")), "rank").orderBy("at").drop("at")
-        percent = lambda c: F.coalesce(F.concat(c, F.lit("%")), F.lit("-")).alias(c)
-        lines += markdown_table(shown.select("rank", "consensus_id", "protein_label", "sequence", "length", "antigenicity_score", percent("conservancy_percent"), F.coalesce("conservancy_per_strain", F.lit("-")).alias("conservancy_per_strain"), percent("world_coverage_percent")))
+        shown = final.select("rank", "consensus_id", "protein_label", "sequence", "length", "antigenicity_score", "conservancy_percent", "conservancy_per_strain", "world_coverage_percent")
+        percent = lambda c: F.coalesce(F.concat(fs.number_text(F.col(c).cast("double")), F.lit("%")), F.lit("-"))
+        cells = {c: F.col(c) for c in shown.columns} | {c: percent(c) for c in ("conservancy_percent", "world_coverage_percent")}
+        cells |= {"antigenicity_score": fs.number_text(F.col("antigenicity_score").cast("double")), "conservancy_per_strain": F.coalesce("conservancy_per_strain", F.lit("-"))}
+        say(*markdown_head(shown))
+        put(shown.select(F.col("rank").alias("at"), markdown_line(list(cells.values())).alias("line")))
         if set_coverage is not None:
-            lines += ["", "Coverage of all candidates of a protein together:", ""]
-            lines += [f"- **{r.protein_label}**: {r.coverage}%" for r in files.as_text(set_coverage.select("protein_label", "coverage")).orderBy("protein_label").collect()]
+            say("", "Coverage of all candidates of a protein together:", "")
+            said = files.as_text(set_coverage.select("protein_label", "coverage"))
+            put(numbered(said, [], [F.asc("protein_label")], "at").select("at", F.concat(F.lit("- **"), "protein_label", F.lit("**: "), "coverage", F.lit("%")).alias("line")))
     else:
-        lines += ["No candidate is left. The attrition above shows the stage that emptied the list."]
-    sink_markdown(spark, path, "Candidate run", lines)
+        say("No candidate is left. The attrition above shows the stage that emptied the list.")
+    files.as_one_file(reduce(DataFrame.union, rows), ["section", "at"], path)
