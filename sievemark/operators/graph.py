@@ -11,8 +11,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Files that a checkpoint table has for each core at most: more only cost their making and listing.
-FILES_A_CORE = 8
+#: A checkpoint table has so many files for each core at most, where what it comes from is not larger than FILE_BYTES for each: more only cost their making and listing.
+FILES_A_CORE, FILE_BYTES = 8, 128 << 20
 #: Links of a file of a link table.
 FILE_ROWS = 250_000
 #: Up to so many links (some 10 MB) are joined up by one task; more are in rounds over the cluster, with the same result.
@@ -41,10 +41,17 @@ def written(df: DataFrame, most_files: int | None = None) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
-    df.coalesce(min(most_files or 1 << 30, FILES_A_CORE * spark.sparkContext.defaultParallelism)).write.parquet(path)
+    files = max(FILES_A_CORE * spark.sparkContext.defaultParallelism, -(-_read_bytes(df) // FILE_BYTES))
+    df.coalesce(min(most_files or 1 << 30, files)).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _read_bytes(df: DataFrame) -> int:
+    """What the tables that df comes from have, as Spark reckons; at least their files."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(min(int(leaves.apply(i).stats().sizeInBytes()), 1 << 60) for i in range(leaves.size()))
+
+
 class _Sets:
     """Disjoint sets of nodes, each known by its least one."""
 

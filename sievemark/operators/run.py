@@ -5,6 +5,7 @@ Predictors are plug-ins: their outputs are tables (see sources.tools) or a Score
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -15,6 +16,7 @@ from sievemark.operators import clustering, matching, records
 from sievemark.operators.graph import written
 from sievemark.operators.identifiers import assign_ids, numbered
 from sievemark.operators.providers import ResidueProvider, ScoreProvider, provider, residue_provider  # noqa: F401
+from sievemark.sources import tools
 
 @dataclass(frozen=True)
 class Settings:
@@ -30,6 +32,8 @@ class Settings:
     both_bcell_tools: bool = True
     min_strains: int = 0
     antigenicity: float = 0.5
+    drop_failing_proteins: bool = False
+    immunogenicity: float = 0.0
     exact_length: int = 9
     allergen_identity: float = 35.0
     drop_on_allergen: bool = False
@@ -101,34 +105,73 @@ def screening(pooled: DataFrame, members: DataFrame, how: Settings, antigenicity
     return out.withColumn("passes", passes).withColumn("reason", F.array_join(why, "; ")).drop("note")
 
 
-def candidate_run(rows: DataFrame, tracks_of: dict[str, DataFrame], binding_of: dict[str, DataFrame], how: Settings, rank_by: str = "conservancy_percent", **screens) -> dict[str, DataFrame]:
-    """All stages over the records of one protein: manifest, epitopes, clusters, members, screening, conservancy and final.
+def attrition(protein: str, epitopes: DataFrame, clusters: DataFrame, screened: DataFrame, final: DataFrame) -> DataFrame:
+    """(protein, n_strains, n_b_cell, n_t_cell, n_clusters, n_passing, n_screened, n_final): what each stage left of a protein, a row."""
+    kind = F.when(F.col("epitope_class") == "B", "b").otherwise("t")
+    found = epitopes.agg(F.count_distinct("strain").alias("n_strains"), *(F.count_distinct(F.when(kind == k, F.col("sequence"))).alias(f"n_{k}_cell") for k in ("b", "t")))
+    counts = [clusters.agg(F.count("*").alias("n_clusters"), F.count_if("passes").alias("n_passing")), screened.agg(F.count_if("passes").alias("n_screened")), final.agg(F.count("*").alias("n_final"))]
+    for one in counts:  # of a row each
+        found = found.crossJoin(one)
+    return found.select(F.lit(protein).alias("protein"), "*")
+
+
+def candidate_run(
+    rows: DataFrame, tracks_of: dict[str, DataFrame | ResidueProvider], binding_of: dict[str, DataFrame], how: Settings, rank_by: str = "conservancy_percent", protein_scores: ScoreProvider | None = None,
+    immunogenicity: DataFrame | None = None, reference: DataFrame | None = None, coverage: Callable[[DataFrame], DataFrame] | None = None, report: str | None = None, **screens,
+) -> dict[str, DataFrame]:
+    """All stages over the records of one protein: manifest, antigenicity, epitopes, clusters, members, screening, conservancy, coverage, final and attrition.
 
     rows (path, ord, id, accession, protein_label, protein_name, strain, sequence) with ord from 1; tracks_of by tool
-    (sequence_id, position, score), whose ids are the headers Protein|Strain|Accession; binding_of by tool as
-    scan_binding gives it. Every stage that a later one reads twice is written.
+    (sequence_id, position, score), whose ids are the headers Protein|Strain|Accession, or a provider of residues'
+    scores; binding_of by tool as scan_binding gives it. protein_scores scores the records themselves, else the
+    built-in scale does. immunogenicity (sequence, immunogenicity) has every class I peptide; of these only those over the limit
+    stay. reference (strain, ord, accession, text) takes the records' place in conservation. coverage gives the
+    reports of (consensus_id, sequence, alleles) as population_coverage takes them. report: where to write the summary.
+    Every stage that a later one reads twice is written.
     """
     manifest = records.build_manifest(rows, how.length)
     proteins = [r[0] for r in rows.select("protein_label").distinct().limit(2).collect()]
     if len(proteins) != 1:
         raise ValueError(f"a run takes the records of one protein, not of {proteins}")
+    protein = proteins[0]
     header = fs.header_of(F.col("protein_label"), F.col("strain"), F.col("accession")).alias("header")
     submitted = rows.select(header, "sequence")
+    asked = submitted.select(F.col("header").alias("sequence_id"), "sequence")
+    scored = matching.screen_antigenicity(asked, how.antigenicity, protein_scores(asked) if protein_scores else None)
+    antigenicity = written(records.drop_failing_proteins(scored, how.drop_failing_proteins))
     found = None
     for tool, track in tracks_of.items():
+        track = track(asked) if callable(track) else track
         own = records.build_epitopes(track, submitted, tool, how.track_thresholds[tool], how.length, how.step, how.merge_gap, how.min_region).withColumn("allele", F.lit(""))
         found = own if found is None else found.unionByName(own)
     for tool, binding in binding_of.items():
         own = t_cell_epitopes(binding, rows.select("ord", "protein_label", "strain", "accession"), tool).select("epitope_id", "protein_label", "strain", "accession", "source_tool", "epitope_class", F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"), "length", "sequence", "score", "allele")
         found = own if found is None else found.unionByName(own)
+    dropped = None
+    if immunogenicity is not None:
+        kept, dropped = records.filter_immunogenic(written(found), immunogenicity, how.immunogenicity)
+        found, dropped = kept.drop("immunogenicity"), dropped
     epitopes = written(found)
-    clusters, pooled, members = candidates(epitopes, proteins[0], how)
+    clusters, pooled, members = candidates(epitopes, protein, how)
     screened = written(screening(pooled, members, how, **screens))
     passing = screened.where("passes")
     targets = rows.select("strain", "ord", "accession", F.col("sequence").alias("text"))
-    conserved = written(matching.conservancy_run(passing.select(F.col("consensus_id").alias("query_id"), "sequence"), targets, how.conservancy))
+    conserved = written(matching.conservancy_run(passing.select(F.col("consensus_id").alias("query_id"), "sequence"), targets, how.conservancy, reference))
     percent = (F.col("fraction") * 100).alias("percent")
     least = conserved.select("query_id", "strain", percent).groupBy(F.col("query_id").alias("consensus_id")).agg(F.min("percent").alias("conservancy_percent"), F.array_join(F.array_sort(F.collect_list(F.concat("strain", F.lit(":"), fs.number_text(F.round("percent", 2)), F.lit("%")))), "|").alias("conservancy_per_strain"))
-    full = passing.join(least, "consensus_id", "left").withColumn("protein_label", F.lit(proteins[0])).withColumn("length", F.length("sequence"))
-    final = numbered(full, [], [F.desc_nulls_last(rank_by), F.asc("consensus_id")], "rank")
-    return {"manifest": manifest, "epitopes": epitopes, "clusters": clusters, "members": members, "screening": screened, "conservancy": conserved, "final": final}
+    full = passing.join(least, "consensus_id", "left").withColumn("protein_label", F.lit(protein)).withColumn("length", F.length("sequence"))
+    covered = set_coverage = None
+    if coverage is None:
+        full = full.withColumn("world_coverage_percent", F.lit(None).cast("double"))
+    else:
+        own = written(records.coverage_input(passing, members, epitopes))
+        covered = written(records.population_coverage(own, coverage(own)))
+        world = covered.where("population = 'World' and mhc_class = 'combined'").select("consensus_id", F.col("coverage").alias("world_coverage_percent"))
+        full = full.join(world, "consensus_id", "left")
+        set_coverage = world.where("consensus_id = 'ALL'").select(F.lit(protein).alias("protein_label"), F.col("world_coverage_percent").alias("coverage"))
+    final = written(numbered(full, [], [F.desc_nulls_last(rank_by), F.asc("consensus_id")], "rank"))
+    left = attrition(protein, epitopes, clusters, screened, final)
+    if report:
+        tools.final_report(rows.sparkSession, final, left, report, set_coverage)
+    out = {"manifest": manifest, "antigenicity": antigenicity, "epitopes": epitopes, "not_immunogenic": dropped, "clusters": clusters, "members": members, "screening": screened, "conservancy": conserved, "coverage": covered, "final": final, "attrition": left}
+    return {name: table for name, table in out.items() if table is not None}

@@ -51,3 +51,31 @@ def test_a_run_refuses_what_does_not_fit(spark, records):
     stranger = binding(spark, BODY[:9]).withColumn("seq_num", F.lit(7))
     with pytest.raises(ValueError, match="no submitted record"):
         run.candidate_run(records, {}, {"mhc_i": stranger}, how)
+
+
+def test_every_stage_with_plug_ins(spark, records, tmp_path):
+    """Residues predicted by a table function, weak class I peptides dropped, coverage by a tool, and a report."""
+    how = run.Settings({"bepipred": 0.5, "epidope": 0.5}, length=12, sweep="80:60", antigenicity=0.0, immunogenicity=0.1)
+    piece = "ACDEFGHIKLMNP"
+    at = BODY.index(piece)
+    of = lambda a, b: run.residue_provider(lambda s: [0.9 if a <= i < b else 0.1 for i in range(len(s))])
+    weak = BODY[2:11]
+    scores = spark.createDataFrame([(piece[2:11], 0.5), (weak, 0.05)], "sequence string, immunogenicity double")
+
+    def coverage(asked):
+        own = asked.select("consensus_id").union(asked.limit(1).select(F.lit("ALL")))
+        return own.select("consensus_id", F.lit("World").alias("population"), F.lit("combined").alias("mhc_class"), F.when(F.col("consensus_id") == "ALL", 91.5).otherwise(45.25).alias("coverage"), F.lit(1.0).alias("average_hit"), F.lit(2.0).alias("pc90"))
+
+    path = str(tmp_path / "report.md")
+    out = run.candidate_run(records, {"bepipred": of(at, at + 12), "epidope": of(at + 1, at + 13)}, {"mhc_i": binding(spark, piece[2:11], weak), "mhc_ii": binding(spark, piece)}, how, immunogenicity=scores, coverage=coverage, report=path, protein_scores=run.provider(lambda xs: [0.7] * len(xs)))
+    assert {r.sequence for r in out["not_immunogenic"].collect()} == {weak} and weak not in {r.sequence for r in out["epitopes"].collect()}
+    assert [(r.score, r.antigenic) for r in out["antigenicity"].collect()] == [(0.7, True)] * 2
+    final = out["final"].collect()
+    assert [(r.rank, r.sequence, r.world_coverage_percent) for r in final] == [(1, piece, 45.25)]
+    left = out["attrition"].first()
+    assert (left.protein, left.n_strains, left.n_b_cell, left.n_t_cell, left.n_final) == ("Spike", 2, 2, 2, 1)
+    said = open(path).read()
+    assert f"| 1 | {final[0].consensus_id} | Spike | {piece} |" in said and "45.25% |" in said and "- **Spike**: 91.5%" in said and "| Spike | 2 | 2 | 2 |" in said
+    failing = run.Settings({}, length=12, antigenicity=0.8, drop_failing_proteins=True)
+    with pytest.raises(ValueError, match="below the antigenicity"):
+        run.candidate_run(records, {}, {}, failing, protein_scores=run.provider(lambda xs: [0.7] * len(xs)))
