@@ -7,7 +7,11 @@ than a share of its characters is rejected, as are those that fail the base rule
 
 Defined results. Null or empty text: no words, base_failed. A null host is a host
 of its own; a null doc_id does not count as a document. Equal rows get equal
-results and are counted once.
+results and are counted once. Lines and texts are told apart by two hashes of 64 bits with
+different seeds. Texts of any length are read whole; as arrays of their words and lines they
+take several times their size in one task. An empty table gives an empty one. Lines that are equally
+frequent share their fate. Columns of docs named as those that an operator adds are replaced; names that
+begin with __ are the operator's own.
 """
 
 from __future__ import annotations
@@ -66,7 +70,7 @@ def _slim(docs: DataFrame, host: str) -> tuple[Column, Column, Column]:
 
 
 def _uid(text: Column) -> tuple[Column, Column]:
-    return F.xxhash64(text), F.xxhash64(text, F.lit(7))
+    return F.xxhash64(text), F.xxhash64(F.lit(7), text)
 
 
 def frequent_lines(docs: DataFrame, host: str, limit_docs: int, limit_percent: int) -> DataFrame:
@@ -75,7 +79,7 @@ def frequent_lines(docs: DataFrame, host: str, limit_docs: int, limit_percent: i
     uid = [c.alias(n) for c, n in zip(_uid(F.col("text")), ("t1", "t2"), strict=True)]
     key = ["doc_id", "host", "t1", "t2"]
     normal = lambda x: F.regexp_replace(F.lower(_bare(x)), "[0-9]+", "0")
-    hashed = lambda df, *keep: df.select(*keep, F.xxhash64("line").alias("h1"), F.xxhash64("line", F.lit(7)).alias("h2"))
+    hashed = lambda df, *keep: df.select(*keep, F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(7), "line").alias("h2"))
     distinct = d.select("doc_id", "host", F.explode(F.array_distinct(F.split("text", "\n"))).alias("line")).select("doc_id", "host", normal(F.col("line")).alias("line")).where("line != ''")
     hosts = d.groupBy("host").agg(F.count_distinct("doc_id").alias("n_host"))
     counted = hashed(distinct, "doc_id", "host").groupBy("host", "h1", "h2").agg(F.count_distinct("doc_id").alias("n")).where(F.col("n") >= limit_docs)

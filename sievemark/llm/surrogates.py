@@ -12,8 +12,10 @@ a title; every other place of the text that has one of the words so found, with
 capital, is a mention as well. Whether a word is a given name, and of which gender,
 is what the titles before it say all over the corpus, found by grouped aggregation:
 the last word after a title is a family name, one with others behind it a given one;
-titles of both genders, or none but neutral ones, leave the gender open. A name in
-a text without any title stays.
+titles of both genders, or none but neutral ones, leave the gender open. After a title,
+in any case, a name has as many words with a capital as follow, of any script that has
+capitals, with particles such as "van" between them; particles stay. So in a line of capitals all
+words after a title are a name's. A name in a text without any title stays.
 
 Collisions are looked for among all distinct entities by grouped aggregation: where
 two entities share a surrogate, or a surrogate is itself an entity of the corpus, all
@@ -37,6 +39,7 @@ import re
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -57,14 +60,20 @@ _TITLES = {
 }
 _SYLLABLES = {
     "latin": ("ba", "be", "bo", "da", "de", "do", "fa", "fe", "ga", "go", "ha", "ka", "ke", "la", "le", "li", "lo", "ma", "me", "mi", "mo", "na", "ne", "ni", "no", "pa", "ra", "re", "ri", "ro", "sa", "ta"),
+    "greek": ("βα", "βε", "γα", "γε", "δα", "δε", "δο", "ζα", "ζε", "θα", "θε", "κα", "κε", "κο", "λα", "λε", "λι", "λο", "μα", "με", "μι", "μο", "να", "νε", "νι", "νο", "πα", "ρα", "ρε", "σα", "σε", "τα"),
     "cyrillic": ("ба", "бе", "бо", "ва", "ве", "га", "да", "де", "до", "за", "ка", "ко", "ла", "ле", "ли", "ло", "ма", "ме", "ми", "мо", "на", "не", "ни", "но", "па", "ра", "ре", "ри", "ро", "са", "се", "та"),
 }
-_ENDINGS = {("latin", "female"): ("a", "ia", "ine"), ("latin", "male"): ("n", "r", "s"), ("latin", "any"): ("l", "m", "th"), ("cyrillic", "female"): ("ва", "на", "я"), ("cyrillic", "male"): ("в", "н", "р"), ("cyrillic", "any"): ("к", "ль", "м")}
+_ENDINGS = {("latin", "female"): ("a", "ia", "ine"), ("latin", "male"): ("n", "r", "s"), ("latin", "any"): ("l", "m", "th"), ("greek", "female"): ("α", "η", "ια"), ("greek", "male"): ("ος", "ης", "ας"), ("greek", "any"): ("ω", "ι", "υ"), ("cyrillic", "female"): ("ва", "на", "я"), ("cyrillic", "male"): ("в", "н", "р"), ("cyrillic", "any"): ("к", "ль", "м")}
 
 _TITLE = "|".join(sorted((re.escape(t) for ts in _TITLES.values() for t in ts), key=len, reverse=True))
-_GENDER = {t: g for g, ts in _TITLES.items() for t in ts}
+_GENDER = {t.lower(): g for g, ts in _TITLES.items() for t in ts}
+# Words inside names that begin with no capital.
+_PARTICLES = ("van", "von", "de", "den", "der", "del", "della", "di", "da", "dos", "du", "la", "le", "el", "al", "bin", "ibn", "ten", "ter", "zu", "zum", "zur", "af", "av")
+_WORD = r"\p{Lu}[\w'’-]*"
+_GAP = r"[ \u00a0]"
+_MORE = rf"{_GAP}(?:(?:{'|'.join(_PARTICLES)}){_GAP}){{0,3}}(?!(?i:{_TITLE})\b){_WORD}"
 #: In order of precedence.
-TYPES: dict[str, re.Pattern[str]] = {
+TYPES: dict[str, re.Pattern[str] | regex.Pattern[str]] = {
     "email": re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"),
     "access_key": re.compile(r"\b(?:AKIA|ASIA)[0-9A-Z]{16}\b|\b(?:ghp|gho|ghs)_[A-Za-z0-9]{36}\b"),
     "secret": re.compile(r"(?<![0-9A-Za-z])(?:[0-9a-f]{64}|[0-9a-f]{40}|[0-9a-f]{32})(?![0-9A-Za-z])"),
@@ -73,15 +82,15 @@ TYPES: dict[str, re.Pattern[str]] = {
     "ip": re.compile(r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d]|\.\d)"),
     "ssn": re.compile(r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"),
     "phone": re.compile(r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?\(?\d{3}\)?[ .-]?\d{3}[ .-]\d{4}(?!\d)|(?<![\w+])\+\d{1,3}(?:[ .-]?\d{2,4}){3,5}(?!\d)"),
-    "name": re.compile(rf"(?<!\w)(?P<title>{_TITLE})\.?[  ]+(?P<name>[A-ZÀ-ÖØ-ÞА-ЯЁ][\w'’-]*(?:[  ][A-ZÀ-ÖØ-ÞА-ЯЁ][\w'’-]*){{0,2}})"),
+    "name": regex.compile(rf"(?<!\w)(?P<title>(?i:{_TITLE}))\.?{_GAP}+(?P<name>{_WORD}(?:{_MORE})*)"),
 }
 _NEEDS_DIGIT = ("secret", "iban", "card", "ip", "ssn", "phone")
 _DIGIT = re.compile(r"\d\D{0,2}\d\D{0,2}\d|\d\.\d")
-_ANY_TITLE = re.compile(rf"(?<!\w)(?:{_TITLE})\b")
+_ANY_TITLE = re.compile(rf"(?<!\w)(?:{_TITLE})\b", re.IGNORECASE)
 
 
 #: A word that may be a name's.
-_CAPITAL = re.compile(r"(?<![\w@])[A-ZÀ-ÖØ-ÞА-ЯЁ][\w'’-]*")
+_CAPITAL = regex.compile(rf"(?<![\w@]){_WORD}")
 
 
 def entities(text: str) -> list[tuple[int, int, str, str]]:
@@ -115,11 +124,11 @@ def mentions(text: str) -> list[tuple[int, int, str, str, str]]:
             if kind != "name":
                 found.append((a, b, kind, canonical(kind, text[a:b]), ""))
                 continue
-            words = list(re.finditer(r"\S+", text[a:b]))
+            words = [w for w in re.finditer(r"\S+", text[a:b]) if w[0][0].isupper()]
             for i, w in enumerate(words):
                 form = canonical(kind, w[0])
                 known.add(form)
-                found.append((a + w.start(), a + w.end(), kind, form, _GENDER[m["title"]] if i + 1 < len(words) else ""))
+                found.append((a + w.start(), a + w.end(), kind, form, _GENDER[m["title"].lower()] if i + 1 < len(words) else ""))
         if known:
             for m in _CAPITAL.finditer(text):
                 said = m[0].rstrip("'’-")
@@ -136,7 +145,8 @@ def canonical(kind: str, said: str) -> str:
     if kind == "ip":
         return ".".join(str(int(x)) for x in said.split("."))
     if kind == "name":
-        return ("cyrillic " if re.search("[А-яЁё]", said) else "latin ") + said.rstrip("'’-").lower()
+        script = "cyrillic" if re.search("[\u0400-\u04ff]", said) else "greek" if re.search("[\u0370-\u03ff\u1f00-\u1fff]", said) else "latin"
+        return f"{script} " + said.rstrip("'’-").lower()
     return re.sub(r"[^0-9A-Za-z]", "", said) if kind != "access_key" else said
 
 
