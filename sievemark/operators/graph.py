@@ -46,6 +46,11 @@ def written(df: DataFrame, most_files: int | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame, *by: str) -> DataFrame:
+    """df dealt over all shuffle partitions: for few bytes with much work for each, which adaptive execution would put into one task."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *by)
+
+
 def _read_bytes(df: DataFrame) -> int:
     """What the tables that df comes from have, as Spark reckons; at least their files."""
     leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()

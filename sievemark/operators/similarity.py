@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sievemark.functions import sequences as fs
+from sievemark.operators.graph import spread
 
 #: Sequences up to this length meet by seeds; longer ones, whose offsets are many, by bands of lengths.
 SEEDED = 64
@@ -30,8 +31,8 @@ SEEDED = 64
 HEAD = 8
 #: Rows of seeds that leave a task at a time.
 ROWS = 1 << 17
-#: Kinds of letters, and sequences of one length, that the choice of seeds reckons with.
-LETTERS, OTHERS = 16, 1e5
+#: Kinds of letters that the choice of seeds reckons with, and what it costs to compare a pair, in rows of seeds.
+LETTERS, COMPARED = 16, 10
 
 _rng = np.random.Generator(np.random.PCG64(20260727))
 _PLACE = _rng.integers(1, 2**63, SEEDED + 1, dtype=np.uint64) | np.uint64(1)
@@ -44,8 +45,11 @@ def needed(longer: int, least: float) -> int:
 
 
 @functools.cache
-def seeds(shorter: int, longer: int, least: float) -> list[tuple[int, ...]]:
-    """The places (from 0, in the shorter sequence) of every seed of a pair of these lengths; none if it cannot reach the threshold."""
+def seeds(shorter: int, longer: int, least: float, others: float = 1e5) -> list[tuple[int, ...]]:
+    """The places (from 0, in the shorter sequence) of every seed of a pair of these lengths; none if it cannot reach the threshold.
+
+    others: the rows of seeds that it is worth to save comparing a sequence with all of a length. The more there are, the more letters a seed has.
+    """
     differ = shorter - needed(longer, least)
     if differ < 0:
         return []
@@ -56,7 +60,7 @@ def seeds(shorter: int, longer: int, least: float) -> list[tuple[int, ...]]:
             if own + r > size:
                 continue
             n = blocks * math.comb(own + r, r)
-            cost = n * (1 + OTHERS * float(LETTERS) ** (-r * size / (own + r)))
+            cost = n * (1 + others * float(LETTERS) ** (-r * size / (own + r)))
             if best is None or cost < best[0]:
                 best = cost, blocks, r
     _, blocks, r = best
@@ -85,7 +89,7 @@ def _hash(letters: np.ndarray, places: tuple[int, ...], offset: int, salt: np.ui
     return (h ^ (h >> np.uint64(29))).view(np.int64)
 
 
-def _seeded(rows: DataFrame, least: float, as_longer: bool, heads: list[int]) -> DataFrame:
+def _seeded(rows: DataFrame, least: float, as_longer: bool, heads: list[int], others: float) -> DataFrame:
     """(key, ord, alike): the seeds of rows (ord, sequence) as the shorter or as the longer of a pair; alike: of a pair of one length."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -119,7 +123,7 @@ def _seeded(rows: DataFrame, least: float, as_longer: bool, heads: list[int]) ->
                 for o in range(n - k + 1):
                     yield _hash(letters, tuple(range(k)), o, _salt(k)), False
             for shorter in range(needed(n, least), min(n, SEEDED) + 1) if n <= SEEDED else ():
-                for i, places in enumerate(seeds(shorter, n, least)):
+                for i, places in enumerate(seeds(shorter, n, least, others)):
                     for o in range(n - shorter + 1):
                         yield _hash(letters, places, o, _salt(shorter, n, i)), shorter == n
         else:
@@ -128,7 +132,7 @@ def _seeded(rows: DataFrame, least: float, as_longer: bool, heads: list[int]) ->
             for longer in range(n, SEEDED + 1):
                 if needed(longer, least) > n:
                     break
-                for i, places in enumerate(seeds(n, longer, least)):
+                for i, places in enumerate(seeds(n, longer, least, others)):
                     yield _hash(letters, places, 0, _salt(n, longer, i)), n == longer
 
     return rows.mapInArrow(emit, "key long, ord long, alike boolean")
@@ -136,13 +140,14 @@ def _seeded(rows: DataFrame, least: float, as_longer: bool, heads: list[int]) ->
 
 def candidate_pairs(rows: DataFrame, least: float) -> DataFrame:
     """(a, b), a < b: pairs of rows (ord, sequence) that have a seed in common, or lie in one band if one is longer than SEEDED."""
-    rows = rows.select(F.col("ord").cast("long").alias("ord"), "sequence").where("sequence <> ''")
-    heads = sorted(r[0] for r in rows.select(F.least(F.length("sequence"), F.lit(HEAD))).distinct().collect())  # HEAD values at most
-    short = _seeded(rows, least, False, heads).select("key", F.col("ord").alias("a"), "alike")
-    long = _seeded(rows, least, True, heads).select("key", F.col("ord").alias("b"))
-    met = short.join(long, "key").where("if(alike, a < b, a <> b)").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    rows = spread(rows.select(F.col("ord").cast("long").alias("ord"), "sequence").where("sequence <> ''"), "ord")
     n = F.length("sequence")
-    most = rows.agg(F.max(n)).first()[0] or 0
+    count, lengths, most, heads = rows.agg(F.count("*"), F.count_distinct(F.least(n, F.lit(SEEDED))), F.max(n), F.collect_set(F.least(n, F.lit(HEAD)))).first()  # HEAD values at most
+    heads, most, others = sorted(heads), most or 0, COMPARED * count / max(lengths, 1)
+    short = _seeded(rows, least, False, heads, others).select("key", F.col("ord").alias("a"), "alike")
+    long = _seeded(rows, least, True, heads, others).select("key", F.col("ord").alias("b"))
+    # Both sides are shuffled: of seeds Spark knows the sequences' size only, and would send them to every task.
+    met = short.hint("merge").join(long, "key").where("if(alike, a < b, a <> b)").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     if most > SEEDED:
         reach = F.floor(n / (max(least, 1.0) / 100)).cast("int")
         left = rows.where(reach > SEEDED).select(F.col("ord").alias("a"), n.alias("n"), F.explode(F.sequence(F.greatest(n, F.lit(SEEDED + 1)), F.greatest(reach, F.lit(SEEDED + 1)))).alias("m"))
