@@ -39,11 +39,17 @@ def window_hashes(c: np.ndarray, size: int) -> np.ndarray:
     if len(c) < size:
         return np.zeros(0, np.uint64)
     total = np.zeros(len(c) + 1, np.uint64)
-    mixed = (c.astype(np.uint64) + np.uint64(1)) * np.uint64(0xBF58476D1CE4E5B9)
-    np.cumsum((mixed ^ (mixed >> np.uint64(33))) * _POWERS[: len(c)], out=total[1:])
-    h = (total[size:] - total[:-size]) * _INVERSE[: len(c) - size + 1]
-    h ^= h >> np.uint64(32)
-    return h * np.uint64(0x94D049BB133111EB)
+    np.cumsum(_mixed(c) * _POWERS[: len(c)], out=total[1:])
+    return _spread((total[size:] - total[:-size]) * _INVERSE[: len(c) - size + 1])
+
+
+def _mixed(c: np.ndarray) -> np.ndarray:
+    m = (c.astype(np.uint64) + np.uint64(1)) * np.uint64(0xBF58476D1CE4E5B9)
+    return m ^ (m >> np.uint64(33))
+
+
+def _spread(h: np.ndarray) -> np.ndarray:
+    return (h ^ (h >> np.uint64(32))) * np.uint64(0x94D049BB133111EB)
 
 
 class _Known:
@@ -54,7 +60,7 @@ class _Known:
         if size > PIECE // 2:
             raise ValueError(f"patterns have at most {PIECE // 2} characters")
         c = letters("".join(patterns)).reshape(len(patterns), size)
-        self.hashes = np.unique(np.concatenate([window_hashes(row, size) for row in c]))
+        self.hashes = np.unique(np.concatenate([_spread(_mixed(c[a : a + 4096]) @ _POWERS[:size]) for a in range(0, len(c), 4096)]))
         self.shift = np.uint64(64 - max(16, (16 * len(self.hashes)).bit_length()))
         self.bits = np.zeros(1 << (64 - int(self.shift)), bool)
         self.bits[(self.hashes >> self.shift).astype(np.int64)] = True
