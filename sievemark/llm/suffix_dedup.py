@@ -244,7 +244,8 @@ def remove_repeats(docs: DataFrame, length: int = 200, **how) -> DataFrame:
     """docs with kept (the remaining bytes), n_bytes, n_removed and n_spans (maximal removed runs)."""
     docs = without(docs, ["kept", "n_bytes", "n_removed", "n_spans"])
     names = docs.columns
-    spans = repeated_spans(docs, length, **how).select(F.col("uid").alias("__uid"), "spans")
+    # Written, so that both sides of the join are plain shuffles: the copies of one text, and null texts, may then be split over tasks.
+    spans = checkpointed(repeated_spans(docs, length, **how).select(F.col("uid").alias("__uid"), "spans"))
     joined = docs.join(spans, F.unhex(F.md5("text")) == F.col("__uid"), "left").select(*names, F.col("spans").alias("__spans"))
     schema = docs.select("*", F.lit(b"").alias("kept"), *(F.lit(0).cast("long").alias(x) for x in ("n_bytes", "n_removed", "n_spans"))).schema
 
