@@ -1,9 +1,11 @@
 """Seeded pairs, forests, patterns and placements against brute force."""
 
 import itertools
+import time
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from sievemark.operators import clustering as cl
 from sievemark.operators import graph, matching, patterns, placements, similarity
@@ -195,3 +197,39 @@ def test_totals_and_reasons(spark):
     rows = spark.createDataFrame([(90, "ACX", False, "consensus contains X"), (90, "AC", True, ""), (90, "AD", False, "a < 1; b < 2"), (50, "AE", False, "b < 2"), (50, "Ax", False, "consensus contains X; b < 2")], "threshold int, consensus string, passes boolean, reason string")
     assert {tuple(r) for r in cl.sweep_totals(rows).collect()} == {(90, 3, 1, 2, 1), (50, 2, 1, 1, 0), (None, 5, 2, 3, 1)}
     assert [tuple(r) for r in cl.rejection_reasons(rows).orderBy("threshold", "place").collect()] == [(50, "b < 2", 2, 1), (50, "consensus contains X", 1, 2), (90, "a < 1", 1, 1), (90, "b < 2", 1, 2), (90, "consensus contains X", 1, 3)]
+
+
+@pytest.mark.parametrize("sizes", [{}, {"PASS_BYTES": 400}, {"CELLS": 50, "LETTERS_BYTES": 1, "STEP": 4, "RUN": 1, "LABELS": 100}])
+def test_placements_of_either_side(spark, sizes, monkeypatch):
+    """Queries or texts in the tasks, of one letter to more than a byte counts, with common beginnings: the same places."""
+    for name, value in sizes.items():
+        monkeypatch.setattr(placements, name, value)
+    texts = [*peptides(40, 1, 40, 31, "ACDE"), "A" * 700, "ACDE" * 90, ""]
+    for queries in (peptides(30, 1, 25, 32, "ACDE") + ["A" * 300, "A" * 20 + "C", "A" * 20 + "D"], ["ACDA"]):
+        q = spark.createDataFrame(list(enumerate(queries)), "query_id int, sequence string")
+        t = spark.createDataFrame([(i, i, x) for i, x in enumerate(texts)], "ref_id int, ref_ord int, text string").repartition(2)
+        best = {i: max((matches(s, x), -o) for o, x in enumerate(texts)) for i, s in enumerate(queries)}
+        found = {r.query_id: (r.matches, -r.ref_id) for r in placements.best_texts(q, t).collect()}
+        assert found == {i: b for i, b in best.items() if b[0]}
+        share = lambda s, x: sum(a == b for a, b in zip(s, x)) / len(s) if len(x) < len(s) else matches(s, x) / len(s)
+        rows = matching.conservancy(q, t.select(F.lit("s").alias("strain"), F.col("ref_id").alias("label"), "text"), 0.5).collect()
+        assert {r.query_id: (r.min_identity, r.max_identity, r.matched) for r in rows} == {i: (min(p), max(p), [o for o, v in enumerate(p) if v >= 0.5]) for i, p in ((i, [share(s, x) for x in texts]) for i, s in enumerate(queries))}
+
+
+def test_identity_of_many_with_many(spark):
+    """Some seconds, even where all texts are in one partition; one by one it took a minute."""
+    texts = sorted(set(peptides(3000, 11, 17, 41)))
+    q = spark.createDataFrame(list(enumerate(texts)), "query_id int, sequence string")
+    t = spark.createDataFrame([(i, i, x[3:] + "W" + x[:6]) for i, x in enumerate(texts)], "ref_id int, ref_ord int, text string").coalesce(1)
+    start = time.perf_counter()
+    assert matching.best_identity(q, t).count() == len(texts)
+    assert time.perf_counter() - start < 25
+
+
+def test_labels_are_not_shuffled(spark):
+    """Where all targets go in one pass, a query's labels are whole when they leave the task."""
+    q = spark.createDataFrame([(1, "ACDE"), (2, "CDEF")], "query_id int, sequence string")
+    t = spark.createDataFrame([("s", "a", "ACDEF"), ("s", "b", "CDEFA")], "strain string, label string, text string")
+    found = matching.conservancy(q, t, 0.5)
+    assert "collect_list" not in found._jdf.queryExecution().toString()
+    assert {(r.query_id, tuple(r.matched)) for r in found.collect()} == {(1, ("a",)), (2, ("a", "b"))}
