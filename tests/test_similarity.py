@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from sievemark.functions import sequences as fs
 from sievemark.operators import clustering as cl
 from sievemark.operators import graph, matching, patterns, placements, similarity
 
@@ -233,3 +234,17 @@ def test_labels_are_not_shuffled(spark):
     found = matching.conservancy(q, t, 0.5)
     assert "collect_list" not in found._jdf.queryExecution().toString()
     assert {(r.query_id, tuple(r.matched)) for r in found.collect()} == {(1, ("a",)), (2, ("a", "b"))}
+
+
+def test_members_are_placed_once(spark):
+    """Spans, votes and alignment read what was placed, as the expressions of a row have it."""
+    texts = [*peptides(60, 1, 20, 51, "ACDEä"), "𝒜CD" * 7]
+    members = spark.createDataFrame([(i % 7, i, s) for i, s in enumerate(texts)], "k int, ord int, sequence string")
+    _, aligned = cl.consensus(members, ["k"])
+    assert "anchor" not in aligned._jdf.queryExecution().optimizedPlan().toString()
+    rows = spark.createDataFrame([(a, b) for a in texts for b in texts[::5]], "sequence string, anchor string")
+    found = similarity.with_offset(rows).withColumn("expected", fs.best_offset("sequence", "anchor"))
+    assert found.where("offset <> expected or expected is null").count() == 0
+    both = rows.select(F.lit(1).cast("long").alias("a"), F.lit(2).cast("long").alias("b"), F.col("sequence").alias("sa"), F.col("anchor").alias("sb"))
+    compared = both.mapInArrow(similarity._compared(30.0), "a long, b long, identity double").groupBy("identity").count().collect()
+    assert set(compared) == set(both.select(fs.percent_identity("sa", "sb").alias("identity")).where("identity >= 30").groupBy("identity").count().collect())
