@@ -190,3 +190,17 @@ def test_reports(spark, tmp_path):
     assert "left after all stages: **1**" in text and "Called allergens" in text and "66.67%" in text and "A:66.67%\\|B:100%" in text and "- **P**: 80%" in text
     tools.final_report(spark, final.limit(0), attrition, str(tmp_path / "e"))
     assert "No candidate is left" in "\n".join(r.value for r in spark.read.text(str(tmp_path / "e")).collect())
+
+
+def test_markdown_of_a_large_table(spark, tmp_path, monkeypatch):
+    """Tasks write the lines; none of the table is collected. The query's table is one that grows."""
+    from sievemark.plans import catalog, q_tools  # noqa: F401
+
+    monkeypatch.setattr(tools, "markdown_table", lambda df: pytest.fail("collected"))
+    rows = spark.range(5000).select((4999 - F.col("id")).alias("n"), F.lit("a|b").alias("name"), (F.col("id") * 0.5).alias("share")).repartition(6)
+    tools.sink_markdown_table(rows, ["n"], str(tmp_path / "t"), "Title")
+    lines = (tmp_path / "t").read_text().split("\n")
+    assert lines[:6] == ["# Title", "", "| n | name | share |", "| ---: | --- | ---: |", "| 0 | a\\|b | 2499.5 |", "| 1 | a\\|b | 2499 |"]
+    assert len(lines) == 5005 and lines[-2] == "| 4999 | a\\|b | 0 |"
+    found = catalog.QUERIES["sink_markdown"](spark, "/root/testdata/sf0.01")
+    assert found.count() == 4 + spark.read.parquet("/root/testdata/sf0.01/supplier.parquet").count()
