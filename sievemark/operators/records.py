@@ -135,6 +135,8 @@ def members_annotated(members: DataFrame, epitopes: DataFrame) -> DataFrame:
     own = F.struct("source_tool", "epitope_class")
     by_id = epitopes.groupBy(F.col("epitope_id").alias("description")).agg(F.max_by(own, "ord").alias("by_id"))
     by_sequence = epitopes.where("sequence <> ''").groupBy("sequence").agg(F.min_by(own, "ord").alias("by_sequence"), F.array_sort(F.array_distinct(F.filter(F.flatten(F.collect_set(F.split(F.coalesce("strains", F.lit("")), r"\|"))), lambda x: x != ""))).alias("strains"))
+    # Many members have one description or sequence: written, so that both sides of a join are plain shuffles, whose partitions can be split.
+    by_id, by_sequence = written(by_id), written(by_sequence)
     tool = F.regexp_extract(F.trim("description"), fs.EPITOPE_ID, 3)
     said = F.lit(None).cast("struct<source_tool:string,epitope_class:string>")
     for name, (_, token, kind) in TOOLS.items():
