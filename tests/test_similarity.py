@@ -67,6 +67,25 @@ def test_every_seed_choice_is_necessary_and_sufficient():
                         assert any(bad.isdisjoint(p) for p in found)
 
 
+def test_only_similar_pairs_leave_a_seed(spark):
+    """What shares a seed by chance, hundreds of times what is alike at 50 %, is neither shuffled nor joined."""
+    texts = sorted(set(peptides(2000, 12, 17, 8)))
+    rows = spark.createDataFrame(list(enumerate(texts)), "ord long, sequence string")
+    met, alike = similarity.candidate_pairs(rows, 50).count(), similarity.similar_pairs(rows, 50).count()
+    # Equal first letters alone are not compared there.
+    assert 200 < alike <= met < 1.5 * alike, (met, alike)
+
+
+def test_large_groups_of_a_seed(spark):
+    """Groups beyond the limit are compared in blocks, with the same pairs; each of these has seeds in common with all others."""
+    texts = sorted(set(peptides(150, 8, 14, 4, "AC")))
+    rows = spark.createDataFrame(list(enumerate(texts)), "ord long, sequence string")
+    whole = {tuple(r) for r in similarity.candidate_pairs(rows, 70).collect()}
+    expected = {(i, j) for (i, a), (j, b) in itertools.combinations(enumerate(texts), 2) if identity(a, b) >= 70}
+    assert expected <= whole and len(expected) > 100
+    assert {tuple(r) for r in similarity.candidate_pairs(rows, 70, group=20).collect()} == whole
+
+
 def test_no_pairs_of_nothing(spark):
     empty = spark.createDataFrame([], "ord long, sequence string")
     assert similarity.similar_pairs(empty, 50).count() == 0
