@@ -52,6 +52,7 @@ _PAD = VOCABULARY
 _SHAPES = {"e": (VOCABULARY + 1, EMBEDDING), "w": (2 * WIDTH * EMBEDDING, HIDDEN), "b": (HIDDEN,), "c": (HIDDEN + 1, CLASSES), "v": (CLASSES, HIDDEN + 1, CLASSES)}
 #: exp() of float32 logits up to this is summed without taking the row's most off.
 _SAFE = 60.0
+_SAFE_SUM = float(np.exp(_SAFE))
 _ONES = np.ones(CLASSES, np.float32)
 Weights = dict[str, np.ndarray]
 
@@ -239,11 +240,17 @@ def log_probability(w: Weights, around: np.ndarray, place: np.ndarray) -> np.nda
 
 
 def _error(x: np.ndarray, own: np.ndarray) -> np.ndarray:
-    """Of logits, in place: the probabilities less 1 at the right place."""
-    np.exp(np.minimum(x, _SAFE, out=x), out=x)
-    x *= (1 / (x @ _ONES))[:, None]
-    x[np.arange(len(x)), own] -= 1
-    return x
+    """Of logits: the probabilities less 1 at the right place."""
+    with np.errstate(over="ignore"):
+        p = np.exp(x)
+        total = p @ _ONES
+    if not total.max(initial=0) < _SAFE_SUM:
+        # Only then some logit may be larger than what is summed safely.
+        np.exp(np.minimum(x, _SAFE, out=x), out=p)
+        total = p @ _ONES
+    p *= (1 / total)[:, None]
+    p[np.arange(len(p)), own] -= 1
+    return p
 
 
 def train_batch(w: Weights, sums: Weights, around: np.ndarray, place: np.ndarray) -> None:

@@ -35,3 +35,19 @@ def test_copies_of_one_text_are_split(spark):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     assert got == expected
     assert "skew=true" in plan
+
+
+def test_logits_are_held_down_only_where_they_are_large():
+    from sievemark.llm import pseudo_likelihood as pl
+
+    rng = np.random.default_rng(5)
+    own = rng.integers(0, pl.CLASSES, 50)
+    for scale in (1, 100, 1e4):
+        x = (rng.standard_normal((50, pl.CLASSES)) * scale).astype(np.float32)
+        p = np.exp(np.minimum(x, np.float32(60)))
+        p *= (1 / (p @ pl._ONES))[:, None]
+        p[np.arange(50), own] -= 1
+        before = x.copy()
+        assert np.array_equal(pl._error(x, own), p)
+        assert scale > 1 or np.array_equal(x, before)
+    assert pl._error(np.zeros((0, pl.CLASSES), np.float32), np.zeros(0, np.int64)).shape == (0, pl.CLASSES)
