@@ -1,6 +1,7 @@
 """Seeded pairs, forests, patterns and placements against brute force."""
 
 import itertools
+import random
 import time
 
 import numpy as np
@@ -267,3 +268,29 @@ def test_members_are_placed_once(spark):
     both = rows.select(F.lit(1).cast("long").alias("a"), F.lit(2).cast("long").alias("b"), F.col("sequence").alias("sa"), F.col("anchor").alias("sb"))
     compared = both.mapInArrow(similarity._compared(30.0), "a long, b long, identity double").groupBy("identity").count().collect()
     assert set(compared) == set(both.select(fs.percent_identity("sa", "sb").alias("identity")).where("identity >= 30").groupBy("identity").count().collect())
+
+
+@pytest.mark.parametrize("few", [0, 5, graph.FEW_LINKS])
+def test_forest_cut_at_levels(spark, few):
+    rng = random.Random(3)
+    links = [(a, b, float(rng.choice([50, 55, 60, 70, 75, 90, 95]))) for a, b in zip(range(60), range(1, 61), strict=True) if a % 7] + [(100, 5, 80.0)]
+    found = {(r.level, r.node): r.root for r in graph.cut(spark.createDataFrame(links, "a long, b long, weight double").repartition(3), [90, 70, 50], few=few).collect()}
+    for level in (90, 70, 50):
+        root = {n: n for a, b, _ in links for n in (a, b)}
+        for _ in root:
+            for a, b, w in links:
+                if w >= level:
+                    root[a] = root[b] = min(root[a], root[b])
+        for node, least in root.items():
+            assert found.get((level, node), node) == least
+    assert graph.cut(spark.createDataFrame([], "a long, b long, weight double"), [90, 50], few=few).count() == 0
+
+
+def test_forest_ends_in_one_task_once_few_links_are_left(spark, monkeypatch):
+    """400 nodes on a circle and 400 chords: the first round leaves fewer links between components than one task may have."""
+    rng = random.Random(4)
+    links = [(i, (i + 1) % 400, float(rng.randrange(10_000))) for i in range(400)] + [(*sorted(rng.sample(range(400), 2)), float(rng.randrange(10_000))) for _ in range(400)]
+    rounds, joined = [], graph.connected_components
+    monkeypatch.setattr(graph, "connected_components", lambda *x, **how: rounds.append(1) or joined(*x, **how))
+    forest = graph.spanning_forest(spark.createDataFrame(links, "a long, b long, weight double").repartition(4), few=600).collect()
+    assert len(forest) == 399 and len(rounds) == 1
