@@ -50,6 +50,8 @@ LEAST_BATCH, BATCH, RATE = 256, 2048, 0.08
 _PAD = VOCABULARY
 #: Embeddings, hidden layer and its bias, classes, and words of each class; the last row of these two is their bias.
 _SHAPES = {"e": (VOCABULARY + 1, EMBEDDING), "w": (2 * WIDTH * EMBEDDING, HIDDEN), "b": (HIDDEN,), "c": (HIDDEN + 1, CLASSES), "v": (CLASSES, HIDDEN + 1, CLASSES)}
+#: Where each place's embedding stands among the numbers of all.
+_SPOTS = np.arange((VOCABULARY + 1) * EMBEDDING).reshape(-1, EMBEDDING)
 #: exp() of float32 logits up to this is summed without taking the row's most off.
 _SAFE = 60.0
 _SAFE_SUM = float(np.exp(_SAFE))
@@ -193,14 +195,16 @@ def _around(place: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return out
 
 
-def _hidden(w: Weights, around: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """What stands around each word, and the hidden layer with a 1 behind it."""
+def _hidden(w: Weights, around: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """What stands around each word, the hidden layer, and the same with a 1 behind it."""
     x = np.take(w["e"], around, axis=0).reshape(len(around), -1)
     own = x @ w["w"]
     own += w["b"]
-    h = np.ones((len(around), HIDDEN + 1), np.float32)
-    h[:, :-1] = np.tanh(own, out=own)
-    return x, h
+    np.tanh(own, out=own)
+    h = np.empty((len(around), HIDDEN + 1), np.float32)
+    h[:, :-1] = own
+    h[:, -1] = 1
+    return x, own, h
 
 
 def _by_class(place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[int]]:
@@ -228,7 +232,7 @@ def log_probability(w: Weights, around: np.ndarray, place: np.ndarray) -> np.nda
     for lo in range(0, len(place), 2 * BATCH):
         order, cls, word, cuts = _by_class(place[lo : lo + 2 * BATCH])
         n = np.arange(len(order))
-        _, h = _hidden(w, around[lo : lo + 2 * BATCH][order])
+        *_, h = _hidden(w, around[lo : lo + 2 * BATCH][order])
         p = np.zeros(len(order))
         for x, own in ((h @ w["c"], cls), (_word_logits(w, h, cuts), word)):
             if not safe:
@@ -257,25 +261,25 @@ def train_batch(w: Weights, sums: Weights, around: np.ndarray, place: np.ndarray
     """One step of stochastic gradient descent with adaptive rates, in place."""
     order, cls, word, cuts = _by_class(place)
     around = around[order]
-    x, h = _hidden(w, around)
+    x, own, h = _hidden(w, around)
     dc = _error(h @ w["c"], cls)
     dv = _error(_word_logits(w, h, cuts), word)
-    dh = dc @ w["c"].T
-    g = {"c": h.T @ dc, "v": np.zeros(_SHAPES["v"], np.float32)}
-    for c in range(CLASSES):
+    g = {"c": h.T @ dc, "v": np.empty(_SHAPES["v"], np.float32)}
+    dh = np.empty_like(own)
+    for c, (v, gv) in enumerate(zip(w["v"], g["v"], strict=True)):
         lo, hi = cuts[c], cuts[c + 1]
         if hi > lo:
-            own = dv[lo:hi]
-            dh[lo:hi] += own @ w["v"][c].T
-            np.matmul(h[lo:hi].T, own, out=g["v"][c])
-    h = h[:, :-1]
-    dh = dh[:, :-1] * (1 - h * h)
+            np.matmul(dv[lo:hi], v[:-1].T, out=dh[lo:hi])
+            np.matmul(h[lo:hi].T, dv[lo:hi], out=gv)
+        else:
+            gv.fill(0)
+    dh += dc @ w["c"][:-1].T
+    own *= own
+    dh *= np.subtract(1, own, out=own)
     g |= {"w": x.T @ dh, "b": dh.sum(axis=0)}
-    dx = (dh @ w["w"].T).reshape(-1, EMBEDDING)
-    by = np.argsort(around.ravel(), kind="stable")
-    seen = around.ravel()[by]
-    first = np.flatnonzero(np.diff(seen, prepend=np.int16(-1)))
-    used = seen[first]
+    # Embeddings are summed in one pass; those of words that stand around none get 0, which moves nothing.
+    g["e"] = np.zeros(_SHAPES["e"], np.float32)
+    np.add.at(g["e"].ravel(), np.take(_SPOTS, around.ravel(), axis=0).ravel(), (dh @ w["w"].T).ravel())
     for name, own in g.items():
         own /= len(place)
         rate = own * own
@@ -285,9 +289,6 @@ def train_batch(w: Weights, sums: Weights, around: np.ndarray, place: np.ndarray
         own /= rate
         own *= RATE
         w[name] -= own
-    own = np.add.reduceat(np.take(dx, by, axis=0), first, axis=0) / len(place)
-    sums["e"][used] += own * own
-    w["e"][used] -= RATE * own / (np.sqrt(sums["e"][used]) + 1e-6)
 
 
 def _written(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
