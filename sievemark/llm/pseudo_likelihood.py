@@ -47,11 +47,13 @@ FAN_IN = 16
 LISTED = 1 << 18
 #: Positions of one training step: few at first, more the more a task has seen.
 LEAST_BATCH, BATCH, RATE = 256, 2048, 0.08
+#: Classes whose rows a training step takes together, and numbers that it moves at a time.
+TOGETHER, STRIP = 32, 1 << 14
 _PAD = VOCABULARY
 #: Embeddings, hidden layer and its bias, classes, and words of each class; the last row of these two is their bias.
 _SHAPES = {"e": (VOCABULARY + 1, EMBEDDING), "w": (2 * WIDTH * EMBEDDING, HIDDEN), "b": (HIDDEN,), "c": (HIDDEN + 1, CLASSES), "v": (CLASSES, HIDDEN + 1, CLASSES)}
-#: Where each place's embedding stands among the numbers of all.
-_SPOTS = np.arange((VOCABULARY + 1) * EMBEDDING).reshape(-1, EMBEDDING)
+#: Where each place's embedding stands among the numbers of all, two of which are added up as one complex number.
+_SPOTS = np.arange((VOCABULARY + 1) * EMBEDDING // 2).reshape(-1, EMBEDDING // 2)
 #: exp() of float32 logits up to this is summed without taking the row's most off.
 _SAFE = 60.0
 _SAFE_SUM = float(np.exp(_SAFE))
@@ -195,15 +197,30 @@ def _around(place: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return out
 
 
-def _hidden(w: Weights, around: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """What stands around each word, the hidden layer, and the same with a 1 behind it."""
-    x = np.take(w["e"], around, axis=0).reshape(len(around), -1)
-    own = x @ w["w"]
+class _Room:
+    """What a task's steps write into again and again: arrays made anew for each would cost a page fault for every 4 KB of them."""
+
+    def __init__(self, rows: int):
+        self.rows = rows
+        self.x, self.dx = (np.empty((rows, 2 * WIDTH * EMBEDDING), np.float32) for _ in range(2))
+        self.own, self.dh = (np.empty((rows, HIDDEN), np.float32) for _ in range(2))
+        self.h = np.ones((rows, HIDDEN + 1), np.float32)
+        self.logits, self.p = (np.empty((rows, CLASSES), np.float32) for _ in range(2))
+        self.spots = np.empty((rows * 2 * WIDTH, EMBEDDING // 2), _SPOTS.dtype)
+        self.g = {k: np.empty(s, np.float32) for k, s in _SHAPES.items()}
+        self.rate = np.empty(STRIP, np.float32)
+
+
+def _hidden(w: Weights, around: np.ndarray, room: _Room) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """What stands around each word, the hidden layer, and the same with a 1 behind it; all in the room."""
+    n = len(around)
+    x, own, h = room.x[:n], room.own[:n], room.h[:n]
+    # Places are within the table; only so take() writes where it is told to.
+    np.take(w["e"], around, axis=0, out=x.reshape(n, 2 * WIDTH, EMBEDDING), mode="clip")
+    np.matmul(x, w["w"], out=own)
     own += w["b"]
     np.tanh(own, out=own)
-    h = np.empty((len(around), HIDDEN + 1), np.float32)
     h[:, :-1] = own
-    h[:, -1] = 1
     return x, own, h
 
 
@@ -215,38 +232,38 @@ def _by_class(place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, li
     return order, cls, (place // CLASSES)[order], np.searchsorted(cls, np.arange(CLASSES + 1)).tolist()
 
 
-def _word_logits(w: Weights, h: np.ndarray, cuts: list[int]) -> np.ndarray:
-    """Of the words of each row's class; rows stand by class."""
-    out = np.empty((len(h), CLASSES), np.float32)
-    for c in range(CLASSES):
-        lo, hi = cuts[c], cuts[c + 1]
+def _word_logits(w: Weights, h: np.ndarray, cuts: list[int], out: np.ndarray, first: int = 0) -> np.ndarray:
+    """Of the words of each row's class; rows stand by class, those of class first and on between the cuts."""
+    for v, lo, hi in zip(w["v"][first:], cuts[:-1], cuts[1:], strict=False):
         if hi > lo:
-            np.matmul(h[lo:hi], w["v"][c], out=out[lo:hi])
+            np.matmul(h[lo:hi], v, out=out[lo:hi])
     return out
 
 
-def log_probability(w: Weights, around: np.ndarray, place: np.ndarray) -> np.ndarray:
+def log_probability(w: Weights, around: np.ndarray, place: np.ndarray, room: _Room | None = None) -> np.ndarray:
     out = np.empty(len(place))
+    room = room or _Room(min(len(place), BATCH))
     # As the hidden layer is within -1 and 1, no logit is larger than its weights together.
     safe = max(np.abs(w["c"]).sum(axis=0).max(), np.abs(w["v"]).sum(axis=1).max()) < _SAFE
-    for lo in range(0, len(place), 2 * BATCH):
-        order, cls, word, cuts = _by_class(place[lo : lo + 2 * BATCH])
+    for lo in range(0, len(place), max(room.rows, 1)):
+        order, cls, word, cuts = _by_class(place[lo : lo + room.rows])
         n = np.arange(len(order))
-        *_, h = _hidden(w, around[lo : lo + 2 * BATCH][order])
+        *_, h = _hidden(w, around[lo : lo + room.rows][order], room)
         p = np.zeros(len(order))
-        for x, own in ((h @ w["c"], cls), (_word_logits(w, h, cuts), word)):
+        for fill, own in ((lambda x: np.matmul(h, w["c"], out=x), cls), (lambda x: _word_logits(w, h, cuts, x), word)):
+            x = fill(room.logits[: len(order)])
             if not safe:
                 x -= x.max(axis=1, keepdims=True)
             p += x[n, own]
             p -= np.log(np.exp(x, out=x) @ _ONES)
-        out[lo : lo + 2 * BATCH][order] = p
+        out[lo : lo + room.rows][order] = p
     return out
 
 
-def _error(x: np.ndarray, own: np.ndarray) -> np.ndarray:
-    """Of logits: the probabilities less 1 at the right place."""
+def _error(x: np.ndarray, own: np.ndarray, p: np.ndarray | None = None) -> np.ndarray:
+    """Of logits: the probabilities less 1 at the right place; in p, if that is given."""
     with np.errstate(over="ignore"):
-        p = np.exp(x)
+        p = np.exp(x, out=p)
         total = p @ _ONES
     if not total.max(initial=0) < _SAFE_SUM:
         # Only then some logit may be larger than what is summed safely.
@@ -257,38 +274,53 @@ def _error(x: np.ndarray, own: np.ndarray) -> np.ndarray:
     return p
 
 
-def train_batch(w: Weights, sums: Weights, around: np.ndarray, place: np.ndarray) -> None:
-    """One step of stochastic gradient descent with adaptive rates, in place."""
+def train_batch(w: Weights, sums: Weights, around: np.ndarray, place: np.ndarray, room: _Room | None = None) -> None:
+    """One step of stochastic gradient descent with adaptive rates, in place; room: for as many rows, of the steps before."""
+    room = room or _Room(len(place))
     order, cls, word, cuts = _by_class(place)
-    around = around[order]
-    x, own, h = _hidden(w, around)
-    dc = _error(h @ w["c"], cls)
-    dv = _error(_word_logits(w, h, cuts), word)
-    g = {"c": h.T @ dc, "v": np.empty(_SHAPES["v"], np.float32)}
-    dh = np.empty_like(own)
-    for c, (v, gv) in enumerate(zip(w["v"], g["v"], strict=True)):
-        lo, hi = cuts[c], cuts[c + 1]
-        if hi > lo:
-            np.matmul(dv[lo:hi], v[:-1].T, out=dh[lo:hi])
-            np.matmul(h[lo:hi].T, dv[lo:hi], out=gv)
-        else:
-            gv.fill(0)
-    dh += dc @ w["c"][:-1].T
-    own *= own
-    dh *= np.subtract(1, own, out=own)
-    g |= {"w": x.T @ dh, "b": dh.sum(axis=0)}
-    # Embeddings are summed in one pass; those of words that stand around none get 0, which moves nothing.
-    g["e"] = np.zeros(_SHAPES["e"], np.float32)
-    np.add.at(g["e"].ravel(), np.take(_SPOTS, around.ravel(), axis=0).ravel(), (dh @ w["w"].T).ravel())
-    for name, own in g.items():
-        own /= len(place)
-        rate = own * own
-        sums[name] += rate
-        np.sqrt(sums[name], out=rate)
+    around, g = around[order], room.g
+    for own in g.values():
+        own.fill(0)
+    # Rows of some classes at a time, which with what they give rise to stay in a core's cache.
+    for first in range(0, CLASSES, TOGETHER):
+        lo, hi = cuts[first], cuts[first + TOGETHER]
+        if hi == lo:
+            continue
+        rows, n, own_cuts = slice(lo, hi), hi - lo, [x - lo for x in cuts[first : first + TOGETHER + 1]]
+        x, own, h = _hidden(w, around[rows], room)
+        d = _error(np.matmul(h, w["c"], out=room.logits[:n]), cls[rows], room.p[:n])
+        g["c"] += h.T @ d
+        through = d @ w["c"][:-1].T
+        dh = room.dh[:n]
+        d = _error(_word_logits(w, h, own_cuts, room.logits[:n], first), word[rows], room.p[:n])
+        for v, gv, a, b in zip(w["v"][first:], g["v"][first:], own_cuts[:-1], own_cuts[1:], strict=False):
+            if b > a:
+                np.matmul(h[a:b].T, d[a:b], out=gv)
+                np.matmul(d[a:b], v[:-1].T, out=dh[a:b])
+        dh += through
+        own *= own
+        dh *= np.subtract(1, own, out=own)
+        g["w"] += x.T @ dh
+        g["b"] += dh.sum(axis=0)
+        # Embeddings are summed in one pass; those of words that stand around none get 0, which moves nothing.
+        spots = np.take(_SPOTS, around[rows].ravel(), axis=0, out=room.spots[: n * 2 * WIDTH], mode="clip")
+        np.add.at(g["e"].reshape(-1).view(np.complex64), spots.reshape(-1), np.matmul(dh, w["w"].T, out=room.dx[:n]).reshape(-1).view(np.complex64))
+    for name in g:
+        _moved(w[name].reshape(-1), sums[name].reshape(-1), g[name].reshape(-1), len(place), room.rate)
+
+
+def _moved(w: np.ndarray, sums: np.ndarray, g: np.ndarray, n: int, rates: np.ndarray) -> None:
+    """Weights against the gradient of n rows, each at its own rate; as many at a time as rates holds."""
+    for lo in range(0, len(w), len(rates)):
+        own, total = g[lo : lo + len(rates)], sums[lo : lo + len(rates)]
+        own /= n
+        rate = np.multiply(own, own, out=rates[: len(own)])
+        total += rate
+        np.sqrt(total, out=rate)
         rate += 1e-6
         own /= rate
         own *= RATE
-        w[name] -= own
+        w[lo : lo + len(rates)] -= own
 
 
 def _written(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
@@ -335,19 +367,19 @@ def train(places: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS, maske
             w = {k: v.copy() for k, v in shared.value.items()}
             sums = {k: np.full(s, 1e-3, np.float32) for k, s in _SHAPES.items()}
             n = 0
-            wait = np.zeros((0, 2 * WIDTH), np.int16), np.zeros(0, np.int16)
+            wait, room = (np.zeros((0, 2 * WIDTH), np.int16), np.zeros(0, np.int16)), _Room(BATCH)
             for batch in textscan.bounded(batches, "__places"):
                 place, offsets = _written(batch)
                 at = targets(place, offsets, number, rounds, masked)
                 around, own = np.concatenate([wait[0], _around(place, offsets)[at]]), np.concatenate([wait[1], place[at]])
                 lo = 0
                 while len(own) - lo >= (size := min(BATCH, max(LEAST_BATCH, n // 8))):
-                    train_batch(w, sums, around[lo : lo + size], own[lo : lo + size])
+                    train_batch(w, sums, around[lo : lo + size], own[lo : lo + size], room)
                     lo += size
                     n += size
                 wait = around[lo:], own[lo:]
             if len(wait[1]):
-                train_batch(w, sums, *wait)
+                train_batch(w, sums, *wait, room)
                 n += len(wait[1])
             if n:
                 task = TaskContext.get().partitionId()
@@ -393,10 +425,11 @@ def pseudo_likelihood(docs: DataFrame, rounds: int = ROUNDS, keep_text: bool = T
     schema = places.select(*names, F.lit(0).cast("long").alias("n_tokens"), F.lit(0.0).alias("log_likelihood")).schema
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        room = _Room(BATCH)
         for batch in textscan.bounded(batches, "__places"):
             place, offsets = _written(batch)
             n = np.diff(offsets)
-            total = np.bincount(np.repeat(np.arange(len(n)), n), weights=log_probability(shared.value, _around(place, offsets), place), minlength=len(n))
+            total = np.bincount(np.repeat(np.arange(len(n)), n), weights=log_probability(shared.value, _around(place, offsets), place, room), minlength=len(n))
             total += batch.column("__share").to_numpy()
             yield pa.RecordBatch.from_arrays([*(batch.column(x) for x in names), pa.array(n), pa.array(total)], names=[*names, "n_tokens", "log_likelihood"])
 

@@ -51,3 +51,27 @@ def test_logits_are_held_down_only_where_they_are_large():
         assert np.array_equal(pl._error(x, own), p)
         assert scale > 1 or np.array_equal(x, before)
     assert pl._error(np.zeros((0, pl.CLASSES), np.float32), np.zeros(0, np.int64)).shape == (0, pl.CLASSES)
+
+
+def test_training_writes_into_the_arrays_of_the_steps_before():
+    import tracemalloc
+
+    from sievemark.llm import pseudo_likelihood as pl
+
+    rng = np.random.default_rng(5)
+    vocabulary = pl.Vocabulary(np.arange(1, 400, dtype=np.uint64), np.arange(400, 1, -1), np.ones(2048))
+    steps = [(rng.integers(0, pl._PAD + 1, (n, 2 * pl.WIDTH)).astype(np.int16), rng.integers(0, pl.VOCABULARY, n).astype(np.int16)) for n in (pl.BATCH, 300, 7, pl.BATCH)]
+    got = []
+    for room in (pl._Room(pl.BATCH), None):
+        w, sums = pl.start(vocabulary), {k: np.full(s, 1e-3, np.float32) for k, s in pl._SHAPES.items()}
+        tracemalloc.start()
+        for around, place in steps:
+            pl.train_batch(w, sums, around, place, room)
+        got.append((w, tracemalloc.get_traced_memory()[1]))
+        tracemalloc.stop()
+    # A step of its own takes some megabytes; where they are made anew for each, they cost more than the step's sums.
+    assert got[0][1] < 1 << 20 < got[1][1]
+    assert all(np.array_equal(got[0][0][k], got[1][0][k]) for k in pl._SHAPES)
+    around, place = steps[1]
+    assert np.array_equal(pl.log_probability(got[0][0], around, place, pl._Room(64)), pl.log_probability(got[0][0], around, place, pl._Room(64)))
+    assert np.allclose(pl.log_probability(got[0][0], around, place, pl._Room(64)), pl.log_probability(got[0][0], around, place), atol=1e-4)
