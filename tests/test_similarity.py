@@ -2,6 +2,7 @@
 
 import itertools
 import random
+import re
 import time
 
 import numpy as np
@@ -294,3 +295,14 @@ def test_forest_ends_in_one_task_once_few_links_are_left(spark, monkeypatch):
     monkeypatch.setattr(graph, "connected_components", lambda *x, **how: rounds.append(1) or joined(*x, **how))
     forest = graph.spanning_forest(spark.createDataFrame(links, "a long, b long, weight double").repartition(4), few=600).collect()
     assert len(forest) == 399 and len(rounds) == 1
+
+
+def test_seeds_are_sorted_by_one_number_and_each_group_has_its_shorter_rows_first(spark):
+    rows = spark.createDataFrame([(i, "ACDEFGHIKLMN"[: 10 + i % 3]) for i in range(6)], "ord long, sequence string")
+    seeded = similarity._seeded(rows, 50, [8], 10.0, 1)
+    plan = similarity._met(seeded, 1, 100)._jdf.queryExecution().optimizedPlan().toString()
+    assert re.search(r"Sort \[key#\d+L ASC NULLS FIRST\], false", plan)
+    got = seeded.select("key", "kind").collect()
+    assert got and all((r.key & 1) == (r.kind >= similarity._LONGER) for r in got)
+    # A group's two kinds of rows differ in the last bit alone.
+    assert {r.key >> 1 for r in got if r.key & 1} & {r.key >> 1 for r in got if not r.key & 1}
