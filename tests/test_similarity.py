@@ -306,3 +306,16 @@ def test_seeds_are_sorted_by_one_number_and_each_group_has_its_shorter_rows_firs
     assert got and all((r.key & 1) == (r.kind >= similarity._LONGER) for r in got)
     # A group's two kinds of rows differ in the last bit alone.
     assert {r.key >> 1 for r in got if r.key & 1} & {r.key >> 1 for r in got if not r.key & 1}
+
+
+def test_alignments_do_not_wait_for_the_consensus(spark, monkeypatch):
+    from sievemark.plans import q_groups
+
+    members = spark.createDataFrame([(50, 1, 1, "ACDEF"), (50, 1, 2, "CDEF")], "threshold int, cluster long, ord long, sequence string")
+    seen, write = [], q_groups.graph.written
+    monkeypatch.setattr(q_groups, "sweep_members", lambda *_: members)
+    monkeypatch.setattr(q_groups.graph, "written", lambda df, *a: (seen.append(df.columns), write(df, *a))[1])
+    got = {(r.ord, r.position, r.alignment, r.member_index) for r in q_groups.cluster_peptides(spark, "").collect()}
+    assert got == {(1, 1, "ACDEF", 1), (2, 2, "-CDEF", 2)}
+    assert [r.n_disagreeing for r in q_groups.disagreeing_positions(spark, "").collect()] == [0]
+    assert not any("consensus" in c for c in seen)
