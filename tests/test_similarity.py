@@ -319,3 +319,58 @@ def test_alignments_do_not_wait_for_the_consensus(spark, monkeypatch):
     assert got == {(1, 1, "ACDEF", 1), (2, 2, "-CDEF", 2)}
     assert [r.n_disagreeing for r in q_groups.disagreeing_positions(spark, "").collect()] == [0]
     assert not any("consensus" in c for c in seen)
+
+
+def test_patterns_letters_stay_out_of_the_driver(spark, monkeypatch):
+    """The driver gets a hash of each pattern, in parts of a bounded size, not the patterns as rows."""
+    frame = type(spark.range(0))
+    windows = spark.createDataFrame([(w,) for w in ("CDE", "AC", "QQQQ")], "window string")
+    texts = spark.createDataFrame(TEXTS, "ref_id string, text string")
+    seen, arrow = [], frame.toArrow
+
+    def rows(*_):
+        raise AssertionError("rows were collected")
+
+    for pass_bytes in (patterns.PASS_BYTES, 1):
+        with monkeypatch.context() as m:
+            m.setattr(frame, "collect", rows)
+            m.setattr(frame, "toArrow", lambda df: (seen.append(df.columns), arrow(df))[1])
+            found = patterns.found_in(windows, texts, pass_bytes)
+        assert {tuple(r) for r in found.collect()} == places(["CDE", "AC", "QQQQ"], TEXTS)
+    assert seen and all(c == ["size", "hash"] for c in seen)
+
+
+def test_allergen_homology_names_the_first_places_of_all_members(spark):
+    """As places of every piece in every reference have it, also of pieces with more places than are named."""
+    refs = [*peptides(80, 1, 20, 61, "ACD"), "ACDAC" * 9, "", "ACX?ACD"]
+    members = [(i % 6, i % 20, s) for i, s in enumerate([*peptides(40, 1, 12, 62, "ACD"), "wwwww", "ACX?A", "acdac", ""])]
+    queries = [(i, s) for i, s in enumerate(["ACDAC", "CCC", "DDDDDDD", "AC", "CA", "W", "AAAA"])]
+    text = spark.createDataFrame([(f"r{i}", i, x) for i, x in enumerate(refs)], "ref_id string, ref_ord int, text string").repartition(3)
+    found = matching.allergen_homology(
+        spark.createDataFrame(queries, "query_id int, sequence string"), spark.createDataFrame(members, "query_id int, member_id int, sequence string").repartition(3), text, 3, 40, "ACD"
+    )
+    for r in found.collect():
+        hits, matched, skipped = set(), set(), 0
+        for q, m, s in members:
+            s = s.upper()
+            if q == r.query_id and s:
+                for w in [s[i : i + 3] for i in range(len(s) - 2)] or [s]:
+                    if set(w) - set("ACD"):
+                        skipped += 1
+                        continue
+                    own = {f"{w}@r{i}:{o + 1}" for _, i, o in places([w], list(enumerate(refs)))}
+                    hits |= own
+                    matched |= {m} if own else set()
+        assert (r.n_exact, r.exact_matches, r.n_skipped) == (len(matched), ";".join(sorted(hits)[:8]), skipped)
+        assert r.homology_risk == (r.exact_risk or r.identity_risk) and r.exact_risk == bool(matched)
+    assert found.count() == len(queries)
+
+
+def test_allergen_homology_does_not_join_all_places(spark):
+    """A piece that 3,000 references have meets 300 members by its first places."""
+    refs = spark.createDataFrame([(i, i, "ACDEF") for i in range(3000)], "ref_id int, ref_ord int, text string")
+    members = spark.createDataFrame([(1, i, "ACDEF") for i in range(300)], "query_id int, member_id int, sequence string")
+    found = matching.allergen_homology(spark.createDataFrame([(1, "ACDEF")], "query_id int, sequence string"), members, refs, 5, 40)
+    assert [(r.n_exact, r.exact_matches) for r in found.collect()] == [(300, ";".join(sorted(f"ACDEF@{i}:1" for i in range(3000))[:8]))]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan
