@@ -374,3 +374,44 @@ def test_allergen_homology_does_not_join_all_places(spark):
     assert [(r.n_exact, r.exact_matches) for r in found.collect()] == [(300, ";".join(sorted(f"ACDEF@{i}:1" for i in range(3000))[:8]))]
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
+
+
+def test_labels_of_several_blocks_are_not_shuffled(spark, monkeypatch):
+    """A task takes its queries through all blocks of targets, in the order of labels, and their labels are whole there, too."""
+    queries, texts = peptides(12, 3, 9, 71, "ACD"), peptides(90, 1, 14, 72, "ACD")
+    strains = ["x", "y", "only late", None]
+    t = [(strains[2] if i > 85 else strains[i % 2] if i % 9 else None, f"L{i % 40:02d}" if i <= 85 else f"M{i}", s) for i, s in enumerate(texts)]
+    q = spark.createDataFrame(list(enumerate(queries)), "query_id int, sequence string")
+    frame = spark.createDataFrame(t, "strain string, label string, text string").repartition(3)
+    share = lambda s, x: sum(a == b for a, b in zip(s, x)) / len(s) if len(x) < len(s) else matches(s, x) / len(s)
+    expected = {}
+    for i, s in enumerate(queries):
+        for strain in strains:
+            own = [(share(s, x), label) for st, label, x in t if st == strain]
+            hit = sorted(label for p, label in own if p >= 0.5)
+            expected[i, strain] = (len(own), len(hit), min(own)[0], max(own)[0], hit, len(hit) / len(own))
+    blocks, held = [], placements._in_order
+    monkeypatch.setattr(placements, "_in_order", lambda *x: (blocks.append(b) or b for b in held(*x)))
+    for size, labels in ((600, 1 << 25), (600, 100), (1, 1 << 25), (1 << 20, 1 << 25)):
+        monkeypatch.setattr(placements, "PASS_BYTES", size)
+        monkeypatch.setattr(placements, "LABELS", labels)
+        monkeypatch.setattr(placements, "_by_texts", lambda *_: True, raising=False)
+        blocks.clear()
+        found = matching.conservancy(q, frame, 0.5)
+        assert "Aggregate" not in found._jdf.queryExecution().toString()
+        assert {(r.query_id, r.strain): tuple(r)[2:] for r in found.collect()} == expected
+        assert (len(blocks) > 3) == (size < 1 << 20) and sum(b.num_rows for b in blocks) == len(t)
+        said = [b.column("label").to_pylist() for b in blocks]
+        assert all(max(a) <= min(b) for a, b in zip(said, said[1:]))
+        near = matching.nearest_targets(q, spark.createDataFrame([(s or "z", i, x) for i, (s, _, x) in enumerate(t)], "strain string, ref_id int, text string").repartition(2))
+        for r in near.collect():
+            assert (-r.best, r.ref_id) == min((-share(queries[r.query_id], x), i) for i, (s, _, x) in enumerate(t) if (s or "z") == r.strain)
+
+
+def test_labels_are_not_shuffled_beyond_one_pass(spark, monkeypatch):
+    monkeypatch.setattr(placements, "PASS_BYTES", 100)
+    q = spark.createDataFrame([(1, "ACDE"), (2, "CDEF")], "query_id int, sequence string")
+    t = spark.createDataFrame([("s", "b", "ACDEF"), ("s", "c", "WWWW"), ("s", "a", "CDEFA")], "strain string, label string, text string")
+    found = matching.conservancy(q, t, 0.5)
+    assert "collect_list" not in found._jdf.queryExecution().toString()
+    assert {(r.query_id, r.n_targets, tuple(r.matched)) for r in found.collect()} == {(1, 3, ("b",)), (2, 3, ("a", "b"))}
